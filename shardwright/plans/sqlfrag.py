@@ -3,8 +3,8 @@
 
 def bytes_of(expr: str) -> str:
     """DuckDB list of the UTF-8 byte values of a VARCHAR expression."""
-    return (f"list_transform(range(strlen({expr})), lambda i: "
-            f"('0x' || substr(hex({expr}), 2*i+1, 2))::INTEGER)")
+    return (f"list_transform(regexp_extract_all(hex({expr}), '..'), "
+            f"lambda x: ('0x' || x)::INTEGER)")
 
 
 def digest(list_expr: str) -> str:
