@@ -33,6 +33,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    # Local mode runs everything in the driver JVM; size it (ignored when a
+    # cluster launcher already started the JVM).
+    builder = builder.config("spark.driver.memory", os.environ.get("SHARDWRIGHT_DRIVER_MEMORY", "12g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
