@@ -1 +1,70 @@
-"""Placeholder."""
+"""Streaming and binary-shard queries; each reuses a batch query's oracle."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import chat as C
+from ..operators import choice as X
+from ..session import scratch_path
+from ..sources import token_shards as TS
+from ..streaming import tokenize as ST
+from . import chat_queries as CQ
+from . import text_queries  # noqa: F401  (registers the doc_offsets oracle)
+from . import choice_queries as XQ
+from .registry import ORACLES, query, table
+
+STREAM_FILES = 4
+
+
+def _oracle(name: str) -> str:
+    return ORACLES[name]
+
+
+@query("stream_tokenize", _oracle("doc_offsets"))
+def stream_tokenize(spark, sf):
+    """Documents staged as files in doc_id order, tokenised by a file stream
+    with carried (tokens, docs) state; must equal the batch offsets (K1-K3)."""
+    base = scratch_path(spark, "stream-tokenize")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    ST.stage_in_order(docs, f"{base}/source", STREAM_FILES)
+    out = ST.tokenize_stream(spark, f"{base}/source", f"{base}/out", f"{base}/state", f"{base}/checkpoint")
+    return out.select("doc_id", "tok_start", "n_tokens")
+
+
+@query("stream_choice_report", _oracle("choice_report"))
+def stream_choice_report(spark, sf):
+    """Scored examples arrive as files; a complete-mode streaming aggregation
+    keeps the per-source report current after each batch (K4)."""
+    base = scratch_path(spark, "stream-report")
+    s, ex = XQ._scored(spark, sf)
+    picks = X.example_picks(s, ex)
+    picks.repartition(3).write.parquet(f"{base}/picks")
+    rep = ST.running_report(spark, f"{base}/picks", picks.schema, f"{base}/checkpoint", f"{base}/sums")
+    return rep.select("source", "n", *[F.round(c, 6).alias(c) for c in ("acc", "acc_norm", "loss", "all", "margin")])
+
+
+_SHARDS_SQL = _oracle("chat_shards")
+_SHARDS_SQL = _SHARDS_SQL[:_SHARDS_SQL.rindex("SELECT")] + """
+SELECT split, shard_id, printf('%s_%06d.bin', split, shard_id) AS file,
+       CAST(sum(n_tokens) AS BIGINT) AS tokens, count(*) AS examples,
+       CAST(sum(n_supervised) AS BIGINT) AS supervised_tokens,
+       md5(string_agg(CAST(shard_start AS VARCHAR), ',' ORDER BY conv_id)) AS starts_md5
+FROM sh GROUP BY split, shard_id"""
+
+
+@query("shard_file_roundtrip", _SHARDS_SQL)
+def shard_file_roundtrip(spark, sf):
+    """Chat shards exported as .bin / .mask.bin / .idx.bin and read back with
+    the ``token_shard`` data source (S7, S8, U4)."""
+    out = scratch_path(spark, "chat-shards")
+    convs, _, _ = C.tokenize_chat(CQ._turns(spark, sf), CQ.CHAT_SPEC)
+    TS.export_chat_shards(convs, out).collect()
+    TS.register(spark)
+    back = spark.read.format("token_shard").option("dtype", "uint16").load(out)
+    return back.groupBy("split", "shard_id").agg(
+        F.sum(F.size("tokens")).cast("long").alias("tokens"), F.count(F.lit(1)).alias("examples"),
+        F.sum(F.aggregate("mask", F.lit(0).cast("long"), lambda a, x: a + x)).cast("long").alias("supervised_tokens"),
+        F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("example", "shard_start"))),
+                                       lambda x: x["shard_start"].cast("string")), ",")).alias("starts_md5"),
+    ).withColumn("file", C.shard_file())
