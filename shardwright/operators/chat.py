@@ -154,8 +154,9 @@ def shard_conversations(split_outcomes: DataFrame, shard_tokens: int) -> DataFra
     base = seg.groupBy("split", "shard_id").agg(
         F.min(F.col("__end") - F.col("n_tokens")).alias("__sb"))
     seg = seg.join(F.broadcast(base), ["split", "shard_id"])
+    # Conversation-level and narrow; every later step reads it, so keep it.
     return seg.select("split", "conv_id", "kord", "shard_id", "n_tokens", "n_supervised",
-                      (F.col("__end") - F.col("n_tokens") - F.col("__sb")).alias("shard_start"))
+                      (F.col("__end") - F.col("n_tokens") - F.col("__sb")).alias("shard_start")).persist()
 
 
 def shard_file(split_col: str = "split", shard_col: str = "shard_id") -> F.Column:

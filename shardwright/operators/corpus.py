@@ -100,7 +100,7 @@ def batch_table(streams: DataFrame) -> DataFrame:
 def shard_batches(batches: DataFrame, shard_tokens: int, first_shard: int = 0) -> DataFrame:
     """Shard of each batch: roll at the first batch end with >= shard_tokens."""
     seg = reset_segments(batches, "batch", "tokens", shard_tokens, part_cols=["split"], out="shard_id")
-    return seg.withColumn("shard_id", F.col("shard_id") + first_shard).drop("__end")
+    return seg.withColumn("shard_id", F.col("shard_id") + first_shard).drop("__end").persist()
 
 
 def shard_table(sharded_batches: DataFrame) -> DataFrame:
