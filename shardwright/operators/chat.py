@@ -154,9 +154,9 @@ def shard_conversations(split_outcomes: DataFrame, shard_tokens: int) -> DataFra
     base = seg.groupBy("split", "shard_id").agg(
         F.min(F.col("__end") - F.col("n_tokens")).alias("__sb"))
     seg = seg.join(F.broadcast(base), ["split", "shard_id"])
-    # Conversation-level and narrow; every later step reads it, so keep it.
+    # Conversation-level and narrow; every later step reads it: checkpoint.
     return seg.select("split", "conv_id", "kord", "shard_id", "n_tokens", "n_supervised",
-                      (F.col("__end") - F.col("n_tokens") - F.col("__sb")).alias("shard_start")).persist()
+                      (F.col("__end") - F.col("n_tokens") - F.col("__sb")).alias("shard_start")).checkpoint()
 
 
 def shard_file(split_col: str = "split", shard_col: str = "shard_id") -> F.Column:
@@ -178,10 +178,10 @@ def chat_shard_table(sharded: DataFrame) -> DataFrame:
 def tokenize_chat(turns: DataFrame, spec: ChatSpec, val_turns: DataFrame | None = None):
     """The chat job: returns (conversation rows with tokens/mask/shard, shard
     table, outcome counters per split)."""
-    out = conversation_outcomes(turns, spec.max_len, spec.train_roles).persist()
-    vout = (conversation_outcomes(val_turns, spec.max_len, spec.train_roles).persist()
+    out = conversation_outcomes(turns, spec.max_len, spec.train_roles).checkpoint()
+    vout = (conversation_outcomes(val_turns, spec.max_len, spec.train_roles).checkpoint()
             if val_turns is not None else None)
-    split = split_conversations(out, spec, vout).persist()
+    split = split_conversations(out, spec, vout).checkpoint()
     counters = outcome_counters(split, ["split"])
     sharded = shard_conversations(split, spec.shard_tokens)
     all_turns = turns if val_turns is None else turns.unionByName(val_turns)

@@ -74,9 +74,9 @@ def split_streams(meta: DataFrame, spec: CorpusSpec, val_meta: DataFrame | None
     at the first document val did not consume, so the trimmed rest of val's
     last batch lands in neither split. Otherwise val comes from ``val_meta``.
     """
-    ordered = order_documents(meta, spec.batch_docs).persist()
+    ordered = order_documents(meta, spec.batch_docs)
     if spec.val_tokens is not None:
-        val = capped_stream(ordered, 0, spec.batch_docs, spec.val_tokens).persist()
+        val = capped_stream(ordered, 0, spec.batch_docs, spec.val_tokens).checkpoint()
         consumed = val.agg(F.max("doc_ord") + 1).scalar()
         train = capped_stream(ordered, F.coalesce(consumed, F.lit(0)), spec.batch_docs, spec.max_tokens)
         return val.withColumn("split", F.lit("val")).unionByName(train.withColumn("split", F.lit("train")))
@@ -100,7 +100,7 @@ def batch_table(streams: DataFrame) -> DataFrame:
 def shard_batches(batches: DataFrame, shard_tokens: int, first_shard: int = 0) -> DataFrame:
     """Shard of each batch: roll at the first batch end with >= shard_tokens."""
     seg = reset_segments(batches, "batch", "tokens", shard_tokens, part_cols=["split"], out="shard_id")
-    return seg.withColumn("shard_id", F.col("shard_id") + first_shard).drop("__end").persist()
+    return seg.withColumn("shard_id", F.col("shard_id") + first_shard).drop("__end")
 
 
 def shard_table(sharded_batches: DataFrame) -> DataFrame:
@@ -155,7 +155,7 @@ def tokenize_corpus(docs: DataFrame, spec: CorpusSpec, val_docs: DataFrame | Non
     """The text job: returns (consumed-document streams, shard table, manifest)."""
     meta = document_meta(docs)
     vmeta = document_meta(val_docs) if val_docs is not None else None
-    streams = split_streams(meta, spec, vmeta).persist()
-    sb = shard_batches(batch_table(streams), spec.shard_tokens).persist()
+    streams = split_streams(meta, spec, vmeta).checkpoint()
+    sb = shard_batches(batch_table(streams), spec.shard_tokens)
     shards = shard_table(sb)
     return streams, sb, shards, manifest(split_summary(shards), spec)

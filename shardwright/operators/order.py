@@ -60,8 +60,11 @@ def ordinal(df: DataFrame, key: str, out: str = "ord", part_cols: list[str] | No
     # One row per bucket: at most k x (split groups) rows.
     joined = bucketed.join(F.broadcast(offsets), [*part_cols, "__bkt"])
     w = Window.partitionBy(*part_cols, "__bkt").orderBy(key)
-    return joined.withColumn(out, (F.row_number().over(w) - 1 + F.col("__off")).cast("long")) \
+    res = joined.withColumn(out, (F.row_number().over(w) - 1 + F.col("__off")).cast("long")) \
         .drop("__bkt", "__off")
+    # Narrow result, read by several later steps: write it to the checkpoint
+    # folder, which also cuts the lineage (and the plan) here.
+    return res.checkpoint()
 
 
 def prefix_sum(df: DataFrame, ord_col: str, size_col: str, out: str = "start",
@@ -96,7 +99,7 @@ def reset_segments(units: DataFrame, ord_col: str, size_col: str, target: int,
     """
     part_cols = list(part_cols or [])
     limit = SMALL_UNITS if small_units is None else small_units
-    units = units.persist()
+    units = units.checkpoint()
     keys = units.select(*part_cols, ord_col, size_col)
     sizes = keys.groupBy(*part_cols).count().agg(F.max("count").alias("m")).first()
     if sizes is None or sizes["m"] is None:
@@ -106,7 +109,7 @@ def reset_segments(units: DataFrame, ord_col: str, size_col: str, target: int,
     else:
         segs = reset_segments_distributed(keys, ord_col, size_col, target, part_cols, out) \
             .select(*part_cols, ord_col, out, "__end")
-    return units.join(segs, [*part_cols, ord_col])
+    return units.join(segs, [*part_cols, ord_col]).checkpoint()
 
 
 def _fold_small(keys, ord_col, size_col, S, part_cols, out):

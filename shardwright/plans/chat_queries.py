@@ -160,8 +160,8 @@ SELECT split, shard_id, printf('%s_%06d.bin', split, shard_id) AS file,
        md5(string_agg(CAST(shard_start AS VARCHAR), ',' ORDER BY conv_id)) AS starts_md5
 FROM sh GROUP BY split, shard_id""")
 def chat_shards(spark, sf):
-    out = C.conversation_outcomes(_turns(spark, sf), CHAT_SPEC.max_len).persist()
-    sharded = C.shard_conversations(C.split_conversations(out, CHAT_SPEC).persist(),
+    out = C.conversation_outcomes(_turns(spark, sf), CHAT_SPEC.max_len).checkpoint()
+    sharded = C.shard_conversations(C.split_conversations(out, CHAT_SPEC).checkpoint(),
                                     CHAT_SPEC.shard_tokens)
     starts = sharded.groupBy("split", "shard_id").agg(
         F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("conv_id", "shard_start"))),

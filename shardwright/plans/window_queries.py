@@ -84,7 +84,7 @@ def _text_job(spark, sf):
 
 def _chat_job(spark, sf):
     convs, shards, counters = C.tokenize_chat(CQ._turns(spark, sf), CQ.CHAT_SPEC)
-    return convs.persist(), shards.persist(), counters
+    return convs.checkpoint(), shards.checkpoint(), counters
 
 
 def _text_starts(spark, sf):

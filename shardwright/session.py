@@ -36,6 +36,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     # Local mode runs everything in the driver JVM; size it (ignored when a
     # cluster launcher already started the JVM).
     builder = builder.config("spark.driver.memory", os.environ.get("SHARDWRIGHT_DRIVER_MEMORY", "12g"))
+    ev = os.environ.get("SHARDWRIGHT_EVENT_LOG")
+    if ev:  # profiling: stage and task times from the event log, no UI
+        os.makedirs(ev, exist_ok=True)
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", ev)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
