@@ -18,8 +18,8 @@ from shardwright.plans.registry import load_all  # noqa: E402
 from shardwright.session import get_spark  # noqa: E402
 
 HEADLINE = [
-    ("tokenize_corpus", "split_manifest"),
-    ("tokenize_chat", "chat_manifest"),
+    ("tokenize_corpus", "text_shard_files"),
+    ("tokenize_chat", "shard_file_roundtrip"),
     ("sample_windows", "window_gather"),
     ("chat_windows", "chat_window_targets"),
     ("evaluate_choices", "choice_report"),

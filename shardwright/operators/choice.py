@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.tokens import doc_ids, utf8_ids
+from ..functions.tokens import utf8_ids
 from ..schemas import BYTE_VOCAB_SIZE, CHOICE
 from .order import ordinal
 
@@ -86,14 +86,38 @@ def collate(rendered: DataFrame, kept: DataFrame, batch_examples: int) -> DataFr
                     F.concat("ids", pad).alias("ids"), F.concat(mask, pad).alias("mask"))
 
 
-def bigram_table(docs: DataFrame, vocab_size: int = BYTE_VOCAB_SIZE) -> DataFrame:
+def bigram_table(docs: DataFrame, vocab_size: int = BYTE_VOCAB_SIZE):
     """Stand-in scorer: add-one byte-bigram NLL counted over every document's
-    ids. At most vocab_size^2 rows (a fixed bound), hence broadcastable."""
-    ids = doc_ids("text")
-    codes = docs.filter(F.col("text").isNotNull()).select(ids.alias("ids")).select(
-        F.explode(F.transform(F.sequence(F.lit(1), F.size("ids") - 1),
-                              lambda i: F.col("ids")[i - 1] * vocab_size + F.col("ids")[i])).alias("code"))
-    pairs = codes.groupBy("code").agg(F.count(F.lit(1)).alias("c"))
+    ids. Each Arrow batch is pre-aggregated with ``bincount`` (at most
+    vocab_size^2 rows leave a task), then partial sums merge by pair code; the
+    result is bounded by vocab_size^2 rows, hence broadcastable."""
+    import numpy as np
+    import pyarrow as pa
+
+    from ..functions.tokens import _doc_list
+
+    V2 = vocab_size * vocab_size
+
+    def count(batches):
+        acc = np.zeros(V2, dtype=np.int64)
+        for b in batches:
+            lists = _doc_list(b.column(0))
+            offs = lists.offsets.to_numpy()
+            vals = lists.values.to_numpy().astype(np.int64)
+            if len(vals) < 2:
+                continue
+            codes = vals[:-1] * vocab_size + vals[1:]
+            # Drop pairs that straddle two documents: position i pairs with
+            # i + 1, so the last id of every document starts no pair.
+            keep = np.ones(len(codes), dtype=bool)
+            keep[offs[1:-1] - 1] = False
+            acc += np.bincount(codes[keep], minlength=V2)
+        nz = np.nonzero(acc)[0]
+        if len(nz):
+            yield pa.RecordBatch.from_arrays([pa.array(nz.astype(np.int64)), pa.array(acc[nz])], names=["code", "c"])
+
+    codes = docs.filter(F.col("text").isNotNull()).select("text").mapInArrow(count, "code long, c long")
+    pairs = codes.groupBy("code").agg(F.sum("c").alias("c"))
     pairs = pairs.select((F.col("code") / vocab_size).cast("int").alias("prev"),
                          (F.col("code") % vocab_size).cast("int").alias("cur"), "c")
     uni = pairs.groupBy("prev").agg(F.sum("c").alias("cp"))

@@ -147,10 +147,17 @@ def shard_tokens_rows(streams: DataFrame, sharded_batches: DataFrame, docs: Data
     meta = streams.join(sharded_batches.select("split", "batch", "shard_id"), ["split", "batch"])
     rows = meta.join(docs.select("doc_id", "text"), "doc_id")
     ids = doc_ids("text")
-    return rows.select("split", "shard_id", "doc_id", "doc_ord", "tok_start", "n_kept",
+    return rows.select("split", "shard_id", "batch", "doc_id", "doc_ord", "tok_start", "n_kept",
                        F.slice(ids, 1, F.col("n_kept")).alias("tokens"))
 
 
+def write_shards(rows: DataFrame, out_dir: str) -> None:
+    """Token-shard sink (S6): one directory per (split, shard_id), one task
+    per shard, documents in stream order inside it."""
+    (rows.repartition("split", "shard_id").sortWithinPartitions("split", "shard_id", "tok_start")
+     .write.mode("overwrite").partitionBy("split", "shard_id").parquet(out_dir))
+
+
 def tokenize_corpus(docs: DataFrame, spec: CorpusSpec, val_docs: DataFrame | None = None):
     """The text job: returns (consumed-document streams, shard table, manifest)."""
     meta = document_meta(docs)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.tokens import doc_ids, ids_digest
 from ..operators import corpus as K
 from ..schemas import EOT, CorpusSpec
+from ..session import scratch_path
 from .registry import query, table
 from .sqlfrag import bytes_of, digest
 
@@ -171,3 +172,22 @@ def resume_skip(spark, sf):
     rest = rest.withColumn("batch", F.col("batch") + first_batch).withColumn("split", F.lit("train"))
     sb2 = K.shard_batches(K.batch_table(rest), S, first_shard=1)
     return K.shard_table(sb2).select("shard_id", "file", "tokens", "docs", "first_batch", "last_batch")
+
+
+@query("text_shard_files", f"""
+WITH RECURSIVE {_D}, {_SPLITS}, {_BATCH}
+SELECT split, shard_id, file, tokens, docs, first_batch, last_batch FROM sh""")
+def text_shard_files(spark, sf):
+    """The whole text job: encode every consumed document, trim, write token
+    shards partitioned by (split, shard_id) (S6), and summarise what was written."""
+    docs = _docs(spark, sf)
+    streams, sb, _, _ = K.tokenize_corpus(docs, SPEC)
+    out = scratch_path(spark, "text-shards")
+    K.write_shards(K.shard_tokens_rows(streams, sb, docs), out)
+    back = spark.read.parquet(out)
+    return back.groupBy("split", "shard_id").agg(
+        F.sum(F.size("tokens")).cast("long").alias("tokens"), F.count(F.lit(1)).cast("long").alias("docs"),
+        F.min("batch").alias("first_batch"), F.max("batch").alias("last_batch"),
+    ).select("split", F.col("shard_id").cast("int").alias("shard_id"),
+             F.format_string("%s_%06d.bin", F.col("split"), F.col("shard_id")).alias("file"),
+             "tokens", "docs", "first_batch", "last_batch")
