@@ -104,3 +104,14 @@ def local_dir(path: str) -> str:
 def ensure_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(local_dir(path), exist_ok=True)
+
+
+def spread(df):
+    """Round-robin a scan across the default parallelism when it arrived in
+    fewer splits (e.g. a single-row-group file), so per-row encoding work is
+    not serialised on one core. Large inputs already have at least that many
+    splits and are returned unchanged (no extra shuffle)."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
