@@ -151,10 +151,43 @@ def shard_tokens_rows(streams: DataFrame, sharded_batches: DataFrame, docs: Data
                        F.slice(ids, 1, F.col("n_kept")).alias("tokens"))
 
 
-def write_shards(rows: DataFrame, out_dir: str) -> None:
+def shard_rows(docs: DataFrame, streams: DataFrame, sharded_batches: DataFrame,
+               max_shards: int = 1 << 22) -> DataFrame:
+    """Token rows for the shard sink without joining documents to the
+    per-document stream table: every shard is a contiguous doc_id range, so a
+    binary search over the shard boundaries (``Bucketizer``) labels each
+    document where it is read. Only documents trimmed by a cap (at most one
+    batch per split) travel as a broadcast. Documents outside every range (past
+    a cap) or trimmed to nothing are dropped."""
+    from pyspark.ml.feature import Bucketizer
+
+    ranges = streams.join(sharded_batches.select("split", "batch", "shard_id"), ["split", "batch"]) \
+        .groupBy("split", "shard_id").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    n = ranges.count()
+    if n > max_shards:
+        raise ValueError(f"{n} shards exceed the {max_shards} boundary table limit")
+    rs = sorted(ranges.collect(), key=lambda r: r["lo"])
+    splits = [float(r["lo"]) for r in rs] + [float(rs[-1]["hi"]) + 1.0]
+    labels = docs.sparkSession.createDataFrame(
+        [(i, r["split"], int(r["shard_id"])) for i, r in enumerate(rs)], "bkt int, split string, shard_id int")
+    trims = streams.filter(F.col("n_kept") < F.col("n_tokens")).select("doc_id", F.col("n_kept").alias("trim"))
+    d = docs.filter(F.col("text").isNotNull()).withColumn("__k", F.col("doc_id").cast("double"))
+    if len(splits) < 3:  # one shard: Bucketizer needs two intervals
+        d = d.filter((F.col("__k") >= splits[0]) & (F.col("__k") < splits[-1])).withColumn("bkt", F.lit(0))
+    else:
+        d = Bucketizer(splits=splits, inputCol="__k", outputCol="bkt", handleInvalid="skip").transform(d) \
+            .withColumn("bkt", F.col("bkt").cast("int"))
+    d = d.join(F.broadcast(labels), "bkt").join(F.broadcast(trims), "doc_id", "left")
+    n_tok = doc_token_count()
+    d = d.withColumn("n_kept", F.coalesce("trim", n_tok)).filter(F.col("n_kept") > 0)
+    return d.select("split", "shard_id", "doc_id", "n_kept",
+                    F.slice(doc_ids("text"), 1, F.col("n_kept").cast("int")).alias("tokens"))
+
+
+def write_shards(rows: DataFrame, out_dir: str, order_col: str = "doc_id") -> None:
     """Token-shard sink (S6): one directory per (split, shard_id), one task
     per shard, documents in stream order inside it."""
-    (rows.repartition("split", "shard_id").sortWithinPartitions("split", "shard_id", "tok_start")
+    (rows.repartition("split", "shard_id").sortWithinPartitions("split", "shard_id", order_col)
      .write.mode("overwrite").partitionBy("split", "shard_id").parquet(out_dir))
 
 

@@ -175,19 +175,24 @@ def resume_skip(spark, sf):
 
 
 @query("text_shard_files", f"""
-WITH RECURSIVE {_D}, {_SPLITS}, {_BATCH}
-SELECT split, shard_id, file, tokens, docs, first_batch, last_batch FROM sh""")
+WITH RECURSIVE {_D}, {_SPLITS}, {_BATCH},
+wr AS (SELECT sb.split, sb.shard_id, count(*) AS docs FROM st JOIN sb USING (split, batch)
+       WHERE st.n_kept > 0 GROUP BY sb.split, sb.shard_id)
+SELECT split, shard_id, file, tokens, sh.docs AS consumed, wr.docs, first_batch, last_batch
+FROM sh JOIN wr USING (split, shard_id)""")
 def text_shard_files(spark, sf):
     """The whole text job: encode every consumed document, trim, write token
     shards partitioned by (split, shard_id) (S6), and summarise what was written."""
     docs = _docs(spark, sf)
-    streams, sb, _, _ = K.tokenize_corpus(docs, SPEC)
+    streams, sb, shards, _ = K.tokenize_corpus(docs, SPEC)
     out = scratch_path(spark, "text-shards")
-    K.write_shards(K.shard_tokens_rows(streams, sb, docs), out)
+    K.write_shards(K.shard_rows(docs, streams, sb), out)
     back = spark.read.parquet(out)
-    return back.groupBy("split", "shard_id").agg(
-        F.sum(F.size("tokens")).cast("long").alias("tokens"), F.count(F.lit(1)).cast("long").alias("docs"),
-        F.min("batch").alias("first_batch"), F.max("batch").alias("last_batch"),
-    ).select("split", F.col("shard_id").cast("int").alias("shard_id"),
-             F.format_string("%s_%06d.bin", F.col("split"), F.col("shard_id")).alias("file"),
-             "tokens", "docs", "first_batch", "last_batch")
+    written = back.groupBy("split", F.col("shard_id").cast("int").alias("shard_id")).agg(
+        F.sum(F.size("tokens")).cast("long").alias("tokens"), F.count(F.lit(1)).cast("long").alias("docs"))
+    # Documents trimmed to nothing by the cap are consumed but not written.
+    consumed = shards.select("split", F.col("shard_id").cast("int").alias("shard_id"), "first_batch",
+                             "last_batch", F.col("docs").alias("consumed"))
+    return written.join(F.broadcast(consumed), ["split", "shard_id"]).select(
+        "split", "shard_id", F.format_string("%s_%06d.bin", F.col("split"), F.col("shard_id")).alias("file"),
+        "tokens", "consumed", "docs", "first_batch", "last_batch")
