@@ -125,29 +125,77 @@ def ema_params(n: int, frac: float = 0.03):
     return max(0.05, 2.0 / (span + 1))
 
 
-def ema(merged: DataFrame, tags: list[str], frac: float = 0.03) -> DataFrame:
+EMA_BLOCK = 4096
+
+
+def ema(merged: DataFrame, tags: list[str], frac: float = 0.03, block: int = EMA_BLOCK) -> DataFrame:
     """Exponential moving average per (run, tag) series in step order, seeded
-    with the first value, alpha from the series length (W8). One series is one
-    group; the fold is a short NumPy loop inside its task."""
+    with the first value, alpha from the series length (W8).
+
+    The recurrence ``acc_i = a v_i + (1 - a) acc_{i-1}`` is linear, so it is
+    computed in two levels and no group exceeds ``block`` rows: each block of
+    positions folds locally from a zero seed; a scan over the (small) block
+    table carries each block's incoming value; then
+    ``ema_i = (1 - a)^(i - start + 1) * carry_in + local_i``.
+    """
     import numpy as np
     import pandas as pd
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("step")
+    from .order import ordinal
+
+    s = merged.filter(F.col("tag").isin(tags)).select("run", "tag", "step", "value")
+    n = s.groupBy("run", "tag").agg(F.count(F.lit(1)).alias("n"))
+    span = F.greatest(F.lit(2), F.floor(F.col("n") * frac))
+    n = n.withColumn("alpha", F.greatest(F.lit(0.05), F.lit(2.0) / (span + 1)))
+    s = ordinal(s, "step", out="pos", part_cols=["run", "tag"]).join(n, ["run", "tag"]) \
+        .withColumn("blk", F.floor(F.col("pos") / block))
+
+    local_schema = T.StructType([
+        T.StructField("run", T.StringType()), T.StructField("tag", T.StringType()),
+        T.StructField("blk", T.LongType()), T.StructField("step", T.LongType()),
+        T.StructField("k", T.LongType()), T.StructField("loc", T.DoubleType()),
+        T.StructField("alpha", T.DoubleType()), T.StructField("v", T.DoubleType())])
+
+    def local(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("pos")
+        a = float(pdf["alpha"].iloc[0])
         v = pdf["value"].to_numpy(dtype=np.float64)
-        alpha = ema_params(len(v), frac)
         out = np.empty(len(v))
-        acc = None
+        acc = 0.0
         for i, x in enumerate(v.tolist()):
-            acc = x if acc is None else alpha * x + (1 - alpha) * acc
+            acc = a * x + (1 - a) * acc
             out[i] = acc
+        pos = pdf["pos"].to_numpy()
+        return pd.DataFrame({"run": pdf["run"].to_numpy(), "tag": pdf["tag"].to_numpy(),
+                             "blk": pdf["blk"].to_numpy(), "step": pdf["step"].to_numpy(),
+                             "k": pos - pos.min() + 1, "loc": out, "alpha": a, "v": v})
+
+    rows = s.select("run", "tag", "blk", "step", "pos", "value", "alpha") \
+        .groupBy("run", "tag", "blk").applyInPandas(local, local_schema).checkpoint()
+    blocks = rows.groupBy("run", "tag", "blk").agg(
+        F.max("k").alias("len"), F.max_by("loc", "k").alias("loc_end"), F.min_by("v", "k").alias("v_first"),
+        F.first("alpha").alias("alpha"))
+
+    carry_schema = T.StructType([
+        T.StructField("run", T.StringType()), T.StructField("tag", T.StringType()),
+        T.StructField("blk", T.LongType()), T.StructField("carry", T.DoubleType())])
+
+    def carry(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("blk")
+        a = float(pdf["alpha"].iloc[0])
+        acc = float(pdf["v_first"].iloc[0])   # acc_{-1} = v_0 makes acc_0 = v_0
+        out = []
+        for ln, le in zip(pdf["len"].tolist(), pdf["loc_end"].tolist()):
+            out.append(acc)
+            acc = (1 - a) ** ln * acc + le
         return pd.DataFrame({"run": pdf["run"].to_numpy(), "tag": pdf["tag"].to_numpy(),
-                             "step": pdf["step"].to_numpy(), "ema": out})
+                             "blk": pdf["blk"].to_numpy(), "carry": out})
 
-    schema = T.StructType([T.StructField("run", T.StringType()), T.StructField("tag", T.StringType()),
-                           T.StructField("step", T.LongType()), T.StructField("ema", T.DoubleType())])
-    return merged.filter(F.col("tag").isin(tags)).select("run", "tag", "step", "value") \
-        .groupBy("run", "tag").applyInPandas(fold, schema)
+    # One row per block: at most (series length / block) rows per group.
+    carries = blocks.groupBy("run", "tag").applyInPandas(carry, carry_schema)
+    j = rows.join(carries, ["run", "tag", "blk"])
+    return j.select("run", "tag", "step",
+                    (F.pow(1 - F.col("alpha"), F.col("k")) * F.col("carry") + F.col("loc")).alias("ema"))
 
 
 def step_times(merged: DataFrame, tag: str) -> DataFrame:

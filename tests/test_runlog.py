@@ -61,3 +61,16 @@ def test_ema_matches_loop(spark):
         acc = v if acc is None else a * v + (1 - a) * acc
         exp.append(acc)
     assert all(math.isclose(x, y) for x, y in zip(got, exp))
+
+
+def test_ema_blocks_match_loop(spark):
+    import datetime as dt
+    vals = [float((i * 37) % 11) - 3.5 for i in range(150)]
+    rows = [("r", "p", i, "g", 2 * i, v, dt.datetime(2024, 1, 1)) for i, v in enumerate(vals)]
+    got = [r.ema for r in R.ema(R.merge_scalars(_scalars(spark, rows)), ["g"], block=7).orderBy("step").collect()]
+    a = max(0.05, 2.0 / (max(2, int(len(vals) * 0.03)) + 1))
+    acc, exp = None, []
+    for v in vals:
+        acc = v if acc is None else a * v + (1 - a) * acc
+        exp.append(acc)
+    assert len(got) == len(exp) and all(math.isclose(x, y, abs_tol=1e-9) for x, y in zip(got, exp))
