@@ -63,12 +63,22 @@ def write_loss_csv(table: DataFrame, path: str) -> None:
     table.write.mode("overwrite").partitionBy("run").option("header", True).csv(path)
 
 
-def best_so_far(merged: DataFrame, val_tag: str) -> DataFrame:
-    """Running best and the improvement flag; step 0 is never saved."""
-    s = series(merged, val_tag)
-    w = Window.partitionBy("run").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
-    prev = F.min("value").over(w)
-    s = s.withColumn("prev_best", prev)
+STEP_BLOCK = 4096
+
+
+def best_so_far(merged: DataFrame, val_tag: str, block: int = STEP_BLOCK) -> DataFrame:
+    """Running best and the improvement flag; step 0 is never saved.
+
+    Two-level running min: within blocks of ``block`` steps (a merged series
+    has one row per step, so a block holds at most ``block`` rows), plus the
+    min of all earlier blocks from the block table."""
+    s = series(merged, val_tag).withColumn("blk", F.floor(F.col("step") / block))
+    w = Window.partitionBy("run", "blk").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    s = s.withColumn("in_prev", F.min("value").over(w))
+    bm = s.groupBy("run", "blk").agg(F.min("value").alias("bmin"))
+    wb = Window.partitionBy("run").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
+    bm = bm.select("run", "blk", F.min("bmin").over(wb).alias("blk_prev"))
+    s = s.join(bm, ["run", "blk"]).withColumn("prev_best", F.least("in_prev", "blk_prev"))
     improved = F.col("prev_best").isNull() | (F.col("value") < F.col("prev_best"))
     return s.select("run", "step", "value",
                     F.least("value", F.coalesce("prev_best", "value")).alias("best"),
@@ -198,12 +208,18 @@ def ema(merged: DataFrame, tags: list[str], frac: float = 0.03, block: int = EMA
                     (F.pow(1 - F.col("alpha"), F.col("k")) * F.col("carry") + F.col("loc")).alias("ema"))
 
 
-def step_times(merged: DataFrame, tag: str) -> DataFrame:
-    """Seconds between consecutive logged steps' clocks."""
-    s = series(merged, tag)
-    w = Window.partitionBy("run").orderBy("step")
-    dt = (F.unix_micros("wall_time") - F.lag(F.unix_micros("wall_time")).over(w)) / 1e6
-    return s.select("run", "step", dt.alias("dt_seconds"))
+def step_times(merged: DataFrame, tag: str, block: int = STEP_BLOCK) -> DataFrame:
+    """Seconds between consecutive logged steps' clocks (W10). The previous
+    clock comes from the same block of steps, or for a block's first step from
+    the last clock of the previous non-empty block (block table)."""
+    s = series(merged, tag).withColumn("blk", F.floor(F.col("step") / block)) \
+        .withColumn("us", F.unix_micros("wall_time"))
+    w = Window.partitionBy("run", "blk").orderBy("step")
+    s = s.withColumn("prev_in", F.lag("us").over(w))
+    last = s.groupBy("run", "blk").agg(F.max_by("us", "step").alias("last_us"))
+    last = last.select("run", "blk", F.lag("last_us").over(Window.partitionBy("run").orderBy("blk")).alias("prev_blk"))
+    s = s.join(last, ["run", "blk"])
+    return s.select("run", "step", ((F.col("us") - F.coalesce("prev_in", "prev_blk")) / 1e6).alias("dt_seconds"))
 
 
 def config_text(scalars: DataFrame) -> DataFrame:

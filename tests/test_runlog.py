@@ -74,3 +74,21 @@ def test_ema_blocks_match_loop(spark):
         acc = v if acc is None else a * v + (1 - a) * acc
         exp.append(acc)
     assert len(got) == len(exp) and all(math.isclose(x, y, abs_tol=1e-9) for x, y in zip(got, exp))
+
+
+def test_running_min_and_step_times_across_blocks(spark):
+    import datetime as dt
+    vals = [5.0, 4.0, 4.5, 3.0, 3.5, 2.0, 2.5, 1.0, 6.0]
+    steps = [0, 3, 4, 9, 10, 11, 20, 21, 40]
+    rows = [("r", "p", i, "v", st, v, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=st * st))
+            for i, (st, v) in enumerate(zip(steps, vals))]
+    m = R.merge_scalars(_scalars(spark, rows))
+    got = [(r.step, r.best, r.improved, r.saved) for r in R.best_so_far(m, "v", block=4).orderBy("step").collect()]
+    best, exp = None, []
+    for st, v in zip(steps, vals):
+        imp = best is None or v < best
+        best = v if best is None else min(best, v)
+        exp.append((st, best, imp, imp and st > 0))
+    assert got == exp
+    dts = [r.dt_seconds for r in R.step_times(m, "v", block=4).orderBy("step").collect()]
+    assert dts == [None] + [float(b * b - a * a) for a, b in zip(steps, steps[1:])]
