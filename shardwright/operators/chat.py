@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.tokens import ids_digest, utf8_ids
 from ..schemas import IM_END, IM_START, ChatSpec
+from ..session import broadcast_checked
 from .order import ordinal, reset_segments
 
 NEWLINE = 10
@@ -153,7 +154,7 @@ def shard_conversations(split_outcomes: DataFrame, shard_tokens: int) -> DataFra
     seg = reset_segments(kept, "kord", "n_tokens", shard_tokens, part_cols=["split"], out="shard_id")
     base = seg.groupBy("split", "shard_id").agg(
         F.min(F.col("__end") - F.col("n_tokens")).alias("__sb"))
-    seg = seg.join(F.broadcast(base), ["split", "shard_id"])
+    seg = seg.join(broadcast_checked(base), ["split", "shard_id"])
     # Conversation-level and narrow; every later step reads it: checkpoint.
     return seg.select("split", "conv_id", "kord", "shard_id", "n_tokens", "n_supervised",
                       (F.col("__end") - F.col("n_tokens") - F.col("__sb")).alias("shard_start")).checkpoint()

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.tokens import doc_ids
 from ..schemas import BYTE_VOCAB_SIZE, EOT, EOT_STR, CorpusSpec, id_dtype
+from ..session import broadcast_checked
 from .order import ordinal, prefix_sum, reset_segments
 
 _LIT = len(EOT_STR.encode())
@@ -177,7 +178,8 @@ def shard_rows(docs: DataFrame, streams: DataFrame, sharded_batches: DataFrame,
     else:
         d = Bucketizer(splits=splits, inputCol="__k", outputCol="bkt", handleInvalid="skip").transform(d) \
             .withColumn("bkt", F.col("bkt").cast("int"))
-    d = d.join(F.broadcast(labels), "bkt").join(F.broadcast(trims), "doc_id", "left")
+    # labels: one row per shard (size-checked); trims: at most one batch per split.
+    d = d.join(broadcast_checked(labels), "bkt").join(F.broadcast(trims), "doc_id", "left")
     n_tok = doc_token_count()
     d = d.withColumn("n_kept", F.coalesce("trim", n_tok)).filter(F.col("n_kept") > 0)
     return d.select("split", "shard_id", "doc_id", "n_kept",

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import IGNORE_INDEX
+from ..session import broadcast_checked
 
 TWO52 = float(2 ** 52)
 
@@ -58,7 +59,7 @@ def pick_shards(d: DataFrame, weights: DataFrame, split: str, seed: int, bucket:
     total = w.agg(F.max("total")).scalar()
     t = F.floor(uniform(seed, "step", "micro") * total)
     dd = d.withColumn("t", t).withColumn("bk", F.floor(F.col("t") / bucket))
-    j = dd.join(F.broadcast(wb), "bk").filter((F.col("t") >= F.col("lo")) & (F.col("t") < F.col("lo") + F.col("tokens")))
+    j = dd.join(broadcast_checked(wb), "bk").filter((F.col("t") >= F.col("lo")) & (F.col("t") < F.col("lo") + F.col("tokens")))
     return j.select("step", "micro", "row", "split", "shard_id", F.col("tokens").alias("shard_tokens"))
 
 
@@ -85,7 +86,7 @@ def valid_chat_starts(convs: DataFrame, shards: DataFrame, block: int) -> DataFr
 
 def chat_starts(picked: DataFrame, valid: DataFrame, counts: DataFrame, seed: int) -> DataFrame:
     """Start = the ``floor(u * n_valid)``-th valid start of the shard."""
-    p = picked.join(F.broadcast(counts.select("split", "shard_id", "n_valid")), ["split", "shard_id"])
+    p = picked.join(broadcast_checked(counts.select("split", "shard_id", "n_valid")), ["split", "shard_id"])
     p = p.withColumn("idx", F.floor(uniform(seed, "step", "micro", "row") * F.col("n_valid")).cast("long"))
     return p.join(valid, ["split", "shard_id", "idx"]).withColumnRenamed("shard_start", "start")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.tokens import doc_ids, ids_digest
 from ..operators import corpus as K
 from ..schemas import EOT, CorpusSpec
-from ..session import scratch_path
+from ..session import broadcast_checked, scratch_path
 from .registry import query, table
 from .sqlfrag import bytes_of, digest
 
@@ -193,6 +193,6 @@ def text_shard_files(spark, sf):
     # Documents trimmed to nothing by the cap are consumed but not written.
     consumed = shards.select("split", F.col("shard_id").cast("int").alias("shard_id"), "first_batch",
                              "last_batch", F.col("docs").alias("consumed"))
-    return written.join(F.broadcast(consumed), ["split", "shard_id"]).select(
+    return written.join(broadcast_checked(consumed), ["split", "shard_id"]).select(
         "split", "shard_id", F.format_string("%s_%06d.bin", F.col("split"), F.col("shard_id")).alias("file"),
         "tokens", "consumed", "docs", "first_batch", "last_batch")

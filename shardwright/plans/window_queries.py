@@ -15,6 +15,7 @@ from . import chat_queries as CQ
 from . import text_queries as TQ
 from .registry import query, table
 from .sqlfrag import bytes_of
+from ..session import broadcast_checked
 
 # Test-scale parameters (survey 7.4): T = 256; 20 steps x 2 micro-batches x 8 rows.
 T = 256
@@ -158,7 +159,7 @@ def window_gather(spark, sf):
     starts, (docs, streams, sb, shards) = _text_starts(spark, sf)
     rows = K.shard_tokens_rows(streams.filter("split = 'train'"), sb, docs)
     base = rows.groupBy("split", "shard_id").agg(F.min("tok_start").alias("__b"))
-    rows = rows.join(F.broadcast(base), ["split", "shard_id"]) \
+    rows = rows.join(broadcast_checked(base), ["split", "shard_id"]) \
         .withColumn("pos", F.col("tok_start") - F.col("__b"))
     chunks = W.chunk_stream(rows, "pos", "n_kept", ["tokens"], T)
     win = W.text_windows(W.gather(starts, chunks, ["tokens"], T), T)

@@ -115,3 +115,15 @@ def spread(df):
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+# Row limit for tables broadcast after a size check (shard tables and other
+# per-shard / per-series tables whose size grows with data / shard size).
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_checked(df, max_rows: int = BROADCAST_ROWS):
+    """Broadcast ``df`` only if a row count proves it small; otherwise leave
+    the join strategy to the planner (shuffle join)."""
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if df.count() <= max_rows else df
