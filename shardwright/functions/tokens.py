@@ -77,6 +77,25 @@ def _doc_list(s: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(new_offs.astype(np.int32)), pa.array(vals))
 
 
+def _doc_packed(s: pa.Array, width: int) -> pa.Array:
+    """Document ids as little-endian unsigned ``width``-byte integers, one
+    binary value per document (the on-disk shard layout)."""
+    lists = _doc_list(s)
+    offs = lists.offsets.to_numpy().astype(np.int64) * width
+    dt = "<u2" if width == 2 else "<u4"
+    vals = lists.values.to_numpy().astype(dt)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists),
+                                            [None, pa.py_buffer(offs), pa.py_buffer(vals.tobytes())])
+
+
+def _doc_u16_batch(s: pa.Array) -> pa.Array:
+    return _doc_packed(s, 2)
+
+
+def _doc_u32_batch(s: pa.Array) -> pa.Array:
+    return _doc_packed(s, 4)
+
+
 def _utf8_batch(s: pa.Array) -> pa.Array:
     return _utf8_list(s)
 
@@ -88,14 +107,20 @@ def _doc_batch(s: pa.Array) -> pa.Array:
 _UDFS: dict = {}
 
 
-def _udf(name, fn):
+def _udf(name, fn, rtype="array<int>"):
     # Built on first use: the Python workers import this module without a
     # SparkContext, so nothing here may touch Spark at import time.
     if name not in _UDFS:
-        _UDFS[name] = arrow_udf(fn, "array<int>")
+        _UDFS[name] = arrow_udf(fn, rtype)
     return _UDFS[name]
 
 
+def doc_ids_packed(col, dtype: str = "uint16") -> Column:
+    """:func:`doc_ids` as little-endian ``uint16``/``uint32`` bytes (BINARY)."""
+    fn = _doc_u16_batch if dtype == "uint16" else _doc_u32_batch
+    return _udf("packed-" + dtype, fn, "binary")(F.col(col) if isinstance(col, str) else col)
+
+
 def utf8_ids(col) -> Column:
     """UTF-8 byte ids of a string; every special string stays ordinary text."""
     return _udf("utf8", _utf8_batch)(F.col(col) if isinstance(col, str) else col)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tokens import doc_ids
+from ..functions.tokens import doc_ids, doc_ids_packed
 from ..schemas import BYTE_VOCAB_SIZE, EOT, EOT_STR, CorpusSpec, id_dtype
 from ..session import broadcast_checked
 from .order import ordinal, prefix_sum, reset_segments
@@ -153,7 +153,7 @@ def shard_tokens_rows(streams: DataFrame, sharded_batches: DataFrame, docs: Data
 
 
 def shard_rows(docs: DataFrame, streams: DataFrame, sharded_batches: DataFrame,
-               max_shards: int = 1 << 22) -> DataFrame:
+               max_shards: int = 1 << 22, n_vocab: int = BYTE_VOCAB_SIZE) -> DataFrame:
     """Token rows for the shard sink without joining documents to the
     per-document stream table: every shard is a contiguous doc_id range, so a
     binary search over the shard boundaries (``Bucketizer``) labels each
@@ -182,8 +182,13 @@ def shard_rows(docs: DataFrame, streams: DataFrame, sharded_batches: DataFrame,
     d = d.join(broadcast_checked(labels), "bkt").join(F.broadcast(trims), "doc_id", "left")
     n_tok = doc_token_count()
     d = d.withColumn("n_kept", F.coalesce("trim", n_tok)).filter(F.col("n_kept") > 0)
+    # Shard layout: ids as little-endian uint16 (uint32 past 65,535 ids), so a
+    # shard's rows concatenated in doc_id order are exactly its .bin file.
+    dtype = id_dtype(n_vocab)
+    width = 2 if dtype == "uint16" else 4
     return d.select("split", "shard_id", "doc_id", "n_kept",
-                    F.slice(doc_ids("text"), 1, F.col("n_kept").cast("int")).alias("tokens"))
+                    F.substring(doc_ids_packed("text", dtype), 1, (F.col("n_kept") * width).cast("int"))
+                    .alias("tokens"))
 
 
 def write_shards(rows: DataFrame, out_dir: str, order_col: str = "doc_id") -> None:

@@ -189,7 +189,8 @@ def text_shard_files(spark, sf):
     K.write_shards(K.shard_rows(docs, streams, sb), out)
     back = spark.read.parquet(out)
     written = back.groupBy("split", F.col("shard_id").cast("int").alias("shard_id")).agg(
-        F.sum(F.size("tokens")).cast("long").alias("tokens"), F.count(F.lit(1)).cast("long").alias("docs"))
+        (F.sum(F.octet_length("tokens")) / 2).cast("long").alias("tokens"),
+        F.count(F.lit(1)).cast("long").alias("docs"))
     # Documents trimmed to nothing by the cap are consumed but not written.
     consumed = shards.select("split", F.col("shard_id").cast("int").alias("shard_id"), "first_batch",
                              "last_batch", F.col("docs").alias("consumed"))

@@ -27,3 +27,12 @@ def test_fixture_token_total(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     total = d.select(F.sum(F.size(doc_ids("text")))).first()[0]
     assert total == 2_473_458  # UTF-8 bytes plus one EOT per document
+
+
+def test_packed_ids_are_little_endian_uint16(spark):
+    import numpy as np
+    from shardwright.functions.tokens import doc_ids_packed
+    df = spark.createDataFrame([("aé",), ("",), ("x<|endoftext|>",)], "text string")
+    rows = df.select(doc_ids("text").alias("a"), doc_ids_packed("text").alias("b")).collect()
+    for r in rows:
+        assert np.frombuffer(bytes(r.b), dtype="<u2").tolist() == r.a
