@@ -108,14 +108,57 @@ def eval_means(scalars: DataFrame, split_tags: dict, log_every: int) -> DataFram
         .withColumn("logged", F.col("step") % log_every == 0)
 
 
-def upper_median(values: DataFrame, group_cols: list[str], value_col: str = "value") -> DataFrame:
+MEDIAN_ACCURACY = 100_000
+
+
+def upper_median(values: DataFrame, group_cols: list[str], value_col: str = "value",
+                 accuracy: int = MEDIAN_ACCURACY, small_group: int = 1_000_000) -> DataFrame:
     """values[n // 2] of each group's sorted values (A14): the upper median,
-    not an interpolated percentile. Sort-based (spills), no collected lists."""
-    w = Window.partitionBy(*group_cols).orderBy(value_col)
-    r = values.select(*group_cols, value_col, F.row_number().over(w).alias("__rn"),
+    exact, not an interpolated percentile.
+
+    No group is sorted whole: ``percentile_approx`` brackets the target rank
+    within a few n/accuracy ranks; ``count_if(v < lo)`` is aggregated map-side;
+    only the distinct values inside the bracket are ranked (about
+    8n/accuracy per group). Groups whose bracket misses the rank (not expected
+    from the approximation bound) fall back to an exact sort of that group.
+    When the largest group holds at most ``small_group`` values (checked from
+    the same statistics pass), each group is simply sorted.
+    """
+    from ..session import broadcast_checked
+
+    # Read three times below: materialise the narrow input once.
+    values = values.select(*group_cols, value_col).checkpoint()
+    v = F.col(value_col)
+    d = 4.0 / accuracy
+    stats = values.groupBy(*group_cols).agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.percentile_approx(v, [max(0.0, 0.5 - d), min(1.0, 0.5 + d)], accuracy).alias("__q"))
+    stats = stats.select(*group_cols, "__n", F.col("__q")[0].alias("__lo"), F.col("__q")[1].alias("__hi"),
+                         F.floor(F.col("__n") / 2).alias("__k")).checkpoint()
+    largest = stats.agg(F.max("__n")).first()[0] or 0
+    if largest <= small_group:
+        # Checked small: every group sorts within one task's memory budget.
+        return _median_by_sort(values, group_cols, value_col)
+    x = values.select(*group_cols, v.alias("__v")).join(broadcast_checked(stats), group_cols)
+    below = x.groupBy(*group_cols).agg(F.count_if(F.col("__v") < F.col("__lo")).alias("__below"))
+    inr = x.filter((F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi"))) \
+        .groupBy(*group_cols, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    w = Window.partitionBy(*group_cols).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    inr = inr.withColumn("__cum", F.sum("__c").over(w)).join(below, group_cols).join(stats.select(*group_cols, "__k"), group_cols)
+    hit = inr.filter((F.col("__below") + F.col("__cum") > F.col("__k"))
+                     & (F.col("__below") + F.col("__cum") - F.col("__c") <= F.col("__k")))
+    found = hit.select(*group_cols, F.col("__v").alias("median"))
+    missing = stats.select(*group_cols).join(found, group_cols, "left_anti")
+    # Fallback (bracket missed): exact sort, only for the groups that missed.
+    rest = values.join(missing, group_cols, "left_semi")
+    return found.unionByName(_median_by_sort(rest, group_cols, value_col))
+
+
+def _median_by_sort(values: DataFrame, group_cols: list[str], value_col: str) -> DataFrame:
+    wf = Window.partitionBy(*group_cols).orderBy(value_col)
+    r = values.select(*group_cols, F.col(value_col).alias("median"), F.row_number().over(wf).alias("__rn"),
                       F.count(F.lit(1)).over(Window.partitionBy(*group_cols)).alias("__n"))
-    return r.filter(F.col("__rn") == F.floor(F.col("__n") / 2) + 1) \
-        .select(*group_cols, F.col(value_col).alias("median"))
+    return r.filter(F.col("__rn") == F.floor(F.col("__n") / 2) + 1).select(*group_cols, "median")
 
 
 def steady_medians(merged: DataFrame, tags: list[str], val_tag: str) -> DataFrame:

@@ -92,3 +92,20 @@ def test_running_min_and_step_times_across_blocks(spark):
     assert got == exp
     dts = [r.dt_seconds for r in R.step_times(m, "v", block=4).orderBy("step").collect()]
     assert dts == [None] + [float(b * b - a * a) for a, b in zip(steps, steps[1:])]
+
+
+def test_upper_median_exact_with_ties_and_small_accuracy(spark):
+    import random
+    rnd = random.Random(3)
+    rows = []
+    for g, n in (("a", 1), ("b", 2), ("c", 101), ("d", 400)):
+        for _ in range(n):
+            rows.append((g, float(rnd.choice([1, 2, 2, 3, 5, 8, 8, 8, 13]) + (rnd.random() if g == "d" else 0))))
+    df = spark.createDataFrame(rows, "g string, value double")
+    for acc in (10, 100_000):   # a coarse accuracy forces the fallback path too
+        got = {r.g: r.median for r in R.upper_median(df, ["g"], accuracy=acc, small_group=0).collect()}
+        for g in "abcd":
+            vals = sorted(v for k, v in rows if k == g)
+            assert got[g] == vals[len(vals) // 2]
+    small = {r.g: r.median for r in R.upper_median(df, ["g"]).collect()}
+    assert small == got
