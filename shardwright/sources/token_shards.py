@@ -4,8 +4,8 @@ A chat shard is three flat little-endian files with no header:
 ``{split}_{i:06d}.bin`` (uint16 ids), ``.mask.bin`` (uint8) and ``.idx.bin``
 (uint64 start of each conversation in the shard). Export runs one shard per
 task group after ``repartition(split, shard_id)``; each file is written under a
-temporary name and renamed, so a retried task simply rewrites it. The files
-must go to a filesystem every executor mounts.
+temporary name and renamed, so a retried task simply rewrites it. Paths go
+through ``pyarrow.fs``, so local folders, HDFS and object-store URIs all work.
 """
 
 from __future__ import annotations
@@ -18,10 +18,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
+def _fs(path: str):
+    """(filesystem, path inside it) for a local path or a URI."""
+    from pyarrow import fs as pafs
+    if path.startswith("file:"):
+        path = "/" + path[len("file:"):].lstrip("/")
+    if "://" not in path:
+        return pafs.LocalFileSystem(), os.path.abspath(path)
+    return pafs.FileSystem.from_uri(path)
+
+
 def _atomic_write(path: str, arr: np.ndarray) -> None:
-    tmp = f"{path}.tmp-{os.getpid()}"
-    arr.tofile(tmp)
-    os.replace(tmp, path)
+    fs, p = _fs(path)
+    tmp = f"{p}.tmp-{os.getpid()}"
+    with fs.open_output_stream(tmp) as f:
+        f.write(arr.tobytes())
+    fs.move(tmp, p)
+
+
+def _read(path: str, dtype) -> np.ndarray:
+    fs, p = _fs(path)
+    with fs.open_input_file(p) as f:
+        return np.frombuffer(f.read(), dtype=dtype)
 
 
 def export_chat_shards(convs: DataFrame, out_dir: str, dtype: str = "uint16") -> DataFrame:
@@ -29,7 +47,8 @@ def export_chat_shards(convs: DataFrame, out_dir: str, dtype: str = "uint16") ->
 
     ``convs``: (split, shard_id, kord, shard_start, tokens, mask). Returns the
     written files with token and example counts."""
-    os.makedirs(out_dir, exist_ok=True)
+    fs, root = _fs(out_dir)
+    fs.create_dir(root, recursive=True)
     rows = convs.select("split", "shard_id", "kord", "shard_start", "tokens", "mask") \
         .repartition("split", "shard_id").sortWithinPartitions("split", "shard_id", "kord")
 
@@ -38,7 +57,7 @@ def export_chat_shards(convs: DataFrame, out_dir: str, dtype: str = "uint16") ->
 
         def flush():
             split, shard = cur
-            stem = os.path.join(out_dir, f"{split}_{shard:06d}")
+            stem = f"{out_dir.rstrip('/')}/{split}_{shard:06d}"
             t = np.concatenate(toks).astype(dtype) if toks else np.zeros(0, dtype)
             m = np.concatenate(masks).astype(np.uint8) if masks else np.zeros(0, np.uint8)
             _atomic_write(stem + ".bin", t.astype("<" + np.dtype(dtype).str[1:]))
@@ -81,17 +100,20 @@ class TokenShardReader(DataSourceReader):
         self.path, self.dtype = path, dtype
 
     def partitions(self):
-        stems = sorted(f[:-len(".idx.bin")] for f in os.listdir(self.path) if f.endswith(".idx.bin"))
+        from pyarrow import fs as pafs
+        fs, root = _fs(self.path)
+        infos = fs.get_file_info(pafs.FileSelector(root))
+        names = sorted(i.base_name[:-len(".idx.bin")] for i in infos if i.base_name.endswith(".idx.bin"))
         parts = []
-        for st in stems:
+        for st in names:
             split, num = st.rsplit("_", 1)
-            parts.append(_ShardPartition(os.path.join(self.path, st), split, int(num)))
+            parts.append(_ShardPartition(f"{self.path.rstrip('/')}/{st}", split, int(num)))
         return parts
 
     def read(self, partition):
-        toks = np.fromfile(partition.stem + ".bin", dtype=np.dtype(self.dtype).newbyteorder("<"))
-        mask = np.fromfile(partition.stem + ".mask.bin", dtype=np.uint8)
-        idx = np.fromfile(partition.stem + ".idx.bin", dtype="<u8").astype(np.int64)
+        toks = _read(partition.stem + ".bin", np.dtype(self.dtype).newbyteorder("<"))
+        mask = _read(partition.stem + ".mask.bin", np.uint8)
+        idx = _read(partition.stem + ".idx.bin", "<u8").astype(np.int64)
         ends = np.append(idx[1:], len(toks))
         for i, (a, b) in enumerate(zip(idx.tolist(), ends.tolist())):
             yield (partition.split, partition.shard, i, a, toks[a:b].astype(np.int32).tolist(),
