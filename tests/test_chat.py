@@ -56,3 +56,14 @@ def test_fit_equals_prefix_loop(spark):
         if kept:
             exp[cid] = sum(n for n, _ in kept)
     assert got == exp
+
+
+def test_chat_windows_open_on_im_start_and_arrays_align(spark):
+    from shardwright.plans import window_queries as WQ
+    w = WQ._chat_windows(spark, "/root/testdata/sf0.01").collect()
+    assert len(w) == WQ.N_DRAWS
+    assert all(r.x[0] == IM_START and len(r.x) == len(r.y) == WQ.T for r in w)
+    convs, _, _ = WQ._chat_job(spark, "/root/testdata/sf0.01")
+    bad = convs.filter((F.size("tokens") != F.size("mask")) | (F.size("tokens") != F.col("n_tokens"))
+                       | (F.col("tokens")[0] != IM_START)).count()
+    assert bad == 0
