@@ -173,10 +173,6 @@ def steady_medians(merged: DataFrame, tags: list[str], val_tag: str) -> DataFram
         "run", "tag", F.coalesce("median", F.lit(0.0)).alias("median"))
 
 
-def ema_params(n: int, frac: float = 0.03):
-    span = max(2, int(n * frac))
-    return max(0.05, 2.0 / (span + 1))
-
 
 EMA_BLOCK = 4096
 
@@ -344,17 +340,6 @@ def utilisation(merged: DataFrame, configs: DataFrame, peaks: DataFrame, ms_tag:
          > UTILISATION_TOLERANCE).alias("flagged"))
 
 
-def budget(train_tokens, cfg_block: int, batch: int, accum: int, max_iters: int | None = None,
-           epochs: float | None = None):
-    """Tokens per iteration, total tokens and epochs; a chat budget derives
-    max_iters = max(1, int(epochs * train_tokens / tokens_per_iter)) (A6)."""
-    per_iter = accum * batch * cfg_block
-    if max_iters is None:
-        iters = F.greatest(F.lit(1), F.floor(F.lit(epochs) * train_tokens / per_iter)).cast("long")
-    else:
-        iters = F.lit(max_iters).cast("long")
-    return per_iter, iters
-
 
 def model_config_rows(configs: dict[str, ModelConfig | None], tokens_per_iter: dict[str, int]):
     rows = []

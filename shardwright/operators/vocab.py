@@ -33,9 +33,6 @@ def bpe_vocab(spark, ranks: dict, vocab_id: str) -> DataFrame:
     return spark.createDataFrame(rows, "id int, bytes binary, kind string").withColumn("vocab_id", F.lit(vocab_id))
 
 
-def vocab_size_info(n_vocab: int):
-    return {"n_vocab": n_vocab, "padded_vocab": padded_vocab(n_vocab)}
-
 
 def hex_map(vocab: DataFrame, max_rows: int = 1 << 18):
     """id -> hex(bytes) as a map literal. The vocabulary is bounded by its

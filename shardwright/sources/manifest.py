@@ -45,7 +45,3 @@ def read_manifest(spark: SparkSession, path: str, require_chat: bool = False) ->
         ok = F.assert_true(F.coalesce(F.col("chat"), F.lit(False)), F.lit("manifest was not built by the chat job"))
         m = m.withColumn("chat", F.when(ok.isNull(), F.col("chat")))
     return m
-
-
-def default_eot(manifest: DataFrame) -> F.Column:
-    return F.coalesce(F.col("eot_token"), F.lit(EOT))
