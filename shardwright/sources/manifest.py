@@ -45,3 +45,16 @@ def read_manifest(spark: SparkSession, path: str, require_chat: bool = False) ->
         ok = F.assert_true(F.coalesce(F.col("chat"), F.lit(False)), F.lit("manifest was not built by the chat job"))
         m = m.withColumn("chat", F.when(ok.isNull(), F.col("chat")))
     return m
+
+
+def warn_if_longer_than_block(manifest: DataFrame, block_size: int) -> bool:
+    """Warn (do not fail) when the chat corpus allows conversations
+    longer than the model's block size; they will be cut by the window.
+    Reads the one-row manifest."""
+    import warnings
+    row = manifest.select("max_len").first()
+    if row is not None and row["max_len"] is not None and row["max_len"] > block_size:
+        warnings.warn(f"corpus allows {row['max_len']}-token conversations but block_size is "
+                      f"{block_size}; long ones will be cut by the window", stacklevel=2)
+        return True
+    return False

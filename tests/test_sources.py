@@ -38,3 +38,11 @@ def test_progress_observation(spark):
     obs_df, obs = L.with_progress(df)
     obs_df.write.format("noop").mode("overwrite").save()
     assert obs.get == {"docs": 2, "tokens": 15}
+
+
+def test_block_size_warning(spark):
+    import pytest
+    man = spark.createDataFrame([(2048,)], "max_len long")
+    with pytest.warns(UserWarning):
+        assert M.warn_if_longer_than_block(man, 1024)
+    assert not M.warn_if_longer_than_block(man, 4096)
