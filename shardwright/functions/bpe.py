@@ -1,9 +1,11 @@
-"""Byte-pair encoding over a rank table, run on distinct pre-tokens.
+"""Byte-pair encoding over a rank table.
 
-Documents are split into pre-tokens in the JVM (``regexp_extract_all`` with the
-published GPT-2 split pattern). Each *distinct* pre-token is merged once in an
-Arrow batch (``mapInArrow``), and the ids are joined back, so merge work scales
-with the vocabulary of the corpus, not with its length.
+``bpe_encode`` (default) encodes each Arrow batch of documents where it is
+read, with a per-task cache of merged pre-tokens: no shuffle, no group.
+``bpe_encode_distinct`` splits pre-tokens in the JVM (``regexp_extract_all``
+with the published GPT-2 split pattern), merges each *distinct* pre-token once
+and joins the ids back; it trades a shuffle of every pre-token for merge work
+proportional to the corpus vocabulary.
 
 Merge rule: a pre-token that is itself in the rank table is one id; otherwise
 start from its bytes and repeatedly merge the adjacent pair whose concatenation
@@ -76,9 +78,50 @@ def pretokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
                        .alias("pos", "piece"))
 
 
-def bpe_encode(docs: DataFrame, ranks: dict, eot_id: int, append_eot: bool = True) -> DataFrame:
-    """(doc_id, text) -> (doc_id, ids) with the rank table ``ranks`` (bytes ->
-    id); the table is bounded by the vocabulary size and broadcast once."""
+def bpe_encode(docs: DataFrame, ranks: dict, eot_id: int, append_eot: bool = True,
+               cache_size: int = 500_000) -> DataFrame:
+    """(doc_id, text) -> (doc_id, ids), one Arrow batch of documents at a time.
+
+    Pre-tokens follow a heavy-tailed distribution, so a per-task cache of
+    merged pre-tokens absorbs nearly all merge work; no shuffle and no group
+    are needed (each document is encoded where it is read). The rank table is
+    bounded by the vocabulary size and broadcast once."""
+    import regex
+
+    bc = docs.sparkSession.sparkContext.broadcast(ranks)
+    pattern = GPT2_SPLIT
+
+    def run(batches):
+        table = bc.value
+        pat = regex.compile(pattern)
+        cache: dict = {}
+        for b in batches:
+            ids_out = []
+            for text in b.column(1).to_pylist():
+                out = []
+                for j, part in enumerate((text or "").split(EOT_STR)):
+                    if j:
+                        out.append(eot_id)
+                    for piece in pat.findall(part):
+                        got = cache.get(piece)
+                        if got is None:
+                            got = merge(piece.encode("utf-8"), table)
+                            if len(cache) < cache_size:
+                                cache[piece] = got
+                        out.extend(got)
+                if append_eot:
+                    out.append(eot_id)
+                ids_out.append(out)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids_out, type=pa.list_(pa.int32()))],
+                                             names=["doc_id", "ids"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
+
+
+def bpe_encode_distinct(docs: DataFrame, ranks: dict, eot_id: int, append_eot: bool = True) -> DataFrame:
+    """Variant: pre-tokens split in the JVM, each *distinct* pre-token merged
+    once, ids joined back and reassembled per document (one shuffle of the
+    pre-tokens, one group per document)."""
     spark = docs.sparkSession
     bc = spark.sparkContext.broadcast(ranks)
     p = pretokens(docs).persist()

@@ -36,9 +36,13 @@ def test_bpe_matches_tiktoken(spark):
     eot = max(ranks.values()) + 1
     enc = tiktoken.Encoding(name="fixture", pat_str=BPE.GPT2_SPLIT, mergeable_ranks=ranks,
                             special_tokens={EOT_STR: eot})
-    got = {r.doc_id: r.ids for r in BPE.bpe_encode(docs, ranks, eot).collect()}
-    for doc_id, text in texts.items():
-        assert got[doc_id] == enc.encode(text, allowed_special={EOT_STR}) + [eot]
+    for fn in (BPE.bpe_encode, BPE.bpe_encode_distinct):
+        got = {r.doc_id: r.ids for r in fn(docs, ranks, eot).collect()}
+        for doc_id, text in texts.items():
+            assert got[doc_id] == enc.encode(text, allowed_special={EOT_STR}) + [eot]
+    special = spark.createDataFrame([(1, "a<|endoftext|>b"), (2, "")], "doc_id long, text string")
+    got = {r.doc_id: r.ids for r in BPE.bpe_encode(special, ranks, eot).collect()}
+    assert got == {1: enc.encode("a<|endoftext|>b", allowed_special={EOT_STR}) + [eot], 2: [eot]}
 
 
 def test_generation_cleanup_edges(spark):
