@@ -41,3 +41,12 @@ def test_tokenize_chat_and_eval_and_runs_jobs(spark):
     sc = R.scalars_from_events(spark.read.parquet(f"{SF}/events.parquet"))
     t = jobs.summarize_runs(spark, sc, scratch_path(spark, "job-runs"), "view", "click")
     assert t.count() > 0
+
+
+def test_cli_tokenize_corpus(spark):
+    out = scratch_path(spark, "cli-text")
+    jobs._main(["tokenize-corpus", "--docs", f"{SF}/documents.parquet", "--out", out,
+                "--val-tokens", "20000", "--batch-docs", "32", "--shard-tokens", "100000"])
+    man = M.read_manifest(spark, f"{out}/manifest").first()
+    assert man.splits["val"].tokens == 20_000
+    assert man.splits["val"].tokens + man.splits["train"].tokens <= 496_092
