@@ -8,8 +8,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on; a cluster's own spark-defaults take precedence
-# for anything set there (builder settings only fill what is missing).
+# Settings for sessions this library creates (get_spark: bench, tests, CLI).
+# Queries and jobs that receive a caller's session never change its settings.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
