@@ -50,3 +50,21 @@ def test_ordinal_is_dense_and_permutation_invariant(spark):
     ra = {r.k: r.ord for r in ordinal(a, "k").collect()}
     rb = {r.k: r.ord for r in ordinal(b, "k").collect()}
     assert ra == rb == {k: i for i, k in enumerate(sorted(keys))}
+
+
+def test_reset_segments_per_split(spark):
+    rnd = random.Random(5)
+    S = 80
+    rows, exp = [], {}
+    for split in ("train", "val"):
+        sizes = [rnd.choice([1, 7, 30, 90, 200]) for _ in range(60)]
+        keys = rnd.sample(range(10 ** 6), len(sizes))
+        order = sorted(range(len(sizes)), key=lambda i: keys[i])
+        segs = brute([sizes[i] for i in order], S)
+        for j, i in enumerate(order):
+            rows.append((split, keys[i], sizes[i]))
+            exp[(split, keys[i])] = segs[j]
+    df = ordinal(spark.createDataFrame(rows, "split string, k long, sz long"), "k", part_cols=["split"])
+    for fn in (reset_segments, reset_segments_distributed):
+        got = {(r["split"], r["k"]): r["seg"] for r in fn(df, "ord", "sz", S, part_cols=["split"]).collect()}
+        assert got == exp
