@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, quality_rules
+from . import mixing, packing, phrase_dedup, quality_rules, simhash, vector_search
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +23,28 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+@query("op3_block_search", r"""
+WITH e AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS score
+  FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def op3_block_search(spark, sf_dir):
+    return vector_search.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op4_simhash_components")
+def op4_simhash_components(spark, sf_dir):
+    each = simhash.clusters(read(spark, sf_dir, "documents"))
+    return each.select("doc_id", simhash.hex_of().alias("fingerprint"), "component_id")
+
+
 @query("op6_mix_sources", r"""
 WITH d AS (
   SELECT doc_id, source,
@@ -56,6 +79,12 @@ def op6_mix_sources(spark, sf_dir):
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+@query("op8_phrase_automata")
+def op8_phrase_automata(spark, sf_dir):
+    return phrase_dedup.remove_repeated(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op9_rule_ledger", r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
@@ -87,3 +116,8 @@ FROM b
 """)
 def op9_rule_ledger(spark, sf_dir):
     return quality_rules.judge(quality_rules.ledger(read(spark, sf_dir, "documents")))
+
+
+@query("op10_best_fit_pack")
+def op10_best_fit_pack(spark, sf_dir):
+    return packing.pack(read(spark, sf_dir, "documents"))
