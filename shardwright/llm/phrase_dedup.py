@@ -55,9 +55,9 @@ class _Words(dict):
 
 
 def rows_of(docs: DataFrame) -> DataFrame:
-    """id and th tell documents apart (null ids are -1 with their own th); text is never null."""
+    """id and th tell documents apart (null ids come last, with their own th); text is never null."""
     text = text_of()
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("id"),
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"),
                        F.hash(F.col("doc_id").isNull(), text).alias("th"), text.alias("text"))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, phrase_dedup, quality_rules, simhash, vector_search
+from . import fuzzy_lines, mixing, packing, phrase_dedup, quality_gam, quality_rules, simhash, suffix_dedup, toxicity, vector_search
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,20 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+@query("op1_quality_gam")
+def op1_quality_gam(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return quality_gam.classify(docs, quality_gam.train(docs, read(spark, sf_dir, "labels")))
+
+
+@query("op2_suffix_groups")
+def op2_suffix_groups(spark, sf_dir):
+    length = lambda s: s["end"] - s["start"]
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + length(s)).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op3_block_search", r"""
 WITH e AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
@@ -45,6 +59,12 @@ def op4_simhash_components(spark, sf_dir):
     return each.select("doc_id", simhash.hex_of().alias("fingerprint"), "component_id")
 
 
+@query("op5_fuzzy_lines")
+def op5_fuzzy_lines(spark, sf_dir):
+    return fuzzy_lines.deduped(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op6_mix_sources", r"""
 WITH d AS (
   SELECT doc_id, source,
@@ -79,6 +99,12 @@ def op6_mix_sources(spark, sf_dir):
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+@query("op7_fair_toxicity")
+def op7_fair_toxicity(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.classify(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
 @query("op8_phrase_automata")
 def op8_phrase_automata(spark, sf_dir):
     return phrase_dedup.remove_repeated(read(spark, sf_dir, "documents")).select(
