@@ -1,141 +1,95 @@
-"""Byte-pair encoding over a rank table.
-
-``bpe_encode`` (default) encodes each Arrow batch of documents where it is
-read, with a per-task cache of merged pre-tokens: no shuffle, no group.
-``bpe_encode_distinct`` splits pre-tokens in the JVM (``regexp_extract_all``
-with the published GPT-2 split pattern), merges each *distinct* pre-token once
-and joins the ids back; it trades a shuffle of every pre-token for merge work
-proportional to the corpus vocabulary.
-
-Merge rule: a pre-token that is itself in the rank table is one id; otherwise
-start from its bytes and repeatedly merge the adjacent pair whose concatenation
-has the lowest rank (leftmost first) until no adjacent pair is in the table.
+"""Byte-pair encoding over a rank table, one Arrow batch of rows at a time.
+
+Rows are encoded where they are read, so no shuffle and no group is needed; the
+rank table is bounded by the vocabulary and broadcast once. ``tiktoken`` merges:
+a pre-token in the table is one id, otherwise its bytes are merged by lowest
+rank, leftmost first. A literal end-of-text string in a document is one id; in
+chat messages every special string stays ordinary text.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import EOT_STR
+from ..schemas import EOT_STR, Vocab, id_dtype
 
 # --- fixed values: the published GPT-2 pre-token split pattern --------------
 GPT2_SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 # ---------------------------------------------------------------------------
 
 # Java needs UNICODE_CHARACTER_CLASS for \s to match Unicode spaces as Python
-# `regex` does; the special literal is tried first so it stays one piece.
-JAVA_SPLIT = "(?U)" + "<\\|endoftext\\|>|" + GPT2_SPLIT
-
-
-def merge(piece: bytes, ranks: dict) -> list[int]:
-    """Ranks of the BPE tokens of one pre-token."""
-    r = ranks.get(piece)
-    if r is not None:
-        return [r]
-    parts = [piece[i:i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        best, at = None, -1
-        for i in range(len(parts) - 1):
-            rk = ranks.get(parts[i] + parts[i + 1])
-            if rk is not None and (best is None or rk < best):
-                best, at = rk, i
-        if best is None:
-            break
-        parts[at:at + 2] = [parts[at] + parts[at + 1]]
-    return [ranks[p] for p in parts]
-
-
-def encode_pieces(pieces: DataFrame, ranks_bc, eot_id: int) -> DataFrame:
-    """(piece STRING) -> (piece, ids ARRAY<INT>) via mapInArrow over batches."""
+# `regex` does.
+JAVA_SPLIT = "(?U)" + GPT2_SPLIT
 
-    def run(batches):
-        ranks = ranks_bc.value
-        cache: dict = {}
-        for b in batches:
-            col = b.column(0).to_pylist()
-            out = []
-            for s in col:
-                if s == EOT_STR:
-                    out.append([eot_id])
-                    continue
-                ids = cache.get(s)
-                if ids is None:
-                    ids = merge(s.encode("utf-8"), ranks)
-                    if len(cache) < 200_000:
-                        cache[s] = ids
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, type=pa.list_(pa.int32()))],
-                                             names=["piece", "ids"])
-
-    return pieces.mapInArrow(run, "piece string, ids array<int>")
+
+def _encoding(ranks: dict, eot_id: int):
+    import tiktoken
+    return tiktoken.Encoding("ranks", pat_str=GPT2_SPLIT, mergeable_ranks=ranks, special_tokens={EOT_STR: eot_id})
 
 
 def pretokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(doc_id, pos, piece) for every pre-token of every document."""
-    return docs.select("doc_id", F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(JAVA_SPLIT), 0))
-                       .alias("pos", "piece"))
+    """(doc_id, pos, piece) for every pre-token of every document. The text is
+    cut at the end-of-text literal first, so no pattern branch can take a part
+    of it."""
+    pieces = lambda part: F.regexp_extract_all(part, F.lit(JAVA_SPLIT), F.lit(0))
+    parts = F.split(F.col(text_col), EOT_STR.replace("|", "\\|"), -1)
+    joined = F.flatten(F.transform(parts, lambda p, i: F.when(i > 0, F.concat(F.array(F.lit(EOT_STR)), pieces(p)))
+                                   .otherwise(pieces(p))))
+    return docs.select("doc_id", F.posexplode(joined).alias("pos", "piece"))
+
+
+def bpe_encode(docs: DataFrame, ranks: dict, eot_id: int, append_eot: bool = True) -> DataFrame:
+    """(doc_id, text) -> (doc_id, ids); a null text is empty."""
+    bc = docs.sparkSession.sparkContext.broadcast(ranks)
+    end = [eot_id] if append_eot else []
 
+    def run(batches):
+        encode = _encoding(bc.value, eot_id).encode
+        for b in batches:
+            ids = [encode(t.as_py() or "", allowed_special={EOT_STR}, disallowed_special=()) + end for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, type=pa.list_(pa.int32()))],
+                                             names=["doc_id", "ids"])
 
-def bpe_encode(docs: DataFrame, ranks: dict, eot_id: int, append_eot: bool = True,
-               cache_size: int = 500_000) -> DataFrame:
-    """(doc_id, text) -> (doc_id, ids), one Arrow batch of documents at a time.
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
-    Pre-tokens follow a heavy-tailed distribution, so a per-task cache of
-    merged pre-tokens absorbs nearly all merge work; no shuffle and no group
-    are needed (each document is encoded where it is read). The rank table is
-    bounded by the vocabulary size and broadcast once."""
-    import regex
 
+def encode_documents(docs: DataFrame, ranks: dict, vocab: Vocab) -> DataFrame:
+    """(doc_id, text) -> (doc_id, n_tokens, tokens): ids with the final EOT as
+    little-endian bytes of the vocabulary's id width; null texts are dropped."""
     bc = docs.sparkSession.sparkContext.broadcast(ranks)
-    pattern = GPT2_SPLIT
+    dtype, eot = "<u2" if id_dtype(vocab.text_size) == "uint16" else "<u4", vocab.eot
 
     def run(batches):
-        table = bc.value
-        pat = regex.compile(pattern)
-        cache: dict = {}
+        encode = _encoding(bc.value, eot).encode
         for b in batches:
-            ids_out = []
-            for text in b.column(1).to_pylist():
-                out = []
-                for j, part in enumerate((text or "").split(EOT_STR)):
-                    if j:
-                        out.append(eot_id)
-                    for piece in pat.findall(part):
-                        got = cache.get(piece)
-                        if got is None:
-                            got = merge(piece.encode("utf-8"), table)
-                            if len(cache) < cache_size:
-                                cache[piece] = got
-                        out.extend(got)
-                if append_eot:
-                    out.append(eot_id)
-                ids_out.append(out)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids_out, type=pa.list_(pa.int32()))],
-                                             names=["doc_id", "ids"])
+            ids = [np.array([*encode(t.as_py(), allowed_special={EOT_STR}, disallowed_special=()), eot], dtype) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())],
+                names=["doc_id", "n_tokens", "tokens"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return docs.where(F.col("text").isNotNull()).select("doc_id", "text").mapInArrow(
+        run, "doc_id long, n_tokens long, tokens binary")
+
+
+def encode_turns(turns: DataFrame, ranks: dict, vocab: Vocab) -> DataFrame:
+    """Adds ``role_ids`` (role and newline) and ``text_ids`` to chat turns; no
+    special string is recognised in either (T4)."""
+    bc = turns.sparkSession.sparkContext.broadcast(ranks)
+    eot = vocab.eot
 
+    def run(batches):
+        encode = _encoding(bc.value, eot).encode_ordinary
+        ids = lambda col, tail: pa.array([encode((t.as_py() or "") + tail) for t in col], pa.list_(pa.int32()))
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, ids(b.column(2), "\n"), ids(b.column(3), "")],
+                                             names=["conv_id", "turn", "role", "text", "role_ids", "text_ids"])
 
-def bpe_encode_distinct(docs: DataFrame, ranks: dict, eot_id: int, append_eot: bool = True) -> DataFrame:
-    """Variant: pre-tokens split in the JVM, each *distinct* pre-token merged
-    once, ids joined back and reassembled per document (one shuffle of the
-    pre-tokens, one group per document)."""
-    spark = docs.sparkSession
-    bc = spark.sparkContext.broadcast(ranks)
-    p = pretokens(docs).persist()
-    enc = encode_pieces(p.select("piece").distinct(), bc, eot_id)
-    j = p.join(enc, "piece")
-    g = j.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("parts"))
-    ids = F.flatten(F.transform("parts", lambda x: x["ids"]))
-    if append_eot:
-        ids = F.concat(ids, F.array(F.lit(eot_id)))
-    out = g.select("doc_id", ids.alias("ids"))
-    # Documents with no pre-token (empty text) still get their EOT.
-    empty = docs.join(out, "doc_id", "left_anti").select(
-        "doc_id", (F.array(F.lit(eot_id)) if append_eot else F.array().cast("array<int>")).alias("ids"))
-    return out.unionByName(empty)
+    rows = turns.select("conv_id", F.col("turn").cast("long"), "role", "text")
+    kind = rows.schema["conv_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"conv_id {kind}, turn long, role string, text string, role_ids array<int>, text_ids array<int>")
 
 
 def load_rank_file(spark, path: str) -> DataFrame:
@@ -154,3 +108,10 @@ def ranks_dict(rank_table: DataFrame, max_rows: int = 1 << 20) -> dict:
     if n > max_rows:
         raise ValueError(f"rank table has {n} rows, more than the {max_rows} allowed for broadcast")
     return {bytes(r["bytes"]): int(r["rank"]) for r in rank_table.collect()}
+
+
+def bpe_vocabulary(ranks: dict, name: str, rank_file: str | None = None) -> Vocab:
+    """The vocabulary of a rank table: end-of-text at the first free id, the
+    chat delimiters after it; the newline is looked up."""
+    eot = max(ranks.values()) + 1
+    return Vocab(name, eot, eot + 1, eot + 2, eot + 1, eot + 3, (ranks[b"\n"],), rank_file)

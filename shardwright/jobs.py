@@ -12,32 +12,60 @@ as well. Outputs land in ``--out``; the checkpoint folder comes from
 from __future__ import annotations
 
 import argparse
-import dataclasses
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions import bpe as B
 from .operators import chat as C
 from .operators import choice as X
 from .operators import corpus as K
 from .operators import runlog as R
-from .schemas import ChatSpec, CorpusSpec
+from .operators import windows as W
+from .schemas import BYTES, SEED, ChatSpec, CorpusSpec, id_dtype
+from .session import scratch_path
 from .sources import manifest as M
 from .sources import token_shards as TS
 
 
+def _vocabulary(spark: SparkSession, rank_file: str | None):
+    """(ranks, vocabulary) of a rank file, or the byte vocabulary without one."""
+    if rank_file is None:
+        return None, BYTES
+    ranks = B.ranks_dict(B.load_rank_file(spark, rank_file))
+    return ranks, B.bpe_vocabulary(ranks, "bpe", rank_file)
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder: encoded once, read by several steps."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def tokenize_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, spec: CorpusSpec,
                     val_docs: DataFrame | None = None) -> DataFrame:
-    """Text corpus -> uint16 token shards under ``out_dir/shards`` and
-    ``out_dir/manifest`` (E1). Returns the manifest."""
-    streams, sb, _, man = K.tokenize_corpus(docs, spec, val_docs)
+    """Text corpus -> token shards under ``out_dir/shards`` (rows) and
+    ``out_dir/bin`` (flat .bin files), and ``out_dir/manifest`` (E1). With
+    ``spec.rank_file`` documents are encoded by BPE. ``spec.val_tokens`` carves val
+    off the front and replaces a shipped val split. Returns the manifest."""
+    if spec.val_tokens is not None:
+        val_docs = None
+    ranks, vocab = _vocabulary(spark, spec.rank_file)
+    if ranks:
+        docs = _stored(B.encode_documents(docs, ranks, vocab), "encoded")
+        val_docs = None if val_docs is None else _stored(B.encode_documents(val_docs, ranks, vocab), "encoded-val")
+    streams, sb, shards, man = K.tokenize_corpus(docs, spec, val_docs, vocab)
     if val_docs is None:
-        rows = K.shard_rows(docs, streams, sb)
+        rows = K.shard_rows(docs, streams, sb, vocab.text_size)
     else:
-        # Two tables: doc_id ranges may overlap, so label each split separately.
-        rows = K.shard_rows(docs, streams.filter("split = 'train'"), sb.filter("split = 'train'")).unionByName(
-            K.shard_rows(val_docs, streams.filter("split = 'val'"), sb.filter("split = 'val'")))
-    K.write_shards(rows, f"{out_dir}/shards")
+        # Two tables may share doc_ids, so each split is joined to its own.
+        rows = K.shard_rows(docs, streams.filter("split = 'train'"), sb.filter("split = 'train'"), vocab.text_size).unionByName(
+            K.shard_rows(val_docs, streams.filter("split = 'val'"), sb.filter("split = 'val'"), vocab.text_size))
+    n = shards.count()
+    K.write_shards(rows, f"{out_dir}/shards", n)
+    written = spark.read.schema("doc_id long, n_kept long, tokens binary, split string, shard_id int").parquet(f"{out_dir}/shards")
+    TS.export_text_shards(written, f"{out_dir}/bin", n).collect()
     M.write_manifest(man, f"{out_dir}/manifest")
     return man
 
@@ -45,22 +73,44 @@ def tokenize_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, spec: Co
 def tokenize_chat(spark: SparkSession, turns: DataFrame, out_dir: str, spec: ChatSpec,
                   val_turns: DataFrame | None = None) -> DataFrame:
     """Conversations (long form) -> .bin/.mask.bin/.idx.bin shards and a chat
-    manifest (E2). Returns the outcome counters per split. A separate val
-    table must use conversation ids distinct from the train table's."""
-    convs, shards, counters = C.tokenize_chat(turns, spec, val_turns)
-    convs = convs.checkpoint()
-    TS.export_chat_shards(convs, f"{out_dir}/shards").collect()
-    M.write_manifest(M.chat_manifest(shards, counters, spec), f"{out_dir}/manifest")
+    manifest (E2); with ``spec.rank_file`` encoded by BPE. Returns the outcome
+    counters per split. A separate val table must use conversation ids distinct
+    from the train table's."""
+    ranks, vocab = _vocabulary(spark, spec.rank_file)
+    if ranks:
+        turns = _stored(B.encode_turns(turns, ranks, vocab), "encoded-turns")
+        val_turns = None if val_turns is None else _stored(B.encode_turns(val_turns, ranks, vocab), "encoded-val-turns")
+    convs, shards, counters = C.tokenize_chat(turns, spec, val_turns, vocab)
+    TS.export_chat_shards(convs, f"{out_dir}/shards", id_dtype(vocab.chat_size), shards.count()).collect()
+    M.write_manifest(M.chat_manifest(shards, counters, spec, vocab), f"{out_dir}/manifest")
     return counters
 
 
+def sample_windows(spark: SparkSession, shard_dir: str, block: int, steps: int, accum: int, batch: int,
+                   split: str = "train", dtype: str = "uint16", seed: int = SEED) -> DataFrame:
+    """Training windows (step, micro, row, x, y) drawn from the flat files of the
+    text job (E4)."""
+    TS.register(spark)
+    chunks = spark.read.format("token_shard").option("dtype", dtype).option("chunk", block).load(shard_dir).where(F.col("split") == split)
+    shards = chunks.groupBy("split", "shard_id").agg(F.sum(F.size("tokens")).cast("long").alias("tokens"))
+    weights = W.shard_weights(shards).checkpoint()
+    smallest = weights.agg(F.min("tokens")).first()[0]
+    picked = W.pick_shards(W.draws(spark, steps, accum, batch), weights, split, seed, max(1, smallest or 1))
+    starts = W.text_starts(picked, block, seed)
+    chunks = chunks.select("split", "shard_id", F.floor(F.col("shard_start") / block).alias("chunk"), "tokens")
+    return W.text_windows(W.gather(starts, chunks, ["tokens"], block), block)
+
+
 def evaluate_choices(spark: SparkSession, choices: DataFrame, token_losses: DataFrame,
-                     out_dir: str | None = None) -> DataFrame:
+                     out_dir: str | None = None, block: int = 1024, limit: int = 0) -> DataFrame:
     """Choice examples + per-position losses -> per-source report.
-    ``choices``: (example_id, label, source_id); ``token_losses`` as in
+    ``choices`` come from ``choice.read_choices``; of the first ``limit`` (0: all),
+    those longer than ``block`` are skipped. ``token_losses`` as in
     ``schemas.TOKEN_LOSSES``."""
-    ex = choices.select("example_id", F.col("label").cast("int").alias("label"),
-                        F.substring_index("source_id", "~", 1).alias("source"))
+    rendered = X.render_choices(choices)
+    kept = X.length_filter(rendered, block, limit).filter("kept").select("example_id")
+    ex = choices.join(kept, "example_id", "left_semi").select(
+        "example_id", F.col("label").cast("int").alias("label"), F.substring_index("source_id", "~", 1).alias("source"))
     rep = X.report(X.example_picks(X.candidate_scores(token_losses), ex))
     if out_dir:
         rep.coalesce(1).write.mode("overwrite").option("header", True).csv(out_dir)
@@ -86,6 +136,7 @@ def _main(argv=None):
     a.add_argument("--val-docs")
     a.add_argument("--out", required=True)
     a.add_argument("--name", default="corpus")
+    a.add_argument("--rank-file", help="BPE ranks, base64 token and rank a line; bytes without it")
     a.add_argument("--val-tokens", type=int)
     a.add_argument("--max-tokens", type=int)
     a.add_argument("--batch-docs", type=int, default=CorpusSpec.batch_docs)
@@ -95,10 +146,25 @@ def _main(argv=None):
     b.add_argument("--val-conversations")
     b.add_argument("--out", required=True)
     b.add_argument("--name", default="chat")
+    b.add_argument("--rank-file")
     b.add_argument("--max-len", type=int, default=ChatSpec.max_len)
     b.add_argument("--max-examples", type=int)
     b.add_argument("--val-examples", type=int, default=ChatSpec.val_examples)
     b.add_argument("--shard-tokens", type=int, default=ChatSpec.shard_tokens)
+    e = sub.add_parser("evaluate-choices")
+    e.add_argument("--choices", required=True, help="JSON lines")
+    e.add_argument("--token-losses", required=True)
+    e.add_argument("--out", required=True)
+    e.add_argument("--block", type=int, default=1024)
+    e.add_argument("--limit", type=int, default=0)
+    w = sub.add_parser("sample-windows")
+    w.add_argument("--shards", required=True)
+    w.add_argument("--out", required=True)
+    w.add_argument("--block", type=int, default=1024)
+    w.add_argument("--steps", type=int, required=True)
+    w.add_argument("--accum", type=int, default=1)
+    w.add_argument("--batch", type=int, default=16)
+    w.add_argument("--split", default="train")
     c = sub.add_parser("summarize-runs")
     c.add_argument("--scalars", required=True)
     c.add_argument("--out", required=True)
@@ -110,23 +176,23 @@ def _main(argv=None):
     spark = get_spark()
     if args.job == "tokenize-corpus":
         spec = CorpusSpec(name=args.name, val_tokens=args.val_tokens, max_tokens=args.max_tokens,
-                          batch_docs=args.batch_docs, shard_tokens=args.shard_tokens)
+                          batch_docs=args.batch_docs, shard_tokens=args.shard_tokens, rank_file=args.rank_file)
         val = spark.read.parquet(args.val_docs).select("doc_id", "text") if args.val_docs else None
         tokenize_corpus(spark, spark.read.parquet(args.docs).select("doc_id", "text"), args.out, spec, val)
     elif args.job == "tokenize-chat":
         spec = ChatSpec(name=args.name, max_len=args.max_len, max_examples=args.max_examples,
-                        val_examples=args.val_examples, shard_tokens=args.shard_tokens)
+                        val_examples=args.val_examples, shard_tokens=args.shard_tokens, rank_file=args.rank_file)
         val = spark.read.parquet(args.val_conversations) if args.val_conversations else None
         tokenize_chat(spark, spark.read.parquet(args.conversations), args.out, spec, val)
+    elif args.job == "evaluate-choices":
+        evaluate_choices(spark, X.read_choices(spark, args.choices), spark.read.parquet(args.token_losses), args.out,
+                         args.block, args.limit)
+    elif args.job == "sample-windows":
+        sample_windows(spark, args.shards, args.block, args.steps, args.accum, args.batch, args.split) \
+            .write.mode("overwrite").parquet(args.out)
     else:
         summarize_runs(spark, read_scalars(spark, args.scalars, args.run), args.out)
 
 
-def with_overrides(spec, **kw):
-    """Corpus registry overrides (S3): e.g. a config name, or a val carve that
-    replaces a shipped val split."""
-    return dataclasses.replace(spec, **{k: v for k, v in kw.items() if v is not None})
-
-
 if __name__ == "__main__":
     _main()

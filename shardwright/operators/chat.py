@@ -1,9 +1,10 @@
-"""Chat rendering, fitting, splitting and sharding on the byte vocabulary.
+"""Chat rendering, fitting, splitting and sharding, over bytes or BPE ids.
 
 A turn renders as ``[IM_START] role "\\n" | content [IM_END] | "\\n"`` with mask
 0 on the header, ``role in train_roles`` on content + IM_END, 0 on the
-newline. Its length is known without encoding (role bytes + text bytes + 4), so
-fitting runs on lengths alone and ids are built only for kept turns.
+newline. Over bytes its length is known without encoding (role bytes + text
+bytes + 4), so ids are built only for kept turns; for BPE, turns are encoded once
+and written before they are fitted.
 """
 
 from __future__ import annotations
@@ -12,56 +13,70 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.tokens import ids_digest, utf8_ids
-from ..schemas import IM_END, IM_START, ChatSpec
-from ..session import broadcast_checked
+from ..schemas import BYTES, ChatSpec, Vocab
 from .order import ordinal, reset_segments
 
-NEWLINE = 10
-
 
 def turns_from_messages(df: DataFrame, id_col: str = "conv_id",
                         messages_col: str = "messages") -> DataFrame:
-    """Nested ``messages ARRAY<STRUCT<role, content>>`` -> long form."""
+    """Nested ``messages ARRAY<STRUCT<role, content>>`` -> long form (S4). A
+    conversation without messages keeps one row with a null ``turn``, so that it
+    is still counted as seen."""
     return df.select(F.col(id_col).alias("conv_id"),
-                     F.posexplode(messages_col).alias("turn", "m")) \
+                     F.posexplode_outer(messages_col).alias("turn", "m")) \
         .select("conv_id", F.col("turn").cast("long"), F.col("m.role").alias("role"),
                 F.col("m.content").alias("text"))
 
 
-def turn_lengths(turns: DataFrame, train_roles=("assistant",)) -> DataFrame:
+def _encoded(turns: DataFrame) -> bool:
+    return "text_ids" in turns.columns
+
+
+def turn_lengths(turns: DataFrame, train_roles=("assistant",), vocab: Vocab = BYTES) -> DataFrame:
+    """Tokens of each turn: by its bytes, or by its ids if ``encode_turns`` made
+    them (the columns are kept)."""
     role = F.coalesce(F.col("role"), F.lit(""))
     text = F.coalesce(F.col("text"), F.lit(""))
     sup = role.isin(list(train_roles))
+    if _encoded(turns):
+        n_role, n_text, ids = F.size("role_ids"), F.size("text_ids"), ["role_ids", "text_ids"]
+    else:
+        n_role, n_text, ids = F.octet_length(role) + 1, F.octet_length(text), []
     return turns.select(
         "conv_id", "turn", role.alias("role"), text.alias("text"),
-        (F.octet_length(role) + F.octet_length(text) + 4).cast("long").alias("n_tokens"),
+        (n_role + n_text + 2 + len(vocab.newline)).cast("long").alias("n_tokens"),
         sup.alias("supervised"),
-        F.when(sup, F.octet_length(text) + 1).otherwise(0).cast("long").alias("n_supervised"))
+        F.when(sup, n_text + 1).otherwise(0).cast("long").alias("n_supervised"), *ids)
 
 
-def render_turn_ids(turns: DataFrame) -> DataFrame:
+def render_turn_ids(turns: DataFrame, vocab: Vocab = BYTES) -> DataFrame:
     """Add ``ids`` and ``mask`` arrays to rows of :func:`turn_lengths`."""
-    role_ids = utf8_ids(F.concat(F.col("role"), F.lit("\n")))
-    ids = F.concat(F.array(F.lit(IM_START)), role_ids, utf8_ids("text"),
-                   F.array(F.lit(IM_END), F.lit(NEWLINE)))
+    if _encoded(turns):
+        role_ids, text_ids = F.col("role_ids"), F.col("text_ids")
+        n_role, n_text = F.size("role_ids"), F.size("text_ids")
+    else:
+        role_ids, text_ids = utf8_ids(F.concat(F.col("role"), F.lit("\n"))), utf8_ids("text")
+        n_role, n_text = F.octet_length("role") + 1, F.octet_length("text")
+    ids = F.concat(F.array(F.lit(vocab.im_start)), role_ids, text_ids,
+                   F.array(F.lit(vocab.im_end), *[F.lit(i) for i in vocab.newline]))
     sup = F.col("supervised").cast("int")
-    mask = F.concat(F.array_repeat(F.lit(0), F.octet_length("role") + 2),
-                    F.array_repeat(sup, F.octet_length("text") + 1),
-                    F.array(F.lit(0)))
+    mask = F.concat(F.array_repeat(F.lit(0), n_role + 1), F.array_repeat(sup, n_text + 1),
+                    F.array_repeat(F.lit(0), len(vocab.newline)))
     return turns.withColumn("ids", ids).withColumn("mask", mask)
 
 
-def fit_turns(turns: DataFrame, max_len: int, train_roles=("assistant",)) -> DataFrame:
+def fit_turns(turns: DataFrame, max_len: int, train_roles=("assistant",), vocab: Vocab = BYTES) -> DataFrame:
     """Turns kept by the fit rule (T10/W6): the longest prefix of whole turns
     with running length <= max_len, cut back to its last supervised turn.
 
-    ``turn`` is the 0-based message position, so turn k needs >= 4(k+1) tokens
-    and turns with 4(turn+1) > max_len can never fit; they are pruned before
-    the per-conversation window, which bounds every window partition by
-    max_len / 4 rows however long a conversation is.
+    A turn takes at least 4 tokens (delimiters, header end, newline), so only the first max_len / 4 turns of a
+    conversation (by rank, whatever their numbers) can fit; the rank filter
+    limits each conversation before its shuffle (WindowGroupLimit), however
+    long it is.
     """
-    t = turn_lengths(turns, train_roles)
-    cand = t.filter(F.col("turn") * 4 + 4 <= max_len)
+    t = turn_lengths(turns.filter(F.col("turn").isNotNull()), train_roles, vocab)
+    rank = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
+    cand = t.withColumn("__rank", rank).filter(F.col("__rank") <= max_len // 4).drop("__rank")
     w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
     cand = cand.withColumn("cum", F.sum("n_tokens").over(w))
     last = F.max(F.when(F.col("supervised") & (F.col("cum") <= max_len), F.col("turn"))) \
@@ -70,11 +85,11 @@ def fit_turns(turns: DataFrame, max_len: int, train_roles=("assistant",)) -> Dat
         .drop("last_kept")
 
 
-def conversation_outcomes(turns: DataFrame, max_len: int, train_roles=("assistant",)) -> DataFrame:
+def conversation_outcomes(turns: DataFrame, max_len: int, train_roles=("assistant",), vocab: Vocab = BYTES) -> DataFrame:
     """One row per conversation: turns given and kept, tokens, supervised,
     ``kept`` / ``truncated`` flags (A3 inputs)."""
-    given = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns"))
-    kept = fit_turns(turns, max_len, train_roles).groupBy("conv_id").agg(
+    given = turns.groupBy("conv_id").agg(F.count("turn").alias("n_turns"))
+    kept = fit_turns(turns, max_len, train_roles, vocab).groupBy("conv_id").agg(
         F.count(F.lit(1)).alias("kept_turns"),
         F.sum("n_tokens").alias("n_tokens"),
         F.sum("n_supervised").alias("n_supervised"))
@@ -154,7 +169,7 @@ def shard_conversations(split_outcomes: DataFrame, shard_tokens: int) -> DataFra
     seg = reset_segments(kept, "kord", "n_tokens", shard_tokens, part_cols=["split"], out="shard_id")
     base = seg.groupBy("split", "shard_id").agg(
         F.min(F.col("__end") - F.col("n_tokens")).alias("__sb"))
-    seg = seg.join(broadcast_checked(base), ["split", "shard_id"])
+    seg = seg.join(base, ["split", "shard_id"])
     # Conversation-level and narrow; every later step reads it: checkpoint.
     return seg.select("split", "conv_id", "kord", "shard_id", "n_tokens", "n_supervised",
                       (F.col("__end") - F.col("n_tokens") - F.col("__sb")).alias("shard_start")).checkpoint()
@@ -176,19 +191,20 @@ def chat_shard_table(sharded: DataFrame) -> DataFrame:
     ).withColumn("file", shard_file())
 
 
-def tokenize_chat(turns: DataFrame, spec: ChatSpec, val_turns: DataFrame | None = None):
+def tokenize_chat(turns: DataFrame, spec: ChatSpec, val_turns: DataFrame | None = None, vocab: Vocab = BYTES):
     """The chat job: returns (conversation rows with tokens/mask/shard, shard
-    table, outcome counters per split)."""
-    out = conversation_outcomes(turns, spec.max_len, spec.train_roles).checkpoint()
-    vout = (conversation_outcomes(val_turns, spec.max_len, spec.train_roles).checkpoint()
+    table, outcome counters per split). For BPE the turns come from
+    ``bpe.encode_turns``."""
+    out = conversation_outcomes(turns, spec.max_len, spec.train_roles, vocab).checkpoint()
+    vout = (conversation_outcomes(val_turns, spec.max_len, spec.train_roles, vocab).checkpoint()
             if val_turns is not None else None)
     split = split_conversations(out, spec, vout).checkpoint()
     counters = outcome_counters(split, ["split"])
     sharded = shard_conversations(split, spec.shard_tokens)
     all_turns = turns if val_turns is None else turns.unionByName(val_turns)
     kept_turns = fit_turns(all_turns.join(sharded.select("conv_id"), "conv_id", "left_semi"),
-                           spec.max_len, spec.train_roles)
-    rendered = render_conversations(render_turn_ids(kept_turns))
+                           spec.max_len, spec.train_roles, vocab)
+    rendered = render_conversations(render_turn_ids(kept_turns, vocab))
     convs = sharded.join(rendered, "conv_id")
     return convs, chat_shard_table(sharded), counters
 

@@ -18,11 +18,14 @@ from .order import ordinal
 
 
 def read_choices(spark, path: str) -> DataFrame:
-    """JSON-lines choice examples with a fixed schema (S5); ``example_id`` is
-    the line order, label cast to int (P7)."""
+    """JSON-lines choice examples with a fixed schema (S5); ``ord`` and
+    ``example_id`` are the line order (files by path, lines by place), label cast
+    to int (P7)."""
     df = spark.read.schema(CHOICE).json(path)
-    df = df.withColumn("example_id", F.monotonically_increasing_id())
-    return df.withColumn("label", F.col("label").cast("int"))
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start",
+                     F.monotonically_increasing_id().alias("line"))  # the id rises with the line inside a block
+    df = ordinal(df.withColumn("__place", place), "__place", out="ord").drop("__place")
+    return df.withColumn("example_id", F.col("ord")).withColumn("label", F.col("label").cast("int"))
 
 
 def choices_from_benchmark(bench: DataFrame) -> DataFrame:
@@ -149,7 +152,7 @@ def candidate_scores(losses: DataFrame) -> DataFrame:
 
 def example_picks(scores: DataFrame, examples: DataFrame) -> DataFrame:
     """acc / acc_norm picks (lowest index on ties), gold loss, mean of all
-    four, margin = mean(wrong) - gold (A8, A9, J7)."""
+    endings, margin = mean(wrong) - gold (A8, A9, J7)."""
     s = scores.join(examples.select("example_id", "label", "source"), "example_id")
     g = s.groupBy("example_id", "label", "source").agg(
         F.min_by("ending_idx", F.struct("sum_loss", "ending_idx")).alias("pred"),
@@ -160,14 +163,14 @@ def example_picks(scores: DataFrame, examples: DataFrame) -> DataFrame:
                     (F.col("pred") == F.col("label")).cast("int").alias("acc"),
                     (F.col("pred_norm") == F.col("label")).cast("int").alias("acc_norm"),
                     "gold", (F.col("pt_sum") / F.col("n_end")).alias("all_loss"),
-                    ((F.col("pt_sum") - F.col("gold")) / 3 - F.col("gold")).alias("margin"))
+                    ((F.col("pt_sum") - F.col("gold")) / (F.col("n_end") - 1) - F.col("gold")).alias("margin"))
 
 
 def report(picks: DataFrame) -> DataFrame:
-    """Per-source rows plus OVERALL over examples (A10)."""
+    """Per-source rows in source order, then OVERALL over examples (A10, O2)."""
     r = picks.rollup("source").agg(
         F.count(F.lit(1)).alias("n"), F.avg("acc").alias("acc"), F.avg("acc_norm").alias("acc_norm"),
         F.avg("gold").alias("loss"), F.avg("all_loss").alias("all"), F.avg("margin").alias("margin"),
-        F.grouping("source").alias("g"))
+        F.grouping("source").alias("g")).orderBy("g", "source")
     return r.select(F.when(F.col("g") == 1, F.lit("OVERALL")).otherwise(F.col("source")).alias("source"),
                     "n", "acc", "acc_norm", "loss", "all", "margin")

@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tokens import doc_ids, doc_ids_packed
-from ..schemas import BYTE_VOCAB_SIZE, EOT, EOT_STR, CorpusSpec, id_dtype
-from ..session import broadcast_checked
+from ..schemas import BYTE_VOCAB_SIZE, BYTES, EOT, EOT_STR, CorpusSpec, Vocab, id_dtype
 from .order import ordinal, prefix_sum, reset_segments
 
 _LIT = len(EOT_STR.encode())
@@ -28,14 +27,13 @@ def doc_token_count(text_col: str = "text") -> F.Column:
 
 
 def document_meta(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens) for documents with text; null text is dropped."""
+    """(doc_id, n_tokens) for documents with text (null text is dropped), or of
+    documents that ``bpe.encode_documents`` has encoded."""
+    if "tokens" in docs.columns:
+        return docs.select("doc_id", "n_tokens")
     return docs.filter(F.col("text").isNotNull()).select("doc_id", doc_token_count().alias("n_tokens"))
 
 
-def null_documents(docs: DataFrame) -> DataFrame:
-    return docs.filter(F.col("text").isNull()).agg(F.count(F.lit(1)).alias("null_docs"))
-
-
 def order_documents(meta: DataFrame, batch_docs: int) -> DataFrame:
     """Add ``doc_ord`` (dense rank of doc_id) and ``batch``."""
     o = ordinal(meta, "doc_id", out="doc_ord")
@@ -127,7 +125,7 @@ def split_summary(shards: DataFrame, n_vocab: int = BYTE_VOCAB_SIZE) -> DataFram
 
 
 def manifest(summary: DataFrame, spec: CorpusSpec, n_vocab: int = BYTE_VOCAB_SIZE,
-             encoding: str = "bytes") -> DataFrame:
+             encoding: str = "bytes", eot: int = EOT) -> DataFrame:
     """One-row manifest (S9): ``splits`` maps split -> {tokens, bytes, shards}."""
     info = F.struct(F.col("tokens"), F.col("bytes"),
                     F.lit(None).cast("long").alias("supervised_tokens"),
@@ -139,7 +137,7 @@ def manifest(summary: DataFrame, spec: CorpusSpec, n_vocab: int = BYTE_VOCAB_SIZ
         F.lit(spec.name).alias("dataset"), F.lit(spec.source).alias("source"),
         F.lit(spec.config).cast("string").alias("config"), F.lit(encoding).alias("encoding"),
         F.lit(id_dtype(n_vocab)).alias("dtype"), F.lit(n_vocab).cast("long").alias("vocab_size"),
-        F.lit(EOT).cast("long").alias("eot_token"), "splits")
+        F.lit(eot).cast("long").alias("eot_token"), "splits")
 
 
 def shard_tokens_rows(streams: DataFrame, sharded_batches: DataFrame, docs: DataFrame) -> DataFrame:
@@ -153,56 +151,39 @@ def shard_tokens_rows(streams: DataFrame, sharded_batches: DataFrame, docs: Data
 
 
 def shard_rows(docs: DataFrame, streams: DataFrame, sharded_batches: DataFrame,
-               max_shards: int = 1 << 22, n_vocab: int = BYTE_VOCAB_SIZE) -> DataFrame:
-    """Token rows for the shard sink without joining documents to the
-    per-document stream table: every shard is a contiguous doc_id range, so a
-    binary search over the shard boundaries (``Bucketizer``) labels each
-    document where it is read. Only documents trimmed by a cap (at most one
-    batch per split) travel as a broadcast. Documents outside every range (past
-    a cap) or trimmed to nothing are dropped."""
-    from pyspark.ml.feature import Bucketizer
-
-    ranges = streams.join(sharded_batches.select("split", "batch", "shard_id"), ["split", "batch"]) \
-        .groupBy("split", "shard_id").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    n = ranges.count()
-    if n > max_shards:
-        raise ValueError(f"{n} shards exceed the {max_shards} boundary table limit")
-    rs = sorted(ranges.collect(), key=lambda r: r["lo"])
-    splits = [float(r["lo"]) for r in rs] + [float(rs[-1]["hi"]) + 1.0]
-    labels = docs.sparkSession.createDataFrame(
-        [(i, r["split"], int(r["shard_id"])) for i, r in enumerate(rs)], "bkt int, split string, shard_id int")
-    trims = streams.filter(F.col("n_kept") < F.col("n_tokens")).select("doc_id", F.col("n_kept").alias("trim"))
-    d = docs.filter(F.col("text").isNotNull()).withColumn("__k", F.col("doc_id").cast("double"))
-    if len(splits) < 3:  # one shard: Bucketizer needs two intervals
-        d = d.filter((F.col("__k") >= splits[0]) & (F.col("__k") < splits[-1])).withColumn("bkt", F.lit(0))
+               n_vocab: int = BYTE_VOCAB_SIZE) -> DataFrame:
+    """Token rows for the shard sink: every consumed document with its shard,
+    trimmed to what the cap left of it. Documents past a cap or trimmed to
+    nothing are not written. ``docs`` are those of the streams' split, or of
+    all splits if they share one table."""
+    meta = streams.filter(F.col("n_kept") > 0).join(sharded_batches.select("split", "batch", "shard_id"), ["split", "batch"]) \
+        .select("split", "shard_id", "doc_id", "n_kept")
+    if "tokens" in docs.columns:
+        d, ids = docs.select("doc_id", "tokens").join(meta, "doc_id"), F.col("tokens")
     else:
-        d = Bucketizer(splits=splits, inputCol="__k", outputCol="bkt", handleInvalid="skip").transform(d) \
-            .withColumn("bkt", F.col("bkt").cast("int"))
-    # labels: one row per shard (size-checked); trims: at most one batch per split.
-    d = d.join(broadcast_checked(labels), "bkt").join(F.broadcast(trims), "doc_id", "left")
-    n_tok = doc_token_count()
-    d = d.withColumn("n_kept", F.coalesce("trim", n_tok)).filter(F.col("n_kept") > 0)
+        d = docs.filter(F.col("text").isNotNull()).select("doc_id", "text").join(meta, "doc_id")
+        ids = doc_ids_packed("text", id_dtype(n_vocab))
     # Shard layout: ids as little-endian uint16 (uint32 past 65,535 ids), so a
     # shard's rows concatenated in doc_id order are exactly its .bin file.
-    dtype = id_dtype(n_vocab)
-    width = 2 if dtype == "uint16" else 4
+    width = 2 if id_dtype(n_vocab) == "uint16" else 4
     return d.select("split", "shard_id", "doc_id", "n_kept",
-                    F.substring(doc_ids_packed("text", dtype), 1, (F.col("n_kept") * width).cast("int"))
+                    F.substring(ids, 1, (F.col("n_kept") * width).cast("int"))
                     .alias("tokens"))
 
 
-def write_shards(rows: DataFrame, out_dir: str, order_col: str = "doc_id") -> None:
-    """Token-shard sink (S6): one directory per (split, shard_id), one task
-    per shard, documents in stream order inside it."""
-    (rows.repartition("split", "shard_id").sortWithinPartitions("split", "shard_id", order_col)
+def write_shards(rows: DataFrame, out_dir: str, n_shards: int, order_col: str = "doc_id") -> None:
+    """Token-shard sink (S6): one directory per (split, shard_id), ``n_shards``
+    tasks, documents in stream order inside each."""
+    (rows.repartition(max(1, n_shards), "split", "shard_id").sortWithinPartitions("split", "shard_id", order_col)
      .write.mode("overwrite").partitionBy("split", "shard_id").parquet(out_dir))
 
 
-def tokenize_corpus(docs: DataFrame, spec: CorpusSpec, val_docs: DataFrame | None = None):
-    """The text job: returns (consumed-document streams, shard table, manifest)."""
+def tokenize_corpus(docs: DataFrame, spec: CorpusSpec, val_docs: DataFrame | None = None, vocab: Vocab = BYTES):
+    """The text job: returns (consumed-document streams, sharded batches, shard
+    table, manifest). For BPE the documents come from ``bpe.encode_documents``."""
     meta = document_meta(docs)
     vmeta = document_meta(val_docs) if val_docs is not None else None
     streams = split_streams(meta, spec, vmeta).checkpoint()
     sb = shard_batches(batch_table(streams), spec.shard_tokens)
     shards = shard_table(sb)
-    return streams, sb, shards, manifest(split_summary(shards), spec)
+    return streams, sb, shards, manifest(split_summary(shards, vocab.text_size), spec, vocab.text_size, vocab.name, vocab.eot)

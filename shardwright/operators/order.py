@@ -1,64 +1,52 @@
 """Order-dependent primitives over explicit keys, without global windows.
 
-* :func:`ordinal`      dense 0-based rank of a unique key (W1): quantile buckets
-  of the key, counts per bucket, offsets over that small table, then
-  ``row_number`` inside each bucket.
+* :func:`ordinal`      dense 0-based rank of a unique key (W1): range partitions
+  of the key, counts per partition, offsets over that small table, then
+  ``row_number`` inside each partition.
 * :func:`prefix_sum`   running sum over a dense ordinal (W2): block sums, a
   running sum over the block table, then a running sum inside each block.
 * :func:`reset_segments`  greedy "close the segment at the first unit end where
   it holds >= S" (W5): as-of lookup of each unit's successor boundary, then
   pointer doubling to walk the boundary chain in log2(#segments) joins.
 
-Every window here is partitioned by a bucket whose size is bounded by
-construction; the only unpartitioned windows run over per-bucket or
-per-segment tables (rows = data / bucket size).
+Windows over rows are partitioned by a bucket of about ``ROWS_PER_BUCKET`` or
+``PREFIX_BLOCK`` rows; those without a bucket run over per-bucket or per-segment
+tables (rows = data / bucket size).
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Rows per block of the two-level running sum.
 PREFIX_BLOCK = 8192
-# Largest per-group unit count folded in one task by reset_segments; above it
-# the distributed doubling walk runs instead. 1M units x 3 longs = 24 MB.
-SMALL_UNITS = 1_000_000
-
-
-def _n_buckets(df: DataFrame, rows_per_bucket: int) -> int:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    return max(1, parts)
+# Rows per range partition of the key in an ordinal.
+ROWS_PER_BUCKET = 1 << 18
 
 
 def ordinal(df: DataFrame, key: str, out: str = "ord", part_cols: list[str] | None = None,
-            n_buckets: int | None = None) -> DataFrame:
-    """Dense 0-based rank of ``key`` (unique within ``part_cols``).
+            rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Dense 0-based rank of ``key`` (any sortable type, unique within ``part_cols``).
 
-    Pass a narrow frame (key and the few columns needed downstream): it is
-    persisted because the quantile pass and the ranking pass both read it.
+    Pass a narrow frame (key and the few columns needed downstream). The range
+    partitions, as many as the row count asks for, are fixed by a checkpoint
+    before their counts are taken.
     """
     part_cols = list(part_cols or [])
-    df = df.persist()
-    k = n_buckets or _n_buckets(df, 1 << 20)
-    keyd = f"__{key}_d"
-    probs = [i / k for i in range(1, k)]
-    bounds = sorted(set(df.stat.approxQuantile(key, probs, 0.001))) if probs else []
-    splits = [-math.inf] + [b + 0.5 for b in bounds] + [math.inf]
-    splits = sorted(set(splits))
-    withd = df.withColumn(keyd, F.col(key).cast("double"))
-    bucketed = Bucketizer(splits=splits, inputCol=keyd, outputCol="__bkt").transform(withd)
-    bucketed = bucketed.withColumn("__bkt", F.col("__bkt").cast("int")).drop(keyd)
+    df = df.checkpoint()
+    k = max(1, math.ceil(df.count() / rows_per_bucket))
+    bucketed = df.repartitionByRange(k, *part_cols, key).withColumn("__bkt", F.spark_partition_id())
+    if k > 1:
+        bucketed = bucketed.checkpoint()
     counts = bucketed.groupBy(*part_cols, "__bkt").agg(F.count(F.lit(1)).alias("__cnt"))
     wb = Window.partitionBy(*part_cols).orderBy("__bkt").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = counts.select(*part_cols, "__bkt",
                             F.coalesce(F.sum("__cnt").over(wb), F.lit(0)).alias("__off"))
-    # One row per bucket: at most k x (split groups) rows.
-    joined = bucketed.join(F.broadcast(offsets), [*part_cols, "__bkt"])
+    joined = bucketed.join(offsets, [*part_cols, "__bkt"])
     w = Window.partitionBy(*part_cols, "__bkt").orderBy(key)
     res = joined.withColumn(out, (F.row_number().over(w) - 1 + F.col("__off")).cast("long")) \
         .drop("__bkt", "__off")
@@ -87,64 +75,13 @@ def prefix_sum(df: DataFrame, ord_col: str, size_col: str, out: str = "start",
 
 
 def reset_segments(units: DataFrame, ord_col: str, size_col: str, target: int,
-                   part_cols: list[str] | None = None, out: str = "seg",
-                   small_units: int | None = None) -> DataFrame:
+                   part_cols: list[str] | None = None, out: str = "seg") -> DataFrame:
     """Assign each unit (dense ``ord_col`` per ``part_cols``, ``size_col`` > 0)
     to a segment that closes at the first unit end where it holds >= target.
 
     Adds ``out`` (segment number, from 0) and ``__end`` (inclusive prefix sum).
-    The unit count per group is checked first: groups of at most
-    ``small_units`` are folded in one task each; larger inputs take the
-    distributed walk (:func:`reset_segments_distributed`).
     """
     part_cols = list(part_cols or [])
-    limit = SMALL_UNITS if small_units is None else small_units
-    units = units.checkpoint()
-    keys = units.select(*part_cols, ord_col, size_col)
-    sizes = keys.groupBy(*part_cols).count().agg(F.max("count").alias("m")).first()
-    if sizes is None or sizes["m"] is None:
-        return units.withColumn(out, F.lit(None).cast("int")).withColumn("__end", F.lit(None).cast("long"))
-    if sizes["m"] <= limit:
-        segs = _fold_small(keys, ord_col, size_col, int(target), part_cols, out)
-    else:
-        segs = reset_segments_distributed(keys, ord_col, size_col, target, part_cols, out) \
-            .select(*part_cols, ord_col, out, "__end")
-    return units.join(segs, [*part_cols, ord_col]).checkpoint()
-
-
-def _fold_small(keys, ord_col, size_col, S, part_cols, out):
-    import numpy as np
-    import pandas as pd
-
-    from pyspark.sql import types as T
-    schema = keys.select(*part_cols, ord_col).schema.add(out, T.IntegerType()).add("__end", T.LongType())
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ord_col)
-        sz = pdf[size_col].to_numpy(dtype=np.int64)
-        seg = np.empty(len(sz), dtype=np.int32)
-        cur, k = 0, 0
-        for i, v in enumerate(sz.tolist()):
-            seg[i] = k
-            cur += v
-            if cur >= S:
-                k += 1
-                cur = 0
-        res = pdf[[*part_cols, ord_col]].copy()
-        res[out] = seg
-        res["__end"] = np.cumsum(sz)
-        return res
-
-    if part_cols:
-        return keys.groupBy(*part_cols).applyInPandas(fold, schema)
-    return keys.groupBy(F.lit(0).alias("__g")).applyInPandas(
-        lambda pdf: fold(pdf.drop(columns=["__g"], errors="ignore")), schema)
-
-
-def reset_segments_distributed(units: DataFrame, ord_col: str, size_col: str, target: int,
-                               part_cols: list[str] | None = None, out: str = "seg") -> DataFrame:
-    """:func:`reset_segments` for unit tables of any size (no single-task step)."""
-    part_cols = list(part_cols or [])
     S = int(target)
     u = prefix_sum(units, ord_col, size_col, out="__end", part_cols=part_cols, inclusive=True)
     u = u.checkpoint()
@@ -174,16 +111,15 @@ def reset_segments_distributed(units: DataFrame, ord_col: str, size_col: str, ta
     best = F.min(F.when(F.col("kind") == 1, F.struct(F.col("v").alias("v"), F.col("hit").alias("h")))).over(wv)
     J = (rows.withColumn("__best", best).filter("kind = 0")
          .select(*part_cols, F.col("src").alias("e"), F.col("__best.h").alias("ne")))
-    return _walk(u, J, ends.select(*part_cols, "e", "p"), part_cols, ord_col, S, out)
+    return _walk(u, J, ends.select(*part_cols, "e", "p"), part_cols, ord_col, S, out).checkpoint()
 
 
 def _walk(u, J, ends, part_cols, ord_col, S, out):
-    spark = u.sparkSession
     J = J.checkpoint()
-    n = J.count()
     levels = [J]
-    rounds = max(1, math.ceil(math.log2(n + 1)))
-    for _ in range(rounds - 1):
+    # Boundaries are >= S apart, so a chain has at most total / S of them.
+    longest = (ends.agg(F.max("p")).first()[0] or 0) // S + 1
+    for _ in range(math.ceil(math.log2(longest + 1)) - 1):
         a, b = levels[-1].alias("a"), levels[-1].alias("b")
         cond = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in part_cols] + [F.col("a.ne") == F.col("b.e")]
         nxt = a.join(b, cond, "left").select(*[F.col(f"a.{c}") for c in part_cols],

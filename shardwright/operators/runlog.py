@@ -112,7 +112,7 @@ MEDIAN_ACCURACY = 100_000
 
 
 def upper_median(values: DataFrame, group_cols: list[str], value_col: str = "value",
-                 accuracy: int = MEDIAN_ACCURACY, small_group: int = 1_000_000) -> DataFrame:
+                 accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
     """values[n // 2] of each group's sorted values (A14): the upper median,
     exact, not an interpolated percentile.
 
@@ -121,11 +121,7 @@ def upper_median(values: DataFrame, group_cols: list[str], value_col: str = "val
     only the distinct values inside the bracket are ranked (about
     8n/accuracy per group). Groups whose bracket misses the rank (not expected
     from the approximation bound) fall back to an exact sort of that group.
-    When the largest group holds at most ``small_group`` values (checked from
-    the same statistics pass), each group is simply sorted.
     """
-    from ..session import broadcast_checked
-
     # Read three times below: materialise the narrow input once.
     values = values.select(*group_cols, value_col).checkpoint()
     v = F.col(value_col)
@@ -135,11 +131,7 @@ def upper_median(values: DataFrame, group_cols: list[str], value_col: str = "val
         F.percentile_approx(v, [max(0.0, 0.5 - d), min(1.0, 0.5 + d)], accuracy).alias("__q"))
     stats = stats.select(*group_cols, "__n", F.col("__q")[0].alias("__lo"), F.col("__q")[1].alias("__hi"),
                          F.floor(F.col("__n") / 2).alias("__k")).checkpoint()
-    largest = stats.agg(F.max("__n")).first()[0] or 0
-    if largest <= small_group:
-        # Checked small: every group sorts within one task's memory budget.
-        return _median_by_sort(values, group_cols, value_col)
-    x = values.select(*group_cols, v.alias("__v")).join(broadcast_checked(stats), group_cols)
+    x = values.select(*group_cols, v.alias("__v")).join(stats, group_cols)
     below = x.groupBy(*group_cols).agg(F.count_if(F.col("__v") < F.col("__lo")).alias("__below"))
     inr = x.filter((F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi"))) \
         .groupBy(*group_cols, "__v").agg(F.count(F.lit(1)).alias("__c"))
@@ -310,7 +302,7 @@ def utilisation(merged: DataFrame, configs: DataFrame, peaks: DataFrame, ms_tag:
     """Recomputed utilisation per logged step (F2, F3), falling back to the
     stored series where the config lacks model keys (F4); peaks by run with a
     default (J6); stored vs recomputed upper medians (A19)."""
-    c = configs.join(F.broadcast(peaks), "run", "left") \
+    c = configs.join(peaks, "run", "left") \
         .withColumn("peak", F.coalesce("peak", F.lit(default_peak)))
     full = F.col("vocab_size").isNotNull() & F.col("block_size").isNotNull() & F.col("n_layer").isNotNull() \
         & F.col("n_head").isNotNull() & F.col("n_embd").isNotNull() & F.col("d_ff").isNotNull() \
@@ -320,12 +312,12 @@ def utilisation(merged: DataFrame, configs: DataFrame, peaks: DataFrame, ms_tag:
     c = c.select("run", F.when(full, n).alias("n_params"), F.when(full, fpt).alias("flops_per_token"),
                  "tokens_per_iter", "peak", full.alias("has_config"))
     ms = series(merged, ms_tag).select("run", "step", F.col("value").alias("ms"))
-    rec = ms.join(F.broadcast(c), "run").filter("has_config").select(
+    rec = ms.join(c, "run").filter("has_config").select(
         "run", "step", (F.col("flops_per_token") * F.col("tokens_per_iter") / (F.col("ms") / 1000) / F.col("peak"))
         .alias("value"))
     stored = series(merged, mfu_tag).select("run", "step", "value")
     # runs without a usable config keep the stored series.
-    fallback = stored.join(F.broadcast(c.filter(~F.col("has_config")).select("run")), "run", "left_semi")
+    fallback = stored.join(c.filter(~F.col("has_config")).select("run"), "run", "left_semi")
     recomputed = rec.unionByName(fallback).withColumn("tag", F.lit("recomputed"))
     both = recomputed.unionByName(stored.withColumn("tag", F.lit("stored")))
     evals = series(merged, val_tag).select("run", "step")

@@ -3,6 +3,8 @@ J9, P10, P11, P17, P20)."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,27 +28,58 @@ def byte_vocab(spark, vocab_id: str = "bytes-v1") -> DataFrame:
 
 
 def bpe_vocab(spark, ranks: dict, vocab_id: str) -> DataFrame:
-    """Vocabulary of a rank table (rank = id) plus the end-of-text special."""
+    """Vocabulary of a rank table (rank = id), then end-of-text and the chat
+    delimiters at the first free ids."""
     rows = [(int(r), bytes(b), "bpe" if len(b) > 1 else "byte") for b, r in ranks.items()]
     eot = max(ranks.values()) + 1
-    rows.append((eot, EOT_STR.encode(), "eot"))
+    rows += [(eot, EOT_STR.encode(), "eot"), (eot + 1, IM_START_STR.encode(), "im_start"), (eot + 2, IM_END_STR.encode(), "im_end")]
     return spark.createDataFrame(rows, "id int, bytes binary, kind string").withColumn("vocab_id", F.lit(vocab_id))
 
 
 
-def hex_map(vocab: DataFrame, max_rows: int = 1 << 18):
-    """id -> hex(bytes) as a map literal. The vocabulary is bounded by its
-    size (checked), so it is safe to carry in the plan."""
-    n = vocab.count()
-    if n > max_rows:
-        raise ValueError(f"vocabulary of {n} rows exceeds {max_rows}")
-    rows = vocab.select("id", F.hex("bytes").alias("h")).collect()
-    return F.create_map(*[x for r in rows for x in (F.lit(r["id"]), F.lit(r["h"]))])
+def decoder(vocab: DataFrame):
+    """A column function ids -> text: concatenated token bytes, invalid UTF-8
+    replaced, ids without a token skipped (T6, J9).
 
+    The vocabulary (bounded by its size) travels to the workers as one byte
+    table; each Arrow batch is one ``take`` over it.
+    """
+    from pyspark.sql.functions import arrow_udf
 
-def decode(ids, hmap) -> F.Column:
-    """Ids -> text: concatenated token bytes, invalid UTF-8 replaced."""
-    return F.decode(F.unhex(F.array_join(F.transform(ids, lambda t: F.element_at(hmap, t)), "")), "UTF-8")
+    known = {r["id"]: bytes(r["bytes"]) for r in vocab.select("id", "bytes").collect()}
+    tokens = [known.get(i, b"") for i in range(max(known, default=-1) + 1)] + [b""]
+
+    def decode_batch(ids: pa.Array) -> pa.Array:
+        table = pa.array(tokens, pa.large_binary())
+        if ids.null_count:
+            ids = ids.fill_null(pa.scalar([], ids.type))
+        lengths = np.diff(ids.offsets.to_numpy())
+        flat = ids.flatten().to_numpy(zero_copy_only=False)
+        known_ids = np.where((flat < 0) | (flat >= len(tokens)), len(tokens) - 1, flat).astype(np.int64)
+        taken = table.take(pa.array(known_ids))
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[:len(taken) + 1] if len(taken) else np.zeros(1, np.int64)
+        data = taken.buffers()[2].to_pybytes() if len(taken) and taken.buffers()[2] is not None else b""
+        cuts = ends[np.concatenate(([0], np.cumsum(lengths)))]
+        return pa.array([data[x:y].decode("utf-8", "replace") for x, y in zip(cuts, cuts[1:])], pa.string())
+
+    fn = arrow_udf(decode_batch, "string")
+    return lambda ids: fn(F.col(ids) if isinstance(ids, str) else ids)
+
+
+def id_counts(docs: DataFrame, size: int) -> DataFrame:
+    """(id, occurrences) of the byte ids of all documents; each task adds up a
+    ``bincount`` per batch, so at most ``size`` rows leave it."""
+    from ..functions.tokens import _doc_list
+
+    def count(batches):
+        total = np.zeros(size, np.int64)
+        for b in batches:
+            total += np.bincount(_doc_list(b.column(0)).values.to_numpy(), minlength=size)
+        ids = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), pa.array(total[ids])], names=["id", "n"])
+
+    return (docs.where(F.col("text").isNotNull()).select("text").mapInArrow(count, "id int, n long")
+            .groupBy("id").agg(F.sum("n").alias("occurrences")))
 
 
 def check_vocab(manifest_vocab_id, vocab_id_col) -> F.Column:
@@ -74,6 +107,7 @@ def pin_after_eot(ids, first_eot, eot: int = EOT) -> F.Column:
 
 def answer_layout(user, reply, system=None) -> F.Column:
     """``system:`` / ``user:`` / ``assistant:`` lines of a chat answer."""
+    # Fixed prefixes of the printed answer.
     lines = [F.concat(F.lit("user:      "), user), F.concat(F.lit("assistant: "), reply)]
     if system is not None:
         lines.insert(0, F.when(F.coalesce(system, F.lit("")) != "", F.concat(F.lit("system:    "), system)))

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import IGNORE_INDEX
-from ..session import broadcast_checked
 
 TWO52 = float(2 ** 52)
 
@@ -59,14 +58,17 @@ def pick_shards(d: DataFrame, weights: DataFrame, split: str, seed: int, bucket:
     total = w.agg(F.max("total")).scalar()
     t = F.floor(uniform(seed, "step", "micro") * total)
     dd = d.withColumn("t", t).withColumn("bk", F.floor(F.col("t") / bucket))
-    j = dd.join(broadcast_checked(wb), "bk").filter((F.col("t") >= F.col("lo")) & (F.col("t") < F.col("lo") + F.col("tokens")))
+    j = dd.join(wb, "bk").filter((F.col("t") >= F.col("lo")) & (F.col("t") < F.col("lo") + F.col("tokens")))
     return j.select("step", "micro", "row", "split", "shard_id", F.col("tokens").alias("shard_tokens"))
 
 
 def text_starts(picked: DataFrame, block: int, seed: int) -> DataFrame:
-    """Uniform start in [0, len - T - 2] (X2: the upper bound is exclusive)."""
+    """Uniform start in [0, len - T - 2] (X2: the upper bound is exclusive); fails
+    if a drawn shard holds no window."""
     u = uniform(seed, "step", "micro", "row")
-    return picked.withColumn("start", F.floor(u * (F.col("shard_tokens") - block - 1)).cast("long"))
+    n = F.col("shard_tokens") - block - 1
+    ok = F.assert_true(n > 0, F.lit("a shard holds fewer than block_size + 2 tokens"))
+    return picked.withColumn("start", F.when(ok.isNull(), F.floor(u * n)).cast("long"))
 
 
 def valid_chat_starts(convs: DataFrame, shards: DataFrame, block: int) -> DataFrame:
@@ -86,21 +88,35 @@ def valid_chat_starts(convs: DataFrame, shards: DataFrame, block: int) -> DataFr
 
 def chat_starts(picked: DataFrame, valid: DataFrame, counts: DataFrame, seed: int) -> DataFrame:
     """Start = the ``floor(u * n_valid)``-th valid start of the shard."""
-    p = picked.join(broadcast_checked(counts.select("split", "shard_id", "n_valid")), ["split", "shard_id"])
+    p = picked.join(counts.select("split", "shard_id", "n_valid"), ["split", "shard_id"])
     p = p.withColumn("idx", F.floor(uniform(seed, "step", "micro", "row") * F.col("n_valid")).cast("long"))
     return p.join(valid, ["split", "shard_id", "idx"]).withColumnRenamed("shard_start", "start")
 
 
-def chunk_stream(rows: DataFrame, pos_col: str, len_col: str, arrays: list[str], block: int) -> DataFrame:
-    """Re-cut each shard's token stream into fixed ``block``-token chunks.
+def needed_chunks(starts: DataFrame, block: int) -> DataFrame:
+    """(split, shard_id, chunk): the chunks that drawn windows touch."""
+    first = F.floor(F.col("start") / block)
+    return starts.select("split", "shard_id", F.explode(F.array(first, first + 1)).alias("chunk")).distinct()
+
+
+def chunks_of(rows: DataFrame, pos_col: str, len_col: str, block: int) -> DataFrame:
+    """Each row once per chunk that it lies in."""
+    return rows.filter(F.col(len_col) > 0).select("*", F.explode(F.sequence(
+        F.floor(F.col(pos_col) / block), F.floor((F.col(pos_col) + F.col(len_col) - 1) / block))).alias("chunk"))
+
+
+def chunk_stream(rows: DataFrame, pos_col: str, len_col: str, arrays: list[str], block: int,
+                 needed: DataFrame | None = None) -> DataFrame:
+    """Re-cut each shard's token stream into fixed ``block``-token chunks, or
+    into the ``needed`` ones of them.
 
     ``rows``: (split, shard_id, pos, len, *arrays) with ``pos`` the row's first
     position in its shard. Output: (split, shard_id, chunk, *arrays) with each
     chunk's arrays in stream order; a chunk holds at most ``block`` tokens.
     """
-    r = rows.filter(F.col(len_col) > 0)
-    r = r.select("*", F.explode(F.sequence(F.floor(F.col(pos_col) / block),
-                                           F.floor((F.col(pos_col) + F.col(len_col) - 1) / block))).alias("chunk"))
+    r = chunks_of(rows, pos_col, len_col, block)
+    if needed is not None:
+        r = r.join(needed, ["split", "shard_id", "chunk"], "left_semi")
     a = F.greatest(F.col(pos_col), F.col("chunk") * block)
     b = F.least(F.col(pos_col) + F.col(len_col), (F.col("chunk") + 1) * block)
     pieces = r.select("split", "shard_id", "chunk", (a - F.col("chunk") * block).alias("off"),

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from ..functions.tokens import doc_ids, ids_digest
 from ..operators import corpus as K
 from ..schemas import EOT, CorpusSpec
-from ..session import broadcast_checked, scratch_path
+from ..session import scratch_path
 from .registry import query, table
 from .sqlfrag import bytes_of, digest
 
@@ -174,26 +176,54 @@ def resume_skip(spark, sf):
     return K.shard_table(sb2).select("shard_id", "file", "tokens", "docs", "first_batch", "last_batch")
 
 
-@query("text_shard_files", f"""
-WITH RECURSIVE {_D}, {_SPLITS}, {_BATCH},
-wr AS (SELECT sb.split, sb.shard_id, count(*) AS docs FROM st JOIN sb USING (split, batch)
-       WHERE st.n_kept > 0 GROUP BY sb.split, sb.shard_id)
-SELECT split, shard_id, file, tokens, sh.docs AS consumed, wr.docs, first_batch, last_batch
-FROM sh JOIN wr USING (split, shard_id)""")
-def text_shard_files(spark, sf):
-    """The whole text job: encode every consumed document, trim, write token
-    shards partitioned by (split, shard_id) (S6), and summarise what was written."""
+def _files_sql(splits: str) -> str:
+    return f"""
+WITH RECURSIVE {_D}, {splits}, {_BATCH},
+wr AS (SELECT split, shard_id, count(*) AS docs, md5(string_agg(m, ',' ORDER BY doc_id)) AS ids_md5
+       FROM (SELECT sb.split, sb.shard_id, st.doc_id,
+                    md5(array_to_string(list_transform(list_slice({DOC_IDS_SQL}, 1, n_kept),
+                                                       lambda x: printf('%02x%02x', x % 256, x // 256)), '')) AS m
+             FROM st JOIN sb USING (split, batch) JOIN d USING (doc_id) WHERE st.n_kept > 0)
+       GROUP BY split, shard_id)
+SELECT split, shard_id, file, tokens, sh.docs AS consumed, wr.docs, first_batch, last_batch, ids_md5
+FROM sh JOIN wr USING (split, shard_id)"""
+
+
+def _write_and_read(spark, sf, spec):
     docs = _docs(spark, sf)
-    streams, sb, shards, _ = K.tokenize_corpus(docs, SPEC)
+    streams, sb, shards, _ = K.tokenize_corpus(docs, spec)
     out = scratch_path(spark, "text-shards")
-    K.write_shards(K.shard_rows(docs, streams, sb), out)
+    K.write_shards(K.shard_rows(docs, streams, sb), out, shards.count())
     back = spark.read.parquet(out)
+    per_doc = F.array_sort(F.collect_list(F.struct("doc_id", F.md5(F.lower(F.hex("tokens"))).alias("m"))))
     written = back.groupBy("split", F.col("shard_id").cast("int").alias("shard_id")).agg(
         (F.sum(F.octet_length("tokens")) / 2).cast("long").alias("tokens"),
-        F.count(F.lit(1)).cast("long").alias("docs"))
+        F.count(F.lit(1)).cast("long").alias("docs"),
+        F.md5(F.array_join(F.transform(per_doc, lambda x: x["m"]), ",")).alias("ids_md5"))
     # Documents trimmed to nothing by the cap are consumed but not written.
     consumed = shards.select("split", F.col("shard_id").cast("int").alias("shard_id"), "first_batch",
                              "last_batch", F.col("docs").alias("consumed"))
-    return written.join(broadcast_checked(consumed), ["split", "shard_id"]).select(
+    return written.join(consumed, ["split", "shard_id"]).select(
         "split", "shard_id", F.format_string("%s_%06d.bin", F.col("split"), F.col("shard_id")).alias("file"),
-        "tokens", "consumed", "docs", "first_batch", "last_batch")
+        "tokens", "consumed", "docs", "first_batch", "last_batch", "ids_md5")
+
+
+@query("text_shard_files", _files_sql(_SPLITS))
+def text_shard_files(spark, sf):
+    """The whole text job: encode every consumed document, trim, write token
+    shards partitioned by (split, shard_id) (S6), and summarise what was
+    written, with an md5 over the md5s of each document's uint16 bytes."""
+    return _write_and_read(spark, sf, SPEC)
+
+
+_CAPPED = (_stream_sql("v", "o", "0", VAL_TOKENS, "val")
+           + ",\nvc AS (SELECT coalesce(max(doc_ord) + 1, 0) AS consumed FROM v),"
+           + _stream_sql("t", "o", "(SELECT consumed FROM vc)", CAP, "train")
+           + ",\nst AS (SELECT * FROM v UNION ALL SELECT * FROM t)")
+
+
+@query("text_shard_files_capped", _files_sql(_CAPPED))
+def text_shard_files_capped(spark, sf):
+    """The text job with a token cap on train: documents past the cap are not
+    written and the last batch is trimmed (W3, O4)."""
+    return _write_and_read(spark, sf, dataclasses.replace(SPEC, max_tokens=CAP))

@@ -12,10 +12,11 @@ from ..schemas import BYTE_VOCAB_SIZE, EOT, EOT_STR, padded_vocab
 from .registry import query, table
 from .text_queries import DOC_IDS_SQL
 
-# Stand-in rank table: the base GPT-2 rank file is not available offline, so
-# the BPE path is exercised with single bytes plus the K most frequent byte
-# pairs of the documents (ranks 256.., ties by pair code).
+# Rank table derived from the corpus: single bytes, the most frequent byte pairs
+# (ranks 256.., ties by pair code), and the most frequent words' beginnings of
+# three and four bytes that such pairs make up, so that merges chain.
 K_MERGES = 200
+K_WORDS = 200
 
 
 def _docs(spark, sf):
@@ -29,6 +30,12 @@ def fixture_ranks(spark, sf) -> dict:
     ranks = {bytes([b]): b for b in range(256)}
     for i, r in enumerate(top):
         ranks[bytes([r["prev"], r["cur"]])] = 256 + i
+    words = table(spark, sf, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("[a-z]{4,}"), F.lit(0))).alias("w"))
+    starts = words.select(F.substring("w", 1, 4).alias("w")).groupBy("w").count().orderBy(F.desc("count"), "w").limit(K_WORDS).collect()
+    for w in (r["w"].encode() for r in starts):
+        if w[:2] in ranks:
+            ranks.setdefault(w[:3], len(ranks))
+            ranks.setdefault(w, len(ranks))
     return ranks
 
 
@@ -43,8 +50,7 @@ SELECT v.id, CASE WHEN v.id < 256 THEN 'byte' WHEN v.id = 256 THEN 'eot' WHEN v.
 FROM v LEFT JOIN f USING (id)""")
 def vocab_table(spark, sf):
     v = V.byte_vocab(spark)
-    occ = _docs(spark, sf).select(F.explode(doc_ids("text")).alias("id")).groupBy("id") \
-        .agg(F.count(F.lit(1)).alias("occurrences"))
+    occ = V.id_counts(_docs(spark, sf), BYTE_VOCAB_SIZE)
     return v.join(occ, "id", "left").select(
         "id", "kind", F.hex("bytes").alias("bytes_hex"), F.coalesce("occurrences", F.lit(0)).alias("occurrences"),
         F.lit(BYTE_VOCAB_SIZE).alias("n_vocab"), F.lit(padded_vocab(BYTE_VOCAB_SIZE)).alias("padded_vocab"))
@@ -56,8 +62,8 @@ SELECT doc_id, md5(text || '{EOT_STR}') AS text_md5,
 FROM documents WHERE text IS NOT NULL""")
 def decode_tokens(spark, sf):
     d = _docs(spark, sf)
-    hm = V.hex_map(V.byte_vocab(spark))
-    dec = V.decode(doc_ids("text"), hm)
+    d = d.select("doc_id", "source", V.decoder(V.byte_vocab(spark))(doc_ids("text")).alias("decoded"))
+    dec = F.col("decoded")
     return d.select("doc_id", F.md5(dec).alias("text_md5"),
                     F.md5(V.answer_layout(F.col("source"), dec)).alias("answer_md5"))
 
@@ -94,22 +100,33 @@ def generation_cleanup(spark, sf):
                     ids_digest(V.pin_after_eot(F.col("gen"), F.col("first_eot"))).alias("pinned_md5"))
 
 
-@query("pretoken_counts")
+# DuckDB's regexes know no look-ahead: a white-space run of two or more before
+# other text is one piece there, and the run without its last character is one
+# piece here. If that last one is a space it joins the next piece (the same
+# number of pieces); otherwise it is a piece of its own, counted by the second term.
+@query("pretoken_counts", r"""
+SELECT doc_id,
+       CAST(len(regexp_extract_all(text, '\'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+'))
+            + len(regexp_extract_all(text, '\s[\t\n\r\f]\S')) AS BIGINT) AS n_pieces,
+       md5(text) AS text_md5
+FROM documents WHERE text IS NOT NULL""".replace("\\'", "''"))
 def pretoken_counts(spark, sf):
-    """Distinct pre-tokens of the GPT-2 split pattern with their counts (no
-    SQL oracle: DuckDB regexes lack look-ahead; checked against Python regex
-    in the tests)."""
-    return BPE.pretokens(_docs(spark, sf)).groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    """Pre-tokens of the split pattern per document, and the md5 of all of them
+    joined, which must be the text's (T1)."""
+    p = BPE.pretokens(_docs(spark, sf))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "piece"))), lambda x: x["piece"]), "")
+    counted = p.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pieces"), F.md5(joined).alias("text_md5"))
+    return _docs(spark, sf).select("doc_id").join(counted, "doc_id", "left").select(
+        "doc_id", F.coalesce("n_pieces", F.lit(0)).alias("n_pieces"), F.coalesce("text_md5", F.md5(F.lit(""))).alias("text_md5"))
 
 
 @query("bpe_roundtrip", """
 SELECT doc_id, md5(text || '<|endoftext|>') AS text_md5 FROM documents WHERE text IS NOT NULL""")
 def bpe_roundtrip(spark, sf):
-    """Encode every document with the stand-in BPE rank table, decode, and
-    digest: decode(encode(text)) must reproduce the text (U1, T6)."""
+    """Encode every document with a BPE rank table, decode, and digest:
+    decode(encode(text)) must reproduce the text (U1, T6)."""
     ranks = fixture_ranks(spark, sf)
     eot = max(ranks.values()) + 1
-    docs = _docs(spark, sf)
-    enc = BPE.bpe_encode(docs.select("doc_id", "text"), ranks, eot)
-    hm = V.hex_map(V.bpe_vocab(spark, ranks, "fixture-bpe"))
-    return enc.select("doc_id", F.md5(V.decode(F.col("ids"), hm)).alias("text_md5"))
+    enc = BPE.bpe_encode(_docs(spark, sf).select("doc_id", "text"), ranks, eot)
+    dec = V.decoder(V.bpe_vocab(spark, ranks, "fixture-bpe"))
+    return enc.select("doc_id", F.md5(dec("ids")).alias("text_md5"))

@@ -15,7 +15,6 @@ from . import chat_queries as CQ
 from . import text_queries as TQ
 from .registry import query, table
 from .sqlfrag import bytes_of
-from ..session import broadcast_checked
 
 # Test-scale parameters (survey 7.4): T = 256; 20 steps x 2 micro-batches x 8 rows.
 T = 256
@@ -157,11 +156,15 @@ SELECT step, micro, row, shard_id, start, md5(array_to_string(list_slice(win, 1,
        md5(array_to_string(list_slice(win, 2, {T + 1}), ',')) AS y_md5 FROM cat""")
 def window_gather(spark, sf):
     starts, (docs, streams, sb, shards) = _text_starts(spark, sf)
-    rows = K.shard_tokens_rows(streams.filter("split = 'train'"), sb, docs)
-    base = rows.groupBy("split", "shard_id").agg(F.min("tok_start").alias("__b"))
-    rows = rows.join(broadcast_checked(base), ["split", "shard_id"]) \
-        .withColumn("pos", F.col("tok_start") - F.col("__b"))
-    chunks = W.chunk_stream(rows, "pos", "n_kept", ["tokens"], T)
+    # Only documents that a drawn window touches are encoded.
+    place = streams.filter("split = 'train'").join(sb.select("split", "batch", "shard_id"), ["split", "batch"])
+    base = place.groupBy("split", "shard_id").agg(F.min("tok_start").alias("__b"))
+    place = place.join(base, ["split", "shard_id"]).withColumn("pos", F.col("tok_start") - F.col("__b"))
+    needed = W.needed_chunks(starts, T)
+    touched = W.chunks_of(place, "pos", "n_kept", T).join(needed, ["split", "shard_id", "chunk"], "left_semi").select("doc_id").distinct()
+    rows = K.shard_tokens_rows(streams.filter("split = 'train'").join(touched, "doc_id", "left_semi"), sb, docs)
+    rows = rows.join(place.select("doc_id", "pos"), "doc_id")
+    chunks = W.chunk_stream(rows, "pos", "n_kept", ["tokens"], T, needed)
     win = W.text_windows(W.gather(starts, chunks, ["tokens"], T), T)
     return win.select("step", "micro", "row", "shard_id", "start",
                       ids_digest("x").alias("x_md5"), ids_digest("y").alias("y_md5"))
@@ -176,7 +179,7 @@ def chat_window_starts(spark, sf):
 def _chat_windows(spark, sf):
     starts, convs = _chat_starts(spark, sf)
     rows = convs.filter("split = 'train'").select("split", "shard_id", "shard_start", "n_tokens", "tokens", "mask")
-    chunks = W.chunk_stream(rows, "shard_start", "n_tokens", ["tokens", "mask"], T)
+    chunks = W.chunk_stream(rows, "shard_start", "n_tokens", ["tokens", "mask"], T, W.needed_chunks(starts, T))
     return W.chat_windows(W.gather(starts, chunks, ["tokens", "mask"], T), T)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
@@ -27,6 +27,8 @@ DEFAULT_PEAK_FLOPS = 71e12
 UTILISATION_TOLERANCE = 0.02
 # Seed of every counter-based draw.
 SEED = 1337
+# Model shape the parameter count and the utilisation are stated for.
+MODEL_VOCAB, MODEL_BLOCK, MODEL_LAYERS, MODEL_HEADS, MODEL_WIDTH, MODEL_FF = 50304, 512, 8, 8, 512, 2048
 # --- end of fixed values -----------------------------------------------------
 
 # Byte vocabulary: ids 0..255 are UTF-8 bytes, then the three specials. The base
@@ -39,6 +41,23 @@ IM_END = 258
 BYTE_VOCAB_SIZE = 259
 
 
+@dataclass(frozen=True)
+class Vocab:
+    """What encoding needs to know of a vocabulary; ``rank_file`` is a path all
+    workers can read, or None for bytes."""
+    name: str
+    eot: int
+    im_start: int
+    im_end: int
+    text_size: int
+    chat_size: int
+    newline: tuple
+    rank_file: str | None = None
+
+
+BYTES = Vocab("bytes", EOT, IM_START, IM_END, BYTE_VOCAB_SIZE, BYTE_VOCAB_SIZE, (10,))
+
+
 def padded_vocab(n: int, multiple: int = 64) -> int:
     """Vocabulary rows rounded up to a multiple of 64 (embedding padding)."""
     return -(-n // multiple) * multiple
@@ -135,6 +154,7 @@ class CorpusSpec:
     max_tokens: int | None = None
     batch_docs: int = REFERENCE_BATCH_DOCS
     shard_tokens: int = REFERENCE_SHARD_TOKENS
+    rank_file: str | None = None  # BPE ranks; None: bytes
 
     def __post_init__(self):
         for k in ("val_tokens", "max_tokens"):
@@ -155,6 +175,7 @@ class ChatSpec:
     val_examples: int | None = REFERENCE_VAL_EXAMPLES
     shard_tokens: int = REFERENCE_SHARD_TOKENS
     train_roles: tuple = ("assistant",)
+    rank_file: str | None = None
 
     def __post_init__(self):
         for k in ("max_examples", "val_examples"):
@@ -176,10 +197,9 @@ class WindowSpec:
 
 @dataclass(frozen=True)
 class ModelConfig:
-    vocab_size: int = 50304
-    block_size: int = 512
-    n_layer: int = 8
-    n_head: int = 8
-    n_embd: int = 512
-    d_ff: int = 2048
-    extra: dict = field(default_factory=dict)
+    vocab_size: int = MODEL_VOCAB
+    block_size: int = MODEL_BLOCK
+    n_layer: int = MODEL_LAYERS
+    n_head: int = MODEL_HEADS
+    n_embd: int = MODEL_WIDTH
+    d_ff: int = MODEL_FF

@@ -50,13 +50,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names shared storage and is used as given. Only
-    when neither it nor a context checkpoint directory is set (local tests) do
-    we create one, and only then under the local temp directory.
+    On a cluster the setting names shared storage and is used as given; it must
+    be set there. Only a local master (tests) without it gets a folder under the
+    local temp directory.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="shardwright-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
@@ -93,9 +95,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-
-
-
 def spread(df):
     """Round-robin a scan across the default parallelism when it arrived in
     fewer splits (e.g. a single-row-group file), so per-row encoding work is
@@ -106,14 +105,3 @@ def spread(df):
         return df.repartition(target)
     return df
 
-
-# Row limit for tables broadcast after a size check (shard tables and other
-# per-shard / per-series tables whose size grows with data / shard size).
-BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_checked(df, max_rows: int = BROADCAST_ROWS):
-    """Broadcast ``df`` only if a row count proves it small; otherwise leave
-    the join strategy to the planner (shuffle join)."""
-    from pyspark.sql import functions as F
-    return F.broadcast(df) if df.count() <= max_rows else df

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 def metrics_to_scalars(wide: DataFrame, run: str, path: str, metric_cols: list[str],
                        step_col: str = "step", time_col: str = "wall_time") -> DataFrame:
     """Unpivot a wide metrics table into scalar-log rows (S13); null metrics
-    (not logged at that step) are dropped."""
+    (not logged at that step) are dropped. ``seq`` follows the step, then the
+    metric's place in ``metric_cols``."""
+    place = F.array_position(F.array(*[F.lit(c) for c in metric_cols]), F.col("tag")) - 1
     long = wide.unpivot([step_col, time_col], metric_cols, "tag", "value")
     return long.filter(F.col("value").isNotNull()).select(
         F.lit(run).alias("run"), F.lit(path).alias("path"),
-        F.monotonically_increasing_id().alias("seq"), "tag", F.col(step_col).cast("long").alias("step"),
+        (F.col(step_col) * len(metric_cols) + place).cast("long").alias("seq"), "tag", F.col(step_col).cast("long").alias("step"),
         F.col("value").cast("double").alias("value"), F.col(time_col).alias("wall_time"))
 
 

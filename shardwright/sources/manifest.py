@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import BYTE_VOCAB_SIZE, EOT, IM_END, IM_START, MANIFEST, ChatSpec, id_dtype
+from ..schemas import BYTES, MANIFEST, ChatSpec, Vocab, id_dtype
 
 
-def chat_manifest(shards: DataFrame, counters: DataFrame, spec: ChatSpec, n_vocab: int = BYTE_VOCAB_SIZE,
-                  encoding: str = "bytes-chat") -> DataFrame:
+def chat_manifest(shards: DataFrame, counters: DataFrame, spec: ChatSpec, vocab: Vocab = BYTES) -> DataFrame:
     """One-row chat manifest: delimiters, ``chat = true``, ``max_len``, and per
     split tokens, supervised tokens, examples and shards (no bytes); the
     end-of-text id is the turn end, which is what generation stops on."""
@@ -23,10 +22,10 @@ def chat_manifest(shards: DataFrame, counters: DataFrame, spec: ChatSpec, n_voca
                                                          s["examples"].cast("long").alias("examples"))).alias("shards"))
     return per.agg(F.map_from_entries(F.collect_list(F.struct("split", info))).alias("splits")).select(
         F.lit(spec.name).alias("dataset"), F.lit(spec.source).alias("source"),
-        F.lit(spec.config).cast("string").alias("config"), F.lit(encoding).alias("encoding"),
-        F.lit(id_dtype(n_vocab)).alias("dtype"), F.lit(n_vocab).cast("long").alias("vocab_size"),
-        F.lit(IM_END).cast("long").alias("eot_token"), F.lit(IM_START).cast("long").alias("im_start"),
-        F.lit(IM_END).cast("long").alias("im_end"), F.lit(True).alias("chat"),
+        F.lit(spec.config).cast("string").alias("config"), F.lit(vocab.name + "-chat").alias("encoding"),
+        F.lit(id_dtype(vocab.chat_size)).alias("dtype"), F.lit(vocab.chat_size).cast("long").alias("vocab_size"),
+        F.lit(vocab.im_end).cast("long").alias("eot_token"), F.lit(vocab.im_start).cast("long").alias("im_start"),
+        F.lit(vocab.im_end).cast("long").alias("im_end"), F.lit(True).alias("chat"),
         F.lit(spec.max_len).cast("long").alias("max_len"), "splits")
 
 

@@ -1,11 +1,11 @@
 """Raw token-shard files: export (S6/S7) and a Python Data Source.
 
-A chat shard is three flat little-endian files with no header:
-``{split}_{i:06d}.bin`` (uint16 ids), ``.mask.bin`` (uint8) and ``.idx.bin``
-(uint64 start of each conversation in the shard). Export runs one shard per
-task group after ``repartition(split, shard_id)``; each file is written under a
-temporary name and renamed, so a retried task simply rewrites it. Paths go
-through ``pyarrow.fs``, so local folders, HDFS and object-store URIs all work.
+A text shard is one flat little-endian file without a header,
+``{split}_{i:06d}.bin``; a chat shard adds ``.mask.bin`` (uint8) and ``.idx.bin``
+(uint64 start of each conversation in the shard). Rows are streamed to files
+under a temporary name, renamed when the shard is complete, so memory holds one
+Arrow batch and a retried task rewrites its shards. Paths go through
+``pyarrow.fs``; one without a scheme is resolved as Spark resolves it.
 """
 
 from __future__ import annotations
@@ -17,6 +17,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+# Tokens of one row when a shard has no conversations, and of one read task.
+CHUNK_TOKENS = 1 << 16
+TASK_TOKENS = 1 << 24
+
+
+def resolve(spark, path: str) -> str:
+    """A path without a scheme belongs to the default file system."""
+    if "://" in path or path.startswith("file:"):
+        return path
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    return os.path.abspath(path) if default.startswith("file:") else default.rstrip("/") + "/" + path.lstrip("/")
+
 
 def _fs(path: str):
     """(filesystem, path inside it) for a local path or a URI."""
@@ -28,101 +40,146 @@ def _fs(path: str):
     return pafs.FileSystem.from_uri(path)
 
 
-def _atomic_write(path: str, arr: np.ndarray) -> None:
-    fs, p = _fs(path)
-    tmp = f"{p}.tmp-{os.getpid()}"
-    with fs.open_output_stream(tmp) as f:
-        f.write(arr.tobytes())
-    fs.move(tmp, p)
+class _Files:
+    """The files of one shard, written under temporary names."""
 
+    def __init__(self, stem: str, suffixes: list[str]):
+        self.fs, p = _fs(stem)
+        self.names = [(f"{p}{s}.tmp-{os.getpid()}", p + s) for s in suffixes]
+        self.streams = [self.fs.open_output_stream(t) for t, _ in self.names]
 
-def _read(path: str, dtype) -> np.ndarray:
-    fs, p = _fs(path)
-    with fs.open_input_file(p) as f:
-        return np.frombuffer(f.read(), dtype=dtype)
+    def write(self, *parts) -> None:
+        for stream, part in zip(self.streams, parts):
+            stream.write(part)
 
+    def close(self) -> None:
+        for stream, (tmp, name) in zip(self.streams, self.names):
+            stream.close()
+            self.fs.move(tmp, name)
 
-def export_chat_shards(convs: DataFrame, out_dir: str, dtype: str = "uint16") -> DataFrame:
-    """Write one .bin/.mask.bin/.idx.bin triple per (split, shard_id).
 
-    ``convs``: (split, shard_id, kord, shard_start, tokens, mask). Returns the
-    written files with token and example counts."""
+def _export(rows: DataFrame, out_dir: str, n_shards: int, order: str, suffixes: list[str], encode) -> DataFrame:
+    """Streams rows sorted by (split, shard_id, order) to one set of files per
+    shard; ``encode(batch, i, j)`` gives the bytes of rows i..j for each suffix
+    and their numbers of tokens and examples."""
+    out_dir = resolve(rows.sparkSession, out_dir)
     fs, root = _fs(out_dir)
     fs.create_dir(root, recursive=True)
-    rows = convs.select("split", "shard_id", "kord", "shard_start", "tokens", "mask") \
-        .repartition("split", "shard_id").sortWithinPartitions("split", "shard_id", "kord")
+    rows = rows.repartition(max(1, n_shards), "split", "shard_id").sortWithinPartitions("split", "shard_id", order)
 
     def write(batches):
-        cur, toks, masks, starts = None, [], [], []
-
-        def flush():
-            split, shard = cur
-            stem = f"{out_dir.rstrip('/')}/{split}_{shard:06d}"
-            t = np.concatenate(toks).astype(dtype) if toks else np.zeros(0, dtype)
-            m = np.concatenate(masks).astype(np.uint8) if masks else np.zeros(0, np.uint8)
-            _atomic_write(stem + ".bin", t.astype("<" + np.dtype(dtype).str[1:]))
-            _atomic_write(stem + ".mask.bin", m)
-            _atomic_write(stem + ".idx.bin", np.asarray(starts, dtype="<u8"))
-            return (split, shard, f"{split}_{shard:06d}.bin", int(len(t)), int(len(starts)))
-
-        out = []
+        files, at, done = None, None, []
         for b in batches:
-            d = b.to_pydict()
-            for i in range(b.num_rows):
-                key = (d["split"][i], int(d["shard_id"][i]))
-                if cur is not None and key != cur:
-                    out.append(flush())
-                    toks, masks, starts = [], [], []
-                cur = key
-                toks.append(np.asarray(d["tokens"][i], dtype=np.int64))
-                masks.append(np.asarray(d["mask"][i], dtype=np.int64))
-                starts.append(int(d["shard_start"][i]))
-        if cur is not None:
-            out.append(flush())
-        if out:
-            cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string()),
-                 pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64())],
+            split, shard = b.column(0), b.column(1).to_numpy(zero_copy_only=False)
+            names = np.array(split.to_pylist(), dtype=object)
+            new = np.flatnonzero((shard[1:] != shard[:-1]) | (names[1:] != names[:-1])) + 1
+            edges = [0, *new.tolist(), b.num_rows] if b.num_rows else []
+            for i, j in zip(edges, edges[1:]):
+                key = (names[i], int(shard[i]))
+                if key != at:
+                    if files:
+                        files.close()
+                    at, files = key, _Files(f"{out_dir.rstrip('/')}/{key[0]}_{key[1]:06d}", suffixes)
+                    done.append([*key, f"{key[0]}_{key[1]:06d}.bin", 0, 0])
+                parts, tokens, examples = encode(b, i, j)
+                files.write(*parts)
+                done[-1][3] += tokens
+                done[-1][4] += examples
+        if files:
+            files.close()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                zip(*done), (pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64()))],
                 names=["split", "shard_id", "file", "tokens", "examples"])
 
     return rows.mapInArrow(write, "split string, shard_id int, file string, tokens long, examples long")
 
 
-class _ShardPartition(InputPartition):
-    def __init__(self, stem: str, split: str, shard: int):
-        super().__init__(stem)
-        self.stem, self.split, self.shard = stem, split, shard
+def export_text_shards(rows: DataFrame, out_dir: str, n_shards: int) -> DataFrame:
+    """Flat .bin files of (split, shard_id, doc_id, n_kept, tokens BINARY) rows in doc_id order."""
+    def encode(b, i, j):
+        return ([b"".join(b.column(4).slice(i, j - i).to_pylist())], int(b.column(3).slice(i, j - i).to_numpy().sum()), j - i)
+
+    return _export(rows.select("split", "shard_id", "doc_id", "n_kept", "tokens"), out_dir, n_shards, "doc_id", [".bin"], encode)
+
+
+def export_chat_shards(convs: DataFrame, out_dir: str, dtype: str = "uint16", n_shards: int | None = None) -> DataFrame:
+    """One .bin/.mask.bin/.idx.bin triple per (split, shard_id) of
+    (split, shard_id, kord, shard_start, tokens, mask) rows. Returns the written
+    files with token and example counts."""
+    def flat(column, i, j, kind):
+        return column.slice(i, j - i).flatten().to_numpy(zero_copy_only=False).astype(kind)
+
+    def encode(b, i, j):
+        tokens = flat(b.column(4), i, j, np.dtype(dtype).newbyteorder("<"))
+        return ([tokens.tobytes(), flat(b.column(5), i, j, np.uint8).tobytes(),
+                 b.column(3).slice(i, j - i).to_numpy().astype("<u8").tobytes()], len(tokens), j - i)
+
+    n = n_shards or convs.sparkSession.sparkContext.defaultParallelism
+    return _export(convs.select("split", "shard_id", "kord", "shard_start", "tokens", "mask"), out_dir, n, "kord",
+                   [".bin", ".mask.bin", ".idx.bin"], encode)
+
+
+class _Range(InputPartition):
+    """Rows first..last of a shard: conversations, or chunks of a text shard."""
+
+    def __init__(self, stem: str, split: str, shard: int, first: int, last: int, chat: bool):
+        super().__init__((stem, first))
+        self.stem, self.split, self.shard, self.first, self.last, self.chat = stem, split, shard, first, last, chat
 
 
 class TokenShardReader(DataSourceReader):
-    def __init__(self, path: str, dtype: str):
-        self.path, self.dtype = path, dtype
+    """Reads byte ranges of shards, an Arrow batch per range."""
+
+    def __init__(self, path: str, dtype: str, chunk: int):
+        self.path, self.dtype, self.chunk = path, np.dtype(dtype).newbyteorder("<"), chunk
 
     def partitions(self):
         from pyarrow import fs as pafs
         fs, root = _fs(self.path)
-        infos = fs.get_file_info(pafs.FileSelector(root))
-        names = sorted(i.base_name[:-len(".idx.bin")] for i in infos if i.base_name.endswith(".idx.bin"))
+        sizes = {i.base_name: i.size for i in fs.get_file_info(pafs.FileSelector(root)) if i.is_file}
         parts = []
-        for st in names:
-            split, num = st.rsplit("_", 1)
-            parts.append(_ShardPartition(f"{self.path.rstrip('/')}/{st}", split, int(num)))
+        for name in sorted(n for n in sizes if n.endswith(".bin") and n.count(".") == 1):
+            stem = name[:-len(".bin")]
+            split, num = stem.rsplit("_", 1)
+            chat = f"{stem}.idx.bin" in sizes
+            tokens = sizes[name] // self.dtype.itemsize
+            rows = sizes[f"{stem}.idx.bin"] // 8 if chat else -(-tokens // self.chunk)
+            step = max(1, rows * TASK_TOKENS // max(1, tokens))
+            parts += [_Range(f"{self.path.rstrip('/')}/{stem}", split, int(num), a, min(a + step, rows), chat)
+                      for a in range(0, rows, step)]
         return parts
 
+    def _read(self, path: str, dtype, first: int, last: int | None) -> np.ndarray:
+        fs, p = _fs(path)
+        width = np.dtype(dtype).itemsize
+        with fs.open_input_file(p) as f:
+            end = f.size() if last is None else min(last * width, f.size())
+            return np.frombuffer(f.read_at(max(0, end - first * width), first * width), dtype=dtype)
+
     def read(self, partition):
-        toks = _read(partition.stem + ".bin", np.dtype(self.dtype).newbyteorder("<"))
-        mask = _read(partition.stem + ".mask.bin", np.uint8)
-        idx = _read(partition.stem + ".idx.bin", "<u8").astype(np.int64)
-        ends = np.append(idx[1:], len(toks))
-        for i, (a, b) in enumerate(zip(idx.tolist(), ends.tolist())):
-            yield (partition.split, partition.shard, i, a, toks[a:b].astype(np.int32).tolist(),
-                   mask[a:b].astype(np.int32).tolist())
+        r = partition
+        if r.chat:
+            starts = self._read(r.stem + ".idx.bin", "<u8", r.first, r.last + 1).astype(np.int64)
+            n = r.last - r.first
+            tokens = self._read(r.stem + ".bin", self.dtype, int(starts[0]), int(starts[n]) if len(starts) > n else None)
+            mask = self._read(r.stem + ".mask.bin", np.uint8, int(starts[0]), int(starts[0]) + len(tokens))
+            cuts = np.append(starts[:n], starts[0] + len(tokens)) - starts[0]
+        else:
+            tokens = self._read(r.stem + ".bin", self.dtype, r.first * self.chunk, r.last * self.chunk)
+            starts = np.arange(r.first, r.last, dtype=np.int64) * self.chunk
+            n, mask = len(starts), None
+            cuts = np.append(starts - starts[0], len(tokens))
+        lists = lambda v: pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(v.astype(np.int32)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r.split] * n), pa.array([r.shard] * n, pa.int32()), pa.array(np.arange(r.first, r.last), pa.int32()),
+             pa.array(starts[:n]), lists(tokens), pa.nulls(n, pa.list_(pa.int32())) if mask is None else lists(mask)],
+            names=["split", "shard_id", "example", "shard_start", "tokens", "mask"])
 
 
 class TokenShardDataSource(DataSource):
     """``spark.read.format("token_shard").option("dtype", "uint16").load(dir)``:
-    one partition per shard, one row per conversation (S8)."""
+    one row per conversation of a chat shard, or per ``chunk`` tokens of a text
+    shard (mask null) (S8)."""
 
     @classmethod
     def name(cls):
@@ -133,7 +190,8 @@ class TokenShardDataSource(DataSource):
                 "tokens array<int>, mask array<int>")
 
     def reader(self, schema):
-        return TokenShardReader(self.options.get("path"), self.options.get("dtype", "uint16"))
+        return TokenShardReader(self.options.get("path"), self.options.get("dtype", "uint16"),
+                                int(self.options.get("chunk", CHUNK_TOKENS)))
 
 
 def register(spark) -> None:

@@ -10,6 +10,7 @@ checkpoint location.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,10 +20,13 @@ from ..schemas import DOCUMENTS
 
 
 def _prior_state(spark: SparkSession, state_dir: str, batch_id: int):
-    """(tokens, docs) after the last committed batch before ``batch_id``."""
+    """(tokens, docs) after the last committed batch before ``batch_id``. Only a
+    missing folder means that there is no state yet; an unreadable one fails."""
     try:
-        st = spark.read.parquet(state_dir)
-    except Exception:  # noqa: BLE001 - no state yet on the first batch
+        st = spark.read.schema("tokens long, docs long, batch_id long").parquet(state_dir)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return 0, 0
     row = st.filter(F.col("batch_id") < batch_id).orderBy(F.desc("batch_id")).limit(1).collect()
     return (int(row[0]["tokens"]), int(row[0]["docs"])) if row else (0, 0)

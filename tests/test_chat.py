@@ -67,3 +67,16 @@ def test_chat_windows_open_on_im_start_and_arrays_align(spark):
     bad = convs.filter((F.size("tokens") != F.size("mask")) | (F.size("tokens") != F.col("n_tokens"))
                        | (F.col("tokens")[0] != IM_START)).count()
     assert bad == 0
+
+
+def test_fit_counts_turns_by_rank_and_sees_empty_conversations(spark):
+    rows = []
+    for c, numbers in ((1, (0, 1)), (2, (10, 20)), (3, (-5, 700))):
+        rows += [(c, numbers[0], "user", "abc"), (c, numbers[1], "assistant", "defg")]
+    t = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    kept = C.fit_turns(t, 40).groupBy("conv_id").count().collect()
+    assert sorted((r.conv_id, r["count"]) for r in kept) == [(1, 2), (2, 2), (3, 2)]
+    nested = spark.createDataFrame([(1, [("user", "a"), ("assistant", "b")]), (2, []), (3, None)],
+                                   "conv_id long, messages array<struct<role:string,content:string>>")
+    c = C.outcome_counters(C.conversation_outcomes(C.turns_from_messages(nested), 64)).first()
+    assert (c.seen, c.kept, c.dropped, c.truncated) == (3, 1, 2, 0)

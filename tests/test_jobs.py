@@ -1,12 +1,16 @@
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from shardwright import jobs
 from shardwright.operators import choice as X
 from shardwright.operators import runlog as R
 from shardwright.plans import chat_queries as CQ
-from shardwright.schemas import CorpusSpec
+from shardwright.operators import windows as W
+from shardwright.schemas import ChatSpec, CorpusSpec
 from shardwright.session import scratch_path
 from shardwright.sources import manifest as M
+from shardwright.sources import token_shards as TS
 
 SF = "/root/testdata/sf0.001"
 
@@ -50,3 +54,132 @@ def test_cli_tokenize_corpus(spark):
     man = M.read_manifest(spark, f"{out}/manifest").first()
     assert man.splits["val"].tokens == 20_000
     assert man.splits["val"].tokens + man.splits["train"].tokens <= 496_092
+
+
+def _rows(n, first=0, step=1):
+    return [(first + step * i, f"text number {i} " * (i % 5 + 1)) for i in range(n)]
+
+
+def _written(spark, out):
+    """Tokens of each split as written, by doc_id, and the manifest."""
+    man = M.read_manifest(spark, f"{out}/manifest").first()
+    got = {}
+    for r in spark.read.parquet(f"{out}/shards").orderBy("split", "shard_id", "doc_id").collect():
+        got.setdefault(r.split, []).append((r.doc_id, bytes(r.tokens)))
+    return got, man
+
+
+def _ids(text):
+    return np.array([*text.encode(), 256], "<u2").tobytes()
+
+
+def test_text_job_with_a_cap_writes_exactly_the_cap(spark):
+    out, rows = scratch_path(spark, "job-cap"), _rows(40)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    jobs.tokenize_corpus(spark, docs, out, CorpusSpec(name="t", batch_docs=4, shard_tokens=300, max_tokens=1000))
+    got, man = _written(spark, out)
+    flat = b"".join(t for _, t in got["train"])
+    assert flat == b"".join(_ids(t) for _, t in rows)[:2000] and man.splits["train"].tokens == 1000
+    files = {f.file for f in man.splits["train"].shards}
+    binary = spark.read.format("binaryFile").load(f"{out}/bin/*.bin").orderBy("path").collect()
+    assert {r.path.rsplit("/", 1)[1] for r in binary} == files and b"".join(bytes(r.content) for r in binary) == flat
+
+
+def test_carved_val_replaces_a_shipped_one(spark):
+    out, rows = scratch_path(spark, "job-both-val"), _rows(30)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spec = CorpusSpec(name="t", batch_docs=4, shard_tokens=300, val_tokens=200)
+    jobs.tokenize_corpus(spark, docs, out, spec, val_docs=spark.createDataFrame([(0, "other")], "doc_id long, text string"))
+    got, _ = _written(spark, out)
+    assert b"".join(t for _, t in got["val"]) == b"".join(_ids(t) for _, t in rows)[:400]
+    assert not {d for d, _ in got["val"]} & {d for d, _ in got["train"]}
+
+
+def test_shipped_val_may_share_ids_with_train(spark):
+    out, rows = scratch_path(spark, "job-val"), _rows(10)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    val = spark.createDataFrame([(i, "val " + t) for i, t in rows[:4]], "doc_id long, text string")
+    jobs.tokenize_corpus(spark, docs, out, CorpusSpec(name="t", batch_docs=4, shard_tokens=300), val)
+    got, _ = _written(spark, out)
+    assert got == {"train": [(i, _ids(t)) for i, t in rows], "val": [(i, _ids("val " + t)) for i, t in rows[:4]]}
+
+
+def test_text_job_with_large_ids_and_without_documents(spark):
+    out, rows = scratch_path(spark, "job-big"), _rows(20, 2 ** 60, 1)
+    jobs.tokenize_corpus(spark, spark.createDataFrame(rows, "doc_id long, text string"), out,
+                         CorpusSpec(name="t", batch_docs=2, shard_tokens=100))
+    got, _ = _written(spark, out)
+    assert got["train"] == [(i, _ids(t)) for i, t in rows]
+    out = scratch_path(spark, "job-empty")
+    man = jobs.tokenize_corpus(spark, spark.createDataFrame([], "doc_id long, text string"), out, CorpusSpec(name="t"))
+    assert not man.first().splits
+
+
+def test_text_and_chat_jobs_with_bpe(spark):
+    import public_tokenizers
+    rank_file = "file://" + public_tokenizers.path("byte_bpe_50k.tiktoken")
+    from tokenizers import Tokenizer
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    out, rows = scratch_path(spark, "job-bpe"), _rows(12)
+    jobs.tokenize_corpus(spark, spark.createDataFrame(rows, "doc_id long, text string"), out,
+                         CorpusSpec(name="t", batch_docs=4, shard_tokens=60, rank_file=rank_file))
+    got, man = _written(spark, out)
+    assert [np.frombuffer(t, "<u2").tolist() for _, t in got["train"]] == [other.encode(t).ids + [50256] for _, t in rows]
+    assert (man.encoding, man.vocab_size, man.eot_token) == ("bpe", 50257, 50256)
+    turns = [(1, 0, "user", "hello there"), (1, 1, "assistant", "general reply"), (2, 0, "user", "x")]
+    out = scratch_path(spark, "job-chat-bpe")
+    counters = jobs.tokenize_chat(spark, spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"), out,
+                                  ChatSpec(name="c", max_len=64, val_examples=None, rank_file=rank_file)).first()
+    assert (counters.seen, counters.kept, counters.dropped) == (2, 1, 1)
+    TS.register(spark)
+    row = spark.read.format("token_shard").load(f"{out}/shards").first()
+    e = lambda t: other.encode(t).ids
+    want = [50257, *e("user\n"), *e("hello there"), 50258, 198, 50257, *e("assistant\n"), *e("general reply"), 50258, 198]
+    assert row.tokens == want and sum(row["mask"]) == len(e("general reply")) + 1
+
+
+def test_sample_windows_job_reads_the_shards(spark):
+    out, rows = scratch_path(spark, "job-windows"), _rows(60)
+    jobs.tokenize_corpus(spark, spark.createDataFrame(rows, "doc_id long, text string"), out,
+                         CorpusSpec(name="t", batch_docs=4, shard_tokens=400))
+    got, man = _written(spark, out)
+    stream = np.frombuffer(b"".join(t for _, t in got["train"]), "<u2").tolist()
+    starts, shards = 0, {}
+    for f in man.splits["train"].shards:
+        shards[int(f.file[-10:-4])] = stream[starts:starts + f.tokens]
+        starts += f.tokens
+    win = jobs.sample_windows(spark, f"{out}/bin", 32, 3, 2, 4).collect()
+    assert len(win) == 24
+    for r in win:
+        s = shards[r.shard_id]
+        assert r.x == s[r.start:r.start + 32] and r.y == s[r.start + 1:r.start + 33]
+
+
+def test_choice_file_to_report(spark):
+    import json
+    import os
+    d = scratch_path(spark, "choice-file").removeprefix("file:")
+    os.makedirs(d)
+    for part in range(2):
+        with open(f"{d}/{part}.jsonl", "w") as f:
+            for i in range(5):
+                n = part * 5 + i
+                f.write(json.dumps({"ctx": "c" * (50 if n == 3 else 5), "endings": [f"end {n} {k}" for k in range(3)],
+                                    "label": str(n % 3), "source_id": f"src{n % 2}~{n}"}) + "\n")
+    ch = X.read_choices(spark, d)
+    assert [r.endings[0] for r in ch.orderBy("ord").collect()] == [f"end {n} 0" for n in range(10)]
+    pairs, uni = X.bigram_table(spark.read.parquet(f"{SF}/documents.parquet"))
+    losses = X.token_losses(X.render_choices(ch), pairs, uni)
+    rep = jobs.evaluate_choices(spark, ch, losses, block=40, limit=8).collect()
+    assert [(r.source, r.n) for r in rep] == [("src0", 4), ("src1", 3), ("OVERALL", 7)]
+    scores = {}
+    for r in X.candidate_scores(losses).collect():
+        scores.setdefault(r.example_id, {})[r.ending_idx] = r.per_token
+    margins = [(sum(s.values()) - s[n % 3]) / 2 - s[n % 3] for n, s in scores.items() if n < 8 and n != 3]
+    assert abs(rep[-1].margin - sum(margins) / 7) < 1e-9
+
+
+def test_windows_fail_on_a_shard_without_one(spark):
+    picked = spark.createDataFrame([(0, 0, 0, 5)], "step long, micro long, row long, shard_tokens long")
+    with pytest.raises(Exception, match="fewer than block_size"):
+        W.text_starts(picked, 10, 1).collect()

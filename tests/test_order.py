@@ -1,6 +1,6 @@
 import random
 
-from shardwright.operators.order import ordinal, prefix_sum, reset_segments, reset_segments_distributed
+from shardwright.operators.order import ordinal, prefix_sum, reset_segments
 
 
 def brute(sizes, S):
@@ -33,14 +33,19 @@ def _case(spark, seed, fn):
         assert got[keys[i]][2] == cum
 
 
-def test_reset_segments_small_path(spark):
-    for seed in range(3):
+def test_reset_segments(spark):
+    # Includes units larger than S, which are always segment ends.
+    for seed in (0, 1, 2, 11):
         _case(spark, seed, reset_segments)
 
 
-def test_reset_segments_distributed_path(spark):
-    # Includes units larger than S, which are always segment ends.
-    _case(spark, 11, reset_segments_distributed)
+def test_ordinal_of_many_partitions_large_ids_and_strings(spark):
+    keys = [2 ** 60 + 3 * i for i in range(50)] + [2 ** 53 + 1, 2 ** 53, -7]
+    o = ordinal(spark.createDataFrame([(k,) for k in keys], "k long"), "k", rows_per_bucket=4)
+    assert {r.k: r.ord for r in o.collect()} == {k: i for i, k in enumerate(sorted(keys))}
+    s = ordinal(spark.createDataFrame([(str(k),) for k in keys], "k string"), "k", rows_per_bucket=9)
+    assert {r.k: r.ord for r in s.collect()} == {k: i for i, k in enumerate(sorted(map(str, keys)))}
+    assert ordinal(spark.createDataFrame([], "k long"), "k").count() == 0
 
 
 def test_ordinal_is_dense_and_permutation_invariant(spark):
@@ -65,6 +70,5 @@ def test_reset_segments_per_split(spark):
             rows.append((split, keys[i], sizes[i]))
             exp[(split, keys[i])] = segs[j]
     df = ordinal(spark.createDataFrame(rows, "split string, k long, sz long"), "k", part_cols=["split"])
-    for fn in (reset_segments, reset_segments_distributed):
-        got = {(r["split"], r["k"]): r["seg"] for r in fn(df, "ord", "sz", S, part_cols=["split"]).collect()}
-        assert got == exp
+    got = {(r["split"], r["k"]): r["seg"] for r in reset_segments(df, "ord", "sz", S, part_cols=["split"]).collect()}
+    assert got == exp

@@ -103,7 +103,7 @@ def test_upper_median_exact_with_ties_and_small_accuracy(spark):
             rows.append((g, float(rnd.choice([1, 2, 2, 3, 5, 8, 8, 8, 13]) + (rnd.random() if g == "d" else 0))))
     df = spark.createDataFrame(rows, "g string, value double")
     for acc in (10, 100_000):   # a coarse accuracy forces the fallback path too
-        got = {r.g: r.median for r in R.upper_median(df, ["g"], accuracy=acc, small_group=0).collect()}
+        got = {r.g: r.median for r in R.upper_median(df, ["g"], accuracy=acc).collect()}
         for g in "abcd":
             vals = sorted(v for k, v in rows if k == g)
             assert got[g] == vals[len(vals) // 2]
