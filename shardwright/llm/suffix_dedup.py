@@ -10,8 +10,9 @@
    agree in 100 bytes all but the earliest lose their window.
 4. The bytes of lost windows are taken out of the documents.
 
-Before a shard is sorted its spans are cut to the windows whose hash occurs
-twice in it; the others can't recur. Shards are bounded: about ``SHARD`` spans of
+Before a shard is sorted its spans are cut to the runs of windows whose hash
+occurs twice in it (the others can't recur), and equal runs stand in it once, for
+their first occurrence. Shards are bounded: about ``SHARD`` spans of
 at most 2 * window - k bytes. A key with more than ``BIG_KEY`` contents (a common
 phrase amid different text) is split into its windows, whose first occurrences
 are found by content, combined before the shuffle.
@@ -37,6 +38,7 @@ from .suffix_array import suffix_array
 WINDOW = 100
 GRAM = 32
 SHARD = 4096
+BLOCK = 128
 BIG_KEY = 2048
 ROW = ["id", "th"]
 #: A 64-bit symbol for each byte.
@@ -106,67 +108,88 @@ def _cut_out(window: int):
     return run
 
 
-def later_windows(pieces: list[bytes], order: list[tuple], window: int = WINDOW) -> list[list[int]]:
-    """Of each piece, the starts of windows that also start in a piece that comes earlier by ``order`` (id, th, first).
+def later_windows(pieces: list[bytes], order: list[tuple], window: int = WINDOW) -> list[list[tuple[int, int]]]:
+    """Of each piece, the ranges [a, b) of window starts that also start in a piece earlier by ``order`` (id, th, first).
 
     Windows of one piece are at different places of one document.
     """
-    # Cut each piece to the windows whose hash occurs twice.
+    # Cut each piece to its runs of windows whose hash occurs twice; the others can't recur.
     hashes = [Hashed(_symbols(p)).grams(window) for p in pieces]
-    values, inverse, counts = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+    _, inverse, counts = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
     again = counts[inverse] > 1
-    text, owner, offset, bounds = [], [], [], np.cumsum([0, *map(len, hashes)])
-    valid: list[int] = []
-    for i, p in enumerate(pieces):
-        hit = np.flatnonzero(again[bounds[i]:bounds[i + 1]])
-        if not len(hit):
-            continue
-        a, b = int(hit[0]), int(hit[-1]) + window
-        valid.extend((hit - a + len(text)).tolist())
-        text.extend(p[a:b])
-        text.append(-1)  # ends a piece
-        owner.extend([i] * (b - a + 1))
-        offset.extend(range(a, b + 1))
-    lost: list[list[int]] = [[] for _ in pieces]
-    if not text:
+    lost: list[list[tuple[int, int]]] = [[] for _ in pieces]
+    firsts: dict[bytes, tuple] = {}  # each different run: its first occurrence
+    at = 0
+    for i, (p, h) in enumerate(zip(pieces, hashes)):
+        edges = np.flatnonzero(np.diff(np.concatenate(([False], again[at:at + len(h)], [False])))).tolist()
+        at += len(h)
+        for a, b in zip(edges[::2], edges[1::2]):
+            run = p[a:b + window - 1]
+            here = (*order[i][:2], order[i][2] + a, i, a, b)
+            known = firsts.get(run)
+            if known is None or here < known:
+                firsts[run], here = here, known
+            if here and here[:3] != firsts[run][:3]:
+                lost[here[3]].append(here[4:])
+    if not firsts:
         return lost
-    is_start = bytearray(len(text) + 1)
-    for v in valid:
-        is_start[v] = 1
-    string = [c + 2 for c in text]
-    string.append(0)
-    sorted_starts = [s for s in suffix_array(string) if is_start[s]]
-
-    def settle(run):
-        if len(run) > 1:
-            at = [(*order[owner[s]][:2], order[owner[s]][2] + offset[s]) for s in run]
-            first = min(at)
-            for s, x in zip(run, at):
-                if x != first:
-                    lost[owner[s]].append(offset[s])
-
-    run, last = [], b""
-    for s in sorted_starts:
-        now = pieces[owner[s]][offset[s]:offset[s] + window]
-        if now != last:
-            settle(run)
-            run, last = [], now
-        run.append(s)
-    settle(run)
+    # Suffixes of all runs: symbol 1 ends a run, 0 the text.
+    runs = list(firsts)
+    lengths = np.array([len(r) + 1 for r in runs])
+    string = np.frombuffer(b"\0".join(runs) + b"\0\0", np.uint8).astype(np.int16) + 2
+    ends = np.cumsum(lengths)
+    string[ends - 1] = 1
+    string[-1] = 0
+    owner = np.repeat(np.arange(len(runs)), lengths)
+    offset = np.arange(ends[-1]) - np.repeat(ends - lengths, lengths)
+    is_start = (offset <= np.repeat(lengths, lengths) - 1 - window).tolist() + [False]
+    owner, offset = owner.tolist(), offset.tolist()
+    place = list(firsts.values())
+
+    def settle(group):
+        if len(group) > 1:
+            spots = [(*place[owner[s]][:2], place[owner[s]][2] + offset[s]) for s in group]
+            first = min(spots)
+            for s, spot in zip(group, spots):
+                if spot != first:
+                    i, a = place[owner[s]][3:5]
+                    lost[i].append((a + offset[s], a + offset[s] + 1))
+
+    group, last = [], b""
+    for s in suffix_array(string):
+        if is_start[s]:
+            now = runs[owner[s]][offset[s]:offset[s] + window]
+            if now != last:
+                settle(group)
+                group, last = [], now
+            group.append(s)
+    settle(group)
     return lost
 
 
 def _shard(window: int):
     def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("key")
         order = list(zip(*(table.column(c).to_pylist() for c in ("id", "th", "first"))))
-        lost = later_windows(table.column("bytes").to_pylist(), order, window)
+        pieces, key = table.column("bytes").to_pylist(), table.column("key").to_numpy()
+        # Equal windows have equal keys, so whole keys are sorted in blocks that stay in a processor's cache.
+        heads = np.append(np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))), len(key)).tolist()
+        lost, a = [], 0
+        for b in heads[1:]:
+            if b - a >= BLOCK or b == len(key):
+                lost += later_windows(pieces[a:b], order[a:b], window)
+                a = b
         out = {"id": [], "th": [], "a": [], "b": []}
-        for (doc, th, first), starts in zip(order, lost):
-            starts = np.sort(np.array(starts, np.int64))
-            for part in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
-                if len(part):
-                    for name, value in zip(out, (doc, th, first + int(part[0]), first + int(part[-1]) + window)):
-                        out[name].append(value)
+        for (doc, th, first), ranges in zip(order, lost):
+            whole: list[list[int]] = []
+            for a, b in sorted(ranges):
+                if whole and a <= whole[-1][1]:
+                    whole[-1][1] = max(whole[-1][1], b)
+                else:
+                    whole.append([a, b])
+            for a, b in whole:
+                for name, value in zip(out, (doc, th, first + a, first + b - 1 + window)):
+                    out[name].append(value)
         types = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
         return pa.table([pa.array(c, t) for c, t in zip(out.values(), types)], names=list(out))
     return run
