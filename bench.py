@@ -1,8 +1,10 @@
 """Headline jobs at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
 Each job runs to completion through the ``noop`` sink (full execution, nothing
-collected). Rates: tokens/s for the text and chat jobs, windows/s for window
-sampling, examples/s for choice evaluation.
+collected), after one warm-up of the JVM and the Python workers. Rates: byte
+tokens/s and MB of text/s for the text job, MB/s for BPE encoding and decoding,
+tokens/s for the chat job, windows/s for window sampling, scored examples/s for
+choice evaluation.
 """
 
 import json
@@ -50,8 +52,11 @@ def main():
     man = qs["split_manifest"](spark, sf_dir).agg(F.sum("tokens")).first()[0] or 0
     chat = qs["chat_manifest"](spark, sf_dir).agg(F.sum("tokens")).first()[0] or 0
     n_win = qs["window_gather"](spark, sf_dir).count()
-    n_ex = qs["choice_length_filter"](spark, sf_dir).count()
+    n_ex = qs["choice_picks"](spark, sf_dir).count()  # examples that were scored
+    text_mb = spark.read.parquet(f"{sf_dir}/documents.parquet").agg(F.sum(F.octet_length("text"))).first()[0] / 1e6
     rates["tokenize_corpus_tokens_per_s"] = round(man / times["tokenize_corpus"], 1)
+    rates["tokenize_corpus_mb_per_s"] = round(text_mb / times["tokenize_corpus"], 2)
+    rates["bpe_encode_mb_per_s"] = round(text_mb / times["bpe_encode"], 2)
     rates["tokenize_chat_tokens_per_s"] = round(chat / times["tokenize_chat"], 1)
     rates["sample_windows_per_s"] = round(n_win / times["sample_windows"], 1)
     rates["evaluate_choices_examples_per_s"] = round(n_ex / times["evaluate_choices"], 1)
