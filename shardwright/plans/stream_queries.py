@@ -10,7 +10,7 @@ from ..session import scratch_path
 from ..sources import token_shards as TS
 from ..streaming import tokenize as ST
 from . import chat_queries as CQ
-from . import text_queries  # noqa: F401  (registers the doc_offsets oracle)
+from . import text_queries
 from . import choice_queries as XQ
 from .registry import ORACLES, query, table
 
@@ -21,7 +21,15 @@ def _oracle(name: str) -> str:
     return ORACLES[name]
 
 
-@query("stream_tokenize", _oracle("doc_offsets"))
+_STREAM_SQL = f"""
+WITH {text_queries._D},
+p AS (SELECT *, coalesce(sum(n_tokens) OVER (ORDER BY doc_ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS tok_start FROM o)
+SELECT doc_id, CAST(tok_start AS BIGINT) AS tok_start, n_tokens,
+       md5(array_to_string(list_transform({text_queries.DOC_IDS_SQL}, lambda x: printf('%02x%02x', x % 256, x // 256)), '')) AS ids_md5
+FROM p"""
+
+
+@query("stream_tokenize", _STREAM_SQL)
 def stream_tokenize(spark, sf):
     """Documents staged as files in doc_id order, tokenised by a file stream
     with carried (tokens, docs) state; must equal the batch offsets (K1-K3)."""
@@ -29,7 +37,7 @@ def stream_tokenize(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     ST.stage_in_order(docs, f"{base}/source", STREAM_FILES)
     out = ST.tokenize_stream(spark, f"{base}/source", f"{base}/out", f"{base}/state", f"{base}/checkpoint")
-    return out.select("doc_id", "tok_start", "n_tokens")
+    return out.select("doc_id", "tok_start", "n_tokens", F.md5(F.lower(F.hex("tokens"))).alias("ids_md5"))
 
 
 @query("stream_choice_report", _oracle("choice_report"))

@@ -1,3 +1,7 @@
+import os
+
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from shardwright.operators import corpus as K
@@ -21,3 +25,30 @@ def test_stream_restart_matches_batch(spark):
     ordered = K.order_documents(K.document_meta(docs), 64)
     exp = {r.doc_id: (r.tok_start, r.n_tokens) for r in K.capped_stream(ordered, 0, 64, None).collect()}
     assert got == exp
+
+
+def test_stream_encodes_and_rolls_the_open_shard(spark):
+    base = scratch_path(spark, "stream-roll")
+    src, out, state, ck = (f"{base}/{x}" for x in ("source", "out", "state", "checkpoint"))
+    texts = ["ab" * (i + 1) for i in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ST.stage_in_order(docs, src, 6)
+    rows = ST.tokenize_stream(spark, src, out, state, ck, shard_tokens=40).orderBy("doc_id").collect()
+    assert [bytes(r.tokens) for r in rows] == [np.array([*t.encode(), 256], "<u2").tobytes() for t in texts]
+    shard, held, want = 0, 0, []
+    for i in range(0, 12, 2):  # two documents a file, one file a batch
+        if held >= 40:
+            shard, held = shard + 1, 0
+        held += sum(len(t) + 1 for t in texts[i:i + 2])
+        want += [shard, shard]
+    assert [r.shard_id for r in rows] == want and shard > 1
+
+
+def test_unreadable_state_fails(spark):
+    base = scratch_path(spark, "stream-broken").removeprefix("file:")
+    os.makedirs(f"{base}/state/batch_id=0")
+    with open(f"{base}/state/batch_id=0/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        ST._prior_state(spark, f"{base}/state", 1)
+    assert ST._prior_state(spark, f"{base}/none", 1)["tokens"] == 0
