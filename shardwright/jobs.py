@@ -20,6 +20,7 @@ from .functions import bpe as B
 from .operators import chat as C
 from .operators import choice as X
 from .operators import corpus as K
+from .operators import prompts as P
 from .operators import runlog as R
 from .operators import windows as W
 from .schemas import BYTES, SEED, ChatSpec, CorpusSpec, id_dtype
@@ -44,11 +45,18 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def tokenize_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, spec: CorpusSpec,
-                    val_docs: DataFrame | None = None) -> DataFrame:
+                    val_docs: DataFrame | None = None, resume: bool = False) -> DataFrame:
     """Text corpus -> token shards under ``out_dir/shards`` (rows) and
-    ``out_dir/bin`` (flat .bin files), and ``out_dir/manifest`` (E1). With
-    ``spec.rank_file`` documents are encoded by BPE. ``spec.val_tokens`` carves val
-    off the front and replaces a shipped val split. Returns the manifest."""
+    ``out_dir/bin`` (flat .bin files), ``out_dir/manifest`` and
+    ``out_dir/progress`` (E1). With ``spec.rank_file`` documents are encoded by BPE.
+    ``spec.val_tokens`` carves val off the front and replaces a shipped val split.
+
+    ``resume`` goes on where a run over the first part of the documents ended:
+    shards that were closed then are kept (their documents are neither packed nor
+    written again), the open one and all later ones are written. It fails if the
+    documents of a closed shard are no longer the same number of tokens. Returns
+    the manifest.
+    """
     if spec.val_tokens is not None:
         val_docs = None
     ranks, vocab = _vocabulary(spark, spec.rank_file)
@@ -62,10 +70,21 @@ def tokenize_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, spec: Co
         # Two tables may share doc_ids, so each split is joined to its own.
         rows = K.shard_rows(docs, streams.filter("split = 'train'"), sb.filter("split = 'train'"), vocab.text_size).unionByName(
             K.shard_rows(val_docs, streams.filter("split = 'val'"), sb.filter("split = 'val'"), vocab.text_size))
-    n = shards.count()
-    K.write_shards(rows, f"{out_dir}/shards", n)
+    done = f"{out_dir}/progress"
+    if resume:
+        closed = spark.read.parquet(done).filter(F.col("tokens") >= spec.shard_tokens)
+        now = shards.select("split", "shard_id", F.col("tokens").alias("now"))
+        if not closed.join(now, ["split", "shard_id"], "left").filter(~F.col("tokens").eqNullSafe(F.col("now"))).isEmpty():
+            raise ValueError("closed shards of the earlier run don't match these documents")
+        keys = closed.select("split", "shard_id")
+        rows, shards_now = rows.join(keys, ["split", "shard_id"], "left_anti"), shards.join(keys, ["split", "shard_id"], "left_anti")
+    else:
+        shards_now = shards
+    n = shards_now.count()
+    K.write_shards(rows, f"{out_dir}/shards", n, keep=resume)
     written = spark.read.schema("doc_id long, n_kept long, tokens binary, split string, shard_id int").parquet(f"{out_dir}/shards")
-    TS.export_text_shards(written, f"{out_dir}/bin", n).collect()
+    TS.export_text_shards(written.join(shards_now.select("split", "shard_id"), ["split", "shard_id"], "left_semi"), f"{out_dir}/bin", n).collect()
+    shards.select("split", "shard_id", "file", "tokens", "docs").write.mode("overwrite").parquet(done)
     M.write_manifest(man, f"{out_dir}/manifest")
     return man
 
@@ -117,14 +136,33 @@ def evaluate_choices(spark: SparkSession, choices: DataFrame, token_losses: Data
     return rep
 
 
+def render_prompts(spark: SparkSession, prompts: DataFrame, block: int, chat: bool) -> DataFrame:
+    """(prompt_id, prompt[, system]) -> start ids over bytes, the last ``block`` of
+    them. A chat prompt must not be empty; an empty plain one starts a document."""
+    system = F.col("system") if "system" in prompts.columns else F.lit(None).cast("string")
+    ids = P.chat_prompt_ids(F.col("prompt"), system) if chat else P.plain_prompt_ids(F.col("prompt"))
+    return prompts.select("prompt_id", P.keep_tail(ids, block).alias("ids"))
+
+
+def decode_generations(spark: SparkSession, generations: DataFrame, manifest_dir: str, vocabulary: DataFrame) -> DataFrame:
+    """Sampled ids -> (sample_id, text, answer) with the vocabulary that the data's manifest names."""
+    man = M.read_manifest(spark, manifest_dir)
+    return P.decode_generations(generations, man, vocabulary, bool(man.select("chat").first()[0]))
+
+
 def summarize_runs(spark: SparkSession, scalars: DataFrame, out_dir: str, train_tag: str = "loss/train",
-                   val_tag: str = "loss/val") -> DataFrame:
-    """Scalar logs -> per-run loss CSV (S16) for runs that have val losses
-    (P16) (E5). Returns the loss table."""
+                   val_tag: str = "loss/val", perf_tags: tuple = ()) -> DataFrame:
+    """Scalar logs -> one report for all runs (E5): ``out_dir`` gets the loss CSV of
+    runs that have val losses (S16, P16); with ``perf_tags`` also
+    ``out_dir-medians`` (steady medians) and ``out_dir-ema`` (smoothed series).
+    Returns the loss table."""
     merged = R.merge_scalars(scalars).checkpoint()
     has_val = merged.filter(F.col("tag") == val_tag).select("run").distinct()
     table = R.loss_table(merged.join(has_val, "run", "left_semi"), train_tag, val_tag)
     R.write_loss_csv(table, out_dir)
+    if perf_tags:
+        R.steady_medians(merged, list(perf_tags), val_tag).write.mode("overwrite").parquet(out_dir.rstrip("/") + "-medians")
+        R.ema(merged, list(perf_tags)).write.mode("overwrite").parquet(out_dir.rstrip("/") + "-ema")
     return table
 
 
@@ -136,6 +174,7 @@ def _main(argv=None):
     a.add_argument("--val-docs")
     a.add_argument("--out", required=True)
     a.add_argument("--name", default="corpus")
+    a.add_argument("--resume", action="store_true", help="keep the shards that an earlier run closed")
     a.add_argument("--rank-file", help="BPE ranks, base64 token and rank a line; bytes without it")
     a.add_argument("--val-tokens", type=int)
     a.add_argument("--max-tokens", type=int)
@@ -169,6 +208,7 @@ def _main(argv=None):
     c.add_argument("--scalars", required=True)
     c.add_argument("--out", required=True)
     c.add_argument("--run", action="append")
+    c.add_argument("--perf-tag", action="append", default=[])
     args = ap.parse_args(argv)
 
     from .session import get_spark
@@ -178,7 +218,7 @@ def _main(argv=None):
         spec = CorpusSpec(name=args.name, val_tokens=args.val_tokens, max_tokens=args.max_tokens,
                           batch_docs=args.batch_docs, shard_tokens=args.shard_tokens, rank_file=args.rank_file)
         val = spark.read.parquet(args.val_docs).select("doc_id", "text") if args.val_docs else None
-        tokenize_corpus(spark, spark.read.parquet(args.docs).select("doc_id", "text"), args.out, spec, val)
+        tokenize_corpus(spark, spark.read.parquet(args.docs).select("doc_id", "text"), args.out, spec, val, args.resume)
     elif args.job == "tokenize-chat":
         spec = ChatSpec(name=args.name, max_len=args.max_len, max_examples=args.max_examples,
                         val_examples=args.val_examples, shard_tokens=args.shard_tokens, rank_file=args.rank_file)
@@ -191,7 +231,7 @@ def _main(argv=None):
         sample_windows(spark, args.shards, args.block, args.steps, args.accum, args.batch, args.split) \
             .write.mode("overwrite").parquet(args.out)
     else:
-        summarize_runs(spark, read_scalars(spark, args.scalars, args.run), args.out)
+        summarize_runs(spark, read_scalars(spark, args.scalars, args.run), args.out, perf_tags=tuple(args.perf_tag))
 
 
 if __name__ == "__main__":

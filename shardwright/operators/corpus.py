@@ -171,11 +171,12 @@ def shard_rows(docs: DataFrame, streams: DataFrame, sharded_batches: DataFrame,
                     .alias("tokens"))
 
 
-def write_shards(rows: DataFrame, out_dir: str, n_shards: int, order_col: str = "doc_id") -> None:
+def write_shards(rows: DataFrame, out_dir: str, n_shards: int, order_col: str = "doc_id", keep: bool = False) -> None:
     """Token-shard sink (S6): one directory per (split, shard_id), ``n_shards``
-    tasks, documents in stream order inside each."""
+    tasks, documents in stream order inside each. ``keep`` leaves directories of
+    shards that aren't among the rows as they are."""
     (rows.repartition(max(1, n_shards), "split", "shard_id").sortWithinPartitions("split", "shard_id", order_col)
-     .write.mode("overwrite").partitionBy("split", "shard_id").parquet(out_dir))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if keep else "static").partitionBy("split", "shard_id").parquet(out_dir))
 
 
 def tokenize_corpus(docs: DataFrame, spec: CorpusSpec, val_docs: DataFrame | None = None, vocab: Vocab = BYTES):

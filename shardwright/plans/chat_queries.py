@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.tokens import doc_ids, ids_digest, utf8_ids
+from ..functions.tokens import ids_digest
 from ..operators import chat as C
+from ..operators.prompts import chat_prompt_ids, keep_tail, plain_prompt_ids
 from ..schemas import EOT, IM_END, IM_START, ChatSpec
 from .registry import query, table
 from .sqlfrag import bytes_of, digest, zeros
@@ -196,27 +197,6 @@ def _prompt_table(spark, sf):
         .select("conv_id", "turn", F.col("text").alias("prompt"), "system")
 
 
-def chat_prompt_ids(prompt, system):
-    """Token ids of an optional system turn + user turn + assistant header."""
-    def turn(role, text):
-        return F.concat(F.array(F.lit(IM_START)), utf8_ids(F.lit(role + "\n")), utf8_ids(text),
-                        F.array(F.lit(IM_END), F.lit(10)))
-    body = F.concat(turn("user", prompt), F.array(F.lit(IM_START)), utf8_ids(F.lit("assistant\n")))
-    return F.when(F.coalesce(system, F.lit("")) != "", F.concat(turn("system", system), body)).otherwise(body)
-
-
-def plain_prompt_ids(prompt):
-    """Plain prompt: literal end-of-text allowed; empty prompt -> [EOT]."""
-    ids = doc_ids(prompt)
-    return F.when(F.coalesce(prompt, F.lit("")) == "", F.array(F.lit(EOT))) \
-        .otherwise(F.slice(ids, 1, F.size(ids) - 1))
-
-
-def keep_tail(ids, T: int):
-    """Last T ids."""
-    return F.slice(ids, F.greatest(F.size(ids) - T + 1, F.lit(1)), T)
-
-
 @query("prompt_ids", f"""
 WITH sys AS (SELECT conv_id, arg_min(text, turn) AS system FROM conversations WHERE role = 'system' GROUP BY conv_id),
 p AS (SELECT c.conv_id, c.turn, c.text AS prompt, s.system FROM conversations c LEFT JOIN sys s USING (conv_id)

@@ -186,15 +186,6 @@ class ChatSpec:
             raise ValueError("max_len must leave room for one turn")
 
 
-@dataclass(frozen=True)
-class WindowSpec:
-    block_size: int = 1024
-    batch_size: int = 16
-    grad_accum: int = 16
-    steps: int = 1
-    seed: int = SEED
-
-
 @dataclass(frozen=True)
 class ModelConfig:
     vocab_size: int = MODEL_VOCAB

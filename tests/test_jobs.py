@@ -1,3 +1,6 @@
+import glob
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +9,7 @@ from shardwright import jobs
 from shardwright.operators import choice as X
 from shardwright.operators import runlog as R
 from shardwright.plans import chat_queries as CQ
+from shardwright.operators import vocab as V
 from shardwright.operators import windows as W
 from shardwright.schemas import ChatSpec, CorpusSpec
 from shardwright.session import scratch_path
@@ -183,3 +187,42 @@ def test_windows_fail_on_a_shard_without_one(spark):
     picked = spark.createDataFrame([(0, 0, 0, 5)], "step long, micro long, row long, shard_tokens long")
     with pytest.raises(Exception, match="fewer than block_size"):
         W.text_starts(picked, 10, 1).collect()
+
+
+def test_resume_keeps_closed_shards(spark):
+    out, whole, rows = scratch_path(spark, "job-resume"), scratch_path(spark, "job-whole"), _rows(40)
+    spec = CorpusSpec(name="t", batch_docs=4, shard_tokens=300)
+    frame = lambda r: spark.createDataFrame(r, "doc_id long, text string")
+    jobs.tokenize_corpus(spark, frame(rows[:24]), out, spec)
+    closed = {r.shard_id for r in spark.read.parquet(f"{out}/progress").where("tokens >= 300").collect()}
+    stamp = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(out.removeprefix("file:") + "/bin/*.bin")}
+    before = stamp()
+    jobs.tokenize_corpus(spark, frame(rows), out, spec, resume=True)
+    jobs.tokenize_corpus(spark, frame(rows), whole, spec)
+    assert _written(spark, out)[0] == _written(spark, whole)[0] and len(closed) > 1
+    assert _written(spark, out)[1].splits == _written(spark, whole)[1].splits
+    after = stamp()
+    kept = {f for f in before if int(f[-10:-4]) in closed}
+    assert kept and all(before[f] == after[f] for f in kept) and len(after) > len(before)
+    with pytest.raises(ValueError, match="closed shards"):
+        jobs.tokenize_corpus(spark, frame([(i, "changed " + t) for i, t in rows]), out, spec, resume=True)
+
+
+def test_prompts_and_generations(spark):
+    p = spark.createDataFrame([(1, "hi", "sys"), (2, "yo", None)], "prompt_id long, prompt string, system string")
+    chat = {r.prompt_id: r.ids for r in jobs.render_prompts(spark, p, 1000, chat=True).collect()}
+    turn = lambda role, text: [257, *f"{role}\n{text}".encode(), 258, 10]
+    head = [257, *b"assistant\n"]
+    assert chat == {1: turn("system", "sys") + turn("user", "hi") + head, 2: turn("user", "yo") + head}
+    empty = spark.createDataFrame([(1, "")], "prompt_id long, prompt string")
+    assert jobs.render_prompts(spark, empty, 8, chat=False).first().ids == [256]
+    with pytest.raises(Exception, match="prompt is empty"):
+        jobs.render_prompts(spark, empty, 8, chat=True).collect()
+    out = scratch_path(spark, "job-decode")
+    jobs.tokenize_corpus(spark, spark.createDataFrame(_rows(3), "doc_id long, text string"), out, CorpusSpec(name="t"))
+    gen = spark.createDataFrame([(1, "ab", 2, [97, 98, 99, 300, 256, 100]), (2, "", 1, [256, 104, 0xE2])],
+                                "sample_id long, prompt string, n_prompt int, ids array<int>")
+    got = jobs.decode_generations(spark, gen, f"{out}/manifest", V.byte_vocab(spark, "bytes")).orderBy("sample_id").collect()
+    assert [(r.text, r.answer) for r in got] == [("c", "abc"), ("h\ufffd", "h\ufffd")]
+    with pytest.raises(Exception, match="does not match"):
+        jobs.decode_generations(spark, gen, f"{out}/manifest", V.byte_vocab(spark, "other")).collect()
