@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, ship_package
 
 #: ASCII white space, \x20 and \x09-\x0D: what separates words.
 SPACES = " \t\n\x0b\x0c\r"
@@ -16,7 +15,14 @@ SPACE_RUN = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ready(spark: SparkSession) -> None:
+    """The shared checkpoint folder is set and Python workers can import this package."""
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ready(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -45,13 +51,14 @@ def hash32(col: Column, salt: str = "") -> Column:
 
 def materialise(df: DataFrame) -> DataFrame:
     """Cut lineage into the shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
+    ready(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder (columns can be pruned when it is read)."""
     spark = df.sparkSession
+    ready(spark)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

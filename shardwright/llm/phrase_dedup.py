@@ -23,7 +23,6 @@ carried; an empty table gives an empty result; other columns are not carried.
 
 from __future__ import annotations
 
-import hashlib
 from collections import Counter
 
 import ahocorasick
@@ -84,29 +83,32 @@ def _spans(window: int, k: int):
 
 def _passages(window: int):
     """(id, th, text, places) -> the words of each place: n times found, or, if ``big``, its windows."""
+    names = ["key", "content", "at", "wkey", "n", "words"]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+
     def run(batches):
-        words = _Words()
-        for b in batches:
-            out = {"key": [], "content": [], "at": [], "wkey": [], "n": [], "words": []}
+        words, rows = _Words(), []
 
-            def add(p, at, wkey, part):
-                for name, value in zip(out, (p["key"], p["content"], at, wkey, p["n"], b" ".join(part))):
-                    out[name].append(value)
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
+        for b in batches:
             for text, places in zip(b.column(0), b.column(1)):
                 tokens = text.as_py().encode().split()
                 for p in places.as_py():
                     first, last = p["first"], p["last"]
                     if not p["big"]:
-                        add(p, 0, None, tokens[first:last + window])
+                        rows.append((p["key"], p["content"], 0, None, p["n"], b" ".join(tokens[first:last + window])))
                         continue
                     for s in range(first, last + 1):
                         part = tokens[s:s + window]
                         digest = np.fromiter(map(words.__getitem__, part), np.uint64, window).tobytes()
-                        add(p, s - first, xxhash.xxh64_intdigest(digest, 1) - (1 << 63), part)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out["key"], pa.int64()), pa.array(out["content"], pa.int64()), pa.array(out["at"], pa.int32()),
-                 pa.array(out["wkey"], pa.int64()), pa.array(out["n"], pa.int64()), pa.array(out["words"], pa.binary())], names=list(out))
+                        rows.append((p["key"], p["content"], s - first, xxhash.xxh64_intdigest(digest, 1) - (1 << 63), p["n"], b" ".join(part)))
+                if len(rows) > 1 << 16:
+                    yield batch()
+                    rows.clear()
+        if rows:
+            yield batch()
     return run
 
 
