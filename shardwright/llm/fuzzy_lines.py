@@ -28,7 +28,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACES, let, materialise, text_of, written
@@ -36,16 +36,25 @@ from .graph import components
 
 MAX_BITS = 3
 SIMILARITY = 0.8
-BUCKET = 64
+BUCKET = 1
 ROW = ["id", "th"]
 _LANES = 0x0000000100000001
 
 
-def normalised(line: Column) -> Column:
-    """Letters and digits in lower case, one space between; a line without any is its own trimmed text."""
-    low = F.lower(line)
-    plain = F.trim(F.regexp_replace(low, r"[^\p{L}\p{N}]+", " "))
-    return F.when(plain != "", plain).otherwise(F.trim(low, F.lit(SPACES)))
+def plain(line: Column) -> Column:
+    """Letters and digits in lower case, one space between."""
+    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+
+
+def normalised(lines: DataFrame) -> DataFrame:
+    """``lines`` that aren't blank with norm for line: its plain form or, if it has no letter or digit, the trimmed line.
+
+    (The plain form is a column of its own, so that it is made once.)
+    """
+    rest = [c for c in lines.columns if c != "line"]
+    lines = lines.where(F.trim("line", F.lit(SPACES)) != "").withColumn("__plain", plain(F.col("line")))
+    return lines.select(*rest, F.when(F.col("__plain") != "", F.col("__plain")).otherwise(
+        F.trim(F.lower("line"), F.lit(SPACES))).alias("norm"))
 
 
 def identified(docs: DataFrame, text: Column | None = None) -> DataFrame:
@@ -73,18 +82,18 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
     Word hashes are exploded and counted bit by bit: sum i holds bits i and
     i + 32 in two 32-bit lanes.
     """
-    lines = (docs.select(*ROW, F.posexplode(lines_of()).alias("pos", "line"))
-             .select(*ROW, "pos", normalised(F.col("line")).alias("norm")).where("norm <> ''"))
+    lines = normalised(docs.select(*ROW, F.posexplode(lines_of()).alias("pos", "line")))
     words = lines.select(*ROW, "pos", F.xxhash64("norm").alias("nh"), F.char_length("norm").alias("len"),
-                         F.explode(F.split("norm", " ")).alias("word"))
+                         F.explode(F.array_distinct(F.split("norm", " "))).alias("word"))
     words = words.select(*ROW, "pos", "nh", "len", F.xxhash64("word").alias("h"))
     lanes = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(_LANES))).alias(f"s{i}") for i in range(32)]
     counted = words.groupBy(*ROW, "pos", "nh", "len").agg(F.count(F.lit(1)).alias("n"), *lanes)
-    bit = lambda count, i: F.when(count * 2 > F.col("n"), F.lit(1 << i if i < 63 else -(1 << 63))).otherwise(F.lit(0)).cast("long")
+    # Bit 30 of a lane of 2 * count + 2^30 - 1 - n is set where the count is over half of n.
+    counted = counted.withColumn("over", (F.lit((1 << 30) - 1) - F.col("n")) * F.lit(_LANES))
     fp = F.lit(0).cast("long")
     for i in range(32):
-        fp = (fp.bitwiseOR(bit(F.col(f"s{i}").bitwiseAND(F.lit(0xFFFFFFFF)), i))
-              .bitwiseOR(bit(F.shiftrightunsigned(f"s{i}", 32), i + 32)))
+        set_lanes = F.shiftrightunsigned(F.shiftleft(f"s{i}", 1) + F.col("over"), 30).bitwiseAND(F.lit(_LANES))
+        fp = fp.bitwiseOR(F.shiftleft(set_lanes, i))
     return counted.select(*ROW, "pos", "nh", "len", fp.alias("fp"))
 
 
@@ -110,9 +119,31 @@ def apart(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
-def alike(a: str, b: str, similarity: float = SIMILARITY) -> Column:
-    """Edit similarity of two normalised lines; the distance is only computed up to what is allowed."""
-    return F.expr(f"""levenshtein({a}, {b}, cast(floor((1 - {similarity}D) * greatest(char_length({a}), char_length({b})) + 1e-9D) as int)) >= 0""")
+def _shared(a: Column, b: Column, end) -> Column:
+    """Characters that two strings share at one end (``end``: F.left or F.right), found by doubling steps."""
+    def search(shortest):
+        steps = F.transform(F.sequence(F.length(F.bin(shortest)) - 1, F.lit(0)), lambda i: F.pow(F.lit(2), i).cast("int"))
+        return F.aggregate(steps, F.lit(0), lambda n, step: F.when(
+            (step <= shortest - n) & (end(a, n + step) == end(b, n + step)), n + step).otherwise(n))
+
+    return let(F.least(F.char_length(a), F.char_length(b)), search)
+
+
+def alike(a: Column, b: Column, similarity: float = SIMILARITY) -> Column:
+    """Whether the edit similarity of two normalised lines is enough. What they share at both ends doesn't change their
+    distance, so only the middles are compared, and only up to the distance that is allowed."""
+    allowed = F.floor((1 - similarity) * F.greatest(F.char_length(a), F.char_length(b)) + 1e-9).cast("int")
+
+    def middles(m):
+        longest = F.greatest(F.char_length(m["a"]), F.char_length(m["b"]))
+        return F.when(longest <= allowed, F.lit(True)).otherwise(F.call_function("levenshtein", m["a"], m["b"], allowed) >= 0)
+
+    def tails(t):
+        cut = lambda n: F.struct(*[F.left(t[x], F.char_length(t[x]) - n).alias(x) for x in "ab"])
+        return let(let(_shared(t["a"], t["b"], F.right), cut), middles)
+
+    heads = lambda n: F.struct(F.right(a, F.char_length(a) - n).alias("a"), F.right(b, F.char_length(b) - n).alias("b"))
+    return let(let(_shared(a, b, F.left), heads), tails)
 
 
 def fuzzy_classes(lines: DataFrame, docs: DataFrame, max_bits: int = MAX_BITS, similarity: float = SIMILARITY) -> DataFrame:
@@ -122,58 +153,65 @@ def fuzzy_classes(lines: DataFrame, docs: DataFrame, max_bits: int = MAX_BITS, s
                                                  F.count(F.lit(1)).alias("c")))
     masks = key_masks(hashes.count(), max_bits)
 
-    # Hashes against one hub per key.
-    keys = keyed(hashes.select("fp", "n"), masks)
-    hubs = keys.groupBy("key").agg(F.max_by("fp", "n").alias("hub_fp"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    stars = materialise(keys.join(hubs, "key").where((F.col("fp") != F.col("hub_fp")) & (apart("fp", "hub_fp") <= max_bits))
-                        .select("fp", "hub_fp").distinct())
-
-    # Hashes near each other that the stars don't join: with these, every hash that has any near one is known.
-    joined = components(stars, "fp", "hub_fp")
-    rooted = hashes.join(joined, hashes["fp"] == joined["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
-    near = _across(keyed(rooted, masks), "fp", max_bits).select("a", "b")
-    wanted = materialise(stars.select("fp").union(stars.select("hub_fp")).union(near.select("a")).union(near.select("b"))
+    # Keys that hashes share, and hashes against one hub per key. (Of different hashes near one another a key holds a
+    # bounded number, the patterns of max_bits bits, so a window over a key is small.)
+    keys = keyed(hashes.select("fp", "n"), masks).repartition("key")
+    of_key = Window.partitionBy("key")
+    by_hub = (F.col("fp") != F.col("hub_fp")) & (apart("fp", "hub_fp") <= max_bits)
+    shared = materialise(keys.withColumn("c", F.count(F.lit(1)).over(of_key)).withColumn("hub_fp", F.max_by("fp", "n").over(of_key))
+                         .where((F.col("c") > 2) | by_hub).select("key", "fp", "hub_fp", "c"))
+    stars = materialise(shared.where(by_hub).select("fp", "hub_fp").distinct())
+
+    # Every hash that has a near one: those of the stars, and, of keys of more than two (a key of two has no pair but its
+    # star), those near a hash that no star has.
+    starred = stars.select("fp").union(stars.select("hub_fp")).distinct()
+    crowded = shared.where("c > 2").select("key", "fp")
+    lone = crowded.join(starred, "fp", "left_anti").select("key", F.col("fp").alias("lone"))
+    near = lone.join(crowded, "key").where((F.col("lone") != F.col("fp")) & (apart("lone", "fp") <= max_bits))
+    wanted = materialise(starred.union(near.select(F.explode(F.array("lone", "fp")).alias("fp")))
                          .union(hashes.where("c > 1").select("fp")).distinct())
 
     # Their lines' texts, fetched once from a document that holds them.
-    members = materialise(nodes.join(wanted, "fp", "left_semi").select("nh", "fp"))
+    members = materialise(nodes.join(wanted, "fp", "left_semi").select("nh", "fp", "len"))
     places = (lines.join(members.select("nh"), "nh", "left_semi").groupBy("nh").agg(F.min(F.struct(*ROW, "pos")).alias("p"))
               .select("nh", "p.*").groupBy(*ROW).agg(F.collect_list(F.struct("pos", "nh")).alias("places")))
     found = let(lines_of(), lambda x: F.transform("places", lambda p: F.struct(p["nh"].alias("nh"), F.get(x, p["pos"]).alias("line"))))
-    texts = (docs.select(*ROW, "text").join(places, ROW).select(F.inline(found))
-             .select("nh", normalised(F.col("line")).alias("norm")))
+    texts = normalised(docs.select(*ROW, "text").join(places, ROW).select(F.inline(found)))
     texts = written(texts.dropDuplicates(["nh"]).join(members, "nh"), "line-texts")
 
     # Lines against the hub of their hash, and against the hubs of the hashes theirs was held against.
     hub = hashes.select(F.col("fp").alias("hub_fp"), "hub")
-    own = texts.select("nh", F.col("fp").alias("hub_fp"))
-    held = texts.select("nh", "fp").join(stars, "fp").select("nh", "hub_fp")
+    own = members.select("nh", F.col("fp").alias("hub_fp"))
+    held = members.select("nh", "fp").join(stars, "fp").select("nh", "hub_fp")
     tried = own.union(held).join(hub, "hub_fp").where("nh <> hub").select(F.col("nh").alias("a"), F.col("hub").alias("b")).distinct()
     links = materialise(_verified(tried, texts, similarity))
     classes = components(links)
 
     # What is left: pairs of near lines in different classes.
-    rooted = (texts.select("nh", "fp").join(classes, F.col("nh") == F.col("node"), "left")
-              .select("nh", "fp", F.coalesce("root", "nh").alias("root")))
-    rest = _across(keyed(rooted, masks), "nh", max_bits).select("a", "b").distinct()
+    rooted = (members.join(classes, F.col("nh") == F.col("node"), "left")
+              .select("nh", "fp", "len", F.coalesce("root", "nh").alias("root")))
+    keys = keyed(rooted, masks)
+    mixed = keys.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    rest = _across(keys.join(mixed, "key", "left_semi"), max_bits, similarity).select("a", "b").distinct()
     more = materialise(_verified(rest, texts, similarity))
     return classes if more.isEmpty() else components(links.union(more))
 
 
-def _across(keys: DataFrame, node: str, max_bits: int) -> DataFrame:
-    """Pairs a < b of nodes of one key with near hashes and different roots; keys with one root are left out."""
-    mixed = (keys.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key"))
-    keys = keys.join(mixed, "key", "left_semi")
-    a = keys.select("key", F.col(node).alias("a"), F.col("fp").alias("fa"), F.col("root").alias("ra"))
-    b = keys.select("key", F.col(node).alias("b"), F.col("fp").alias("fb"), F.col("root").alias("rb"))
-    return a.join(b, "key").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & (apart("fa", "fb") <= max_bits))
+def _across(keys: DataFrame, max_bits: int, similarity: float) -> DataFrame:
+    """Pairs a < b of lines of one key with near hashes, different roots and lengths that allow the similarity."""
+    side = lambda n: keys.select("key", F.col("nh").alias(n), F.col("fp").alias("f" + n), F.col("root").alias("r" + n),
+                                 F.col("len").alias("l" + n))
+    # A distance is at least the difference of the lengths.
+    long_enough = F.least("la", "lb") + F.floor((1 - similarity) * F.greatest("la", "lb") + 1e-9) >= F.greatest("la", "lb")
+    return side("a").join(side("b"), "key").where(
+        (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & (apart("fa", "fb") <= max_bits) & long_enough)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose texts are alike."""
     a = texts.select(F.col("nh").alias("a"), F.col("norm").alias("ta"))
     b = texts.select(F.col("nh").alias("b"), F.col("norm").alias("tb"))
-    return pairs.join(a, "a").join(b, "b").where(alike("ta", "tb", similarity)).select("a", "b")
+    return pairs.join(a, "a").join(b, "b").where(alike(F.col("ta"), F.col("tb"), similarity)).select("a", "b")
 
 
 def repeats(docs: DataFrame, max_bits: int = MAX_BITS, similarity: float = SIMILARITY) -> DataFrame:

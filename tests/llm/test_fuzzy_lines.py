@@ -14,7 +14,7 @@ def norm(line):
 
 
 def simhash(text):
-    h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in text.split(" ")]
+    h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in set(text.split(" "))]
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
