@@ -37,7 +37,7 @@ def choices_from_benchmark(bench: DataFrame) -> DataFrame:
     items = bench.select("item_id", words.alias("w")).select(
         "item_id", F.array_join(F.slice("w", 1, k), " ").alias("ctx"),
         F.array_join(F.slice("w", k + 1, F.size("w") - k), " ").alias("ending"))
-    items = ordinal(items, "item_id", out="ord").persist()
+    items = ordinal(items, "item_id", out="ord")
     n = items.agg(F.count(F.lit(1))).scalar()
     base = items.select("item_id", "ord", "ctx", "ending", (F.col("item_id") % 4).cast("int").alias("label"))
     pos = base.select("item_id", "ord", "label", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("ending_idx"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import (BYTE_VOCAB_BASE, BYTE_VOCAB_SIZE, EOT, EOT_STR, IM_END, IM_END_STR, IM_START,
-                       IM_START_STR, padded_vocab)
+                       IM_START_STR)
 
 SPECIALS = [(EOT, "eot", EOT_STR), (IM_START, "im_start", IM_START_STR), (IM_END, "im_end", IM_END_STR)]
 

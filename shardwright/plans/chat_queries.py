@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.tokens import ids_digest
@@ -128,7 +127,7 @@ WITH {_T}, {_fit_sql(1024)},
 b AS (SELECT max(conv_id) AS bound FROM (SELECT conv_id FROM o WHERE kept ORDER BY conv_id LIMIT {LIMIT_EXAMPLES}))
 SELECT {_COUNTERS} FROM o, b WHERE o.conv_id <= b.bound""")
 def conv_limit(spark, sf):
-    out = C.conversation_outcomes(_turns(spark, sf), 1024).persist()
+    out = C.conversation_outcomes(_turns(spark, sf), 1024).checkpoint()
     return C.outcome_counters(C.limit_kept(out, LIMIT_EXAMPLES))
 
 

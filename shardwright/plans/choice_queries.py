@@ -20,7 +20,7 @@ LIMIT = 0
 
 def _rendered(spark, sf):
     ch = X.choices_from_benchmark(table(spark, sf, "benchmark"))
-    return X.render_choices(ch).persist()
+    return X.render_choices(ch).checkpoint()
 
 
 def _scored(spark, sf):

@@ -121,7 +121,7 @@ SELECT split, count(*) AS docs, min(doc_ord) AS first_ord, max(doc_ord) AS last_
        (SELECT count(*) FROM v WHERE doc_id IN (SELECT doc_id FROM t)) AS shared_docs
 FROM st GROUP BY split""")
 def val_carve(spark, sf):
-    st = K.split_streams(K.document_meta(_docs(spark, sf)), SPEC).persist()
+    st = K.split_streams(K.document_meta(_docs(spark, sf)), SPEC).checkpoint()
     shared = st.filter("split = 'val'").join(st.filter("split = 'train'").select("doc_id"), "doc_id", "left_semi") \
         .agg(F.count(F.lit(1))).scalar()
     return st.groupBy("split").agg(
