@@ -44,7 +44,7 @@ L2 = 1e-4
 SWAP_PENALTY = 1.0
 SWAPPED_SENTENCES = 20_000
 THRESHOLD = 0.5
-_CACHE = 1 << 18
+_CACHE = 1 << 15
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[.!?\n]+")
 
@@ -135,7 +135,7 @@ def choose(rows: DataFrame, n: int, n_toxic: int) -> list[str]:
                 counts.update(found)
                 if y:
                     toxic.update(found)
-                if len(counts) > 500_000:
+                if len(counts) > 100_000:
                     yield out()
         yield out()
 
