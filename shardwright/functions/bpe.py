@@ -9,6 +9,8 @@ chat messages every special string stays ordinary text.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,6 +22,11 @@ from ..schemas import EOT_STR, Vocab, id_dtype
 GPT2_SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 # ---------------------------------------------------------------------------
 
+#: What \s is in the split patterns (Unicode White_Space).
+_SPACE_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+#: tiktoken's matcher keeps a state for each character of a white-space run and fails at about a million.
+LONG_RUN = 1 << 16
+
 # Java needs UNICODE_CHARACTER_CLASS for \s to match Unicode spaces as Python
 # `regex` does.
 JAVA_SPLIT = "(?U)" + GPT2_SPLIT
@@ -30,6 +37,29 @@ def _encoding(ranks: dict, eot_id: int):
     return tiktoken.Encoding("ranks", pat_str=GPT2_SPLIT, mergeable_ranks=ranks, special_tokens={EOT_STR: eot_id})
 
 
+def _around_runs(enc, text: str) -> list[int]:
+    """``enc.encode_ordinary`` with the long white-space runs cut out first. Such a run is one pre-token: all of it at the
+    end of the text, else all but its last character."""
+    ids, at = [], 0
+    for run in _SPACE_RUN.finditer(text):
+        if run.end() - run.start() >= LONG_RUN:
+            end = run.end() - (run.end() < len(text))
+            ids += enc.encode_ordinary(text[at:run.start()])
+            ids += enc._encode_single_piece(text[run.start():end])
+            at = end
+    return ids + enc.encode_ordinary(text[at:])
+
+
+def encode_text(enc, text: str, special: bool = True) -> list[int]:
+    """Ids of a text; with ``special``, the encoding's special strings are one id each."""
+    # A long run holds all of some window.
+    if not any(text[i:i + 64].isspace() for i in range(0, len(text), LONG_RUN // 2)):
+        return enc.encode(text, allowed_special="all", disallowed_special=()) if special else enc.encode_ordinary(text)
+    names = "|".join(re.escape(x) for x in enc.special_tokens_set) if special else ""
+    parts = re.split(f"({names})", text) if names else [text]
+    return [i for k, part in enumerate(parts) for i in ([enc.encode_single_token(part)] if k % 2 else _around_runs(enc, part))]
+
+
 def pretokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(doc_id, pos, piece) for every pre-token of every document. The text is
     cut at the end-of-text literal first, so no pattern branch can take a part
@@ -47,9 +77,9 @@ def bpe_encode(docs: DataFrame, ranks: dict, eot_id: int, append_eot: bool = Tru
     end = [eot_id] if append_eot else []
 
     def run(batches):
-        encode = _encoding(bc.value, eot_id).encode
+        enc = _encoding(bc.value, eot_id)
         for b in batches:
-            ids = [encode(t.as_py() or "", allowed_special={EOT_STR}, disallowed_special=()) + end for t in b.column(1)]
+            ids = [encode_text(enc, t.as_py() or "") + end for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, type=pa.list_(pa.int32()))],
                                              names=["doc_id", "ids"])
 
@@ -63,9 +93,9 @@ def encode_documents(docs: DataFrame, ranks: dict, vocab: Vocab) -> DataFrame:
     dtype, eot = "<u2" if id_dtype(vocab.text_size) == "uint16" else "<u4", vocab.eot
 
     def run(batches):
-        encode = _encoding(bc.value, eot).encode
+        enc = _encoding(bc.value, eot)
         for b in batches:
-            ids = [np.array([*encode(t.as_py(), allowed_special={EOT_STR}, disallowed_special=()), eot], dtype) for t in b.column(1)]
+            ids = [np.array([*encode_text(enc, t.as_py()), eot], dtype) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())],
                 names=["doc_id", "n_tokens", "tokens"])
@@ -81,8 +111,8 @@ def encode_turns(turns: DataFrame, ranks: dict, vocab: Vocab) -> DataFrame:
     eot = vocab.eot
 
     def run(batches):
-        encode = _encoding(bc.value, eot).encode_ordinary
-        ids = lambda col, tail: pa.array([encode((t.as_py() or "") + tail) for t in col], pa.list_(pa.int32()))
+        enc = _encoding(bc.value, eot)
+        ids = lambda col, tail: pa.array([encode_text(enc, (t.as_py() or "") + tail, False) for t in col], pa.list_(pa.int32()))
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns, ids(b.column(2), "\n"), ids(b.column(3), "")],
                                              names=["conv_id", "turn", "role", "text", "role_ids", "text_ids"])

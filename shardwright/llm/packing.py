@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.bpe import encode_text
 from .common import hash32, materialise, ranked, text_of
 
 CAPACITY = 2048
@@ -61,11 +62,11 @@ def encoder(path: str):
 def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32. ``tokenizer`` is a path on the workers."""
     def cut(batches):
-        encode = encoder(tokenizer or default_tokenizer()).encode_ordinary
+        enc = encoder(tokenizer or default_tokenizer())
         for b in batches:
             out = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = np.array([*encode(text.as_py()), SEPARATOR], "<u4")
+                ids = np.array([*encode_text(enc, text.as_py(), False), SEPARATOR], "<u4")
                 start, end, piece = 0, len(ids) % capacity or capacity, 0
                 while start < len(ids):
                     out["doc_id"].append(doc_id)
