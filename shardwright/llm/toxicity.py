@@ -11,7 +11,8 @@ own, so neutral mentions of a group stay clean.
 
 The fit uses at most ``FIT_ROWS`` labelled documents (equal texts once) and
 ``FEATURES`` features; counts are combined before their shuffle and only the
-chosen features' hits reach the driver. Every document is scored whole, where
+chosen features' hits reach the driver. Every swap in those documents counts:
+equal changes of features are one row with its number of occurrences. Every document is scored whole, where
 it lies.
 
 Defined cases: a null or empty text has no features and gets the intercept's
@@ -42,7 +43,6 @@ BEGINNINGS = (3, 4, 5, 6)
 STEPS = 600
 L2 = 1e-4
 SWAP_PENALTY = 1.0
-SWAPPED_SENTENCES = 20_000
 THRESHOLD = 0.5
 _CACHE = 1 << 15
 WORD = re.compile(r"[^\W\d_]+")
@@ -161,13 +161,16 @@ def swaps(sentence: str, lookup: Lookup) -> list[list[int]]:
     return out
 
 
-def fit(docs: list[list[int]], y: np.ndarray, changes: list[list[int]], n_features: int, penalty: float = SWAP_PENALTY) -> tuple[np.ndarray, float]:
-    """Weights and intercept of the penalised logistic regression, by gradient steps with momentum and scaling."""
+def fit(docs: list[list[int]], y: np.ndarray, changes: list[list[int]], times: list[int], n_features: int,
+        penalty: float = SWAP_PENALTY) -> tuple[np.ndarray, float]:
+    """Weights and intercept of the penalised logistic regression, by gradient steps with momentum and scaling; change i
+    occurs ``times[i]`` times."""
     row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
     col = np.array([i for d in docs for i in d], np.int64)
     c_row = np.repeat(np.arange(len(changes)), [len(c) for c in changes])
     signed = np.array([i for c in changes for i in c], np.int64)
     c_col, c_sign = np.abs(signed) - 1, np.sign(signed).astype(np.float64)
+    c_share = np.array(times, np.float64) / max(sum(times), 1)
     share = (y.sum() + 1) / (len(y) + 2)
     w, base = np.zeros(n_features), float(np.log(share / (1 - share)))
     if not 0 < y.sum() < len(y):
@@ -180,8 +183,8 @@ def fit(docs: list[list[int]], y: np.ndarray, changes: list[list[int]], n_featur
         r = (p - y) * even
         g = np.bincount(col, r[row], n_features) + L2 * w
         if len(changes):
-            moved = np.bincount(c_row, c_sign * w[c_col], len(changes))
-            g += penalty / len(changes) * np.bincount(c_col, c_sign * moved[c_row], n_features)
+            moved = np.bincount(c_row, c_sign * w[c_col], len(changes)) * c_share
+            g += penalty * np.bincount(c_col, c_sign * moved[c_row], n_features)
         gb = r.sum()
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
@@ -195,24 +198,37 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS, penalty: fl
     rows = sample(docs, labels, "toxic", limit)
     n, n_toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not 0 < n_toxic < n:
-        w, base = fit([[]] * n, np.full(n, 1.0 if n_toxic else 0.0), [], 1)
+        w, base = fit([[]] * n, np.full(n, 1.0 if n_toxic else 0.0), [], [], 1)
         return Model([], w, base)
     chosen = choose(rows, n, n_toxic)
 
     def hits(batches):
         lookup = Lookup(chosen)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            changes = [[c for s in SENTENCE.split(t) for c in swaps(s, lookup)] for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([sorted(lookup(words_of(t))) for t in texts], pa.list_(pa.int32())),
-                 pa.array(changes, pa.list_(pa.list_(pa.int32())))], names=["y", "hits", "changes"])
+                [b.column(0), pa.array([sorted(lookup(words_of(t.as_py()))) for t in b.column(1)], pa.list_(pa.int32()))],
+                names=["y", "hits"])
 
-    found = rows.mapInArrow(hits, "y int, hits array<int>, changes array<array<int>>").withColumn(
-        "changes", F.slice("changes", 1, max(1, SWAPPED_SENTENCES // limit * 4)))
-    table = sorted(found.collect(), key=lambda r: (r["y"], r["hits"], r["changes"]))
+    def counted(batches):
+        lookup, counts = Lookup(chosen), Counter()
+
+        def out():
+            batch = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.list_(pa.int32())), pa.array(list(counts.values()), pa.int64())],
+                                               names=["change", "n"])
+            counts.clear()
+            return batch
+
+        for b in batches:
+            for t in b.column(0):
+                counts.update(tuple(c) for s in SENTENCE.split(t.as_py()) for c in swaps(s, lookup))
+                if len(counts) > 100_000:
+                    yield out()
+        yield out()
+
+    table = sorted(rows.mapInArrow(hits, "y int, hits array<int>").collect())
+    changes = sorted(rows.select("text").mapInArrow(counted, "change array<int>, n long").groupBy("change").agg(F.sum("n")).collect())
     w, base = fit([r["hits"] for r in table], np.array([r["y"] for r in table], np.float64),
-                  [c for r in table for c in r["changes"]][:SWAPPED_SENTENCES], len(chosen), penalty)
+                  [c for c, _ in changes], [n for _, n in changes], len(chosen), penalty)
     return Model(chosen, w, base)
 
 
