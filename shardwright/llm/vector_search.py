@@ -7,14 +7,16 @@ inequality bounds how far the product is from the cosine. Pairs whose upper
 bound reaches the k-th best lower bound survive; their cosine is recomputed in
 double precision from the original vectors, and heaps merge the tiles.
 
-Within a block, equal vectors are compared once: only the k + 1 smallest ids of
-a vector can be among a query's k nearest (one of them may be the query).
+Within a block, only the rows of a vector's k + 1 smallest ids can be among a
+query's k nearest (one of them may be the query's own), and k rows of each.
 
 Defined cases: vectors that are null, empty, zero or hold a null or a
 non-finite component take no part, nor do null ids; only vectors of the same
 dimension are compared; rows with the query's id are its own; ties go to the
-smaller id; repeated rows of one id and vector may both be results; an empty
-table gives an empty result.
+smaller id; repeated rows of one id and vector may both be results; repeated
+rows of a query's id, with equal or other vectors, are queries whose pairs are
+ranked together (as in the query's SQL, so a neighbour counts once for each); an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -60,14 +62,15 @@ def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ids, x, np.sqrt((x * x).sum(axis=1))
 
 
-def _distinct(ids: np.ndarray, x: np.ndarray, keep: int) -> np.ndarray:
-    """Rows to compare: of each vector those with the ``keep`` smallest ids."""
-    seen: dict[bytes, int] = {}
+def _distinct(ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+    """Rows to compare: of each vector those with the k + 1 smallest ids, k rows of an id at most."""
+    seen: dict[bytes, dict[int, int]] = {}
     rows = []
     for i in np.argsort(ids, kind="stable"):
-        key = x[i].tobytes()
-        seen[key] = seen.get(key, 0) + 1
-        if seen[key] <= keep:
+        known = seen.setdefault(x[i].tobytes(), {})
+        v = int(ids[i])
+        if known.get(v, 0) < k and (v in known or len(known) <= k):
+            known[v] = known.get(v, 0) + 1
             rows.append(i)
     return np.array(rows, dtype=np.int64)
 
@@ -78,7 +81,7 @@ def search_block(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
     if queries.num_rows and candidates.num_rows:
         q_id, q, q_len = _matrix(queries)
         c_id, c, c_len = _matrix(candidates)
-        rows = _distinct(c_id, c, k + 1)
+        rows = _distinct(c_id, c, k)
         c_id, c, c_len = c_id[rows], c[rows], c_len[rows]
         wide = np.float32 if q.shape[1] <= 1000 else np.float64  # sums of int8 products stay exact
         q_code, q_scale, _, q_res = quantise(q / q_len[:, None])
