@@ -43,6 +43,11 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_RUN))
 
 
+def text_key(doc_id: Column, text: Column) -> Column:
+    """64 bits that tell apart documents of one id (or of none) by text."""
+    return F.xxhash64(doc_id.isNull(), F.char_length(text), text)
+
+
 def hash32(col: Column, salt: str = "") -> Column:
     """32 bits of the md5 of a value's text (null has its own), as a long in [0, 2^32)."""
     s = F.concat(F.lit(salt), F.coalesce(F.concat(F.lit("="), col.cast("string")), F.lit("~")))

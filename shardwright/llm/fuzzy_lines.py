@@ -31,7 +31,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, let, materialise, text_of, written
+from .common import SPACES, let, materialise, text_key, text_of, written
 from .graph import components
 
 MAX_BITS = 3
@@ -60,7 +60,7 @@ def normalised(lines: DataFrame) -> DataFrame:
 def identified(docs: DataFrame, text: Column | None = None) -> DataFrame:
     """``docs`` with id (a null one last) and th, which tell documents apart."""
     return (docs.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)))
-            .withColumn("th", F.hash(F.col("doc_id").isNull(), text_of("text" if text is None else text))))
+            .withColumn("th", text_key(F.col("doc_id"), text_of("text" if text is None else text))))
 
 
 def lines_of() -> Column:

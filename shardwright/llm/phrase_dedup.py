@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import spans
-from .common import materialise, text_of, written
+from .common import materialise, text_key, text_of, written
 
 WINDOW = 35
 GRAM = 8
@@ -57,7 +57,7 @@ def rows_of(docs: DataFrame) -> DataFrame:
     """id and th tell documents apart (null ids come last, with their own th); text is never null."""
     text = text_of()
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"),
-                       F.hash(F.col("doc_id").isNull(), text).alias("th"), text.alias("text"))
+                       text_key(F.col("doc_id"), text).alias("th"), text.alias("text"))
 
 
 def _spans(window: int, k: int):
@@ -72,7 +72,7 @@ def _spans(window: int, k: int):
                 symbols = np.fromiter(map(words.__getitem__, tokens), np.uint64, len(tokens))
                 key, first, last, anchor, hashed = spans(symbols, k, window)
                 content = hashed.ranges(first, last + window) + (anchor - first).astype(np.uint64)
-                for column, values in zip(out, (np.full(len(key), doc, np.int64), np.full(len(key), th, np.int32), first.astype(np.int32),
+                for column, values in zip(out, (np.full(len(key), doc, np.int64), np.full(len(key), th, np.int64), first.astype(np.int32),
                                                 last.astype(np.int32), key.view(np.int64), content.view(np.int64))):
                     column.append(values)
             if out[0]:
@@ -160,7 +160,7 @@ def _shard(window: int):
 def repeated(rows: DataFrame, window: int = WINDOW, k: int = GRAM, shard: int = SHARD, big_key: int = BIG_KEY) -> DataFrame:
     """(id, th, places): the word ranges [a, b) of each document that recurring windows cover."""
     all_spans = written(rows.select("id", "th", "text").mapInArrow(
-        _spans(window, k), "id long, th int, first int, last int, key long, content long"), "phrase-spans")
+        _spans(window, k), "id long, th long, first int, last int, key long, content long"), "phrase-spans")
     recurring = all_spans.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
     found = written(all_spans.join(recurring, "key", "left_semi"), "phrase-recurring")
     distinct = found.groupBy("key", "content").agg(

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import Hashed, mix, spans
-from .common import materialise, text_of, written
+from .common import materialise, text_key, text_of, written
 from .suffix_array import suffix_array
 
 WINDOW = 100
@@ -49,7 +49,7 @@ def rows_of(docs: DataFrame) -> DataFrame:
     """id (null ids last) and th order the documents and tell them apart; text is never null."""
     text = text_of()
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"),
-                       F.hash(F.col("doc_id").isNull(), text).alias("th"), text.alias("text"))
+                       text_key(F.col("doc_id"), text).alias("th"), text.alias("text"))
 
 
 def _symbols(raw: bytes) -> np.ndarray:
@@ -70,7 +70,7 @@ def _spans(window: int, k: int, keys_only: bool):
                 columns = [key.view(np.int64)]
                 if not keys_only:
                     content = hashed.ranges(first, last + window) + (anchor - first).astype(np.uint64)
-                    columns += [content.view(np.int64), np.full(len(key), doc, np.int64), np.full(len(key), th, np.int32),
+                    columns += [content.view(np.int64), np.full(len(key), doc, np.int64), np.full(len(key), th, np.int64),
                                 first.astype(np.int32), last.astype(np.int32)]
                 for column, values in zip(out, columns):
                     column.append(values)
@@ -86,7 +86,7 @@ def _spans(window: int, k: int, keys_only: bool):
 def _cut_out(window: int):
     """(id, th, text, places) -> the bytes of each place, or of its windows if ``big``."""
     names = ["key", "content", "id", "th", "first", "at", "wkey", "bytes"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
 
     def run(batches):
         for b in batches:
@@ -190,7 +190,7 @@ def _shard(window: int):
             for a, b in whole:
                 for name, value in zip(out, (doc, th, first + a, first + b - 1 + window)):
                     out[name].append(value)
-        types = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
         return pa.table([pa.array(c, t) for c, t in zip(out.values(), types)], names=list(out))
     return run
 
@@ -200,7 +200,7 @@ def lost_ranges(rows: DataFrame, window: int = WINDOW, k: int = GRAM, shard: int
     text = rows.select("id", "th", "text")
     keys = text.mapInArrow(_spans(window, k, True), "key long")
     recurring = materialise(keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"))
-    found = text.mapInArrow(_spans(window, k, False), "key long, content long, id long, th int, first int, last int")
+    found = text.mapInArrow(_spans(window, k, False), "key long, content long, id long, th long, first int, last int")
     found = written(found.join(recurring, "key", "left_semi"), "substring-spans")
     distinct = materialise(found.groupBy("key", "content").agg(
         F.min(F.struct("id", "th", "first", "last")).alias("s"), F.count(F.lit(1)).alias("n")))
@@ -214,12 +214,12 @@ def lost_ranges(rows: DataFrame, window: int = WINDOW, k: int = GRAM, shard: int
               .groupBy(*ROW).agg(F.collect_list(F.struct("first", "last", "key", "content", "big")).alias("places")))
     n = distinct.join(mixed.where("NOT big"), "key").count()
     pieces = text.join(wanted, ROW).dropDuplicates(ROW).select("id", "th", "text", "places").mapInArrow(
-        _cut_out(window), "key long, content long, id long, th int, first int, at int, wkey long, bytes binary")
+        _cut_out(window), "key long, content long, id long, th long, first int, at int, wkey long, bytes binary")
     pieces = written(pieces, "substring-pieces")
     shards = max(1, -(-n // shard))
     ranges = (pieces.where("wkey IS NULL").select("key", "id", "th", "first", "bytes")
               .withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int"))
-              .groupBy("shard").applyInArrow(_shard(window), "id long, th int, a int, b int"))
+              .groupBy("shard").applyInArrow(_shard(window), "id long, th long, a int, b int"))
     windows = pieces.where("wkey IS NOT NULL").select("wkey", "id", "th", (F.col("first") + F.col("at")).alias("a"))
     earliest = windows.groupBy("wkey").agg(F.min(F.struct("id", "th", "a")).alias("e"))
     single = (windows.join(earliest, "wkey").where(F.struct("id", "th", "a") != F.col("e"))
