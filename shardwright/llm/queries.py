@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fuzzy_lines, mixing, packing, phrase_dedup, quality_gam, quality_rules, simhash, suffix_dedup, toxicity, vector_search
+from . import bpe_tree, fuzzy_lines, mixing, packing, phrase_dedup, quality_gam, quality_rules, simhash, suffix_dedup, toxicity, vector_search
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,10 @@ def op9_rule_ledger(spark, sf_dir):
 @query("op10_best_fit_pack")
 def op10_best_fit_pack(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"))
+
+
+@query("op11_bpe_tree")
+def op11_bpe_tree(spark, sf_dir):
+    ids = bpe_tree.encode(read(spark, sf_dir, "documents"))
+    return bpe_tree.decode(ids.withColumn("ids_sha256", F.sha2("ids", 256))).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
