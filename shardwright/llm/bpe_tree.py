@@ -35,8 +35,8 @@ from __future__ import annotations
 
 import base64
 import heapq
+import struct
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,9 +49,11 @@ BLOCK = 4096
 #: Pre-tokens kept apart at each end of a part: those that a join can change, and one more.
 EDGE = 4
 #: Entries of a worker's caches: whole pre-tokens; windows and short strings; token pairs.
-PIECES = 1 << 19
-CACHE = 1 << 18
-PAIRS = 1 << 20
+PIECES = 1 << 18
+CACHE = 1 << 16
+PAIRS = 1 << 19
+#: Texts of an Arrow batch that are returned together.
+ROWS = 256
 #: Above this many bytes a window is merged by a heap.
 SHORT = 48
 
@@ -75,6 +77,14 @@ class _Cache(dict):
         return value
 
 
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def unpacked(ids: bytes) -> list[int]:
+    return [*struct.unpack(f"<{len(ids) // 4}I", ids)]
+
+
 class PieceEncoder:
     """Encodings of single pre-tokens by a rank table."""
 
@@ -83,10 +93,20 @@ class PieceEncoder:
         self.tokens = {i: b for b, i in ranks.items()}
         self.longest, self.none = max(map(len, ranks)), max(self.tokens) + 1
         self.windows = _Cache(self._merge, CACHE)
-        self.stable = _Cache(lambda ab: self.windows[self.tokens[ab[0]] + self.tokens[ab[1]]] == [*ab], PAIRS)
-        self.pieces = _Cache(lambda s: [i] if (i := ranks.get(s.encode())) is not None else self.merged(s), PIECES)
+        self.stable = _Cache(self._is_stable, PAIRS)
+        self.pieces = _Cache(self._piece, PIECES)
+        self.whole = _Cache(lambda i: self._merge(self.tokens[i]) == [i], PAIRS)
         self.short = _Cache(self._halves, CACHE)
 
+    def _piece(self, s: str) -> bytes:
+        """The ids of a pre-token, four bytes each."""
+        whole = self.ranks.get(s.encode())
+        return packed([whole] if whole is not None else self.merged(s))
+
+    def _is_stable(self, pair: int) -> bool:
+        a, b = pair >> 32, pair & 0xFFFFFFFF
+        return self._merge(self.tokens[a] + self.tokens[b]) == [a, b]
+
     def _merge(self, window: bytes) -> list[int]:
         """The lowest rank first, of equal ranks the leftmost."""
         if len(window) > SHORT:
@@ -129,14 +149,14 @@ class PieceEncoder:
 
     def join(self, a: list[int], b: list[int]) -> list[int]:
         """The encoding of the bytes of ``a`` and ``b``, both encodings themselves."""
-        if not a or not b or self.stable[a[-1], b[0]]:
+        if not a or not b or self.stable[a[-1] << 32 | b[0]]:
             return a + b
         tokens, i, j, step = self.tokens, len(a) - 1, 1, 1
         while True:
             window = b"".join([tokens[t] for t in a[i:]] + [tokens[t] for t in b[:j]])
             ids = self.windows[window] if len(window) <= SHORT else self._merge(window)
-            left = i == 0 or self.stable[a[i - 1], ids[0]]
-            right = j == len(b) or self.stable[ids[-1], b[j]]
+            left = i == 0 or self.stable[a[i - 1] << 32 | ids[0]]
+            right = j == len(b) or self.stable[ids[-1] << 32 | b[j]]
             if left and right:
                 return a[:i] + ids + b[j:]
             i = i if left else max(0, i - step)
@@ -144,6 +164,8 @@ class PieceEncoder:
             step *= 2
 
     def _halves(self, s: str) -> list[int]:
+        if len(s) <= self.longest and (i := self.ranks.get(s.encode())) is not None and self.whole[i]:
+            return [i]  # its merges give the token
         if len(s) > 1:
             middle = 1 << ((len(s) - 1).bit_length() - 1)
             return self.join(self.merged(s[:middle]), self.merged(s[middle:]))
@@ -158,7 +180,7 @@ class PieceEncoder:
 
 
 class Part:
-    """The pre-tokens of text[start:end] taken for itself: (from, to, ids) at both ends, ids alone between them.
+    """The pre-tokens of text[start:end] taken for itself: (from, to, packed ids) at both ends, ids alone between them.
     ``middle`` is None while all pre-tokens are in ``left``."""
 
     __slots__ = ("start", "end", "left", "middle", "right")
@@ -169,18 +191,20 @@ class Part:
     @classmethod
     def of(cls, start: int, end: int, left: list, middle: list | None, right: list) -> Part:
         """With ends cut to ``EDGE`` pre-tokens."""
-        flat = lambda ps: np.fromiter(chain.from_iterable(p[2] for p in ps), np.uint32)
         if middle is None:
             left, right = left + right, []
             if len(left) <= 2 * EDGE:
                 return cls(start, end, left, None, [])
-            return cls(start, end, left[:EDGE], [flat(left[EDGE:-EDGE])], left[-EDGE:])
-        middle = ([flat(left[EDGE:])] if len(left) > EDGE else []) + middle + ([flat(right[:-EDGE])] if len(right) > EDGE else [])
+            return cls(start, end, left[:EDGE], [_ids(left[EDGE:-EDGE])], left[-EDGE:])
+        middle = ([_ids(left[EDGE:])] if len(left) > EDGE else []) + middle + ([_ids(right[:-EDGE])] if len(right) > EDGE else [])
         return cls(start, end, left[:EDGE], middle, right[-EDGE:])
 
-    def ids(self) -> np.ndarray:
-        ends = [np.fromiter(chain.from_iterable(p[2] for p in ps), np.uint32) for ps in (self.left, self.right)]
-        return np.concatenate([ends[0], *(self.middle or []), ends[1]])
+    def ids(self) -> bytes:
+        return b"".join([_ids(self.left), *(self.middle or []), _ids(self.right)])
+
+
+def _ids(pieces: list) -> bytes:
+    return b"".join([p[2] for p in pieces])
 
 
 @lru_cache
@@ -219,12 +243,13 @@ class TreeEncoder(PieceEncoder):
                 exact = exact.replace(kind, f"[[{kind}--[{_members(surplus)}]]||[{_members(missing)}]]")
         self.usual, self.exact = regex.compile(pattern), regex.compile(exact, regex.V1)
         self.odd, self.pattern = regex.compile(f"[{_members(odd)}]"), self.usual
+        self.least_odd = min(map(ord, odd), default=0x10FFFF)
 
     def _leaf(self, text: str, start: int, end: int) -> Part:
         found, pieces = self.pattern.findall(text, start, end), self.pieces
         if len(found) <= 2 * EDGE:
             return Part(start, end, self._placed(found, start), None, [])
-        middle = np.fromiter(chain.from_iterable(map(pieces.__getitem__, found[EDGE:-EDGE])), np.uint32)
+        middle = b"".join(map(pieces.__getitem__, found[EDGE:-EDGE]))
         return Part(start, end, self._placed(found[:EDGE], start), [middle],
                     self._placed(found[-EDGE:], end - sum(map(len, found[-EDGE:]))))
 
@@ -238,7 +263,7 @@ class TreeEncoder(PieceEncoder):
     def _pure(self, text: str, piece: tuple) -> list[int]:
         """The merges of a pre-token, also where the whole is in the table."""
         s, e, ids = piece
-        return ids if e - s > self.longest else self.merged(text[s:e])
+        return unpacked(ids) if e - s > self.longest else self.merged(text[s:e])
 
     def _join_parts(self, text: str, a: Part, b: Part) -> Part:
         m, b_left = a.end, b.left
@@ -271,15 +296,14 @@ class TreeEncoder(PieceEncoder):
             return Part.of(a.start, b.end, ahead + between + b_left, b_middle, b_right)
         if b_middle is None:
             return Part.of(a.start, b.end, a.left, a.middle, ahead + between + b_left)
-        inner = np.fromiter(chain.from_iterable(p[2] for p in ahead + between + b_left), np.uint32)
-        return Part.of(a.start, b.end, a.left, [*a.middle, inner, *b_middle], b_right)
+        return Part.of(a.start, b.end, a.left, [*a.middle, _ids(ahead + between + b_left), *b_middle], b_right)
 
-    def _crossing(self, text, s, e, m, loose, b_left) -> list[int]:
+    def _crossing(self, text, s, e, m, loose, b_left) -> bytes:
         if e - s > self.longest and b_left and b_left[0][:2] == (m, e):
             for piece in loose:
                 if piece[:2] == (s, m):
-                    return self.join(self._pure(text, piece), self._pure(text, b_left[0]))
-        return self.pieces[text[s:e]] if e - s <= 64 else self.merged(text[s:e])
+                    return packed(self.join(self._pure(text, piece), self._pure(text, b_left[0])))
+        return self.pieces[text[s:e]] if e - s <= 64 else self._piece(text[s:e])
 
     def _part(self, text: str, start: int, end: int) -> Part:
         if end - start <= self.block:
@@ -288,33 +312,60 @@ class TreeEncoder(PieceEncoder):
         return self._join_parts(text, self._part(text, start, middle), self._part(text, middle, end))
 
     def encode(self, text: str) -> np.ndarray:
-        self.pattern = self.exact if not text.isascii() and self.odd.search(text) else self.usual
-        return self._part(text, 0, len(text)).ids()
+        self.pattern = self.exact if self._is_odd(text) else self.usual
+        return np.frombuffer(self._part(text, 0, len(text)).ids(), "<u4")
+
+    def _is_odd(self, text: str) -> bool:
+        return not text.isascii() and (int(np.frombuffer(text.encode("utf-32-le"), "<u4").max()) >= self.least_odd
+                                       and self.odd.search(text) is not None)
+
+
+class Decoder:
+    """The bytes of ids: those of halves, concatenated."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.tokens = {i: b for b, i in ranks.items()}
 
     def decode(self, ids: np.ndarray) -> bytes:
-        if len(ids) <= self.block:
+        if len(ids) <= BLOCK:
             return b"".join(map(self.tokens.__getitem__, ids.tolist()))
         middle = len(ids) // 2
         return self.decode(ids[:middle]) + self.decode(ids[middle:])
 
 
+@lru_cache(maxsize=2)
+def rank_table(path: str) -> dict[bytes, int]:
+    """The table of a rank file (lines of base64 bytes and rank)."""
+    with open(path, "rb") as f:
+        return {base64.b64decode(b): int(i) for b, i in (line.split() for line in f if line.strip())}
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> TreeEncoder:
-    """The encoder of a rank file (lines of base64 bytes and rank), which a worker keeps."""
+    """The encoder of a rank file, which a worker keeps."""
     import public_tokenizers
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(b): int(i) for b, i in (line.split() for line in f if line.strip())}
-    return TreeEncoder(ranks, public_tokenizers.PATTERN)
+    return TreeEncoder(rank_table(path), public_tokenizers.PATTERN)
+
+
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(rank_table(path))
+
+
+def _slices(batches):
+    for b in batches:
+        for k in range(0, b.num_rows, ROWS):
+            yield b.slice(k, ROWS)
 
 
 def encode(docs: DataFrame, ranks: str | None = None) -> DataFrame:
     """doc_id, n_tokens and ids (little-endian unsigned 32-bit integers). ``ranks`` is a path on the workers."""
     def run(batches):
         enc = encoder(ranks or default_ranks())
-        for b in batches:
+        for b in _slices(batches):
             ids = [enc.encode(t.as_py()) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())],
+                [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())],
                 names=["doc_id", "n_tokens", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(
@@ -326,9 +377,9 @@ def decode(tokens: DataFrame, ranks: str | None = None) -> DataFrame:
     kept = [c for c in tokens.columns if c != "ids"]
 
     def run(batches):
-        enc = encoder(ranks or default_ranks())
-        for b in batches:
-            decoded = [None if x is None else enc.decode(np.frombuffer(x, "<u4")) for x in b.column("ids").to_pylist()]
+        dec = decoder(ranks or default_ranks())
+        for b in _slices(batches):
+            decoded = [None if (x := i.as_py()) is None else dec.decode(np.frombuffer(x, "<u4")) for i in b.column("ids")]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(decoded, pa.binary())], names=[*kept, "decoded"])
 
     fields = ", ".join(f"`{c}` {tokens.schema[c].dataType.simpleString()}" for c in kept)
