@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_tree, fuzzy_lines, mixing, packing, phrase_dedup, quality_gam, quality_rules, simhash, suffix_dedup, toxicity, vector_search
+from . import bpe_tree, fuzzy_lines, hard_negatives, mixing, packing, phrase_dedup, quality_gam, quality_rules, simhash, suffix_dedup, toxicity, vector_search
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,28 @@ def op11_bpe_tree(spark, sf_dir):
     ids = bpe_tree.encode(read(spark, sf_dir, "documents"))
     return bpe_tree.decode(ids.withColumn("ids_sha256", F.sha2("ids", 256))).select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op12_hard_negatives", r"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT row_number() OVER () AS anchor, * FROM (SELECT DISTINCT vec_id, label, v FROM e WHERE vec_id % 50 = 0)),
+s AS (
+  SELECT a.anchor, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM a JOIN e c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v)),
+p AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS place FROM s WHERE same)
+  WHERE place <= 5),
+n AS (
+  SELECT p.anchor, p.anchor_id, p.place, p.vec_id AS positive_id, s.vec_id AS negative_id,
+         p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+""")
+def op12_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
