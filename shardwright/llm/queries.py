@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_tree, fuzzy_lines, hard_negatives, mixing, packing, phrase_dedup, quality_gam, quality_rules, simhash, suffix_dedup, toxicity, vector_search
+from . import bpe_tree, collocations, fuzzy_lines, hard_negatives, mixing, packing, phrase_dedup, quality_gam, quality_rules, simhash, suffix_dedup, toxicity, vector_search
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +179,42 @@ SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_
 """)
 def op12_hard_negatives(spark, sf_dir):
     return hard_negatives.mine(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op13_collocations", r"""
+WITH p AS (
+  SELECT row_number() OVER () AS pid, lang, w FROM (
+    SELECT lang, regexp_extract_all(x, '[^\x20\x09]+') AS w FROM (
+      SELECT coalesce(lang, 'und') AS lang,
+             unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[.,;:!?\x0A-\x0D]')) AS x
+      FROM documents))
+  WHERE len(w) > 0),
+total AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM p GROUP BY lang),
+g AS (
+  SELECT lang, g, CAST(count(*) AS HUGEINT) AS f
+  FROM (SELECT lang, w[i:i + k - 1] AS g
+        FROM (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i
+              FROM p, (VALUES (1), (2), (3), (4), (5)) AS o(k) WHERE len(w) >= k))
+  GROUP BY lang, g HAVING count(*) >= 100),
+held AS (
+  SELECT DISTINCT a.lang, a.g FROM g a
+  JOIN (SELECT lang, f, g[1:len(g) - 1] AS g FROM g UNION ALL SELECT lang, f, g[2:] FROM g) b
+  ON a.lang = b.lang AND a.g = b.g AND a.f = b.f),
+cut AS (
+  SELECT c.lang, c.g, c.f AS a, l.f AS l, r.f AS r, n, k, 1000 * c.f * n // (l.f * r.f) AS score
+  FROM (SELECT *, unnest(generate_series(1, len(g) - 1)) AS k FROM g WHERE len(g) >= 2) c
+  JOIN g l ON l.lang = c.lang AND l.g = c.g[1:k]
+  JOIN g r ON r.lang = c.lang AND r.g = c.g[k + 1:]
+  JOIN total ON total.lang = c.lang),
+best AS (
+  SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score FROM cut c
+  WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.lang = c.lang AND h.g = c.g)
+  QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+""")
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(read(spark, sf_dir, "documents"))
