@@ -22,11 +22,11 @@ from .operators import choice as X
 from .operators import corpus as K
 from .operators import prompts as P
 from .operators import runlog as R
-from .operators import windows as W
 from .schemas import BYTES, SEED, ChatSpec, CorpusSpec, id_dtype
 from .session import scratch_path
 from .sources import manifest as M
 from .sources import token_shards as TS
+from .sources import windows as SW
 
 
 def _vocabulary(spark: SparkSession, rank_file: str | None):
@@ -106,18 +106,16 @@ def tokenize_chat(spark: SparkSession, turns: DataFrame, out_dir: str, spec: Cha
 
 
 def sample_windows(spark: SparkSession, shard_dir: str, block: int, steps: int, accum: int, batch: int,
-                   split: str = "train", dtype: str = "uint16", seed: int = SEED) -> DataFrame:
-    """Training windows (step, micro, row, x, y) drawn from the flat files of the
-    text job (E4)."""
-    TS.register(spark)
-    chunks = spark.read.format("token_shard").option("dtype", dtype).option("chunk", block).load(shard_dir).where(F.col("split") == split)
-    shards = chunks.groupBy("split", "shard_id").agg(F.sum(F.size("tokens")).cast("long").alias("tokens"))
-    weights = W.shard_weights(shards).checkpoint()
-    smallest = weights.agg(F.min("tokens")).first()[0]
-    picked = W.pick_shards(W.draws(spark, steps, accum, batch), weights, split, seed, max(1, smallest or 1))
-    starts = W.text_starts(picked, block, seed)
-    chunks = chunks.select("split", "shard_id", F.floor(F.col("shard_start") / block).alias("chunk"), "tokens")
-    return W.text_windows(W.gather(starts, chunks, ["tokens"], block), block)
+                   split: str = "train", seed: int = SEED, manifest_dir: str | None = None) -> DataFrame:
+    """Training windows (step, micro, row, x, y, tokens_seen) drawn from the flat files of
+    the text job (``out/bin``) or the chat job (``out/shards``: windows begin with
+    conversations, targets outside the mask are -100) (E4). Sizes and id type are those
+    of the manifest, by default the one beside the folder. The number of bytes read
+    follows the number of draws. Warns if a chat corpus has conversations longer than
+    ``block`` (P18)."""
+    manifest_dir = manifest_dir or shard_dir.rstrip("/").rpartition("/")[0] + "/manifest"
+    M.warn_if_longer_than_block(M.read_manifest(spark, manifest_dir), block)
+    return SW.drawn_windows(spark, shard_dir, manifest_dir, block, steps, accum, batch, split, seed)
 
 
 def evaluate_choices(spark: SparkSession, choices: DataFrame, token_losses: DataFrame,
@@ -204,6 +202,7 @@ def _main(argv=None):
     w.add_argument("--accum", type=int, default=1)
     w.add_argument("--batch", type=int, default=16)
     w.add_argument("--split", default="train")
+    w.add_argument("--manifest", help="by default the one beside the shards")
     c = sub.add_parser("summarize-runs")
     c.add_argument("--scalars", required=True)
     c.add_argument("--out", required=True)
@@ -228,7 +227,8 @@ def _main(argv=None):
         evaluate_choices(spark, X.read_choices(spark, args.choices), spark.read.parquet(args.token_losses), args.out,
                          args.block, args.limit)
     elif args.job == "sample-windows":
-        sample_windows(spark, args.shards, args.block, args.steps, args.accum, args.batch, args.split) \
+        sample_windows(spark, args.shards, args.block, args.steps, args.accum, args.batch, args.split,
+                       manifest_dir=args.manifest) \
             .write.mode("overwrite").parquet(args.out)
     else:
         summarize_runs(spark, read_scalars(spark, args.scalars, args.run), args.out, perf_tags=tuple(args.perf_tag))

@@ -153,6 +153,11 @@ def chat_windows(win: DataFrame, block: int) -> DataFrame:
     return w.withColumn("y", F.zip_with("y", m, lambda t, k: F.when(k == 1, t).otherwise(F.lit(IGNORE_INDEX))))
 
 
+def tokens_seen(step_col: str, block: int, batch: int, accum: int) -> F.Column:
+    """Tokens trained on when a step (from 0) is done."""
+    return ((F.col(step_col) + 1) * (accum * batch * block)).cast("long")
+
+
 def budget_row(tokens, block: int, batch: int, accum: int, max_iters=None, epochs=None) -> list:
     """tokens/iter = accum x batch x T; total; epochs; a chat budget sets
     max_iters = max(1, int(epochs x tokens / per_iter)) (A6, W11)."""

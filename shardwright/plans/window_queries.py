@@ -9,10 +9,12 @@ from ..operators import chat as C
 from ..operators import choice as X
 from ..operators import corpus as K
 from ..operators import windows as W
+from .. import jobs
 from ..schemas import IGNORE_INDEX, SEED
+from ..session import scratch_path
 from . import chat_queries as CQ
 from . import text_queries as TQ
-from .registry import query, table
+from .registry import ORACLES, query, table
 from .sqlfrag import bytes_of
 
 # Test-scale parameters (survey 7.4): T = 256; 20 steps x 2 micro-batches x 8 rows.
@@ -169,6 +171,15 @@ def window_gather(spark, sf):
                       ids_digest("x").alias("x_md5"), ids_digest("y").alias("y_md5"))
 
 
+@query("window_file_reads", ORACLES["window_gather"])
+def window_file_reads(spark, sf):
+    """The windows of ``window_gather``, read from the ``.bin`` files that the text job writes."""
+    out = scratch_path(spark, "window-files")
+    jobs.tokenize_corpus(spark, TQ._docs(spark, sf), out, TQ.SPEC)
+    win = jobs.sample_windows(spark, f"{out}/bin", T, STEPS, ACCUM, BATCH)
+    return win.select("step", "micro", "row", "shard_id", "start", ids_digest("x").alias("x_md5"), ids_digest("y").alias("y_md5"))
+
+
 @query("chat_window_starts", f"{_CHAT_WS}\nSELECT step, micro, row, shard_id, start FROM ws")
 def chat_window_starts(spark, sf):
     s, _ = _chat_starts(spark, sf)
@@ -192,6 +203,16 @@ def chat_window_targets(spark, sf):
                     F.size(F.filter("y", lambda v: v != IGNORE_INDEX)).alias("n_targets"))
 
 
+@query("chat_window_file_reads", ORACLES["chat_window_targets"])
+def chat_window_file_reads(spark, sf):
+    """The windows of ``chat_window_targets``, read from the files that the chat job writes."""
+    out = scratch_path(spark, "chat-window-files")
+    jobs.tokenize_chat(spark, CQ._turns(spark, sf), out, CQ.CHAT_SPEC)
+    w = jobs.sample_windows(spark, f"{out}/shards", T, STEPS, ACCUM, BATCH)
+    return w.select("step", "micro", "row", "shard_id", "start", ids_digest("x").alias("x_md5"), ids_digest("y").alias("y_md5"),
+                    F.size(F.filter("y", lambda v: v != IGNORE_INDEX)).alias("n_targets"))
+
+
 @query("masked_mean_loss", f"""{_CHAT_WS}, {_CHAT_GATHER},
 dids AS (SELECT {TQ.DOC_IDS_SQL} AS ids FROM documents WHERE text IS NOT NULL),
 codes AS (SELECT unnest(list_transform(range(1, len(ids)), lambda i: ids[i] * 259 + ids[i + 1])) AS code FROM dids),

@@ -19,6 +19,7 @@ DEFAULTS = {
     # Arrow batches of documents handed to the encoder (the reference hands
     # 8,192 documents to its encoder at once).
     "spark.sql.execution.arrow.maxRecordsPerBatch": "8192",
+    "spark.sql.python.filterPushdown.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -10,12 +10,14 @@ Arrow batch and a retried task rewrites its shards. Paths go through
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition,
+                                    LessThan, LessThanOrEqual)
 
 # Tokens of one row when a shard has no conversations, and of one read task.
 CHUNK_TOKENS = 1 << 16
@@ -119,6 +121,41 @@ def export_chat_shards(convs: DataFrame, out_dir: str, dtype: str = "uint16", n_
                    [".bin", ".mask.bin", ".idx.bin"], encode)
 
 
+def manifest_fields(path: str) -> dict | None:
+    """The manifest beside a folder of shards (``../manifest``), if there is one."""
+    fs, root = _fs(path)
+    folder = os.path.dirname(root.rstrip("/")) + "/manifest"
+    from pyarrow import fs as pafs
+    if fs.get_file_info(folder).type != pafs.FileType.Directory:
+        return None
+    for f in sorted(fs.get_file_info(pafs.FileSelector(folder)), key=lambda f: f.base_name):
+        if f.is_file and f.size and not f.base_name.startswith(("_", ".")):
+            with fs.open_input_stream(f.path) as stream:
+                return json.loads(stream.read())
+    return None
+
+
+def id_width(path: str, dtype: str | None) -> str:
+    """The id type of a folder's shards: that of its manifest. ``dtype`` is needed only where there is none, and must agree
+    with it otherwise: flat files read by another width give other ids without an error."""
+    man = manifest_fields(path)
+    found = man.get("dtype") if man else None
+    if found and dtype and found != dtype:
+        raise ValueError(f"the manifest beside {path} says {found}, not {dtype}")
+    if not (found or dtype):
+        raise ValueError(f"no manifest beside {path}: give the id type as option dtype")
+    return found or dtype
+
+
+def read_at(path: str, dtype, first: int, last: int) -> np.ndarray:
+    """Elements first..last of a flat little-endian file."""
+    fs, p = _fs(path)
+    width = np.dtype(dtype).itemsize
+    with fs.open_input_file(p) as f:
+        end = min(last * width, f.size())
+        return np.frombuffer(f.read_at(max(0, end - first * width), first * width), dtype=dtype)
+
+
 class _Range(InputPartition):
     """Rows first..last of a shard: conversations, or chunks of a text shard."""
 
@@ -127,11 +164,25 @@ class _Range(InputPartition):
         self.stem, self.split, self.shard, self.first, self.last, self.chat = stem, split, shard, first, last, chat
 
 
+#: Columns whose filters are met by not reading: names of files, and places in them.
+_PUSHED = ("split", "shard_id", "example", "shard_start")
+
+
 class TokenShardReader(DataSourceReader):
-    """Reads byte ranges of shards, an Arrow batch per range."""
+    """Reads byte ranges of shards, an Arrow batch per range; only the columns of the schema."""
 
-    def __init__(self, path: str, dtype: str, chunk: int):
-        self.path, self.dtype, self.chunk = path, np.dtype(dtype).newbyteorder("<"), chunk
+    def __init__(self, path: str, dtype: str, chunk: int, columns: list[str]):
+        self.path, self.dtype, self.chunk, self.columns = path, np.dtype(dtype).newbyteorder("<"), chunk, columns
+        self.tests: list[tuple[str, str, object]] = []
+
+    def _meets(self, column: str, least, most) -> bool:
+        """Some value from ``least`` to ``most`` meets the pushed tests on a column."""
+        for name, op, v in self.tests:
+            if name == column and not (
+                    least <= v <= most if op == "=" else any(least <= x <= most for x in v) if op == "in"
+                    else most > v if op == ">" else most >= v if op == ">=" else least < v if op == "<" else least <= v):
+                return False
+        return True
 
     def partitions(self):
         from pyarrow import fs as pafs
@@ -141,45 +192,93 @@ class TokenShardReader(DataSourceReader):
         for name in sorted(n for n in sizes if n.endswith(".bin") and n.count(".") == 1):
             stem = name[:-len(".bin")]
             split, num = stem.rsplit("_", 1)
+            if not (self._meets("split", split, split) and self._meets("shard_id", int(num), int(num))):
+                continue
             chat = f"{stem}.idx.bin" in sizes
             tokens = sizes[name] // self.dtype.itemsize
             rows = sizes[f"{stem}.idx.bin"] // 8 if chat else -(-tokens // self.chunk)
             step = max(1, rows * TASK_TOKENS // max(1, tokens))
-            parts += [_Range(f"{self.path.rstrip('/')}/{stem}", split, int(num), a, min(a + step, rows), chat)
-                      for a in range(0, rows, step)]
+            for a in range(0, rows, step):
+                r = _Range(f"{self.path.rstrip('/')}/{stem}", split, int(num), a, min(a + step, rows), chat)
+                if self._narrowed(r):
+                    parts.append(r)
         return parts
 
-    def _read(self, path: str, dtype, first: int, last: int | None) -> np.ndarray:
-        fs, p = _fs(path)
-        width = np.dtype(dtype).itemsize
-        with fs.open_input_file(p) as f:
-            end = f.size() if last is None else min(last * width, f.size())
-            return np.frombuffer(f.read_at(max(0, end - first * width), first * width), dtype=dtype)
+    def _narrowed(self, r: _Range) -> bool:
+        """Leaves the rows of a range that the tests on places can let through; whether any are left. Starts of
+        conversations are sorted in their file, but only the places in it are known here."""
+        keep = [k for k in (r.first, r.last - 1)]
+        for name, op, v in self.tests:
+            scale = self.chunk if name == "shard_start" and not r.chat else 1
+            if name not in ("example", "shard_start") or name == "shard_start" and r.chat or op == "in":
+                continue
+            low, high = -(-v // scale), v // scale  # the first row not below v, the last not above it
+            if op in ("=", ">="):
+                keep[0] = max(keep[0], low)
+            if op == ">":
+                keep[0] = max(keep[0], high + 1)
+            if op in ("=", "<="):
+                keep[1] = min(keep[1], high)
+            if op == "<":
+                keep[1] = min(keep[1], low - 1)
+        r.first, r.last = keep[0], keep[1] + 1
+        place = (r.first * self.chunk, (r.last - 1) * self.chunk)
+        return r.first < r.last and self._meets("example", r.first, r.last - 1) and (r.chat or self._meets("shard_start", *place))
 
     def read(self, partition):
         r = partition
+        n = r.last - r.first
         if r.chat:
-            starts = self._read(r.stem + ".idx.bin", "<u8", r.first, r.last + 1).astype(np.int64)
-            n = r.last - r.first
-            tokens = self._read(r.stem + ".bin", self.dtype, int(starts[0]), int(starts[n]) if len(starts) > n else None)
-            mask = self._read(r.stem + ".mask.bin", np.uint8, int(starts[0]), int(starts[0]) + len(tokens))
-            cuts = np.append(starts[:n], starts[0] + len(tokens)) - starts[0]
+            starts = read_at(r.stem + ".idx.bin", "<u8", r.first, r.last + 1).astype(np.int64)
+            first, last = int(starts[0]), int(starts[n]) if len(starts) > n else 1 << 60
         else:
-            tokens = self._read(r.stem + ".bin", self.dtype, r.first * self.chunk, r.last * self.chunk)
             starts = np.arange(r.first, r.last, dtype=np.int64) * self.chunk
-            n, mask = len(starts), None
-            cuts = np.append(starts - starts[0], len(tokens))
-        lists = lambda v: pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(v.astype(np.int32)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r.split] * n), pa.array([r.shard] * n, pa.int32()), pa.array(np.arange(r.first, r.last), pa.int32()),
-             pa.array(starts[:n]), lists(tokens), pa.nulls(n, pa.list_(pa.int32())) if mask is None else lists(mask)],
-            names=["split", "shard_id", "example", "shard_start", "tokens", "mask"])
+            first, last = r.first * self.chunk, r.last * self.chunk
+        tokens = mask = None
+        if "tokens" in self.columns:
+            tokens = read_at(r.stem + ".bin", self.dtype, first, last)
+            last = first + len(tokens)
+        if "mask" in self.columns and r.chat:
+            mask = read_at(r.stem + ".mask.bin", np.uint8, first, last)
+            last = first + len(mask)
+
+        def lists(v):
+            cuts = np.append(starts[:n], last) - first
+            return pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(v.astype(np.int32)))
+
+        made = {
+            "split": lambda: pa.array([r.split] * n), "shard_id": lambda: pa.array([r.shard] * n, pa.int32()),
+            "example": lambda: pa.array(np.arange(r.first, r.last), pa.int32()), "shard_start": lambda: pa.array(starts[:n]),
+            "tokens": lambda: lists(tokens), "mask": lambda: pa.nulls(n, pa.list_(pa.int32())) if mask is None else lists(mask),
+        }
+        yield pa.RecordBatch.from_arrays([made[c]() for c in self.columns], names=self.columns)
+
+
+class PushingReader(TokenShardReader):
+    """A reader that takes over comparisons with split, shard_id and places in a shard. Spark applies those on places again,
+    since a range is cut by rows of a file and not by every test."""
+
+    def pushFilters(self, filters):
+        ops = {EqualTo: "=", In: "in", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
+        for f in filters:
+            if type(f) in ops and len(f.attribute) == 1 and f.attribute[0] in _PUSHED and f.value is not None:
+                self.tests.append((f.attribute[0], ops[type(f)], f.value))
+                if f.attribute[0] in ("split", "shard_id"):
+                    continue
+            yield f
 
 
 class TokenShardDataSource(DataSource):
-    """``spark.read.format("token_shard").option("dtype", "uint16").load(dir)``:
-    one row per conversation of a chat shard, or per ``chunk`` tokens of a text
-    shard (mask null) (S8)."""
+    """``spark.read.format("token_shard").load(dir)``: one row per conversation of a
+    chat shard, or per ``chunk`` tokens of a text shard (mask null) (S8).
+
+    The id type is that of the manifest beside the folder (option ``dtype`` without
+    one). Files of columns that are not in a schema given by ``.schema(...)`` are not
+    opened. Comparisons with split, shard_id, example and shard_start choose files and
+    byte ranges where ``spark.sql.python.filterPushdown.enabled`` is set.
+    """
+
+    reader_class = TokenShardReader
 
     @classmethod
     def name(cls):
@@ -190,9 +289,16 @@ class TokenShardDataSource(DataSource):
                 "tokens array<int>, mask array<int>")
 
     def reader(self, schema):
-        return TokenShardReader(self.options.get("path"), self.options.get("dtype", "uint16"),
-                                int(self.options.get("chunk", CHUNK_TOKENS)))
+        path = self.options.get("path")
+        return self.reader_class(path, id_width(path, self.options.get("dtype")), int(self.options.get("chunk", CHUNK_TOKENS)),
+                                 schema.fieldNames())
+
+
+class PushingDataSource(TokenShardDataSource):
+    reader_class = PushingReader
 
 
 def register(spark) -> None:
-    spark.dataSource.register(TokenShardDataSource)
+    """Makes ``token_shard`` known. Spark refuses readers with pushdown where it is switched off."""
+    pushing = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false") == "true"
+    spark.dataSource.register(PushingDataSource if pushing else TokenShardDataSource)
