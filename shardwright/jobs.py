@@ -64,26 +64,17 @@ def tokenize_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, spec: Co
         docs = _stored(B.encode_documents(docs, ranks, vocab), "encoded")
         val_docs = None if val_docs is None else _stored(B.encode_documents(val_docs, ranks, vocab), "encoded-val")
     streams, sb, shards, man = K.tokenize_corpus(docs, spec, val_docs, vocab)
-    if val_docs is None:
-        rows = K.shard_rows(docs, streams, sb, vocab.text_size)
-    else:
-        # Two tables may share doc_ids, so each split is joined to its own.
-        rows = K.shard_rows(docs, streams.filter("split = 'train'"), sb.filter("split = 'train'"), vocab.text_size).unionByName(
-            K.shard_rows(val_docs, streams.filter("split = 'val'"), sb.filter("split = 'val'"), vocab.text_size))
+    ranges, cut = K.shard_ranges(streams, sb)
     done = f"{out_dir}/progress"
     if resume:
         closed = spark.read.parquet(done).filter(F.col("tokens") >= spec.shard_tokens)
         now = shards.select("split", "shard_id", F.col("tokens").alias("now"))
         if not closed.join(now, ["split", "shard_id"], "left").filter(~F.col("tokens").eqNullSafe(F.col("now"))).isEmpty():
             raise ValueError("closed shards of the earlier run don't match these documents")
-        keys = closed.select("split", "shard_id")
-        rows, shards_now = rows.join(keys, ["split", "shard_id"], "left_anti"), shards.join(keys, ["split", "shard_id"], "left_anti")
-    else:
-        shards_now = shards
-    n = shards_now.count()
-    K.write_shards(rows, f"{out_dir}/shards", n, keep=resume)
-    written = spark.read.schema("doc_id long, n_kept long, tokens binary, split string, shard_id int").parquet(f"{out_dir}/shards")
-    TS.export_text_shards(written.join(shards_now.select("split", "shard_id"), ["split", "shard_id"], "left_semi"), f"{out_dir}/bin", n).collect()
+        keys = {(r["split"], r["shard_id"]) for r in closed.select("split", "shard_id").collect()}  # as many as the manifest lists
+        ranges = [r for r in ranges if (r["split"], r["shard_id"]) not in keys]
+    rows, listed = K.corpus_rows(docs, ranges, cut, vocab.text_size, val_docs)
+    TS.write_text_shards(rows, listed, f"{out_dir}/bin", f"{out_dir}/shards", keep=resume)
     shards.select("split", "shard_id", "file", "tokens", "docs").write.mode("overwrite").parquet(done)
     M.write_manifest(man, f"{out_dir}/manifest")
     return man
@@ -93,14 +84,14 @@ def tokenize_chat(spark: SparkSession, turns: DataFrame, out_dir: str, spec: Cha
                   val_turns: DataFrame | None = None) -> DataFrame:
     """Conversations (long form) -> .bin/.mask.bin/.idx.bin shards and a chat
     manifest (E2); with ``spec.rank_file`` encoded by BPE. Returns the outcome
-    counters per split. A separate val table must use conversation ids distinct
-    from the train table's."""
+    counters per split. A separate val table may use the same conversation ids as
+    the train table: each split is its own."""
     ranks, vocab = _vocabulary(spark, spec.rank_file)
     if ranks:
         turns = _stored(B.encode_turns(turns, ranks, vocab), "encoded-turns")
         val_turns = None if val_turns is None else _stored(B.encode_turns(val_turns, ranks, vocab), "encoded-val-turns")
     convs, shards, counters = C.tokenize_chat(turns, spec, val_turns, vocab)
-    TS.export_chat_shards(convs, f"{out_dir}/shards", id_dtype(vocab.chat_size), shards.count()).collect()
+    TS.export_chat_shards(convs, f"{out_dir}/shards", id_dtype(vocab.chat_size), shards)
     M.write_manifest(M.chat_manifest(shards, counters, spec, vocab), f"{out_dir}/manifest")
     return counters
 

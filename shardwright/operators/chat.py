@@ -201,11 +201,15 @@ def tokenize_chat(turns: DataFrame, spec: ChatSpec, val_turns: DataFrame | None
     split = split_conversations(out, spec, vout).checkpoint()
     counters = outcome_counters(split, ["split"])
     sharded = shard_conversations(split, spec.shard_tokens)
-    all_turns = turns if val_turns is None else turns.unionByName(val_turns)
-    kept_turns = fit_turns(all_turns.join(sharded.select("conv_id"), "conv_id", "left_semi"),
-                           spec.max_len, spec.train_roles, vocab)
-    rendered = render_conversations(render_turn_ids(kept_turns, vocab))
-    convs = sharded.join(rendered, "conv_id")
+
+    def rendered(turns, sharded):
+        kept = fit_turns(turns.join(sharded.select("conv_id"), "conv_id", "left_semi"), spec.max_len, spec.train_roles, vocab)
+        return sharded.join(render_conversations(render_turn_ids(kept, vocab)), "conv_id")
+
+    if val_turns is None:
+        convs = rendered(turns, sharded)
+    else:  # two tables number their conversations independently, so each split meets its own
+        convs = rendered(turns, sharded.filter("split = 'train'")).unionByName(rendered(val_turns, sharded.filter("split = 'val'")))
     return convs, chat_shard_table(sharded), counters
 
 

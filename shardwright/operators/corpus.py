@@ -8,6 +8,9 @@ ends once they hold >= shard_tokens (greedy reset, see order.reset_segments).
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -150,33 +153,59 @@ def shard_tokens_rows(streams: DataFrame, sharded_batches: DataFrame, docs: Data
                        F.slice(ids, 1, F.col("n_kept")).alias("tokens"))
 
 
-def shard_rows(docs: DataFrame, streams: DataFrame, sharded_batches: DataFrame,
-               n_vocab: int = BYTE_VOCAB_SIZE) -> DataFrame:
-    """Token rows for the shard sink: every consumed document with its shard,
-    trimmed to what the cap left of it. Documents past a cap or trimmed to
-    nothing are not written. ``docs`` are those of the streams' split, or of
-    all splits if they share one table."""
-    meta = streams.filter(F.col("n_kept") > 0).join(sharded_batches.select("split", "batch", "shard_id"), ["split", "batch"]) \
-        .select("split", "shard_id", "doc_id", "n_kept")
-    if "tokens" in docs.columns:
-        d, ids = docs.select("doc_id", "tokens").join(meta, "doc_id"), F.col("tokens")
-    else:
-        d = docs.filter(F.col("text").isNotNull()).select("doc_id", "text").join(meta, "doc_id")
-        ids = doc_ids_packed("text", id_dtype(n_vocab))
-    # Shard layout: ids as little-endian uint16 (uint32 past 65,535 ids), so a
-    # shard's rows concatenated in doc_id order are exactly its .bin file.
-    width = 2 if id_dtype(n_vocab) == "uint16" else 4
-    return d.select("split", "shard_id", "doc_id", "n_kept",
-                    F.substring(ids, 1, (F.col("n_kept") * width).cast("int"))
-                    .alias("tokens"))
+def shard_ranges(streams: DataFrame, sharded_batches: DataFrame) -> tuple[list, list]:
+    """What tells a document's shard and length from its id alone: the ids at which shards begin and end, one row per
+    (split, shard_id), and the documents that a cap cut, one per split at most: (split, doc_id, n_kept)."""
+    kept = streams.filter(F.col("n_kept") > 0)
+    ranges = (kept.join(sharded_batches.select("split", "batch", "shard_id"), ["split", "batch"]).groupBy("split", "shard_id")
+              .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).orderBy("split", "shard_id").collect())
+    return ranges, kept.filter(F.col("n_kept") < F.col("n_tokens")).select("split", "doc_id", "n_kept").collect()
+
+
+def _place_of(ranges: list):
+    """The place of the range that holds an id, -1 outside all. Ranges are bounded by the shards of the manifest."""
+    order = sorted(ranges, key=lambda r: r[0])
+    firsts, lasts, places = ([r[k] for r in order] for k in range(3))
 
+    @F.arrow_udf("int")
+    def place(ids: pa.Array) -> pa.Array:
+        out = []
+        for x in ids.to_pylist():
+            i = -1 if x is None else bisect_right(firsts, x) - 1
+            out.append(places[i] if i >= 0 and x <= lasts[i] else -1)
+        return pa.array(out, pa.int32())
 
-def write_shards(rows: DataFrame, out_dir: str, n_shards: int, order_col: str = "doc_id", keep: bool = False) -> None:
-    """Token-shard sink (S6): one directory per (split, shard_id), ``n_shards``
-    tasks, documents in stream order inside each. ``keep`` leaves directories of
-    shards that aren't among the rows as they are."""
-    (rows.repartition(max(1, n_shards), "split", "shard_id").sortWithinPartitions("split", "shard_id", order_col)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if keep else "static").partitionBy("split", "shard_id").parquet(out_dir))
+    return place
+
+
+def placed_rows(docs: DataFrame, ranges: list, cut: list, n_vocab: int = BYTE_VOCAB_SIZE) -> DataFrame:
+    """(place, doc_id, n_kept, tokens) of the documents that lie in a range (first, last, place): no join, and nothing of a
+    document outside is encoded. Tokens are little-endian uint16 (uint32 past 65,535 ids), so a shard's rows one after the
+    other in doc_id order are its ``.bin`` file."""
+    width = 2 if id_dtype(n_vocab) == "uint16" else 4
+    if "tokens" in docs.columns:
+        docs = docs.select("doc_id", "tokens")
+    else:
+        docs = docs.filter(F.col("text").isNotNull()).select("doc_id", "text")
+    rows = docs.withColumn("place", _place_of(ranges)("doc_id")).filter(F.col("place") >= 0)
+    if "text" in rows.columns:
+        rows = rows.withColumn("tokens", doc_ids_packed("text", id_dtype(n_vocab)))
+    n = F.octet_length("tokens") / width
+    for c in cut:
+        n = F.when(F.col("doc_id") == F.lit(c["doc_id"]), F.lit(c["n_kept"])).otherwise(n)
+    return (rows.withColumn("n_kept", n.cast("long"))
+            .select("place", "doc_id", "n_kept", F.substring("tokens", 1, (F.col("n_kept") * width).cast("int")).alias("tokens")))
+
+
+def corpus_rows(docs: DataFrame, ranges: list, cut: list, n_vocab: int = BYTE_VOCAB_SIZE, val_docs: DataFrame | None = None):
+    """The rows of the shards in ``ranges`` and the list of those shards by place. Two tables may share ids, so a val table
+    meets the ranges of val alone."""
+    shards = [(r["split"], int(r["shard_id"])) for r in ranges]
+    of = lambda splits: ([(r["first"], r["last"], k) for k, r in enumerate(ranges) if r["split"] in splits],
+                         [c for c in cut if c["split"] in splits])
+    if val_docs is None:
+        return placed_rows(docs, *of(("train", "val")), n_vocab), shards
+    return placed_rows(docs, *of(("train",)), n_vocab).unionByName(placed_rows(val_docs, *of(("val",)), n_vocab)), shards
 
 
 def tokenize_corpus(docs: DataFrame, spec: CorpusSpec, val_docs: DataFrame | None = None, vocab: Vocab = BYTES):

@@ -10,6 +10,7 @@ from ..session import scratch_path
 from ..sources import token_shards as TS
 from ..streaming import tokenize as ST
 from . import chat_queries as CQ
+from . import window_queries as WQ
 from . import text_queries
 from . import choice_queries as XQ
 from .registry import ORACLES, query, table
@@ -53,26 +54,37 @@ def stream_choice_report(spark, sf):
 
 
 _SHARDS_SQL = _oracle("chat_shards")
-_SHARDS_SQL = _SHARDS_SQL[:_SHARDS_SQL.rindex("SELECT")] + """
+_SHARDS_SQL = _SHARDS_SQL[:_SHARDS_SQL.rindex("SELECT")].rstrip() + f""",{WQ.CHAT_IDS_SQL},
+files AS (SELECT sh.*, array_to_string(list_transform(toks, lambda v: printf('%02x%02x', v & 255, v >> 8)), '') AS ids,
+                 array_to_string(list_transform(msk, lambda v: printf('%02x', v)), '') AS mask,
+                 array_to_string(list_transform([0, 8, 16, 24, 32, 40, 48, 56], lambda b: printf('%02x', (shard_start >> b) & 255)), '') AS idx
+          FROM sh JOIN ct USING (conv_id))
 SELECT split, shard_id, printf('%s_%06d.bin', split, shard_id) AS file,
        CAST(sum(n_tokens) AS BIGINT) AS tokens, count(*) AS examples,
        CAST(sum(n_supervised) AS BIGINT) AS supervised_tokens,
-       md5(string_agg(CAST(shard_start AS VARCHAR), ',' ORDER BY conv_id)) AS starts_md5
-FROM sh GROUP BY split, shard_id"""
+       md5(string_agg(CAST(shard_start AS VARCHAR), ',' ORDER BY conv_id)) AS starts_md5,
+       md5(unhex(string_agg(ids, '' ORDER BY conv_id))) AS bin_md5, md5(unhex(string_agg(mask, '' ORDER BY conv_id))) AS mask_md5,
+       md5(unhex(string_agg(idx, '' ORDER BY conv_id))) AS idx_md5
+FROM files GROUP BY split, shard_id"""
 
 
 @query("shard_file_roundtrip", _SHARDS_SQL)
 def shard_file_roundtrip(spark, sf):
-    """Chat shards exported as .bin / .mask.bin / .idx.bin and read back with
-    the ``token_shard`` data source (S7, S8, U4)."""
+    """Chat shards exported as .bin / .mask.bin / .idx.bin, the md5 of every file, and
+    its rows read back with the ``token_shard`` data source (S7, S8, U4)."""
     out = scratch_path(spark, "chat-shards")
-    convs, _, _ = C.tokenize_chat(CQ._turns(spark, sf), CQ.CHAT_SPEC)
-    TS.export_chat_shards(convs, out).collect()
+    convs, shards, _ = C.tokenize_chat(CQ._turns(spark, sf), CQ.CHAT_SPEC)
+    TS.export_chat_shards(convs, out, shards=shards)
     TS.register(spark)
     back = spark.read.format("token_shard").option("dtype", "uint16").load(out)
-    return back.groupBy("split", "shard_id").agg(
+    rows = back.groupBy("split", "shard_id").agg(
         F.sum(F.size("tokens")).cast("long").alias("tokens"), F.count(F.lit(1)).alias("examples"),
         F.sum(F.aggregate("mask", F.lit(0).cast("long"), lambda a, x: a + x)).cast("long").alias("supervised_tokens"),
         F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("example", "shard_start"))),
                                        lambda x: x["shard_start"].cast("string")), ",")).alias("starts_md5"),
     ).withColumn("file", C.shard_file())
+    part = lambda k: F.regexp_extract("path", r"([^/]+_\d{6})(\.mask|\.idx)?\.bin$", k)
+    files = spark.read.format("binaryFile").load(f"{out}/*.bin").select(
+        F.concat(part(1), F.lit(".bin")).alias("file"), part(2).alias("kind"), F.md5("content").alias("md5"))
+    md5 = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("md5")))
+    return rows.join(files.groupBy("file").agg(md5("").alias("bin_md5"), md5(".mask").alias("mask_md5"), md5(".idx").alias("idx_md5")), "file")

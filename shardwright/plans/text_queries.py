@@ -10,6 +10,7 @@ from ..functions.tokens import doc_ids, ids_digest
 from ..operators import corpus as K
 from ..schemas import EOT, CorpusSpec
 from ..session import scratch_path
+from ..sources import token_shards as TS
 from .registry import query, table
 from .sqlfrag import bytes_of, digest
 
@@ -179,13 +180,14 @@ def resume_skip(spark, sf):
 def _files_sql(splits: str) -> str:
     return f"""
 WITH RECURSIVE {_D}, {splits}, {_BATCH},
-wr AS (SELECT split, shard_id, count(*) AS docs, md5(string_agg(m, ',' ORDER BY doc_id)) AS ids_md5
+wr AS (SELECT split, shard_id, count(*) AS docs, md5(string_agg(md5(m), ',' ORDER BY doc_id)) AS ids_md5,
+              md5(unhex(string_agg(m, '' ORDER BY doc_id))) AS bin_md5
        FROM (SELECT sb.split, sb.shard_id, st.doc_id,
-                    md5(array_to_string(list_transform(list_slice({DOC_IDS_SQL}, 1, n_kept),
-                                                       lambda x: printf('%02x%02x', x % 256, x // 256)), '')) AS m
+                    array_to_string(list_transform(list_slice({DOC_IDS_SQL}, 1, n_kept),
+                                                   lambda x: printf('%02x%02x', x % 256, x // 256)), '') AS m
              FROM st JOIN sb USING (split, batch) JOIN d USING (doc_id) WHERE st.n_kept > 0)
        GROUP BY split, shard_id)
-SELECT split, shard_id, file, tokens, sh.docs AS consumed, wr.docs, first_batch, last_batch, ids_md5
+SELECT split, shard_id, file, tokens, sh.docs AS consumed, wr.docs, first_batch, last_batch, ids_md5, bin_md5
 FROM sh JOIN wr USING (split, shard_id)"""
 
 
@@ -193,8 +195,11 @@ def _write_and_read(spark, sf, spec):
     docs = _docs(spark, sf)
     streams, sb, shards, _ = K.tokenize_corpus(docs, spec)
     out = scratch_path(spark, "text-shards")
-    K.write_shards(K.shard_rows(docs, streams, sb), out, shards.count())
-    back = spark.read.parquet(out)
+    rows, listed = K.corpus_rows(docs, *K.shard_ranges(streams, sb))
+    TS.write_text_shards(rows, listed, f"{out}/bin", f"{out}/rows")
+    back = spark.read.parquet(f"{out}/rows")
+    files = spark.read.format("binaryFile").load(f"{out}/bin/*.bin").select(
+        F.substring_index("path", "/", -1).alias("file"), F.md5("content").alias("bin_md5"))
     per_doc = F.array_sort(F.collect_list(F.struct("doc_id", F.md5(F.lower(F.hex("tokens"))).alias("m"))))
     written = back.groupBy("split", F.col("shard_id").cast("int").alias("shard_id")).agg(
         (F.sum(F.octet_length("tokens")) / 2).cast("long").alias("tokens"),
@@ -203,16 +208,16 @@ def _write_and_read(spark, sf, spec):
     # Documents trimmed to nothing by the cap are consumed but not written.
     consumed = shards.select("split", F.col("shard_id").cast("int").alias("shard_id"), "first_batch",
                              "last_batch", F.col("docs").alias("consumed"))
-    return written.join(consumed, ["split", "shard_id"]).select(
-        "split", "shard_id", F.format_string("%s_%06d.bin", F.col("split"), F.col("shard_id")).alias("file"),
-        "tokens", "consumed", "docs", "first_batch", "last_batch", "ids_md5")
+    named = written.withColumn("file", F.format_string("%s_%06d.bin", F.col("split"), F.col("shard_id")))
+    return named.join(consumed, ["split", "shard_id"]).join(files, "file").select(
+        "split", "shard_id", "file", "tokens", "consumed", "docs", "first_batch", "last_batch", "ids_md5", "bin_md5")
 
 
 @query("text_shard_files", _files_sql(_SPLITS))
 def text_shard_files(spark, sf):
     """The whole text job: encode every consumed document, trim, write token
-    shards partitioned by (split, shard_id) (S6), and summarise what was
-    written, with an md5 over the md5s of each document's uint16 bytes."""
+    shards as rows by (split, shard_id) and as ``.bin`` files in one pass (S6), and
+    summarise what was written: an md5 over the md5s of each document's uint16 bytes, and that of every file."""
     return _write_and_read(spark, sf, SPEC)
 
 

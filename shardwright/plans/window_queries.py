@@ -60,11 +60,13 @@ _CHAT_WS = (f"WITH RECURSIVE {CQ._T}, {CQ._fit_sql(CQ.CHAT_SPEC.max_len)}, {CQ._
        FROM pk JOIN nv ON nv.split = 'train' AND nv.shard_id = pk.shard_id
                JOIN vs ON vs.split = 'train' AND vs.shard_id = pk.shard_id AND vs.idx = CAST(floor(pk.u2 * nv.n_valid) AS BIGINT))""")
 
-_CHAT_GATHER = f"""
+CHAT_IDS_SQL = f"""
 ct AS (SELECT conv_id, flatten(list(list_concat([257], {bytes_of("role || chr(10)")}, {bytes_of("text")}, [258, 10]) ORDER BY turn)) AS toks,
               flatten(list(list_concat(list_resize([]::INTEGER[], strlen(role) + 2, 0),
                   list_resize([]::INTEGER[], strlen(text) + 1, CASE WHEN supervised THEN 1 ELSE 0 END), [0]) ORDER BY turn)) AS msk
-       FROM k GROUP BY conv_id),
+       FROM k GROUP BY conv_id)"""
+
+_CHAT_GATHER = f"""{CHAT_IDS_SQL},
 dd AS (SELECT sh.shard_id, sh.conv_id, sh.shard_start AS p, sh.n_tokens AS n FROM sh WHERE sh.split = 'train'),
 ov AS (SELECT w.*, dd.conv_id, dd.p, dd.n FROM ws w JOIN dd ON dd.shard_id = w.shard_id AND dd.p < w.start + {T + 1} AND dd.p + dd.n > w.start),
 g AS (SELECT ov.*, list_slice(ct.toks, greatest(start - p, 0) + 1, least(start + {T + 1} - p, n)) AS piece,

@@ -2,9 +2,8 @@
 
 A text shard is one flat little-endian file without a header,
 ``{split}_{i:06d}.bin``; a chat shard adds ``.mask.bin`` (uint8) and ``.idx.bin``
-(uint64 start of each conversation in the shard). Rows are streamed to files
-under a temporary name, renamed when the shard is complete, so memory holds one
-Arrow batch and a retried task rewrites its shards. Paths go through
+(uint64 start of each conversation in the shard). Rows are streamed to files, so
+memory holds one Arrow batch; a job's files appear when it has succeeded. Paths go through
 ``pyarrow.fs``; one without a scheme is resolved as Spark resolves it.
 """
 
@@ -12,10 +11,12 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition,
                                     LessThan, LessThanOrEqual)
 
@@ -43,11 +44,11 @@ def _fs(path: str):
 
 
 class _Files:
-    """The files of one shard, written under temporary names."""
+    """The files of one shard, written under temporary names and renamed when they are complete."""
 
     def __init__(self, stem: str, suffixes: list[str]):
         self.fs, p = _fs(stem)
-        self.names = [(f"{p}{s}.tmp-{os.getpid()}", p + s) for s in suffixes]
+        self.names = [(f"{p}{s}.tmp-{uuid.uuid4().hex}", p + s) for s in suffixes]
         self.streams = [self.fs.open_output_stream(t) for t, _ in self.names]
 
     def write(self, *parts) -> None:
@@ -60,65 +61,122 @@ class _Files:
             self.fs.move(tmp, name)
 
 
-def _export(rows: DataFrame, out_dir: str, n_shards: int, order: str, suffixes: list[str], encode) -> DataFrame:
-    """Streams rows sorted by (split, shard_id, order) to one set of files per
-    shard; ``encode(batch, i, j)`` gives the bytes of rows i..j for each suffix
-    and their numbers of tokens and examples."""
-    out_dir = resolve(rows.sparkSession, out_dir)
-    fs, root = _fs(out_dir)
-    fs.create_dir(root, recursive=True)
-    rows = rows.repartition(max(1, n_shards), "split", "shard_id").sortWithinPartitions("split", "shard_id", order)
-
-    def write(batches):
-        files, at, done = None, None, []
-        for b in batches:
-            split, shard = b.column(0), b.column(1).to_numpy(zero_copy_only=False)
-            names = np.array(split.to_pylist(), dtype=object)
-            new = np.flatnonzero((shard[1:] != shard[:-1]) | (names[1:] != names[:-1])) + 1
-            edges = [0, *new.tolist(), b.num_rows] if b.num_rows else []
-            for i, j in zip(edges, edges[1:]):
-                key = (names[i], int(shard[i]))
-                if key != at:
-                    if files:
-                        files.close()
-                    at, files = key, _Files(f"{out_dir.rstrip('/')}/{key[0]}_{key[1]:06d}", suffixes)
-                    done.append([*key, f"{key[0]}_{key[1]:06d}.bin", 0, 0])
-                parts, tokens, examples = encode(b, i, j)
-                files.write(*parts)
-                done[-1][3] += tokens
-                done[-1][4] += examples
-        if files:
-            files.close()
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                zip(*done), (pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64()))],
-                names=["split", "shard_id", "file", "tokens", "examples"])
-
-    return rows.mapInArrow(write, "split string, shard_id int, file string, tokens long, examples long")
-
-
-def export_text_shards(rows: DataFrame, out_dir: str, n_shards: int) -> DataFrame:
-    """Flat .bin files of (split, shard_id, doc_id, n_kept, tokens BINARY) rows in doc_id order."""
-    def encode(b, i, j):
-        return ([b"".join(b.column(4).slice(i, j - i).to_pylist())], int(b.column(3).slice(i, j - i).to_numpy().sum()), j - i)
-
-    return _export(rows.select("split", "shard_id", "doc_id", "n_kept", "tokens"), out_dir, n_shards, "doc_id", [".bin"], encode)
-
-
-def export_chat_shards(convs: DataFrame, out_dir: str, dtype: str = "uint16", n_shards: int | None = None) -> DataFrame:
-    """One .bin/.mask.bin/.idx.bin triple per (split, shard_id) of
-    (split, shard_id, kord, shard_start, tokens, mask) rows. Returns the written
-    files with token and example counts."""
-    def flat(column, i, j, kind):
-        return column.slice(i, j - i).flatten().to_numpy(zero_copy_only=False).astype(kind)
-
-    def encode(b, i, j):
-        tokens = flat(b.column(4), i, j, np.dtype(dtype).newbyteorder("<"))
-        return ([tokens.tobytes(), flat(b.column(5), i, j, np.uint8).tobytes(),
-                 b.column(3).slice(i, j - i).to_numpy().astype("<u8").tobytes()], len(tokens), j - i)
-
-    n = n_shards or convs.sparkSession.sparkContext.defaultParallelism
-    return _export(convs.select("split", "shard_id", "kord", "shard_start", "tokens", "mask"), out_dir, n, "kord",
-                   [".bin", ".mask.bin", ".idx.bin"], encode)
+def _flat(column: pa.Array) -> memoryview:
+    """The bytes of a binary column, one after the other, without a Python object for each."""
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    ends = np.frombuffer(column.buffers()[1], kind)[column.offset:column.offset + len(column) + 1]
+    return memoryview(column.buffers()[2] or b"")[int(ends[0]):int(ends[-1])]
+
+
+class _Sink:
+    """Shard files of one job: tasks write them to a folder of their own beside the final ones; ``commit`` moves them there
+    when the job has succeeded, and whatever a failed job or task left goes with that folder.
+
+    Every shard has a place, 0 to n - 1, which is its task (``repartitionById``): the ids cross one shuffle, no task holds
+    parts of a shard that another holds as well, and two shards never meet in one task by chance.
+    """
+
+    def __init__(self, spark, out_dir: str, shards: list[tuple[str, int]], suffixes: list[str]):
+        self.out, self.shards, self.suffixes = resolve(spark, out_dir).rstrip("/"), shards, suffixes
+        self.staging = f"{self.out}/_staging-{uuid.uuid4().hex[:12]}"
+        fs, p = _fs(self.staging)
+        fs.create_dir(p, recursive=True)
+
+    def dealt(self, rows: DataFrame, order: str) -> DataFrame:
+        return rows.repartitionById(max(1, len(self.shards)), "place").sortWithinPartitions("place", order)
+
+    def writer(self, encode, passed: bool):
+        """A function for ``mapInArrow`` over dealt rows whose first column is the place. ``encode(batch)`` gives the bytes of
+        the rows for each suffix and their numbers of tokens and examples. Returned are the rows, without their place but
+        with split and shard_id (``passed``), or a row for each shard."""
+        shards, staging, suffixes = self.shards, self.staging, self.suffixes
+
+        def write(batches):
+            files, at, done = None, None, []
+            for b in batches:
+                place = b.column(0).to_numpy()
+                edges = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), len(place)] if len(place) else []
+                for i, j in zip(edges, edges[1:]):
+                    if place[i] != at:
+                        if files:
+                            files.close()
+                        at = int(place[i])
+                        files = _Files(f"{staging}/{_stem(*shards[at])}", suffixes)
+                        done.append([*shards[at], _stem(*shards[at]) + ".bin", 0, 0])
+                    part = b.slice(i, j - i)
+                    parts, tokens, examples = encode(part)
+                    files.write(*parts)
+                    done[-1][3] += tokens
+                    done[-1][4] += examples
+                    if passed:
+                        split, shard = shards[at]
+                        yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array([split] * (j - i)), pa.array([shard] * (j - i), pa.int32())],
+                                                         names=[*part.schema.names[1:], "split", "shard_id"])
+            if files:
+                files.close()
+                if not passed:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                        zip(*done), (pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64()))],
+                        names=["split", "shard_id", "file", "tokens", "examples"])
+
+        return write
+
+    def commit(self) -> None:
+        fs, root = _fs(self.out)
+        _, staged = _fs(self.staging)
+        for shard in self.shards:
+            for suffix in self.suffixes:
+                name = _stem(*shard) + suffix
+                if fs.get_file_info(f"{root}/{name}").is_file:
+                    fs.delete_file(f"{root}/{name}")
+                fs.move(f"{staged}/{name}", f"{root}/{name}")
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *error):
+        fs, p = _fs(self.staging)
+        fs.delete_dir(p)
+
+
+def _stem(split: str, shard: int) -> str:
+    return f"{split}_{shard:06d}"
+
+
+def write_text_shards(rows: DataFrame, shards: list[tuple[str, int]], bin_dir: str, rows_dir: str, keep: bool = False) -> None:
+    """Text shards of (place, doc_id, n_kept, tokens BINARY) rows, where ``shards[place]`` is the row's shard: flat ``.bin`` files
+    in doc_id order and, in the same pass, Parquet rows by (split, shard_id). ``keep`` leaves the other shards as they are."""
+    def encode(b):
+        return [_flat(b.column(3))], int(b.column(2).to_numpy().sum()), b.num_rows
+
+    rows = rows.select("place", "doc_id", "n_kept", "tokens")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    with _Sink(rows.sparkSession, bin_dir, shards, [".bin"]) as sink:
+        (sink.dealt(rows, "doc_id").mapInArrow(sink.writer(encode, True), f"doc_id {kind}, n_kept long, tokens binary, split string, shard_id int")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if keep else "static").partitionBy("split", "shard_id").parquet(rows_dir))
+        sink.commit()
+
+
+def export_chat_shards(convs: DataFrame, out_dir: str, dtype: str = "uint16", shards: DataFrame | None = None) -> DataFrame:
+    """One .bin/.mask.bin/.idx.bin triple per (split, shard_id) of (split, shard_id, kord, shard_start, tokens, mask) rows;
+    ``shards`` lists them if they are known (a row per shard). Returns the written files with token and example counts."""
+    width = np.dtype(dtype).newbyteorder("<")
+    spark = convs.sparkSession
+
+    def encode(b):
+        tokens, mask = (b.column(k).flatten().to_numpy(zero_copy_only=False) for k in (3, 4))
+        return ([tokens.astype(width).tobytes(), mask.astype(np.uint8).tobytes(), b.column(2).to_numpy().astype("<u8").tobytes()],
+                len(tokens), b.num_rows)
+
+    found = (convs if shards is None else shards).select("split", "shard_id").distinct().orderBy("split", "shard_id").collect()
+    listed = [(r["split"], int(r["shard_id"])) for r in found]
+    places = spark.createDataFrame([(s, i, k) for k, (s, i) in enumerate(listed)], "split string, shard_id int, place int")
+    rows = convs.withColumn("shard_id", F.col("shard_id").cast("int")).join(F.broadcast(places), ["split", "shard_id"])
+    with _Sink(spark, out_dir, listed, [".bin", ".mask.bin", ".idx.bin"]) as sink:
+        schema = "split string, shard_id int, file string, tokens long, examples long"
+        done = sink.dealt(rows.select("place", "kord", "shard_start", "tokens", "mask"), "kord").mapInArrow(sink.writer(encode, False), schema).collect()
+        sink.commit()
+    return spark.createDataFrame(done, schema)
 
 
 def manifest_fields(path: str) -> dict | None:
