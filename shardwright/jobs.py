@@ -22,6 +22,7 @@ from .operators import choice as X
 from .operators import corpus as K
 from .operators import prompts as P
 from .operators import runlog as R
+from .operators.order import ordinal
 from .schemas import BYTES, SEED, ChatSpec, CorpusSpec, id_dtype
 from .session import scratch_path
 from .sources import manifest as M
@@ -44,12 +45,43 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def needed_documents(docs: DataFrame, spec: CorpusSpec, encode) -> DataFrame:
+    """``encode(documents)`` of those up to the batch in which ``val_tokens`` and ``max_tokens`` are reached.
+
+    The rest is read for its ids alone. One batch is encoded first; the tokens found per
+    document tell how many more to take, until both are reached at the end of a whole
+    batch. Nothing is encoded twice, and the result of the job is that of all documents.
+    """
+    if spec.max_tokens is None:
+        return encode(docs)
+    order = ordinal(docs.select("doc_id").filter(F.col("doc_id").isNotNull()), "doc_id", out="doc_ord").checkpoint()
+    total, end, found, before = order.count(), 0, None, None
+    need, want = (spec.val_tokens or 0) + spec.max_tokens, spec.batch_docs
+    while end < total:
+        end = min(total, want)
+        last = order.filter(F.col("doc_ord") == end - 1).first()["doc_id"]
+        part = docs.filter(F.col("doc_id") <= last)
+        part = encode(part if before is None else part.filter(F.col("doc_id") > before))
+        found, before = part if found is None else found.unionByName(part), last
+        meta = K.document_meta(found)
+        split = {r["split"]: r for r in K.split_streams(meta, spec).groupBy("split").agg(
+            F.sum("n_kept").alias("kept"), F.count(F.lit(1)).alias("docs")).collect()}
+        kept = {s: r["kept"] for s, r in split.items()}
+        if (kept.get("train", 0) >= spec.max_tokens and kept.get("val", 0) >= (spec.val_tokens or 0)
+                and all(r["docs"] % spec.batch_docs == 0 for r in split.values())):
+            break
+        tokens = meta.agg(F.sum("n_tokens")).first()[0] or 0
+        want = end + spec.batch_docs + (max(0, int((need - tokens) * end / tokens * 1.05)) if tokens else end)
+    return encode(docs) if found is None else found
+
+
 def tokenize_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, spec: CorpusSpec,
                     val_docs: DataFrame | None = None, resume: bool = False) -> DataFrame:
     """Text corpus -> token shards under ``out_dir/shards`` (rows) and
     ``out_dir/bin`` (flat .bin files), ``out_dir/manifest`` and
     ``out_dir/progress`` (E1). With ``spec.rank_file`` documents are encoded by BPE.
-    ``spec.val_tokens`` carves val off the front and replaces a shipped val split.
+    ``spec.val_tokens`` carves val off the front and replaces a shipped val split;
+    documents past ``spec.max_tokens`` are neither encoded nor read.
 
     ``resume`` goes on where a run over the first part of the documents ended:
     shards that were closed then are kept (their documents are neither packed nor
@@ -60,8 +92,9 @@ def tokenize_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, spec: Co
     if spec.val_tokens is not None:
         val_docs = None
     ranks, vocab = _vocabulary(spark, spec.rank_file)
+    encode = (lambda d: _stored(B.encode_documents(d, ranks, vocab), "encoded")) if ranks else (lambda d: d)
+    docs = needed_documents(docs, spec, encode)
     if ranks:
-        docs = _stored(B.encode_documents(docs, ranks, vocab), "encoded")
         val_docs = None if val_docs is None else _stored(B.encode_documents(val_docs, ranks, vocab), "encoded-val")
     streams, sb, shards, man = K.tokenize_corpus(docs, spec, val_docs, vocab)
     ranges, cut = K.shard_ranges(streams, sb)
