@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import EOT_STR, Vocab, id_dtype
+from .tokens import doc_ids, utf8_ids
 
 # --- fixed values: the published GPT-2 pre-token split pattern --------------
 GPT2_SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
@@ -122,6 +123,27 @@ def encode_turns(turns: DataFrame, ranks: dict, vocab: Vocab) -> DataFrame:
     return rows.mapInArrow(run, f"conv_id {kind}, turn long, role string, text string, role_ids array<int>, text_ids array<int>")
 
 
+def id_columns(spark, ranks: dict | None, vocab: Vocab):
+    """Column functions text -> ids of a vocabulary: (ordinary, document). In the first every special string is ordinary
+    text; the second takes a literal end of text as its id and appends one. Without ranks: bytes."""
+    if ranks is None:
+        return utf8_ids, doc_ids
+    table, eot, held = spark.sparkContext.broadcast(ranks), vocab.eot, []
+
+    def column(special: bool):
+        end = [eot] if special else []
+
+        @F.arrow_udf("array<int>")
+        def ids(text: pa.Array) -> pa.Array:
+            if not held:
+                held.append(_encoding(table.value, eot))
+            return pa.array([None if t is None else encode_text(held[0], t, special) + end for t in text.to_pylist()], pa.list_(pa.int32()))
+
+        return ids
+
+    return column(False), column(True)
+
+
 def load_rank_file(spark, path: str) -> DataFrame:
     """A rank file of ``base64(bytes) rank`` lines (the common BPE rank-file
     format) as a table ``(bytes BINARY, rank INT)``."""

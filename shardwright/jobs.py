@@ -22,6 +22,7 @@ from .operators import choice as X
 from .operators import corpus as K
 from .operators import prompts as P
 from .operators import runlog as R
+from .operators import vocab as V
 from .operators.order import ordinal
 from .schemas import BYTES, SEED, ChatSpec, CorpusSpec, id_dtype
 from .session import scratch_path
@@ -142,27 +143,47 @@ def sample_windows(spark: SparkSession, shard_dir: str, block: int, steps: int,
     return SW.drawn_windows(spark, shard_dir, manifest_dir, block, steps, accum, batch, split, seed)
 
 
+def _matching(spark: SparkSession, vocab, manifest_dir: str | None) -> None:
+    """Fails unless ``vocab`` is the vocabulary that the manifest records (P20)."""
+    if manifest_dir is not None:
+        found = M.read_manifest(spark, manifest_dir).first()["encoding"]
+        if found.removesuffix("-chat") != vocab.name:
+            raise ValueError(f"the corpus is encoded by {found}, not {vocab.name}")
+
+
 def evaluate_choices(spark: SparkSession, choices: DataFrame, token_losses: DataFrame,
-                     out_dir: str | None = None, block: int = 1024, limit: int = 0) -> DataFrame:
+                     out_dir: str | None = None, block: int = 1024, limit: int = 0,
+                     rank_file: str | None = None, manifest_dir: str | None = None) -> DataFrame:
     """Choice examples + per-position losses -> per-source report.
     ``choices`` come from ``choice.read_choices``; of the first ``limit`` (0: all),
-    those longer than ``block`` are skipped. ``token_losses`` as in
-    ``schemas.TOKEN_LOSSES``."""
-    rendered = X.render_choices(choices)
-    kept = X.length_filter(rendered, block, limit).filter("kept").select("example_id")
-    ex = choices.join(kept, "example_id", "left_semi").select(
-        "example_id", F.col("label").cast("int").alias("label"), F.substring_index("source_id", "~", 1).alias("source"))
-    rep = X.report(X.example_picks(X.candidate_scores(token_losses), ex))
+    those longer than ``block`` ids of the vocabulary (``rank_file``, or bytes) are
+    skipped and counted in the column ``skipped``. ``token_losses`` as in
+    ``schemas.TOKEN_LOSSES``, of the same vocabulary."""
+    ranks, vocab = _vocabulary(spark, rank_file)
+    _matching(spark, vocab, manifest_dir)
+    fits = X.length_filter(X.render_choices(choices, B.id_columns(spark, ranks, vocab)[0]), block, limit).select("example_id", "kept")
+    ex = choices.join(fits, "example_id").select(
+        "example_id", F.col("label").cast("int").alias("label"), F.substring_index("source_id", "~", 1).alias("source"), "kept").checkpoint()
+    rep = X.report(X.example_picks(X.candidate_scores(token_losses), ex.filter("kept").drop("kept")))
+    skipped = ex.rollup("source").agg(F.count_if(~F.col("kept")).alias("skipped"), F.grouping("source").alias("every"))
+    skipped = skipped.select(F.when(F.col("every") == 1, "OVERALL").otherwise(F.col("source")).alias("source"), "skipped")
+    rep = rep.join(F.broadcast(skipped), "source", "left")  # a row per source, like the report
     if out_dir:
         rep.coalesce(1).write.mode("overwrite").option("header", True).csv(out_dir)
     return rep
 
 
-def render_prompts(spark: SparkSession, prompts: DataFrame, block: int, chat: bool) -> DataFrame:
-    """(prompt_id, prompt[, system]) -> start ids over bytes, the last ``block`` of
-    them. A chat prompt must not be empty; an empty plain one starts a document."""
+def render_prompts(spark: SparkSession, prompts: DataFrame, block: int, chat: bool,
+                   rank_file: str | None = None, manifest_dir: str | None = None) -> DataFrame:
+    """(prompt_id, prompt[, system]) -> start ids of the vocabulary (``rank_file``, or
+    bytes), the last ``block`` of them; it must be the one that the data's manifest
+    records. A chat prompt must not be empty; an empty plain one starts a document."""
+    ranks, vocab = _vocabulary(spark, rank_file)
+    _matching(spark, vocab, manifest_dir)
+    ordinary, document = B.id_columns(spark, ranks, vocab)
     system = F.col("system") if "system" in prompts.columns else F.lit(None).cast("string")
-    ids = P.chat_prompt_ids(F.col("prompt"), system) if chat else P.plain_prompt_ids(F.col("prompt"))
+    ids = (P.chat_prompt_ids(F.col("prompt"), system, vocab, ordinary) if chat
+           else P.plain_prompt_ids(F.col("prompt"), vocab, document))
     return prompts.select("prompt_id", P.keep_tail(ids, block).alias("ids"))
 
 
@@ -218,6 +239,21 @@ def _main(argv=None):
     e.add_argument("--out", required=True)
     e.add_argument("--block", type=int, default=1024)
     e.add_argument("--limit", type=int, default=0)
+    e.add_argument("--rank-file")
+    e.add_argument("--manifest", help="of the corpus whose vocabulary the losses are of")
+    r = sub.add_parser("render-prompts")
+    r.add_argument("--prompts", required=True, help="text files, a prompt each")
+    r.add_argument("--system")
+    r.add_argument("--out", required=True)
+    r.add_argument("--block", type=int, default=1024)
+    r.add_argument("--chat", action="store_true")
+    r.add_argument("--rank-file")
+    r.add_argument("--manifest")
+    g = sub.add_parser("decode-generations")
+    g.add_argument("--generations", required=True, help="Parquet: sample_id, prompt, n_prompt, ids[, system]")
+    g.add_argument("--manifest", required=True)
+    g.add_argument("--out", required=True)
+    g.add_argument("--rank-file")
     w = sub.add_parser("sample-windows")
     w.add_argument("--shards", required=True)
     w.add_argument("--out", required=True)
@@ -235,7 +271,7 @@ def _main(argv=None):
     args = ap.parse_args(argv)
 
     from .session import get_spark
-    from .sources.logs import read_scalars
+    from .sources.logs import read_prompts, read_scalars
     spark = get_spark()
     if args.job == "tokenize-corpus":
         spec = CorpusSpec(name=args.name, val_tokens=args.val_tokens, max_tokens=args.max_tokens,
@@ -249,7 +285,17 @@ def _main(argv=None):
         tokenize_chat(spark, spark.read.parquet(args.conversations), args.out, spec, val)
     elif args.job == "evaluate-choices":
         evaluate_choices(spark, X.read_choices(spark, args.choices), spark.read.parquet(args.token_losses), args.out,
-                         args.block, args.limit)
+                         args.block, args.limit, args.rank_file, args.manifest)
+    elif args.job == "render-prompts":
+        prompts = read_prompts(spark, args.prompts).select(
+            F.col("prompt_file").alias("prompt_id"), "prompt", F.lit(args.system).cast("string").alias("system"))
+        render_prompts(spark, prompts, args.block, args.chat, args.rank_file, args.manifest).write.mode("overwrite").parquet(args.out)
+    elif args.job == "decode-generations":
+        ranks, vocab = _vocabulary(spark, args.rank_file)
+        name = M.read_manifest(spark, args.manifest).first()["encoding"]
+        _matching(spark, vocab, args.manifest)
+        table = V.bpe_vocab(spark, ranks, name) if ranks else V.byte_vocab(spark, name)
+        decode_generations(spark, spark.read.parquet(args.generations), args.manifest, table).write.mode("overwrite").parquet(args.out)
     elif args.job == "sample-windows":
         sample_windows(spark, args.shards, args.block, args.steps, args.accum, args.batch, args.split,
                        manifest_dir=args.manifest) \

@@ -54,18 +54,17 @@ def choices_from_benchmark(bench: DataFrame) -> DataFrame:
         F.col("item_id").alias("example_id"), "ord", "ctx", "endings", "label", src.alias("source_id"))
 
 
-def render_choices(choices: DataFrame) -> DataFrame:
+def render_choices(choices: DataFrame, ids_of=utf8_ids) -> DataFrame:
     """One row per (example, ending): ids = ctx ids + ids of " " + ending, mask
-    0 on the context and 1 on the ending (T13); source = text before "~" (P6)."""
-    rows = choices.select("example_id", "ord", "label", "ctx",
-                          F.substring_index("source_id", "~", 1).alias("source"),
-                          F.posexplode("endings").alias("ending_idx", "ending"))
-    ctx_ids = utf8_ids("ctx")
-    end_ids = utf8_ids(F.concat(F.lit(" "), F.col("ending")))
+    0 on the context and 1 on the ending (T13); source = text before "~" (P6).
+    ``ids_of`` encodes text; a context is encoded once for all its endings."""
+    rows = choices.select("example_id", "ord", "label", ids_of(F.col("ctx")).alias("ctx_ids"),
+                          F.substring_index("source_id", "~", 1).alias("source"), "endings")
+    rows = rows.select("example_id", "ord", "label", "source", "ctx_ids", F.posexplode("endings").alias("ending_idx", "ending"))
+    rows = rows.withColumn("end_ids", ids_of(F.concat(F.lit(" "), F.col("ending"))))
     return rows.select(
-        "example_id", "ord", "label", "source", "ending_idx",
-        F.octet_length("ctx").alias("n_ctx"), (F.octet_length("ending") + 1).alias("n_end"),
-        F.concat(ctx_ids, end_ids).alias("ids"))
+        "example_id", "ord", "label", "source", "ending_idx", F.size("ctx_ids").alias("n_ctx"), F.size("end_ids").alias("n_end"),
+        F.concat("ctx_ids", "end_ids").alias("ids"))
 
 
 def length_filter(rendered: DataFrame, block: int, limit: int = 0) -> DataFrame:

@@ -6,30 +6,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tokens import doc_ids, utf8_ids
-from ..schemas import BYTES, EOT, Vocab
+from ..schemas import BYTES, Vocab
 from .vocab import answer_layout, check_vocab, cut_at_eot, decoder, drop_padding
 
 
 def _nonempty(prompt) -> Column:
-    """A chat prompt must say something: there is no unconditional mode once
-    every turn has a speaker."""
+    """The prompt; an empty one fails, since a user turn without text asks nothing."""
     given = F.coalesce(prompt, F.lit("")) != ""
     return F.when(F.assert_true(given, F.lit("a chat prompt is empty")).isNull(), prompt)
 
 
-def chat_prompt_ids(prompt, system, vocab: Vocab = BYTES) -> Column:
-    """Byte ids of an optional system turn + user turn + assistant header."""
+def chat_prompt_ids(prompt, system, vocab: Vocab = BYTES, ids_of=utf8_ids) -> Column:
+    """Ids of an optional system turn + user turn + assistant header (T11); ``ids_of``
+    encodes text in which special strings are ordinary."""
     def turn(role, text):
-        return F.concat(F.array(F.lit(vocab.im_start)), utf8_ids(F.lit(role + "\n")), utf8_ids(text),
+        return F.concat(F.array(F.lit(vocab.im_start)), ids_of(F.lit(role + "\n")), ids_of(text),
                         F.array(F.lit(vocab.im_end), *[F.lit(i) for i in vocab.newline]))
-    body = F.concat(turn("user", _nonempty(prompt)), F.array(F.lit(vocab.im_start)), utf8_ids(F.lit("assistant\n")))
+    body = F.concat(turn("user", _nonempty(prompt)), F.array(F.lit(vocab.im_start)), ids_of(F.lit("assistant\n")))
     return F.when(F.coalesce(system, F.lit("")) != "", F.concat(turn("system", system), body)).otherwise(body)
 
 
-def plain_prompt_ids(prompt) -> Column:
-    """Plain prompt: literal end-of-text allowed; empty prompt -> [EOT]."""
-    ids = doc_ids(prompt)
-    return F.when(F.coalesce(prompt, F.lit("")) == "", F.array(F.lit(EOT))) \
+def plain_prompt_ids(prompt, vocab: Vocab = BYTES, document_ids=doc_ids) -> Column:
+    """Plain prompt: literal end-of-text allowed; empty prompt -> [EOT].
+    ``document_ids`` encodes a document, end of text included."""
+    ids = document_ids(prompt)
+    return F.when(F.coalesce(prompt, F.lit("")) == "", F.array(F.lit(vocab.eot))) \
         .otherwise(F.slice(ids, 1, F.size(ids) - 1))
 
 
