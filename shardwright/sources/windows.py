@@ -37,13 +37,11 @@ class Shards:
     """Stems, ids and sizes of the shards of one split, in order, as the manifest lists them."""
 
     def __init__(self, manifest: dict, split: str, folder: str):
-        info = (manifest["splits"] or {}).get(split)
-        if info is None or not info["shards"]:
-            raise ValueError(f"the manifest has no shards of split {split!r}")
+        info = (manifest["splits"] or {}).get(split) or {"shards": []}
         files = sorted((int(f["file"].removesuffix(".bin").rsplit("_", 1)[1]), f["tokens"], f["examples"]) for f in info["shards"])
         self.split, self.folder, self.chat = split, folder.rstrip("/"), bool(manifest["chat"])
         self.dtype = np.dtype(manifest["dtype"]).newbyteorder("<")
-        self.ids, self.tokens, self.examples = map(list, zip(*files))
+        self.ids, self.tokens, self.examples = ([f[k] for f in files] for k in range(3))
         self.before = np.concatenate(([0], np.cumsum(self.tokens, dtype=np.int64)))
         self.total = int(self.before[-1])
 
@@ -122,7 +120,8 @@ def _windows(shards: Shards, i: int, rows: pa.RecordBatch, block: int):
 
 def drawn_windows(spark: SparkSession, shard_dir: str, manifest_dir: str, block: int, steps: int, accum: int, batch: int,
                   split: str, seed: int) -> DataFrame:
-    """(step, micro, row, split, shard_id, start, x, y, tokens_seen) for every drawn window of a text or chat corpus."""
+    """(step, micro, row, split, shard_id, start, x, y, tokens_seen) for every drawn window of a text or chat corpus. A split
+    without tokens has no windows; a drawn shard without room for one fails."""
     manifest = read_manifest(spark, manifest_dir).first().asDict(recursive=True)
     shards = Shards(manifest, split, resolve(spark, shard_dir))
     held = spark.sparkContext.broadcast(shards)
@@ -143,6 +142,8 @@ def drawn_windows(spark: SparkSession, shard_dir: str, manifest_dir: str, block:
                 yield from _windows(s, int(place[i]), b.slice(i, j - i), block)
 
     target = F.floor(uniform(seed, "step", "micro") * shards.total).cast("long")
+    if shards.total == 0:
+        steps = 0
     rows = draws(spark, steps, accum, batch).select("step", "micro", "row", target.alias("target"), uniform(seed, "step", "micro", "row").alias("u"))
     rows = rows.mapInArrow(pick, "step long, micro long, row long, u double, place int")
     size = steps * accum * batch * (block + 1) * shards.dtype.itemsize
