@@ -107,15 +107,20 @@ def ledger(docs: DataFrame) -> DataFrame:
     return measured.withColumn("failure_bits", bits)
 
 
+#: The columns that stand before a verdict.
+LEADING = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
 def rejects(policy: Policy) -> Column:
     return F.col("failure_bits").bitwiseAND(F.lit(policy.mask).cast("long")) != 0
 
 
 def judge(book: DataFrame, policy: Policy = FULL) -> DataFrame:
-    """The ledger with ``base_failed`` and the policy's verdict ``kept``; nothing is evaluated again."""
-    return (book.withColumn("base_failed", rejects(BASE))
-            .withColumn("kept", ~(rejects(BASE) | rejects(policy)))
-            .withColumn("policy", F.lit(policy.version)))
+    """The ledger's id and base measurements, ``base_failed`` and the policy's verdict ``kept``, then its further columns;
+    nothing is evaluated again."""
+    rest = [c for c in book.columns if c not in LEADING]
+    return book.select(*LEADING, rejects(BASE).alias("base_failed"), (~(rejects(BASE) | rejects(policy))).alias("kept"), *rest,
+                       F.lit(policy.version).alias("policy"))
 
 
 def ablation(book: DataFrame, policy: Policy = FULL) -> DataFrame:

@@ -135,3 +135,9 @@ def test_entry_registers_the_eleven_queries():
     names = e.queries()
     assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
     assert {"op3_block_search", "op6_mix_sources", "op9_rule_ledger"} <= set(e.oracle_sql())
+
+
+def test_verdict_follows_the_base_measurements(spark):
+    assert quality_rules.judge(quality_rules.ledger(edge_docs(spark))).columns == [
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_lines", "n_upper", "failure_bits", "policy"]
