@@ -130,11 +130,11 @@ def test_search_of_extreme_and_no_vectors(spark):
     assert rows(vector_search.nearest(df.where("vec_id > 9"), F.col("vec_id") == 0)) == []
 
 
-def test_entry_registers_the_eleven_queries():
+def test_entry_registers_all_queries():
     import __spark_entry__ as e
     names = e.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
-    assert {"op3_block_search", "op6_mix_sources", "op9_rule_ledger"} <= set(e.oracle_sql())
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
+    assert {"op3_block_search", "op6_mix_sources", "op9_rule_ledger", "op12_hard_negatives", "op13_collocations"} <= set(e.oracle_sql())
 
 
 def test_verdict_follows_the_base_measurements(spark):
