@@ -12,6 +12,8 @@ as well. Outputs land in ``--out``; the checkpoint folder comes from
 from __future__ import annotations
 
 import argparse
+import logging
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,9 +29,12 @@ from .operators.order import ordinal
 from .schemas import BYTES, SEED, ChatSpec, CorpusSpec, id_dtype
 from .session import scratch_path
 from .sources import manifest as M
+from .sources.logs import with_progress
 from .sources import token_shards as TS
 from .sources import windows as SW
 
+log = logging.getLogger("shardwright")
+
 
 def _vocabulary(spark: SparkSession, rank_file: str | None):
     """(ranks, vocabulary) of a rank file, or the byte vocabulary without one."""
@@ -39,6 +44,16 @@ def _vocabulary(spark: SparkSession, rank_file: str | None):
     return ranks, B.bpe_vocabulary(ranks, "bpe", rank_file)
 
 
+#: Counts of a job without a shard: Spark leaves such a plan out, and its counters with it.
+NOTHING = {"docs": 0, "tokens": 0}
+
+
+def _report(name: str, counts: dict, seconds: float) -> None:
+    """What a job has written, and how fast."""
+    tokens = counts["tokens"] or 0
+    log.info("%s: %d rows, %d tokens in %.1f s, %.2f M tokens/s", name, counts["docs"], tokens, seconds, tokens / max(seconds, 1e-9) / 1e6)
+
+
 def _stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder: encoded once, read by several steps."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
@@ -108,7 +123,10 @@ def tokenize_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, spec: Co
         keys = {(r["split"], r["shard_id"]) for r in closed.select("split", "shard_id").collect()}  # as many as the manifest lists
         ranges = [r for r in ranges if (r["split"], r["shard_id"]) not in keys]
     rows, listed = K.corpus_rows(docs, ranges, cut, vocab.text_size, val_docs)
+    rows, counted = with_progress(rows, "n_kept")
+    began = time.monotonic()
     TS.write_text_shards(rows, listed, f"{out_dir}/bin", f"{out_dir}/shards", keep=resume)
+    _report(spec.name, counted.get if listed else NOTHING, time.monotonic() - began)
     shards.select("split", "shard_id", "file", "tokens", "docs").write.mode("overwrite").parquet(done)
     M.write_manifest(man, f"{out_dir}/manifest")
     return man
@@ -116,16 +134,20 @@ def tokenize_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, spec: Co
 
 def tokenize_chat(spark: SparkSession, turns: DataFrame, out_dir: str, spec: ChatSpec,
                   val_turns: DataFrame | None = None) -> DataFrame:
-    """Conversations (long form) -> .bin/.mask.bin/.idx.bin shards and a chat
-    manifest (E2); with ``spec.rank_file`` encoded by BPE. Returns the outcome
+    """Conversations, a row per turn or nested with a column ``messages`` (S4), ->
+    .bin/.mask.bin/.idx.bin shards and a chat manifest (E2); with ``spec.rank_file`` encoded by BPE. Returns the outcome
     counters per split. A separate val table may use the same conversation ids as
     the train table: each split is its own."""
+    turns, val_turns = (C.turns_from_messages(t) if t is not None and "messages" in t.columns else t for t in (turns, val_turns))
     ranks, vocab = _vocabulary(spark, spec.rank_file)
     if ranks:
         turns = _stored(B.encode_turns(turns, ranks, vocab), "encoded-turns")
         val_turns = None if val_turns is None else _stored(B.encode_turns(val_turns, ranks, vocab), "encoded-val-turns")
     convs, shards, counters = C.tokenize_chat(turns, spec, val_turns, vocab)
+    convs, counted = with_progress(convs)
+    began = time.monotonic()
     TS.export_chat_shards(convs, f"{out_dir}/shards", id_dtype(vocab.chat_size), shards)
+    _report(spec.name, NOTHING if shards.isEmpty() else counted.get, time.monotonic() - began)
     M.write_manifest(M.chat_manifest(shards, counters, spec, vocab), f"{out_dir}/manifest")
     return counters
 
@@ -167,7 +189,8 @@ def evaluate_choices(spark: SparkSession, choices: DataFrame, token_losses: Data
     rep = X.report(X.example_picks(X.candidate_scores(token_losses), ex.filter("kept").drop("kept")))
     skipped = ex.rollup("source").agg(F.count_if(~F.col("kept")).alias("skipped"), F.grouping("source").alias("every"))
     skipped = skipped.select(F.when(F.col("every") == 1, "OVERALL").otherwise(F.col("source")).alias("source"), "skipped")
-    rep = rep.join(F.broadcast(skipped), "source", "left")  # a row per source, like the report
+    # A row per source, like the report; sources in order, OVERALL last.
+    rep = rep.join(F.broadcast(skipped), "source", "left").orderBy(F.col("source") == "OVERALL", "source")
     if out_dir:
         rep.coalesce(1).write.mode("overwrite").option("header", True).csv(out_dir)
     return rep
@@ -270,6 +293,8 @@ def _main(argv=None):
     c.add_argument("--perf-tag", action="append", default=[])
     args = ap.parse_args(argv)
 
+    logging.basicConfig(level=logging.WARNING)
+    log.setLevel(logging.INFO)
     from .session import get_spark
     from .sources.logs import read_prompts, read_scalars
     spark = get_spark()

@@ -114,3 +114,29 @@ def test_val_and_train_conversations_may_share_ids(spark):
         for f in glob.glob(f"{out}/shards/{split}_*.idx.bin"):
             ids = np.fromfile(f.replace(".idx.bin", ".bin"), "<u2")
             assert (ids[np.fromfile(f, "<u8").astype(int)] == 257).all()
+
+
+def test_nested_messages_give_the_files_of_their_turns(spark, caplog):
+    long = "conv_id long, turn long, role string, text string"
+    turns = [(i, t, ("user", "assistant")[t % 2], f"words {i} {t} " * (t + 1)) for i in range(5) for t in range(4)] + [(7, None, None, None)]
+    nested = "conv_id long, messages array<struct<role: string, content: string>>"
+    rows = [(i, [(r, x) for c, _, r, x in turns if c == i and r]) for i in (0, 1, 2, 3, 4, 7)]
+    spec, out = ChatSpec(name="c", max_len=300, shard_tokens=400, val_examples=2), {}
+    for kind, data, schema in (("long", turns, long), ("nested", rows, nested)):
+        folder = scratch_path(spark, f"chat-{kind}").removeprefix("file:")
+        with caplog.at_level("INFO", logger="shardwright"):
+            counters = jobs.tokenize_chat(spark, spark.createDataFrame(data, schema), folder, spec)
+        out[kind] = (sorted(tuple(r) for r in counters.collect()),
+                     {os.path.basename(f): open(f, "rb").read() for f in glob.glob(f"{folder}/shards/*.bin")})
+    assert out["long"] == out["nested"] and len(out["long"][1]) >= 6
+    tokens = sum(len(b) // 2 for f, b in out["long"][1].items() if f.count(".") == 1)
+    assert caplog.text.count(f"c: 5 rows, {tokens} tokens in ") == 2
+
+
+def test_text_job_reports_its_counts(spark, caplog):
+    with caplog.at_level("INFO", logger="shardwright"):
+        jobs.tokenize_corpus(spark, _docs(spark, 10), scratch_path(spark, "report"), CorpusSpec(name="t", batch_docs=2, shard_tokens=200, max_tokens=300))
+    assert ", 300 tokens in " in caplog.text
+    with caplog.at_level("INFO", logger="shardwright"):
+        jobs.tokenize_corpus(spark, _docs(spark, 1).limit(0), scratch_path(spark, "report-0"), CorpusSpec(name="none"))
+    assert "none: 0 rows, 0 tokens in " in caplog.text
