@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from shardwright.operators.order import ordinal, prefix_sum, reset_segments
 
 
@@ -39,6 +41,40 @@ def test_reset_segments(spark):
         _case(spark, seed, reset_segments)
 
 
+def test_reset_segments_over_many_small_blocks(spark):
+    """Blocks shorter and longer than a segment, skipped blocks and several levels of composition."""
+    for seed, block, fan in ((3, 1, 2), (4, 5, 2), (7, 7, 3), (11, 40, 2)):
+        _case(spark, seed, lambda *a: reset_segments(*a, block=block, fan=fan))
+
+
+def test_reset_segments_of_equal_sizes(spark):
+    """Chains that never meet: the step functions keep a step per unit."""
+    df = spark.range(300).select(F.col("id").alias("ord"), F.lit(1).cast("long").alias("sz"))
+    got = reset_segments(df, "ord", "sz", 7, block=10, fan=3).collect()
+    assert {r.ord: r.seg for r in got} == {i: i // 7 for i in range(300)}
+
+
+def test_reset_segments_does_the_same_steps_for_any_number_of_segments(spark, monkeypatch):
+    """No joins per segment: checkpoints and their shuffles depend on the units alone."""
+    kind, seen = type(spark.range(1)), []
+
+    def look(self, *a, f=kind.checkpoint, **k):
+        plan = self._jdf.queryExecution().executedPlan().toString()
+        seen.append((plan.count("Join"), plan.count("Exchange")))
+        return f(self, *a, **k)
+
+    df = spark.range(5000).select(F.col("id").alias("ord"), (F.col("id") % 9 + 1).alias("sz"))
+    steps = []
+    for target in (3, 40, 10 ** 6):
+        with monkeypatch.context() as m:
+            m.setattr(kind, "checkpoint", look)
+            seen.clear()
+            rows = reset_segments(df, "ord", "sz", target).collect()
+            steps.append(list(seen))
+        assert [r.seg for r in sorted(rows, key=lambda r: r.ord)] == brute([i % 9 + 1 for i in range(5000)], target)
+    assert steps[0] == steps[1] == steps[2] and len(steps[0]) <= 3
+
+
 def test_ordinal_of_many_partitions_large_ids_and_strings(spark):
     keys = [2 ** 60 + 3 * i for i in range(50)] + [2 ** 53 + 1, 2 ** 53, -7]
     o = ordinal(spark.createDataFrame([(k,) for k in keys], "k long"), "k", rows_per_bucket=4)
