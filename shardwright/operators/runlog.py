@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -169,17 +170,27 @@ def steady_medians(merged: DataFrame, tags: list[str], val_tag: str) -> DataFram
 EMA_BLOCK = 4096
 
 
+def affine_scan(m: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All prefix compositions of the maps ``x -> m_i x + b_i``, the first one innermost:
+    each round doubles the number of maps that an entry composes."""
+    m, b, d = m.copy(), b.copy(), 1
+    while d < len(m):
+        b[d:] = m[d:] * b[:-d] + b[d:]
+        m[d:] = m[d:] * m[:-d]
+        d *= 2
+    return m, b
+
+
 def ema(merged: DataFrame, tags: list[str], frac: float = 0.03, block: int = EMA_BLOCK) -> DataFrame:
     """Exponential moving average per (run, tag) series in step order, seeded
     with the first value, alpha from the series length (W8).
 
-    The recurrence ``acc_i = a v_i + (1 - a) acc_{i-1}`` is linear, so it is
-    computed in two levels and no group exceeds ``block`` rows: each block of
-    positions folds locally from a zero seed; a scan over the (small) block
-    table carries each block's incoming value; then
+    Each value is the affine map ``acc -> (1 - a) acc + a v`` and composing maps is
+    associative, so it is a scan in two levels and no group of points exceeds
+    ``block`` rows: the maps of a block are composed from its start; a scan over the
+    (small) block table carries each block's incoming value; then
     ``ema_i = (1 - a)^(i - start + 1) * carry_in + local_i``.
     """
-    import numpy as np
     import pandas as pd
 
     from .order import ordinal
@@ -201,11 +212,7 @@ def ema(merged: DataFrame, tags: list[str], frac: float = 0.03, block: int = EMA
         pdf = pdf.sort_values("pos")
         a = float(pdf["alpha"].iloc[0])
         v = pdf["value"].to_numpy(dtype=np.float64)
-        out = np.empty(len(v))
-        acc = 0.0
-        for i, x in enumerate(v.tolist()):
-            acc = a * x + (1 - a) * acc
-            out[i] = acc
+        _, out = affine_scan(np.full(len(v), 1 - a), a * v)
         pos = pdf["pos"].to_numpy()
         return pd.DataFrame({"run": pdf["run"].to_numpy(), "tag": pdf["tag"].to_numpy(),
                              "blk": pdf["blk"].to_numpy(), "step": pdf["step"].to_numpy(),
@@ -224,11 +231,9 @@ def ema(merged: DataFrame, tags: list[str], frac: float = 0.03, block: int = EMA
     def carry(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("blk")
         a = float(pdf["alpha"].iloc[0])
-        acc = float(pdf["v_first"].iloc[0])   # acc_{-1} = v_0 makes acc_0 = v_0
-        out = []
-        for ln, le in zip(pdf["len"].tolist(), pdf["loc_end"].tolist()):
-            out.append(acc)
-            acc = (1 - a) ** ln * acc + le
+        first = float(pdf["v_first"].iloc[0])   # acc_{-1} = v_0 makes acc_0 = v_0
+        m, b = affine_scan((1 - a) ** pdf["len"].to_numpy(np.float64), pdf["loc_end"].to_numpy(np.float64))
+        out = np.append(first, (m * first + b)[:-1])
         return pd.DataFrame({"run": pdf["run"].to_numpy(), "tag": pdf["tag"].to_numpy(),
                              "blk": pdf["blk"].to_numpy(), "carry": out})
 

@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from shardwright.operators import runlog as R
@@ -63,6 +64,30 @@ def test_ema_matches_loop(spark):
     assert all(math.isclose(x, y) for x, y in zip(got, exp))
 
 
+def test_affine_scan_composes_in_order():
+    rnd = np.random.default_rng(4)
+    for n in (1, 2, 3, 64, 1001):
+        m, b = rnd.uniform(-1, 1, n), rnd.normal(size=n)
+        sm, sb = R.affine_scan(m, b)
+        for x0 in (0.0, 3.5):
+            x = x0
+            for i in range(n):
+                x = m[i] * x + b[i]
+                assert abs(sm[i] * x0 + sb[i] - x) < 1e-12
+
+
+def test_ema_of_a_long_series(spark):
+    n = 300_000
+    df = spark.range(n).select(F.lit("r").alias("run"), F.lit("g").alias("tag"), F.col("id").alias("step"),
+                               F.sin(F.col("id") / 50).alias("value"))
+    got = R.ema(df, ["g"]).orderBy("step").toPandas()["ema"].to_numpy()
+    acc, a = 0.0, max(0.05, 2 / (int(n * 0.03) + 1))
+    for i in range(n):
+        v = math.sin(i / 50)
+        acc = v if i == 0 else a * v + (1 - a) * acc
+        assert abs(got[i] - acc) < 1e-9
+
+
 def test_ema_blocks_match_loop(spark):
     import datetime as dt
     vals = [float((i * 37) % 11) - 3.5 for i in range(150)]
