@@ -14,6 +14,7 @@ from __future__ import annotations
 import argparse
 import logging
 import time
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,38 +101,108 @@ def tokenize_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, spec: Co
     documents past ``spec.max_tokens`` are neither encoded nor read.
 
     ``resume`` goes on where a run over the first part of the documents ended:
-    shards that were closed then are kept (their documents are neither packed nor
-    written again), the open one and all later ones are written. It fails if the
-    documents of a closed shard are no longer the same number of tokens. Returns
-    the manifest.
+    shards that were closed then are kept, the open one and all later ones are
+    written, and only documents after the closed shards are encoded. The documents
+    of the closed ones are read and held against the ledger of the earlier run
+    (``out_dir/progress``); it fails if any has changed, came or went, or if batches,
+    shards, vocabulary or val carve are of another size. Returns the manifest.
     """
     if spec.val_tokens is not None:
         val_docs = None
     ranks, vocab = _vocabulary(spark, spec.rank_file)
     encode = (lambda d: _stored(B.encode_documents(d, ranks, vocab), "encoded")) if ranks else (lambda d: d)
-    docs = needed_documents(docs, spec, encode)
+    rule = f"batches of {spec.batch_docs}, shards of {spec.shard_tokens}, val carve {spec.val_tokens}, {vocab.name} {vocab.text_size}"
+    done, todo, old = f"{out_dir}/progress", spec, []
+    if resume:
+        old = _closed(spark.read.parquet(done), spec, rule)
+        _unchanged(docs, val_docs, old)
+        docs, val_docs, todo = _after(docs, val_docs, spec, old)
+    columns = "split string, shard_id int, file string, tokens long, docs long"
+    before = spark.createDataFrame([(r["split"], r["shard_id"], r["file"], r["tokens"], r["docs"]) for r in old], columns) if old else None
+    texts, val_texts = docs, val_docs
+    docs = needed_documents(docs, todo, encode)
     if ranks:
         val_docs = None if val_docs is None else _stored(B.encode_documents(val_docs, ranks, vocab), "encoded-val")
-    streams, sb, shards, man = K.tokenize_corpus(docs, spec, val_docs, vocab)
+    streams, sb, shards, man = K.tokenize_corpus(docs, todo, val_docs, vocab, before)
     ranges, cut = K.shard_ranges(streams, sb)
-    done = f"{out_dir}/progress"
-    if resume:
-        closed = spark.read.parquet(done).filter(F.col("tokens") >= spec.shard_tokens)
-        now = shards.select("split", "shard_id", F.col("tokens").alias("now"))
-        if not closed.join(now, ["split", "shard_id"], "left").filter(~F.col("tokens").eqNullSafe(F.col("now"))).isEmpty():
-            raise ValueError("closed shards of the earlier run don't match these documents")
-        keys = {(r["split"], r["shard_id"]) for r in closed.select("split", "shard_id").collect()}  # as many as the manifest lists
-        ranges = [r for r in ranges if (r["split"], r["shard_id"]) not in keys]
     rows, listed = K.corpus_rows(docs, ranges, cut, vocab.text_size, val_docs)
     rows, counted = with_progress(rows, "n_kept")
     began = time.monotonic()
-    TS.write_text_shards(rows, listed, f"{out_dir}/bin", f"{out_dir}/shards", keep=resume)
+    TS.write_text_shards(rows, listed, f"{out_dir}/bin", f"{out_dir}/shards", keep=bool(old))
     _report(spec.name, counted.get if listed else NOTHING, time.monotonic() - began)
-    shards.select("split", "shard_id", "file", "tokens", "docs").write.mode("overwrite").parquet(done)
+    _ledger(shards, K.shard_digests(texts, ranges, val_texts), ranges, streams, old, spec, rule, done)
     M.write_manifest(man, f"{out_dir}/manifest")
     return man
 
 
+def _ledger(shards: DataFrame, digests: DataFrame, ranges: list, streams: DataFrame, old: list, spec: CorpusSpec, rule: str, path: str) -> None:
+    """A row per shard, from which a later run can go on: its size, its documents (id range, number, digest), the last
+    document that its split has consumed, the cap and the sizes that must be the same."""
+    spark = shards.sparkSession
+    kind = streams.schema["doc_id"].dataType.simpleString()
+    limits = spark.createDataFrame([(r["split"], int(r["shard_id"]), r["first"], r["last"]) for r in ranges],
+                                   f"split string, shard_id int, first {kind}, last {kind}")
+    consumed = streams.groupBy("split").agg(F.max("doc_id").alias("consumed"))
+    new = (shards.select("split", F.col("shard_id").cast("int").alias("shard_id"), "file", "tokens", "docs")
+           .join(limits, ["split", "shard_id"]).join(digests, ["split", "shard_id"]).join(consumed, "split")
+           .withColumn("cap", F.lit(spec.max_tokens).cast("long")).withColumn("rule", F.lit(rule)))
+    if old:
+        new = new.unionByName(spark.createDataFrame([[r[c] for c in new.columns] for r in old], new.schema))
+    rows = new.collect()  # as many as the manifest lists; the old ledger may be what is overwritten
+    spark.createDataFrame(rows, new.schema).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def _closed(ledger: DataFrame, spec: CorpusSpec, rule: str) -> list:
+    """The shards of an earlier run that no later document can change: those before the first that is not full, ends inside
+    a batch or was cut by the cap. A carved val split that is complete counts as closed; one that isn't leaves nothing."""
+    rows = ledger.orderBy("split", "shard_id").collect()  # as many as the manifest lists
+    if any(r["rule"] != rule for r in rows):
+        raise ValueError(f"the earlier run used {rows[0]['rule']}, not {rule}")
+    kept = []
+    for split in ("train", "val"):
+        mine = [r for r in rows if r["split"] == split]
+        tokens, docs = sum(r["tokens"] for r in mine), sum(r["docs"] for r in mine)
+        if split == "val" and spec.val_tokens is not None:
+            if tokens != spec.val_tokens or docs % spec.batch_docs:
+                return []
+            kept += mine
+            continue
+        if split == "train" and mine and tokens == mine[-1]["cap"]:
+            mine.pop()
+        docs = 0
+        for r in mine:
+            docs += r["docs"]
+            if r["tokens"] < spec.shard_tokens or docs % spec.batch_docs:
+                break
+            kept.append(r)
+    return kept
+
+
+def _unchanged(docs: DataFrame, val_docs: DataFrame | None, old: list) -> None:
+    now = {(r["split"], r["shard_id"]): (r["texts"], r["digest"]) for r in K.shard_digests(docs, old, val_docs).collect()} if old else {}
+    changed = [r["file"] for r in old if now.get((r["split"], r["shard_id"])) != (r["texts"], r["digest"])]
+    if changed:
+        raise ValueError(f"the documents of closed shards have changed: {', '.join(changed[:5])}" + ", ..." * (len(changed) > 5))
+
+
+def _after(docs: DataFrame, val_docs: DataFrame | None, spec: CorpusSpec, old: list):
+    """The documents after the closed shards, and what is left to do with them."""
+    train, val = ([r for r in old if r["split"] == s] for s in ("train", "val"))
+    if val and spec.val_tokens is not None:
+        spec = replace(spec, val_tokens=None)
+        docs = docs.filter(F.col("doc_id") > F.lit(val[-1]["consumed"]))
+    elif val:
+        val_docs = val_docs.filter(F.col("doc_id") > F.lit(val[-1]["last"]))
+    if train:
+        docs = docs.filter(F.col("doc_id") > F.lit(train[-1]["last"]))
+        if spec.max_tokens is not None:
+            left = spec.max_tokens - sum(r["tokens"] for r in train)
+            if left < 0:
+                raise ValueError("the closed shards of the earlier run hold more than max_tokens")
+            docs, spec = (docs, replace(spec, max_tokens=left)) if left else (docs.limit(0), replace(spec, max_tokens=None))
+    return docs, val_docs, spec
+
+
 def tokenize_chat(spark: SparkSession, turns: DataFrame, out_dir: str, spec: ChatSpec,
                   val_turns: DataFrame | None = None) -> DataFrame:
     """Conversations, a row per turn or nested with a column ``messages`` (S4), ->
@@ -140,10 +211,11 @@ def tokenize_chat(spark: SparkSession, turns: DataFrame, out_dir: str, spec: Cha
     the train table: each split is its own."""
     turns, val_turns = (C.turns_from_messages(t) if t is not None and "messages" in t.columns else t for t in (turns, val_turns))
     ranks, vocab = _vocabulary(spark, spec.rank_file)
+    encode = None
     if ranks:
-        turns = _stored(B.encode_turns(turns, ranks, vocab), "encoded-turns")
-        val_turns = None if val_turns is None else _stored(B.encode_turns(val_turns, ranks, vocab), "encoded-val-turns")
-    convs, shards, counters = C.tokenize_chat(turns, spec, val_turns, vocab)
+        longest = max(map(len, ranks))
+        encode = lambda t: B.encode_turns(C.reachable_turns(t, spec.max_len, longest, vocab), ranks, vocab)
+    convs, shards, counters = C.tokenize_chat(turns, spec, val_turns, vocab, encode)
     convs, counted = with_progress(convs)
     began = time.monotonic()
     TS.export_chat_shards(convs, f"{out_dir}/shards", id_dtype(vocab.chat_size), shards)

@@ -3,8 +3,8 @@
 A turn renders as ``[IM_START] role "\\n" | content [IM_END] | "\\n"`` with mask
 0 on the header, ``role in train_roles`` on content + IM_END, 0 on the
 newline. Over bytes its length is known without encoding (role bytes + text
-bytes + 4), so ids are built only for kept turns; for BPE, turns are encoded once
-and written before they are fitted.
+bytes + 4), so ids are built only for kept turns; for BPE, turns that can fit by
+their bytes are encoded once before they are fitted.
 """
 
 from __future__ import annotations
@@ -85,11 +85,35 @@ def fit_turns(turns: DataFrame, max_len: int, train_roles=("assistant",), vocab:
         .drop("last_kept")
 
 
+def reachable_turns(turns: DataFrame, max_len: int, longest: int, vocab: Vocab) -> DataFrame:
+    """The turns that the fit can keep or must measure, told before any is encoded: an id
+    stands for at most ``longest`` bytes, so a turn of b bytes has at least b / longest
+    ids. From where these sums pass ``max_len`` on, none can be kept. However long a
+    conversation is, at most max_len / 4 of its turns are left."""
+    least = lambda n: F.ceil(n / F.lit(longest))
+    n = 2 + len(vocab.newline) + least(F.octet_length(F.coalesce(F.col("role"), F.lit(""))) + 1) \
+        + least(F.octet_length(F.coalesce(F.col("text"), F.lit(""))))
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    near = turns.filter(F.col("turn").isNotNull()).withColumn("__rank", F.row_number().over(w)) \
+        .filter(F.col("__rank") <= max_len // 4)
+    return near.withColumn("__least", F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, 0))) \
+        .filter(F.col("__least") <= max_len).drop("__rank", "__least")
+
+
+def turns_given(turns: DataFrame) -> DataFrame:
+    """(conv_id, n_turns) of all conversations, those without turns included."""
+    return turns.groupBy("conv_id").agg(F.count("turn").alias("n_turns"))
+
+
 def conversation_outcomes(turns: DataFrame, max_len: int, train_roles=("assistant",), vocab: Vocab = BYTES) -> DataFrame:
     """One row per conversation: turns given and kept, tokens, supervised,
     ``kept`` / ``truncated`` flags (A3 inputs)."""
-    given = turns.groupBy("conv_id").agg(F.count("turn").alias("n_turns"))
-    kept = fit_turns(turns, max_len, train_roles, vocab).groupBy("conv_id").agg(
+    return outcomes_of(turns_given(turns), fit_turns(turns, max_len, train_roles, vocab))
+
+
+def outcomes_of(given: DataFrame, fitted: DataFrame) -> DataFrame:
+    """:func:`conversation_outcomes` from the turns given and those that fit."""
+    kept = fitted.groupBy("conv_id").agg(
         F.count(F.lit(1)).alias("kept_turns"),
         F.sum("n_tokens").alias("n_tokens"),
         F.sum("n_supervised").alias("n_supervised"))
@@ -191,31 +215,35 @@ def chat_shard_table(sharded: DataFrame) -> DataFrame:
     ).withColumn("file", shard_file())
 
 
-def tokenize_chat(turns: DataFrame, spec: ChatSpec, val_turns: DataFrame | None = None, vocab: Vocab = BYTES):
+def tokenize_chat(turns: DataFrame, spec: ChatSpec, val_turns: DataFrame | None = None, vocab: Vocab = BYTES, encode=None):
     """The chat job: returns (conversation rows with tokens/mask/shard, shard
-    table, outcome counters per split). For BPE the turns come from
-    ``bpe.encode_turns``."""
-    out = conversation_outcomes(turns, spec.max_len, spec.train_roles, vocab).checkpoint()
-    vout = (conversation_outcomes(val_turns, spec.max_len, spec.train_roles, vocab).checkpoint()
-            if val_turns is not None else None)
+    table, outcome counters per split). For BPE, ``encode`` is called with the
+    turns that can fit. Turns are fitted once and written; outcomes and rows come
+    from what was written."""
+    def fitted(turns):
+        if turns is None:
+            return None, None
+        fit = fit_turns(encode(turns) if encode else turns, spec.max_len, spec.train_roles, vocab).checkpoint()
+        return fit, outcomes_of(turns_given(turns), fit).checkpoint()
+
+    def rendered(fit, sharded):
+        return sharded.join(render_conversations(render_turn_ids(
+            fit.join(sharded.select("conv_id"), "conv_id", "left_semi"), vocab)), "conv_id")
+
+    (fit, out), (vfit, vout) = fitted(turns), fitted(val_turns)
     split = split_conversations(out, spec, vout).checkpoint()
     counters = outcome_counters(split, ["split"])
     sharded = shard_conversations(split, spec.shard_tokens)
-
-    def rendered(turns, sharded):
-        kept = fit_turns(turns.join(sharded.select("conv_id"), "conv_id", "left_semi"), spec.max_len, spec.train_roles, vocab)
-        return sharded.join(render_conversations(render_turn_ids(kept, vocab)), "conv_id")
-
-    if val_turns is None:
-        convs = rendered(turns, sharded)
+    if vfit is None:
+        convs = rendered(fit, sharded)
     else:  # two tables number their conversations independently, so each split meets its own
-        convs = rendered(turns, sharded.filter("split = 'train'")).unionByName(rendered(val_turns, sharded.filter("split = 'val'")))
+        convs = rendered(fit, sharded.filter("split = 'train'")).unionByName(rendered(vfit, sharded.filter("split = 'val'")))
     return convs, chat_shard_table(sharded), counters
 
 
 __all__ = [
-    "turns_from_messages", "turn_lengths", "render_turn_ids", "fit_turns",
-    "conversation_outcomes", "render_conversations", "outcome_counters", "limit_kept",
+    "turns_from_messages", "turn_lengths", "render_turn_ids", "fit_turns", "reachable_turns",
+    "turns_given", "outcomes_of", "conversation_outcomes", "render_conversations", "outcome_counters", "limit_kept",
     "split_conversations", "shard_conversations", "chat_shard_table", "tokenize_chat",
     "shard_file", "ids_digest",
 ]

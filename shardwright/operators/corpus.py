@@ -208,12 +208,35 @@ def corpus_rows(docs: DataFrame, ranges: list, cut: list, n_vocab: int = BYTE_VO
     return placed_rows(docs, *of(("train",)), n_vocab).unionByName(placed_rows(val_docs, *of(("val",)), n_vocab)), shards
 
 
-def tokenize_corpus(docs: DataFrame, spec: CorpusSpec, val_docs: DataFrame | None = None, vocab: Vocab = BYTES):
+def shard_digests(docs: DataFrame, ranges: list, val_docs: DataFrame | None = None) -> DataFrame:
+    """(split, shard_id, texts, digest): what the documents in the id range of each shard are, read but not encoded. The
+    digest is of ids and texts, so any edit, insertion, removal or exchange of texts changes it."""
+    def part(docs, splits):
+        places = [(r["first"], r["last"], k) for k, r in enumerate(ranges) if r["split"] in splits]
+        rows = docs.filter(F.col("text").isNotNull()).select(_place_of(places)("doc_id").alias("place"), F.xxhash64("doc_id", "text").alias("h"))
+        return rows.filter(F.col("place") >= 0).groupBy("place").agg(
+            F.count(F.lit(1)).alias("texts"),
+            F.concat_ws(":", F.sum(F.col("h").cast("decimal(38,0)")).cast("string"), F.bit_xor("h").cast("string")).alias("digest"))
+
+    found = part(docs, ("train", "val")) if val_docs is None else part(docs, ("train",)).unionByName(part(val_docs, ("val",)))
+    names = docs.sparkSession.createDataFrame([(r["split"], int(r["shard_id"]), k) for k, r in enumerate(ranges)],
+                                              "split string, shard_id int, place int")
+    return names.join(found, "place").drop("place")  # a row per shard of the manifest
+
+
+def tokenize_corpus(docs: DataFrame, spec: CorpusSpec, val_docs: DataFrame | None = None, vocab: Vocab = BYTES,
+                    before: DataFrame | None = None):
     """The text job: returns (consumed-document streams, sharded batches, shard
-    table, manifest). For BPE the documents come from ``bpe.encode_documents``."""
+    table, manifest). For BPE the documents come from ``bpe.encode_documents``.
+    ``before`` holds (split, shard_id, file, tokens, docs) of earlier documents: new
+    shards are numbered after them, and the manifest lists both."""
     meta = document_meta(docs)
     vmeta = document_meta(val_docs) if val_docs is not None else None
     streams = split_streams(meta, spec, vmeta).checkpoint()
     sb = shard_batches(batch_table(streams), spec.shard_tokens)
+    if before is not None:
+        first = before.groupBy("split").agg(F.count(F.lit(1)).cast("int").alias("__first"))
+        sb = sb.join(first, "split", "left").withColumn("shard_id", F.col("shard_id") + F.coalesce("__first", F.lit(0))).drop("__first")
     shards = shard_table(sb)
-    return streams, sb, shards, manifest(split_summary(shards, vocab.text_size), spec, vocab.text_size, vocab.name, vocab.eot)
+    listed = shards if before is None else shards.unionByName(before, allowMissingColumns=True)
+    return streams, sb, shards, manifest(split_summary(listed, vocab.text_size), spec, vocab.text_size, vocab.name, vocab.eot)

@@ -1,7 +1,10 @@
+import public_tokenizers
 from pyspark.sql import functions as F
 
+from shardwright import jobs
+from shardwright.functions import bpe as B
 from shardwright.operators import chat as C
-from shardwright.schemas import IM_END, IM_START
+from shardwright.schemas import IM_END, IM_START, ChatSpec
 
 
 def _turns(spark, rows):
@@ -80,3 +83,30 @@ def test_fit_counts_turns_by_rank_and_sees_empty_conversations(spark):
                                    "conv_id long, messages array<struct<role:string,content:string>>")
     c = C.outcome_counters(C.conversation_outcomes(C.turns_from_messages(nested), 64)).first()
     assert (c.seen, c.kept, c.dropped, c.truncated) == (3, 1, 2, 0)
+
+
+def test_only_turns_that_can_fit_are_encoded(spark):
+    """One conversation of 100,000 turns, one that begins with a text of megabytes, and short ones."""
+    long = spark.range(100_000).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                       F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+                                       F.concat(F.lit("turn number "), F.col("id").cast("string")).alias("text"))
+    rest = _turns(spark, [(2, 0, "user", "word " * 300_000), (2, 1, "assistant", "yes"), (4, None, None, None)]
+                  + [(c, t, "assistant" if t % 2 else "user", "some words " * (c + t)) for c in range(10, 30) for t in range(6)])
+    turns = long.unionByName(rest).repartition(5)
+    spec = ChatSpec(name="c", max_len=256, val_examples=None)
+    ranks, vocab = jobs._vocabulary(spark, "file://" + public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    longest, seen = max(map(len, ranks)), []
+
+    def encode(t):
+        near = C.reachable_turns(t, spec.max_len, longest, vocab).checkpoint()
+        seen.extend((r.conv_id, r.turn) for r in near.collect())
+        return B.encode_turns(near, ranks, vocab)
+
+    def result(encode):
+        convs, shards, counters = C.tokenize_chat(turns, spec, None, vocab, encode)
+        rows = {r.conv_id: (r.tokens, r["mask"], r.shard_id, r.shard_start) for r in convs.collect()}
+        return rows, sorted(map(tuple, shards.collect())), sorted(map(tuple, counters.collect()))
+
+    assert result(encode) == result(lambda t: B.encode_turns(t, ranks, vocab))
+    assert sum(c == 1 for c, _ in seen) <= 256 // 4 and not any(c == 2 for c, _ in seen)
+    assert sum(c >= 10 for c, _ in seen) == 120

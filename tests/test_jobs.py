@@ -1,11 +1,14 @@
 import glob
 import os
+from dataclasses import replace
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 from shardwright import jobs
+from shardwright.functions import bpe as B
 from shardwright.operators import choice as X
 from shardwright.operators import runlog as R
 from shardwright.plans import chat_queries as CQ
@@ -208,6 +211,57 @@ def test_resume_keeps_closed_shards(spark):
         jobs.tokenize_corpus(spark, frame([(i, "changed " + t) for i, t in rows]), out, spec, resume=True)
 
 
+def _resumed(spark, rows, part, edit=None, after=None, **kw):
+    """Documents that a run over ``rows[:part]`` and a resumed one over all encode, with the shards of both ways."""
+    out, whole = scratch_path(spark, "job-ledger"), scratch_path(spark, "job-ledger-whole")
+    spec = CorpusSpec(name="t", batch_docs=4, shard_tokens=60, rank_file="file://" + public_tokenizers.path("byte_bpe_50k.tiktoken"), **kw)
+    frame = lambda r: spark.createDataFrame(r, "doc_id long, text string")
+    jobs.tokenize_corpus(spark, frame(rows[:part]), out, spec)
+    ledger = spark.read.parquet(f"{out}/progress").orderBy("split", "shard_id").collect()
+    spec = replace(spec, **(after or {}))
+    encoded, real = [], B.encode_documents
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(B, "encode_documents", lambda d, *a: (encoded.extend(r.doc_id for r in d.collect()), real(d, *a))[1])
+        jobs.tokenize_corpus(spark, frame(edit(rows) if edit else rows), out, spec, resume=True)
+    jobs.tokenize_corpus(spark, frame(rows), whole, spec)
+    assert _written(spark, out)[0] == _written(spark, whole)[0]
+    assert _written(spark, out)[1].splits == _written(spark, whole)[1].splits
+    read = lambda d: sorted(map(tuple, spark.read.parquet(f"{d}/progress").select("split", "shard_id", "tokens", "docs", "first", "last", "texts", "digest").collect()))
+    assert read(out) == read(whole)
+    return encoded, ledger
+
+
+def test_resume_encodes_from_the_first_open_shard(spark):
+    rows = _rows(60)
+    encoded, ledger = _resumed(spark, rows, 32)
+    closed = [r for r in ledger if r.tokens >= 60]
+    assert len(closed) > 2 and encoded == [i for i, _ in rows if i > closed[-1].last]
+
+
+def test_resume_after_a_partial_batch_rewrites_its_shard(spark):
+    rows = _rows(60)
+    encoded, ledger = _resumed(spark, rows, 31)
+    assert min(encoded) == ledger[-1].first
+
+
+def test_resume_with_a_carved_val_and_a_raised_cap(spark):
+    rows = _rows(60)
+    encoded, ledger = _resumed(spark, rows, 60, val_tokens=50, max_tokens=150, after={"max_tokens": 260})
+    val = [r for r in ledger if r.split == "val"]
+    assert sum(r.tokens for r in val) == 50 and encoded and min(encoded) > val[-1].consumed
+
+
+def test_resume_finds_any_edit_of_a_closed_shard(spark):
+    rows = _rows(40)
+    one_letter = lambda r: [(i, ("z" + t[1:]) if i == r[2][0] else t) for i, t in r]
+    exchanged = lambda r: [(r[0][0], r[1][1]), (r[1][0], r[0][1]), *r[2:]]
+    for edit in (one_letter, exchanged, lambda r: r[1:]):
+        with pytest.raises(ValueError, match="closed shards have changed"):
+            _resumed(spark, rows, 32, edit)
+    with pytest.raises(ValueError, match="the earlier run used"):
+        _resumed(spark, rows, 32, after={"batch_docs": 5})
+
+
 def test_prompts_and_generations(spark):
     p = spark.createDataFrame([(1, "hi", "sys"), (2, "yo", None)], "prompt_id long, prompt string, system string")
     chat = {r.prompt_id: r.ids for r in jobs.render_prompts(spark, p, 1000, chat=True).collect()}
