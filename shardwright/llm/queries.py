@@ -29,7 +29,23 @@ def op1_quality_gam(spark, sf_dir):
     return quality_gam.classify(docs, quality_gam.train(docs, read(spark, sf_dir, "labels")))
 
 
-@query("op2_suffix_groups")
+@query("op2_suffix_groups", r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+q AS (SELECT rid, doc_id, len(h) // 2 AS n, k, substr(h, 1000 * k + 1, 1200) AS part
+      FROM (SELECT rid, doc_id, h, unnest(range(CAST((len(h) + 999) // 1000 AS BIGINT))) AS k FROM d)),
+b AS (SELECT rid, doc_id, n, 500 * k + i AS pos, part, i
+      FROM (SELECT *, unnest(range(CAST(least(500, n - 500 * k) AS BIGINT))) AS i FROM q)),
+s AS (SELECT rid, doc_id, pos, substr(part, 2 * i + 1, 2) AS byte,
+             CASE WHEN pos + 100 <= n THEN substr(part, 2 * i + 1, 200) END AS string FROM b),
+r AS (SELECT rid, pos, byte, string IS NOT NULL AND row_number() OVER (PARTITION BY string ORDER BY doc_id, rid, pos) > 1 AS later FROM s),
+c AS (SELECT rid, pos, byte, bool_or(later) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS gone FROM r),
+e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY rid ORDER BY pos), false) AS opens FROM c),
+g AS (SELECT rid, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+             string_agg(byte, '' ORDER BY pos) FILTER (NOT gone) AS kept FROM e GROUP BY rid)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN g ON d.rid = g.rid
+""")
 def op2_suffix_groups(spark, sf_dir):
     length = lambda s: s["end"] - s["start"]
     return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents")).select(
@@ -105,7 +121,16 @@ def op7_fair_toxicity(spark, sf_dir):
     return toxicity.classify(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
-@query("op8_phrase_automata")
+@query("op8_phrase_automata", r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT rid, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM d),
+s AS (SELECT rid, pos, word, list(word) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING) AS seq FROM w),
+r AS (SELECT rid, pos, word, len(seq) = 35 AND count(*) OVER (PARTITION BY seq) > 1 AS again FROM s),
+c AS (SELECT rid, pos, word, bool_or(again) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM r),
+g AS (SELECT rid, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS kept FROM c GROUP BY rid)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN g ON d.rid = g.rid
+""")
 def op8_phrase_automata(spark, sf_dir):
     return phrase_dedup.remove_repeated(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

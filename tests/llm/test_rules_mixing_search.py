@@ -134,7 +134,7 @@ def test_entry_registers_all_queries():
     import __spark_entry__ as e
     names = e.queries()
     assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
-    assert {"op3_block_search", "op6_mix_sources", "op9_rule_ledger", "op12_hard_negatives", "op13_collocations"} <= set(e.oracle_sql())
+    assert {"op2_suffix_groups", "op3_block_search", "op6_mix_sources", "op8_phrase_automata", "op9_rule_ledger", "op12_hard_negatives", "op13_collocations"} <= set(e.oracle_sql())
 
 
 def test_verdict_follows_the_base_measurements(spark):
