@@ -33,6 +33,7 @@ from .sources import manifest as M
 from .sources.logs import with_progress
 from .sources import token_shards as TS
 from .sources import windows as SW
+from .streaming.scalars import merge_new_scalars
 
 log = logging.getLogger("shardwright")
 
@@ -358,6 +359,9 @@ def _main(argv=None):
     w.add_argument("--batch", type=int, default=16)
     w.add_argument("--split", default="train")
     w.add_argument("--manifest", help="by default the one beside the shards")
+    n = sub.add_parser("merge-scalars", help="brings the merged table up to date from new log files")
+    n.add_argument("--scalars", required=True)
+    n.add_argument("--out", required=True)
     c = sub.add_parser("summarize-runs")
     c.add_argument("--scalars", required=True)
     c.add_argument("--out", required=True)
@@ -397,6 +401,8 @@ def _main(argv=None):
         sample_windows(spark, args.shards, args.block, args.steps, args.accum, args.batch, args.split,
                        manifest_dir=args.manifest) \
             .write.mode("overwrite").parquet(args.out)
+    elif args.job == "merge-scalars":
+        merge_new_scalars(spark, args.scalars, f"{args.out}/merged", f"{args.out}/checkpoint")
     else:
         summarize_runs(spark, read_scalars(spark, args.scalars, args.run), args.out, perf_tags=tuple(args.perf_tag))
 

@@ -8,8 +8,10 @@ from ..operators import chat as C
 from ..operators import choice as X
 from ..session import scratch_path
 from ..sources import token_shards as TS
+from ..streaming import scalars as SS
 from ..streaming import tokenize as ST
 from . import chat_queries as CQ
+from . import run_queries as RQ
 from . import window_queries as WQ
 from . import text_queries
 from . import choice_queries as XQ
@@ -88,3 +90,16 @@ def shard_file_roundtrip(spark, sf):
         F.concat(part(1), F.lit(".bin")).alias("file"), part(2).alias("kind"), F.md5("content").alias("md5"))
     md5 = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("md5")))
     return rows.join(files.groupBy("file").agg(md5("").alias("bin_md5"), md5(".mask").alias("mask_md5"), md5(".idx").alias("idx_md5")), "file")
+
+
+@query("stream_scalar_merge", _oracle("scalar_merge"))
+def stream_scalar_merge(spark, sf):
+    """Scalar logs that arrive in files, the later writes of a key often first, merged
+    from new files alone in two runs of one stream (S12, A13)."""
+    base = scratch_path(spark, "scalar-log")
+    log, args = f"{base}/log", (f"{base}/merged", f"{base}/checkpoint", 1)
+    rows = RQ._scalars(spark, sf).select("run", "path", "seq", "tag", "step", "value", "wall_time")
+    for part in (1, 0):
+        rows.filter(F.col("seq") % 2 == part).repartition(2, "path").write.mode("append").parquet(log)
+        merged = SS.merge_new_scalars(spark, log, *args)
+    return merged.select("run", "tag", "step", "value")

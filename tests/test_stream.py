@@ -5,7 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from shardwright.operators import corpus as K
+from shardwright.operators import runlog as R
 from shardwright.session import scratch_path
+from shardwright.sources.logs import append_scalars
+from shardwright.streaming import scalars as SS
 from shardwright.streaming import tokenize as ST
 
 
@@ -52,3 +55,25 @@ def test_unreadable_state_fails(spark):
     with pytest.raises(Exception):
         ST._prior_state(spark, f"{base}/state", 1)
     assert ST._prior_state(spark, f"{base}/none", 1)["tokens"] == 0
+
+
+def test_appended_scalar_files_give_the_merge_of_all(spark):
+    base = scratch_path(spark, "scalar-stream")
+    log, out, ck = (f"{base}/{x}" for x in ("log", "merged", "checkpoint"))
+    schema = "run string, path string, seq long, tag string, step long, value double, wall_time timestamp"
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    parts = [frame([("a", "p2", i, "loss", i % 7, float(i), None) for i in range(30)] + [("b", "p1", 0, "loss", 0, None, None)]),
+             frame([("a", "p1", i, "loss", i, -1.0, None) for i in range(20)]),  # earlier path: loses where p2 has the step
+             frame([("a", "p3", 0, "loss", 3, 0.5, None), ("c", "p1", 0, "lr", 1, 2.0, None), ("b", "p1", 1, "loss", 0, 9.0, None)])]
+    seen, sizes = None, []
+    for part in parts:
+        append_scalars(part, log)
+        seen = part if seen is None else seen.unionByName(part)
+        got = SS.merge_new_scalars(spark, log, out, ck)
+        want = R.merge_scalars(seen).select("run", "tag", "step", "value", "wall_time")
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        sizes.append(spark.read.parquet(out).count())
+    assert sizes[2] - sizes[1] == 3  # only the keys that the new files touch
+    before = sizes[2]
+    assert SS.merge_new_scalars(spark, log, out, ck).count() == got.count()  # nothing new
+    assert spark.read.parquet(out).count() == before
