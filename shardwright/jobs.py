@@ -290,18 +290,32 @@ def decode_generations(spark: SparkSession, generations: DataFrame, manifest_dir
 
 
 def summarize_runs(spark: SparkSession, scalars: DataFrame, out_dir: str, train_tag: str = "loss/train",
-                   val_tag: str = "loss/val", perf_tags: tuple = ()) -> DataFrame:
+                   val_tag: str = "loss/val", perf_tags: tuple = (), configs: DataFrame | None = None,
+                   peaks: DataFrame | None = None, ms_tag: str = "perf/ms_per_iter", mfu_tag: str = "perf/mfu",
+                   lr_tag: str = "lr") -> DataFrame:
     """Scalar logs -> one report for all runs (E5): ``out_dir`` gets the loss CSV of
-    runs that have val losses (S16, P16); with ``perf_tags`` also
-    ``out_dir-medians`` (steady medians) and ``out_dir-ema`` (smoothed series).
-    Returns the loss table."""
+    runs that have val losses (S16, P16), ``out_dir-step-times`` the seconds between
+    logged steps (W10); with ``perf_tags`` also ``out_dir-medians`` (steady medians)
+    and ``out_dir-ema`` (smoothed series). With ``configs`` (run, path, seq, text: the
+    recorded parameter tables) ``out_dir-utilisation`` gets stored and recomputed
+    utilisation, flagged where they differ (F2-F4, A19; ``peaks``: run, peak), and
+    ``out_dir-lr`` the learning-rate audit (F1). Returns the loss table."""
+    def write(df: DataFrame, part: str) -> None:
+        df.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}-{part}")
+
     merged = R.merge_scalars(scalars).checkpoint()
     has_val = merged.filter(F.col("tag") == val_tag).select("run").distinct()
     table = R.loss_table(merged.join(has_val, "run", "left_semi"), train_tag, val_tag)
     R.write_loss_csv(table, out_dir)
+    write(R.step_times(merged, train_tag), "step-times")
     if perf_tags:
-        R.steady_medians(merged, list(perf_tags), val_tag).write.mode("overwrite").parquet(out_dir.rstrip("/") + "-medians")
-        R.ema(merged, list(perf_tags)).write.mode("overwrite").parquet(out_dir.rstrip("/") + "-ema")
+        write(R.steady_medians(merged, list(perf_tags), val_tag), "medians")
+        write(R.ema(merged, list(perf_tags)), "ema")
+    if configs is not None:
+        values = has_val.join(R.config_values(R.parse_config(configs)), "run", "left").checkpoint()
+        peaks = spark.createDataFrame([], "run string, peak double") if peaks is None else peaks
+        write(R.utilisation(merged, values, peaks, ms_tag, mfu_tag, val_tag), "utilisation")
+        write(R.lr_audit(merged, values, lr_tag), "lr")
     return table
 
 
@@ -367,6 +381,8 @@ def _main(argv=None):
     c.add_argument("--out", required=True)
     c.add_argument("--run", action="append")
     c.add_argument("--perf-tag", action="append", default=[])
+    c.add_argument("--configs", help="Parquet: run, path, seq, text (the recorded parameter table)")
+    c.add_argument("--peak", action="append", default=[], metavar="RUN=FLOPS")
     args = ap.parse_args(argv)
 
     logging.basicConfig(level=logging.WARNING)
@@ -404,7 +420,10 @@ def _main(argv=None):
     elif args.job == "merge-scalars":
         merge_new_scalars(spark, args.scalars, f"{args.out}/merged", f"{args.out}/checkpoint")
     else:
-        summarize_runs(spark, read_scalars(spark, args.scalars, args.run), args.out, perf_tags=tuple(args.perf_tag))
+        peaks = [(run, float(flops)) for run, flops in (p.rsplit("=", 1) for p in args.peak)]
+        summarize_runs(spark, read_scalars(spark, args.scalars, args.run), args.out, perf_tags=tuple(args.perf_tag),
+                       configs=spark.read.parquet(args.configs) if args.configs else None,
+                       peaks=spark.createDataFrame(peaks, "run string, peak double"))
 
 
 if __name__ == "__main__":

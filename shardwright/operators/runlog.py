@@ -17,6 +17,11 @@ from pyspark.sql import types as T
 from ..schemas import DEFAULT_PEAK_FLOPS, UTILISATION_TOLERANCE, ModelConfig
 
 
+#: Config keys: the model (utilisation) and the learning-rate schedule, in the order of ``lr_schedule``.
+MODEL_KEYS = ("vocab_size", "block_size", "n_layer", "n_head", "n_embd", "d_ff", "tokens_per_iter")
+RATE_KEYS = ("learning_rate", "min_lr", "warmup_iters", "lr_decay_iters")
+
+
 def scalars_from_events(events: DataFrame) -> DataFrame:
     """Fixture stand-in for event files: tag = event_type, run = user_id % 3,
     path = user_id % 7, step = whole hours since the first event, seq = event_id."""
@@ -286,12 +291,29 @@ def parse_config(texts: DataFrame) -> DataFrame:
 
 def lr_schedule(step, lr: float, min_lr: float, warmup: int, decay: int):
     """Warm-up then cosine to min_lr, flat after ``decay`` (F1)."""
-    ratio = (step - warmup) / (decay - warmup)
+    ratio = F.try_divide(step - warmup, F.lit(decay - warmup))
     cos = min_lr + 0.5 * (1.0 + F.cos(F.lit(math.pi) * ratio)) * (lr - min_lr)
     return F.when(step < warmup, lr * (step + 1) / (warmup + 1)) \
         .when(step > decay, F.lit(min_lr)).otherwise(cos)
 
 
+def config_values(configs: DataFrame) -> DataFrame:
+    """A row per run of :func:`parse_config`'s numbers, null where a key is missing or no number."""
+    wide = configs.filter(F.col("key").isin(*MODEL_KEYS, *RATE_KEYS)).groupBy("run") \
+        .pivot("key", [*MODEL_KEYS, *RATE_KEYS]).agg(F.first("value"))
+    return wide.select("run", *[F.col(k).try_cast("long").alias(k) for k in MODEL_KEYS],
+                       *[F.col(k).try_cast("double").alias(k) for k in RATE_KEYS])
+
+
+def lr_audit(merged: DataFrame, values: DataFrame, lr_tag: str) -> DataFrame:
+    """Logged and expected learning rate per step of the runs whose config tells the schedule (F1)."""
+    known = values.dropna(subset=list(RATE_KEYS)).select("run", *RATE_KEYS)
+    expected = lr_schedule(F.col("step"), *[F.col(k) for k in RATE_KEYS])
+    return series(merged, lr_tag).join(known, "run").select(
+        "run", "step", F.col("value").alias("logged_lr"), expected.alias("expected_lr"),
+        F.abs(F.col("value") - expected).alias("abs_diff"))
+
+
 def n_params(cfg: dict) -> int:
     """Bias-free GPT with tied embeddings, including the position table."""
     V, Tn, L, d, ff = (cfg["vocab_size"], cfg["block_size"], cfg["n_layer"], cfg["n_embd"], cfg["d_ff"])

@@ -3,7 +3,9 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
+from shardwright import jobs
 from shardwright.operators import runlog as R
+from shardwright.session import scratch_path
 
 
 def test_parameter_count_golden():
@@ -134,3 +136,39 @@ def test_upper_median_exact_with_ties_and_small_accuracy(spark):
             assert got[g] == vals[len(vals) // 2]
     small = {r.g: r.median for r in R.upper_median(df, ["g"]).collect()}
     assert small == got
+
+
+def test_summary_of_runs_with_configs(spark):
+    """One run with the published configuration and a wrong stored utilisation, one without model keys."""
+    from datetime import datetime, timedelta
+    model = dict(vocab_size=50304, block_size=1024, n_layer=8, n_head=8, n_embd=512, d_ff=2048, tokens_per_iter=262144)
+    rate = dict(learning_rate=6e-4, min_lr=6e-5, warmup_iters=2, lr_decay_iters=10)
+
+    def lr(step):
+        if step < 2:
+            return 6e-4 * (step + 1) / 3
+        return 6e-5 + 0.5 * (1 + math.cos(math.pi * (step - 2) / 8)) * (6e-4 - 6e-5) if step <= 10 else 6e-5
+
+    begin, rows = datetime(2024, 1, 1), []
+    for run in ("a", "b", "noval"):
+        for step in range(0, 14):
+            at = begin + timedelta(seconds=2 * step)
+            rows += [(run, "p", 0, "loss/train", step, 3.0, at), (run, "p", 0, "perf/ms_per_iter", step, 1860.0, at),
+                     (run, "p", 0, "perf/mfu", step, 0.5, at), (run, "p", 0, "lr", step, lr(step) + (1e-5 if step == 5 else 0), at)]
+            if run != "noval" and step % 5 == 0:
+                rows.append((run, "p", 0, "loss/val", step, 3.1, at))
+    scalars = spark.createDataFrame(rows, "run string, path string, seq long, tag string, step long, value double, wall_time timestamp")
+    text = lambda d: "|param|value|\n|---|---|\n" + "\n".join(f"|{k}|{v}|" for k, v in d.items())
+    configs = spark.createDataFrame([("a", "p", 0, text({**model, **rate, "note": "x"})), ("b", "p", 0, text({"n_layer": "many"}))],
+                                    "run string, path string, seq long, text string")
+    out = scratch_path(spark, "runs-summary")
+    table = jobs.summarize_runs(spark, scalars, out, configs=configs, peaks=spark.createDataFrame([("a", 71e12)], "run string, peak double"))
+    assert {r.run for r in table.collect()} == {"a", "b"}
+    u = {r.run: r for r in spark.read.parquet(f"{out}-utilisation").collect()}
+    assert round(u["a"].median_recomputed, 3) == 0.713 and u["a"].median_stored == 0.5 and u["a"].flagged
+    assert (u["b"].median_recomputed, u["b"].flagged, set(u)) == (0.5, False, {"a", "b"})
+    audit = {r.step: r for r in spark.read.parquet(f"{out}-lr").collect()}
+    assert len(audit) == 14 and all(abs(audit[s].expected_lr - lr(s)) < 1e-12 for s in audit)
+    assert [s for s in audit if audit[s].abs_diff > 1e-9] == [5]
+    times = spark.read.parquet(f"{out}-step-times").filter("run = 'a' and step > 0").collect()
+    assert len(times) == 13 and all(r.dt_seconds == 2.0 for r in times)
