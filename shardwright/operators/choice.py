@@ -3,17 +3,22 @@
 A choice example is ``(ctx, endings[4], label, source_id)``. Each ending is
 scored by the loss over its own tokens (targets shifted by one); ``acc`` picks
 the lowest summed loss, ``acc_norm`` the lowest per-token loss, lowest index
-on ties. The scorer is an input table ``token_losses``; the stand-in scorer
-here is an add-one byte-bigram model counted from the documents table.
+on ties. The scorer is an input table ``token_losses`` or a caller's model
+(``model_losses``); the stand-in scorer here is an add-one byte-bigram model
+counted from the documents table.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.tokens import utf8_ids
-from ..schemas import BYTE_VOCAB_SIZE, CHOICE
+from ..schemas import BYTE_VOCAB_SIZE, CHOICE, TOKEN_LOSSES
 from .order import ordinal
 
 
@@ -141,6 +146,62 @@ def token_losses(rendered: DataFrame, pairs: DataFrame, uni: DataFrame,
                     F.lit(1).alias("mask"))
 
 
+#: Narrowest batch of a model; wider ones are powers of two.
+MIN_WIDTH = 16
+
+
+def model_losses(rendered: DataFrame, make_predict, batch_rows: int = 64) -> DataFrame:
+    """``token_losses`` by a caller's model (U2, A7). ``make_predict()`` is called once per
+    Python worker and returns a function from ids (rows, width), padded on the right with
+    0, to the loss of each id given those before it, of the same shape.
+
+    Rows of like length go through the model together: widths are powers of two, so
+    padding stays below half whatever the longest example is, and there are as many
+    kinds of batches as the longest row has binary digits.
+    """
+    size = F.size("ids")
+    rows = rendered.filter(size > 0).select("example_id", "ending_idx", "n_ctx", "ids", F.greatest(
+        F.lit(MIN_WIDTH), F.call_function("shiftleft", F.lit(1), F.length(F.bin(size - 1)))).alias("width"))
+    widths = sorted(r["width"] for r in rows.select("width").distinct().collect())  # one per power of two
+    parts = []
+    for width in widths:
+        predict = predict_batch_udf(make_predict, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_rows,
+                                    input_tensor_shapes=[[width]])
+        padded = F.concat("ids", F.array_repeat(F.lit(0), F.lit(width) - size)).cast("array<int>")
+        parts.append(rows.filter(F.col("width") == width).withColumn("losses", predict(padded)))
+    if not parts:
+        return rendered.sparkSession.createDataFrame([], TOKEN_LOSSES)
+    first = F.greatest(F.col("n_ctx"), F.lit(1))
+    scored = reduce(DataFrame.unionByName, parts).select(
+        "example_id", "ending_idx", first.alias("first"), F.posexplode(F.slice("losses", first + 1, F.greatest(size - first, F.lit(0)))))
+    return scored.select("example_id", "ending_idx", (F.col("first") + F.col("pos")).cast("int").alias("pos"),
+                         F.col("col").alias("loss"), F.lit(1).alias("mask"))
+
+
+def bigram_model(pairs: DataFrame, uni: DataFrame, vocab_size: int = BYTE_VOCAB_SIZE):
+    """The byte-bigram counts of ``bigram_table`` as a model for ``model_losses`` (at
+    most vocab_size^2 rows go through the driver)."""
+    import numpy as np
+
+    counts = np.zeros((vocab_size, vocab_size))
+    for r in pairs.collect():
+        counts[r["prev"], r["cur"]] = r["c"]
+    before = np.zeros((vocab_size, 1))
+    for r in uni.collect():
+        before[r["prev"], 0] = r["cp"]
+    loss = -np.log((counts + 1) / (before + vocab_size))
+
+    def make_predict():
+        def predict(ids):
+            ids = ids.astype(np.int64)
+            out = np.zeros(ids.shape)
+            out[:, 1:] = loss[ids[:, :-1], ids[:, 1:]]
+            return out
+        return predict
+
+    return make_predict
+
+
 def candidate_scores(losses: DataFrame) -> DataFrame:
     """Summed and per-token loss per candidate."""
     return losses.groupBy("example_id", "ending_idx").agg(

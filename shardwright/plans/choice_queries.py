@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.tokens import ids_digest
 from ..operators import choice as X
-from .registry import query, table
+from .registry import ORACLES, query, table
 from .sqlfrag import bytes_of, digest
 from .text_queries import DOC_IDS_SQL
 
@@ -113,6 +113,17 @@ def choice_scores(spark, sf):
                     F.round("per_token", 6).alias("per_token"))
 
 
+@query("choice_model_scores", ORACLES["choice_scores"])
+def choice_model_scores(spark, sf):
+    """The scores by a model that gets whole batches of padded ids."""
+    r = _rendered(spark, sf)
+    kept = X.length_filter(r, BLOCK, LIMIT).filter("kept").select("example_id")
+    model = X.bigram_model(*X.bigram_table(table(spark, sf, "documents")))
+    s = X.candidate_scores(X.model_losses(r.join(kept, "example_id", "left_semi"), model))
+    return s.select("example_id", "ending_idx", F.round("sum_loss", 6).alias("sum_loss"), "n_tok",
+                    F.round("per_token", 6).alias("per_token"))
+
+
 @query("choice_picks", f"""
 WITH {_CH}, {_SCORE}
 SELECT example_id, source, label, pred, pred_norm, acc, acc_norm, round(gold, 6) AS gold,

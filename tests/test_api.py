@@ -57,3 +57,24 @@ def test_nested_messages_to_long_form(spark):
                                "conv_id long, messages array<struct<role:string,content:string>>")
     t = C.turns_from_messages(df).orderBy("turn").collect()
     assert [(r.turn, r.role, r.text) for r in t] == [(0, "user", "hi"), (1, "assistant", "yo")]
+
+
+def test_model_losses_get_batches_of_like_length(spark):
+    """Every position's loss, whatever its batch; padding is never counted, and follows the row, not the longest one."""
+    lengths = [1, 2, 15, 16, 17, 40, 700, 33, 64, 65]
+    rows = [(i, 0, min(i % 3, n - 1), [(7 * k + i) % 250 + 1 for k in range(n)]) for i, n in enumerate(lengths)]
+    rendered = spark.createDataFrame(rows, "example_id long, ending_idx int, n_ctx int, ids array<int>")
+
+    def make_predict():
+        import numpy as np
+
+        def predict(ids):
+            used = (ids > 0).sum(axis=1)
+            assert ids.shape[1] <= max(16, 2 * used.min() - 1) and len(ids) <= 4
+            return np.cumsum(ids, axis=1) / 10.0
+        return predict
+
+    got = {(r.example_id, r.pos): r.loss for r in X.model_losses(rendered, make_predict, 4).collect()}
+    want = {(i, p): sum(ids[:p + 1]) / 10.0 for i, _, ctx, ids in rows for p in range(max(ctx, 1), len(ids))}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert X.model_losses(rendered.limit(0), make_predict).count() == 0
