@@ -6,10 +6,15 @@ int32, with the string offsets as the list offsets. No per-row Python runs
 except for the rare document that contains a literal end-of-text string.
 ``utf8_ids_expr`` is the same function as a pure SQL expression (5x slower,
 kept for cross-checks and for engines without Arrow UDFs).
+
+Ids take several times the bytes of their text, so a batch is encoded in runs
+of rows of ``RUN`` bytes (or one longer row) and each run's ids leave at once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -20,6 +25,32 @@ from pyspark.sql.functions import arrow_udf
 from ..schemas import EOT, EOT_STR
 
 
+#: Bytes of text, or numbers of ids, that are worked on at once.
+RUN = 1 << 20
+
+
+def runs(s: pa.Array, most: int = RUN):
+    """(first row, rows) of the runs of a string, binary or list array that hold at most ``most`` bytes or items, or one
+    row that holds more."""
+    if not len(s):
+        return
+    wide = pa.types.is_large_string(s.type) or pa.types.is_large_binary(s.type) or pa.types.is_large_list(s.type)
+    buf = s.buffers()[1]
+    offs = np.frombuffer(buf, np.int64 if wide else np.int32)[s.offset:s.offset + len(s) + 1].astype(np.int64)
+    a = 0
+    while a < len(s):
+        b = max(a + 1, int(np.searchsorted(offs, offs[a] + most, side="right")) - 1)
+        yield a, b - a
+        a = b
+
+
+def by_runs(batches, column: int):
+    """Arrow batches cut into runs by the bytes of a column."""
+    for b in batches:
+        for a, n in runs(b.column(column)):
+            yield b.slice(a, n)
+
+
 def _string_parts(s: pa.Array):
     """(offsets relative to the first value, data bytes) of a string array."""
     if s.null_count:
@@ -63,9 +94,10 @@ def _doc_list(s: pa.Array) -> pa.Array:
     np.cumsum(lens + 1, out=new_offs[1:])
     vals = np.empty(int(new_offs[-1]), dtype=np.int32)
     if not has_special.any():
-        # Scatter every byte to its shifted slot: row i moves right by i.
-        shift = np.repeat(np.arange(n, dtype=np.int64), lens)
-        vals[np.arange(len(data), dtype=np.int64) + shift] = data
+        # Every slot but the last of each row holds a byte.
+        inner = np.ones(len(vals), dtype=bool)
+        inner[new_offs[1:] - 1] = False
+        vals[inner] = data
     else:
         for i in range(n):
             a, b = int(new_offs[i]), int(new_offs[i + 1]) - 1
@@ -111,7 +143,12 @@ def _udf(name, fn, rtype="array<int>"):
     # Built on first use: the Python workers import this module without a
     # SparkContext, so nothing here may touch Spark at import time.
     if name not in _UDFS:
-        _UDFS[name] = arrow_udf(fn, rtype)
+        def each(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for s in batches:
+                for a, n in runs(s):
+                    yield fn(s.slice(a, n))
+
+        _UDFS[name] = arrow_udf(each, rtype)
     return _UDFS[name]
 
 
