@@ -95,19 +95,19 @@ def collate(rendered: DataFrame, kept: DataFrame, batch_examples: int) -> DataFr
 
 def bigram_table(docs: DataFrame, vocab_size: int = BYTE_VOCAB_SIZE):
     """Stand-in scorer: add-one byte-bigram NLL counted over every document's
-    ids. Each Arrow batch is pre-aggregated with ``bincount`` (at most
+    ids. Each run of rows is pre-aggregated with ``bincount`` (at most
     vocab_size^2 rows leave a task), then partial sums merge by pair code; the
     result is bounded by vocab_size^2 rows, hence broadcastable."""
     import numpy as np
     import pyarrow as pa
 
-    from ..functions.tokens import _doc_list
+    from ..functions.tokens import _doc_list, by_runs
 
     V2 = vocab_size * vocab_size
 
     def count(batches):
         acc = np.zeros(V2, dtype=np.int64)
-        for b in batches:
+        for b in by_runs(batches, 0):
             lists = _doc_list(b.column(0))
             offs = lists.offsets.to_numpy()
             vals = lists.values.to_numpy().astype(np.int64)
