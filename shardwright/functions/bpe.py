@@ -10,14 +10,15 @@ chat messages every special string stays ordinary text.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import EOT_STR, Vocab, id_dtype
-from .tokens import doc_ids, utf8_ids
+from .tokens import by_runs, doc_ids, runs, utf8_ids
 
 # --- fixed values: the published GPT-2 pre-token split pattern --------------
 GPT2_SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
@@ -79,7 +80,7 @@ def bpe_encode(docs: DataFrame, ranks: dict, eot_id: int, append_eot: bool = Tru
 
     def run(batches):
         enc = _encoding(bc.value, eot_id)
-        for b in batches:
+        for b in by_runs(batches, 1):
             ids = [encode_text(enc, t.as_py() or "") + end for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, type=pa.list_(pa.int32()))],
                                              names=["doc_id", "ids"])
@@ -95,7 +96,7 @@ def encode_documents(docs: DataFrame, ranks: dict, vocab: Vocab) -> DataFrame:
 
     def run(batches):
         enc = _encoding(bc.value, eot)
-        for b in batches:
+        for b in by_runs(batches, 1):
             ids = [np.array([*encode_text(enc, t.as_py()), eot], dtype) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())],
@@ -114,7 +115,7 @@ def encode_turns(turns: DataFrame, ranks: dict, vocab: Vocab) -> DataFrame:
     def run(batches):
         enc = _encoding(bc.value, eot)
         ids = lambda col, tail: pa.array([encode_text(enc, (t.as_py() or "") + tail, False) for t in col], pa.list_(pa.int32()))
-        for b in batches:
+        for b in by_runs(batches, 3):
             yield pa.RecordBatch.from_arrays([*b.columns, ids(b.column(2), "\n"), ids(b.column(3), "")],
                                              names=["conv_id", "turn", "role", "text", "role_ids", "text_ids"])
 
@@ -134,10 +135,13 @@ def id_columns(spark, ranks: dict | None, vocab: Vocab):
         end = [eot] if special else []
 
         @F.arrow_udf("array<int>")
-        def ids(text: pa.Array) -> pa.Array:
+        def ids(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             if not held:
                 held.append(_encoding(table.value, eot))
-            return pa.array([None if t is None else encode_text(held[0], t, special) + end for t in text.to_pylist()], pa.list_(pa.int32()))
+            for text in texts:
+                for a, n in runs(text):
+                    yield pa.array([None if t is None else encode_text(held[0], t, special) + end for t in text.slice(a, n).to_pylist()],
+                                   pa.list_(pa.int32()))
 
         return ids
 

@@ -3,11 +3,14 @@ J9, P10, P11, P17, P20)."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.tokens import by_runs, runs
 from ..schemas import (BYTE_VOCAB_BASE, BYTE_VOCAB_SIZE, EOT, EOT_STR, IM_END, IM_END_STR, IM_START,
                        IM_START_STR)
 
@@ -42,15 +45,14 @@ def decoder(vocab: DataFrame):
     replaced, ids without a token skipped (T6, J9).
 
     The vocabulary (bounded by its size) travels to the workers as one byte
-    table; each Arrow batch is one ``take`` over it.
+    table; each run of rows is one ``take`` over it.
     """
     from pyspark.sql.functions import arrow_udf
 
     known = {r["id"]: bytes(r["bytes"]) for r in vocab.select("id", "bytes").collect()}
     tokens = [known.get(i, b"") for i in range(max(known, default=-1) + 1)] + [b""]
 
-    def decode_batch(ids: pa.Array) -> pa.Array:
-        table = pa.array(tokens, pa.large_binary())
+    def decode_run(table: pa.Array, ids: pa.Array) -> pa.Array:
         if ids.null_count:
             ids = ids.fill_null(pa.scalar([], ids.type))
         lengths = np.diff(ids.offsets.to_numpy())
@@ -62,18 +64,24 @@ def decoder(vocab: DataFrame):
         cuts = ends[np.concatenate(([0], np.cumsum(lengths)))]
         return pa.array([data[x:y].decode("utf-8", "replace") for x, y in zip(cuts, cuts[1:])], pa.string())
 
-    fn = arrow_udf(decode_batch, "string")
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = pa.array(tokens, pa.large_binary())
+        for ids in batches:
+            for a, n in runs(ids):
+                yield decode_run(table, ids.slice(a, n))
+
+    fn = arrow_udf(decode, "string")
     return lambda ids: fn(F.col(ids) if isinstance(ids, str) else ids)
 
 
 def id_counts(docs: DataFrame, size: int) -> DataFrame:
     """(id, occurrences) of the byte ids of all documents; each task adds up a
-    ``bincount`` per batch, so at most ``size`` rows leave it."""
+    ``bincount`` per run, so at most ``size`` rows leave it."""
     from ..functions.tokens import _doc_list
 
     def count(batches):
         total = np.zeros(size, np.int64)
-        for b in batches:
+        for b in by_runs(batches, 0):
             total += np.bincount(_doc_list(b.column(0)).values.to_numpy(), minlength=size)
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), pa.array(total[ids])], names=["id", "n"])
