@@ -62,15 +62,31 @@ def encode_text(enc, text: str, special: bool = True) -> list[int]:
     return [i for k, part in enumerate(parts) for i in ([enc.encode_single_token(part)] if k % 2 else _around_runs(enc, part))]
 
 
-def pretokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(doc_id, pos, piece) for every pre-token of every document. The text is
-    cut at the end-of-text literal first, so no pattern branch can take a part
-    of it."""
+def pieces_of(text: Column) -> Column:
+    """The pre-tokens of a text, in order. The text is cut at the end-of-text
+    literal first, so no pattern branch can take a part of it."""
     pieces = lambda part: F.regexp_extract_all(part, F.lit(JAVA_SPLIT), F.lit(0))
-    parts = F.split(F.col(text_col), EOT_STR.replace("|", "\\|"), -1)
-    joined = F.flatten(F.transform(parts, lambda p, i: F.when(i > 0, F.concat(F.array(F.lit(EOT_STR)), pieces(p)))
-                                   .otherwise(pieces(p))))
-    return docs.select("doc_id", F.posexplode(joined).alias("pos", "piece"))
+    parts = F.split(text, EOT_STR.replace("|", "\\|"), -1)
+    return F.flatten(F.transform(parts, lambda p, i: F.when(i > 0, F.concat(F.array(F.lit(EOT_STR)), pieces(p)))
+                                 .otherwise(pieces(p))))
+
+
+def pretokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(doc_id, pos, piece) for every pre-token of every document."""
+    return docs.select("doc_id", F.posexplode(pieces_of(F.col(text_col))).alias("pos", "piece"))
+
+
+def pretoken_digests(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_pieces, text_md5) of every id: the number of its pre-tokens and the md5 of all of them joined, by
+    place. Texts are dealt out by id and split where they are; their pre-tokens are never rows. Of an id with
+    several texts, pre-tokens count together, those of one place in order."""
+    texts = (docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text").repartition("doc_id")
+             .groupBy("doc_id").agg(F.collect_list("text").alias("texts")))
+    split = texts.select("doc_id", F.transform("texts", pieces_of).alias("p"))
+    placed = F.flatten(F.transform("p", lambda x: F.transform(x, lambda piece, i: F.struct(i.alias("pos"), piece.alias("piece")))))
+    joined = F.when(F.size("p") == 1, F.array_join(F.col("p")[0], "")).otherwise(
+        F.array_join(F.transform(F.array_sort(placed), lambda x: x["piece"]), ""))
+    return split.select("doc_id", F.size(F.flatten("p")).cast("long").alias("n_pieces"), F.md5(joined).alias("text_md5"))
 
 
 def bpe_encode(docs: DataFrame, ranks: dict, eot_id: int, append_eot: bool = True) -> DataFrame:

@@ -113,9 +113,7 @@ FROM documents WHERE text IS NOT NULL""".replace("\\'", "''"))
 def pretoken_counts(spark, sf):
     """Pre-tokens of the split pattern per document, and the md5 of all of them
     joined, which must be the text's (T1)."""
-    p = BPE.pretokens(_docs(spark, sf))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "piece"))), lambda x: x["piece"]), "")
-    counted = p.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pieces"), F.md5(joined).alias("text_md5"))
+    counted = BPE.pretoken_digests(_docs(spark, sf))
     return _docs(spark, sf).select("doc_id").join(counted, "doc_id", "left").select(
         "doc_id", F.coalesce("n_pieces", F.lit(0)).alias("n_pieces"), F.coalesce("text_md5", F.md5(F.lit(""))).alias("text_md5"))
 

@@ -109,3 +109,18 @@ def test_byte_vocab_decode_roundtrip(spark):
     assert [r.t for r in cut.select(decode("ids").alias("t")).collect()] == ["\ufffd", "", "", "hi"]
     assert got == ["héllo\n" + EOT_STR, EOT_STR]
     assert EOT == 256
+
+
+def test_pretoken_digests_make_no_row_of_a_piece(spark):
+    import hashlib
+    rows = [(1, "one two  three<|endoftext|>x"), (2, ""), (3, None), (4, "ab cd"), (4, "xy"), (None, "lost")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = BPE.pretoken_digests(df)
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    pieces = {}
+    for r in BPE.pretokens(df).orderBy("doc_id", "pos", "piece").collect():
+        pieces.setdefault(r.doc_id, []).append(r.piece)
+    assert {r.doc_id: (r.n_pieces, r.text_md5) for r in out.collect()} == {
+        k: (len(pieces.get(k, [])), md5("".join(pieces.get(k, [])))) for k in (1, 2, 4)}
+    assert pieces[4] == ["ab", "xy", " cd"]
+    assert "explode" not in out._jdf.queryExecution().optimizedPlan().toString()
