@@ -36,7 +36,7 @@ from .graph import components
 
 MAX_BITS = 3
 SIMILARITY = 0.8
-BUCKET = 1
+BUCKET = 0
 ROW = ["id", "th"]
 _LANES = 0x0000000100000001
 
@@ -99,7 +99,8 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
 
 def key_masks(n: int, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> list[int]:
     """Masks of every choice of blocks - max_bits of the fewest blocks with which random hashes share a key with
-    ``bucket`` others at most."""
+    ``bucket`` whole others at most on average. (At one other on average most hashes are in a key of three or more, and
+    all of these are compared again.)"""
     blocks = max_bits + 1
     while blocks < 16 and n >> (64 * (blocks - max_bits) // blocks) > bucket:
         blocks += 1

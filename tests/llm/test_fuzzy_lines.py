@@ -105,3 +105,9 @@ def test_masks_follow_the_number_of_hashes():
     for n in (1, 10 ** 6, 10 ** 9, 10 ** 12):
         masks = fuzzy_lines.key_masks(n)
         assert all(any((m & bits) == 0 for m in masks) for bits in (0, 7, 1 << 63 | 1 << 20 | 1, 1 << 16 | 1 << 32 | 1 << 48))
+
+
+def test_random_hashes_seldom_meet_two_others():
+    for n in (1000, 65535, 65536, 126_678, 33_000_000, 120_000_000):
+        fewest = min(m.bit_count() for m in fuzzy_lines.key_masks(n))
+        assert n < 1 << fewest
