@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.tokens import by_runs
 from .common import text_of
 from .training import held_out, sample
 
@@ -256,7 +257,7 @@ def clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
 
     def kept(batches):
         lookup = Lookup(model.chosen)
-        for b in batches:
+        for b in by_runs(batches, names.index("text")):
             keep = [score_texts([t.as_py() or ""], model, lookup)[0] < threshold for t in b.column(names.index("text"))]
             yield b.filter(pa.array(keep, pa.bool_()))
 
