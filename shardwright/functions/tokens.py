@@ -148,6 +148,7 @@ def _udf(name, fn, rtype="array<int>"):
                 for a, n in runs(s):
                     yield fn(s.slice(a, n))
 
+        each.__name__ = fn.__name__  # as plans show it
         _UDFS[name] = arrow_udf(each, rtype)
     return _UDFS[name]
 
