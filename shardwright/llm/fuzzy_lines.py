@@ -39,11 +39,16 @@ SIMILARITY = 0.8
 BUCKET = 0
 ROW = ["id", "th"]
 _LANES = 0x0000000100000001
+#: Words that are added up at a time, as many as three adder outputs can count.
+_AT_ONCE = 7
+#: Characters of the pieces whose distances are added up before two whole middles are compared.
+_PIECE = 128
 
 
 def plain(line: Column) -> Column:
-    """Letters and digits in lower case, one space between."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+    """Letters and digits in lower case, one space between. (Runs that are one space already are not matched: they are
+    most of all runs, and each match costs more than the characters it replaces.)"""
+    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}](?:[^\p{L}\p{N}]+|(?<! ))", " "))
 
 
 def normalised(lines: DataFrame) -> DataFrame:
@@ -76,18 +81,34 @@ def rest_of() -> Column:
     return F.when(F.col("gone").isNull(), F.col("text")).otherwise(let(lines_of(), rest))
 
 
+def _added(rows: DataFrame, a: str, b: str, c: str, ones: str, twos: str) -> DataFrame:
+    """The numbers of bits that are set at each place of three longs, as two longs (a full adder)."""
+    rows = rows.withColumn("__odd", F.col(a).bitwiseXOR(F.col(b)))
+    return rows.withColumn(ones, F.col("__odd").bitwiseXOR(F.col(c))).withColumn(
+        twos, F.col(a).bitwiseAND(F.col(b)).bitwiseOR(F.col("__odd").bitwiseAND(F.col(c)))).drop("__odd")
+
+
 def hashed_lines(docs: DataFrame) -> DataFrame:
     """id, th, pos, nh (XXH64 of the normalised line), len and fp (its SimHash) of every line that isn't blank.
 
-    Word hashes are exploded and counted bit by bit: sum i holds bits i and
-    i + 32 in two 32-bit lanes.
+    A line's different words (by their hashes) are exploded in sevens. Full adders count the bits
+    of seven word hashes in three longs (ones, twos and fours), and these are
+    summed bit by bit: sum i holds bits i and i + 32 in two 32-bit lanes.
     """
     lines = normalised(docs.select(*ROW, F.posexplode(lines_of()).alias("pos", "line")))
-    words = lines.select(*ROW, "pos", F.xxhash64("norm").alias("nh"), F.char_length("norm").alias("len"),
-                         F.explode(F.array_distinct(F.split("norm", " "))).alias("word"))
-    words = words.select(*ROW, "pos", "nh", "len", F.xxhash64("word").alias("h"))
-    lanes = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(_LANES))).alias(f"s{i}") for i in range(32)]
-    counted = words.groupBy(*ROW, "pos", "nh", "len").agg(F.count(F.lit(1)).alias("n"), *lanes)
+    lines = lines.select(*ROW, "pos", F.xxhash64("norm").alias("nh"), F.char_length("norm").alias("len"),
+                         F.array_distinct(F.transform(F.split("norm", " "), lambda w: F.xxhash64(w))).alias("words")).withColumn("n", F.size("words"))
+    sevens = lines.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(_AT_ONCE))).alias("i"))
+    word_hash = [F.when(F.col("i") + k < F.col("n"), F.get("words", F.col("i") + k)).otherwise(F.lit(0).cast("long"))
+                 for k in range(_AT_ONCE)]
+    sevens = sevens.select(*ROW, "pos", "nh", "len", "n", *[h.alias(f"h{k}") for k, h in enumerate(word_hash)])
+    for step in (("h0", "h1", "h2", "a", "ta"), ("h3", "h4", "h5", "b", "tb"), ("a", "b", "h6", "ones", "tc"),
+                 ("ta", "tb", "tc", "twos", "fours")):
+        sevens = _added(sevens, *step)
+    lane = lambda c, i: F.shiftrightunsigned(c, i).bitwiseAND(F.lit(_LANES))
+    lanes = [F.sum(lane("ones", i) + F.shiftleft(lane("twos", i) + F.shiftleft(lane("fours", i), 1), 1)).alias(f"s{i}")
+             for i in range(32)]
+    counted = sevens.groupBy(*ROW, "pos", "nh", "len", "n").agg(*lanes)
     # Bit 30 of a lane of 2 * count + 2^30 - 1 - n is set where the count is over half of n.
     counted = counted.withColumn("over", (F.lit((1 << 30) - 1) - F.col("n")) * F.lit(_LANES))
     fp = F.lit(0).cast("long")
@@ -132,12 +153,20 @@ def _shared(a: Column, b: Column, end) -> Column:
 
 def alike(a: Column, b: Column, similarity: float = SIMILARITY) -> Column:
     """Whether the edit similarity of two normalised lines is enough. What they share at both ends doesn't change their
-    distance, so only the middles are compared, and only up to the distance that is allowed."""
+    distance, so only the middles are compared, and only up to the distance that is allowed. Middles are cut into equally
+    many pieces first: the distances of these add up to the whole distance or more, in time linear in the length, and
+    mostly to little enough. Otherwise the whole middles decide."""
     allowed = F.floor((1 - similarity) * F.greatest(F.char_length(a), F.char_length(b)) + 1e-9).cast("int")
 
     def middles(m):
-        longest = F.greatest(F.char_length(m["a"]), F.char_length(m["b"]))
-        return F.when(longest <= allowed, F.lit(True)).otherwise(F.call_function("levenshtein", m["a"], m["b"], allowed) >= 0)
+        length = {x: F.char_length(m[x]).cast("long") for x in "ab"}
+        longest = F.greatest(*length.values())
+        n = F.ceil(longest / F.lit(_PIECE))
+        start = lambda x, i: F.floor(i * length[x] / n)
+        piece = lambda x, i: F.substring(m[x], (start(x, i) + 1).cast("int"), (start(x, i + 1) - start(x, i)).cast("int"))
+        pieces = F.aggregate(F.sequence(F.lit(0).cast("long"), n - 1), F.lit(0), lambda d, i: d + F.levenshtein(piece("a", i), piece("b", i)))
+        return (F.when(longest <= allowed, F.lit(True)).when(pieces <= allowed, F.lit(True))
+                .otherwise(F.call_function("levenshtein", m["a"], m["b"], allowed) >= 0))
 
     def tails(t):
         cut = lambda n: F.struct(*[F.left(t[x], F.char_length(t[x]) - n).alias(x) for x in "ab"])
@@ -177,7 +206,7 @@ def fuzzy_classes(lines: DataFrame, docs: DataFrame, max_bits: int = MAX_BITS, s
     places = (lines.join(members.select("nh"), "nh", "left_semi").groupBy("nh").agg(F.min(F.struct(*ROW, "pos")).alias("p"))
               .select("nh", "p.*").groupBy(*ROW).agg(F.collect_list(F.struct("pos", "nh")).alias("places")))
     found = let(lines_of(), lambda x: F.transform("places", lambda p: F.struct(p["nh"].alias("nh"), F.get(x, p["pos"]).alias("line"))))
-    texts = normalised(docs.select(*ROW, "text").join(places, ROW).select(F.inline(found)))
+    texts = normalised(docs.select(*ROW, "text").join(places.hint("shuffle_hash"), ROW).select(F.inline(found)))
     texts = written(texts.dropDuplicates(["nh"]).join(members, "nh"), "line-texts")
 
     # Lines against the hub of their hash, and against the hubs of the hashes theirs was held against.
@@ -230,7 +259,7 @@ def repeats(docs: DataFrame, max_bits: int = MAX_BITS, similarity: float = SIMIL
 def deduped(docs: DataFrame, max_bits: int = MAX_BITS, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, n_lines, n_removed and ``kept``, the lines that stay."""
     rows = identified(docs.select("doc_id", "text"))
-    out = rows.join(repeats(rows, max_bits, similarity), ROW, "left")
+    out = rows.join(repeats(rows, max_bits, similarity).hint("shuffle_hash"), ROW, "left")
     return out.select("doc_id", F.size(lines_of()).cast("long").alias("n_lines"),
                       F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
                       F.coalesce(rest_of(), F.lit("")).alias("kept"))
@@ -240,7 +269,7 @@ def without_repeats(docs: DataFrame, max_bits: int = MAX_BITS, similarity: float
     """``docs`` with the repeated lines taken out of their texts (n_chars, if there is one, follows)."""
     inside = identified(docs.select(F.struct(*docs.columns).alias("__row"), "doc_id"), F.col("__row.text"))
     gone = repeats(identified(docs.select("doc_id", "text")), max_bits, similarity)
-    out = inside.join(gone, ROW, "left").select("*", F.col("__row.text").alias("text"))
+    out = inside.join(gone.hint("shuffle_hash"), ROW, "left").select("*", F.col("__row.text").alias("text"))
     out = out.withColumn("__kept", rest_of())
     value = {"text": F.col("__kept")}
     if "n_chars" in docs.columns:

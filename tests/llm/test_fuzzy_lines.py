@@ -1,6 +1,10 @@
+import random
+import time
+
 import regex
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from shardwright.llm import fuzzy_lines
 
@@ -111,3 +115,41 @@ def test_random_hashes_seldom_meet_two_others():
     for n in (1000, 65535, 65536, 126_678, 33_000_000, 120_000_000):
         fewest = min(m.bit_count() for m in fuzzy_lines.key_masks(n))
         assert n < 1 << fewest
+
+
+def test_hashes_of_lines_of_any_number_of_words(spark):
+    texts = [" ".join(f"Wort{(i * j) % 29}é" for j in range(i)) + ("" if i % 2 else " -- x  ?!") for i in range(1, 60)] + ["7", "# #", "a a a a a a a a"]
+    df = fuzzy_lines.identified(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    want = {i: (len(norm(t)), simhash(norm(t)) - (simhash(norm(t)) >> 63 << 64)) for i, t in enumerate(texts)}
+    assert {r["id"]: (r["len"], r["fp"]) for r in fuzzy_lines.hashed_lines(df.select("id", "th", "text")).collect()} == want
+
+
+def test_single_spaces_and_other_runs(spark):
+    lines = ["a b", " a  b ", "a-b", "a - b", "--a b--", "Ä b", "a\tb", "a_b   c", "  ", "a b ", "1٠ ²x"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    assert [r[0] for r in df.select(fuzzy_lines.plain("line")).collect()] == [regex.sub(r"[^\p{L}\p{N}]+", " ", x.lower()).strip(" ") for x in lines]
+
+
+def test_alike_is_the_edit_similarity(spark):
+    rng = random.Random(5)
+    pairs = []
+    for i in range(60):
+        a = "".join(rng.choice("abcdeé ") for _ in range(rng.choice((3, 100, 129, 300, 520))))
+        b = list(a)
+        for _ in range(rng.randrange(1 + len(a) // 3)):
+            b[(at := rng.randrange(len(b))):at + rng.randrange(2)] = rng.choice(("", "x", "yz"))
+        b = "".join(b)
+        pairs.append((a, b if i % 3 else b[len(b) // 10:] + b[:len(b) // 20]))  # shifted: pieces are far apart
+    want = [distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9 for a, b in pairs]
+    df = spark.createDataFrame(pairs, "a string, b string").coalesce(1)
+    assert [r[0] for r in df.select(fuzzy_lines.alike(F.col("a"), F.col("b"))).collect()] == want
+    assert 10 < sum(want) < 50
+
+
+def test_long_lines_are_compared_piece_by_piece(spark):
+    a = "".join(chr(97 + (i * i // 7 + i) % 23) for i in range(150_000))
+    b = "".join("z" if i % 50 == 0 else c for i, c in enumerate(a))
+    df = spark.createDataFrame([(a, b)], "a string, b string")
+    began = time.monotonic()
+    assert df.select(fuzzy_lines.alike(F.col("a"), F.col("b"))).first()[0]
+    assert time.monotonic() - began < 15  # whole middles take minutes
