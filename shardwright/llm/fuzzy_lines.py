@@ -101,14 +101,16 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
     sevens = lines.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(_AT_ONCE))).alias("i"))
     word_hash = [F.when(F.col("i") + k < F.col("n"), F.get("words", F.col("i") + k)).otherwise(F.lit(0).cast("long"))
                  for k in range(_AT_ONCE)]
-    sevens = sevens.select(*ROW, "pos", "nh", "len", "n", *[h.alias(f"h{k}") for k, h in enumerate(word_hash)])
+    at_once = F.least(F.col("n") - F.col("i"), F.lit(_AT_ONCE)).alias("n")
+    sevens = sevens.select(*ROW, "pos", "nh", "len", at_once, *[h.alias(f"h{k}") for k, h in enumerate(word_hash)])
     for step in (("h0", "h1", "h2", "a", "ta"), ("h3", "h4", "h5", "b", "tb"), ("a", "b", "h6", "ones", "tc"),
                  ("ta", "tb", "tc", "twos", "fours")):
         sevens = _added(sevens, *step)
     lane = lambda c, i: F.shiftrightunsigned(c, i).bitwiseAND(F.lit(_LANES))
     lanes = [F.sum(lane("ones", i) + F.shiftleft(lane("twos", i) + F.shiftleft(lane("fours", i), 1), 1)).alias(f"s{i}")
              for i in range(32)]
-    counted = sevens.groupBy(*ROW, "pos", "nh", "len", "n").agg(*lanes)
+    # (n is counted like the bits: rows equal in id and text are one group.)
+    counted = sevens.groupBy(*ROW, "pos", "nh", "len").agg(F.sum("n").alias("n"), *lanes)
     # Bit 30 of a lane of 2 * count + 2^30 - 1 - n is set where the count is over half of n.
     counted = counted.withColumn("over", (F.lit((1 << 30) - 1) - F.col("n")) * F.lit(_LANES))
     fp = F.lit(0).cast("long")

@@ -121,7 +121,9 @@ def test_hashes_of_lines_of_any_number_of_words(spark):
     texts = [" ".join(f"Wort{(i * j) % 29}é" for j in range(i)) + ("" if i % 2 else " -- x  ?!") for i in range(1, 60)] + ["7", "# #", "a a a a a a a a"]
     df = fuzzy_lines.identified(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     want = {i: (len(norm(t)), simhash(norm(t)) - (simhash(norm(t)) >> 63 << 64)) for i, t in enumerate(texts)}
-    assert {r["id"]: (r["len"], r["fp"]) for r in fuzzy_lines.hashed_lines(df.select("id", "th", "text")).collect()} == want
+    for rows_of in (df, df.union(df), df.union(df).union(df)):  # repeated rows are one document
+        hashed = fuzzy_lines.hashed_lines(rows_of.select("id", "th", "text")).collect()
+        assert {r["id"]: (r["len"], r["fp"]) for r in hashed} == want and len(hashed) == len(want)
 
 
 def test_single_spaces_and_other_runs(spark):
